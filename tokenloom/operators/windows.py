@@ -96,20 +96,28 @@ def bin_features(windows: DataFrame, cutoffs: list[int], bin_sizes: list[int]) -
                                           F.coalesce(F.sum(F.size(pos)).over(before), F.lit(0)).cast("bigint")))
             keep = F.greatest(F.lit(0), F.least(F.size(pos), F.lit(bin_sizes[b]) - F.col(off)))
             kept = F.slice(F.col(pos), 1, keep.cast("int"))
-            tup = F.flatten(F.transform(kept, lambda p, k, off=off: F.array(p.cast("bigint"), F.col(off) + k)))
+            tup = F.flatten(F.transform(kept, _pair_maker(off)))
             structs.append(F.struct(F.lit(b).alias("bin"), F.size(kept).cast("bigint").alias("cnt"), tup.alias("tup")))
         d = d.withColumn(f"{side}_bins", F.array(*structs))
     return d.drop(*[c for c in d.columns if c.startswith("_")])
 
 
+def _pair_maker(off: str):
+    def pair(p, k):
+        return F.array(p.cast("bigint"), F.col(off) + k)
+    return pair
+
+
 def dense_perm(tup: Column, T: int, bin_size: int) -> Column:
-    """[T, bin_size] 0/1 matrix from flattened (pos, slot) pairs."""
-    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size(tup) / 2).cast("int") - 1),
-                        lambda i: F.struct(F.get(tup, i * 2).alias("p"), F.get(tup, i * 2 + 1).alias("k")))
-    pairs = F.when(F.size(tup) > 0, pairs).otherwise(F.array().cast("array<struct<p:bigint,k:bigint>>"))
+    """[T, bin_size] 0/1 matrix from flattened (pos, slot) pairs. Each position holds at
+    most one slot, so a position -> slot map gives every cell in O(1)."""
+    half = F.sequence(F.lit(0), F.floor(F.size(tup) / 2).cast("int") - 1)
+    ps = F.transform(half, lambda i: F.get(tup, i * 2))
+    ks = F.transform(half, lambda i: F.get(tup, i * 2 + 1))
+    m = F.when(F.size(tup) > 0, F.map_from_arrays(ps, ks))
     return F.transform(F.sequence(F.lit(0), F.lit(T - 1)), lambda p: F.transform(
         F.sequence(F.lit(0), F.lit(bin_size - 1)),
-        lambda k: F.when(F.exists(pairs, lambda s: (s["p"] == p) & (s["k"] == k)), F.lit(1.0)).otherwise(F.lit(0.0)).cast("float")))
+        lambda k: F.when(F.coalesce(F.element_at(m, p.cast("bigint")), F.lit(-1)) == k, F.lit(1.0)).otherwise(F.lit(0.0)).cast("float")))
 
 
 def context_windows(grid: DataFrame, S: int, T: int, mem_len: int, fixed: bool) -> DataFrame:

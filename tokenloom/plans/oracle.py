@@ -74,6 +74,50 @@ SELECT i.w, i.r, i.w * {Bq} + i.r AS sample_id, i.inputs, l.labels
 FROM win_in i JOIN win_lb l ON i.r = l.r AND i.w = l.w {keep}"""
 
 
+BINS = f"""
+vsize AS (SELECT count(*) AS V FROM vocab),
+tbins AS (SELECT * FROM (VALUES (0, {TAIL_CUTS[0]}, {TAIL_CUTS[1]}), (1, {TAIL_CUTS[1]}, {TAIL_CUTS[2]})) t(bin, lo, hi)
+          UNION ALL SELECT 2, {TAIL_CUTS[2]}, V FROM vsize),
+allbins AS (SELECT 0 AS bin, 0 AS lo, {TAIL_CUTS[0]} AS hi UNION ALL SELECT bin + 1, lo, hi FROM tbins),
+bparams AS (SELECT count(*) // {B // C} // {T} AS nb FROM stream),
+btok AS (SELECT p, id, (p % (nb * {T})) // {T} AS j FROM stream, bparams WHERE p < {B // C} * nb * {T}),
+bgrid AS (SELECT unnest(range(0, nb)) AS j FROM bparams),
+bcnt AS (SELECT j, bin, count(*) AS n FROM btok JOIN tbins ON id >= lo AND id < hi GROUP BY j, bin),
+bshare AS (SELECT g.j, t.bin, COALESCE(c.n, 0) AS n, COALESCE(c.n, 0) / {B // C * T} AS share
+           FROM bgrid g CROSS JOIN tbins t LEFT JOIN bcnt c ON c.j = g.j AND c.bin = t.bin),
+braw AS (SELECT bin, {T * (B // C)} * (avg(share) + 2.5 * stddev_pop(share)) AS raw FROM bshare GROUP BY bin),
+bx AS (SELECT bin, raw, CAST(ceil(round(raw, 9)) AS BIGINT) AS x FROM braw),
+bsizes AS (SELECT bin, raw, CASE WHEN x % 8 >= 4 THEN x - x % 8 + 8 ELSE greatest(8, x - x % 8) END AS size FROM bx)"""
+
+FIXED = f"""
+fparams AS (SELECT count(*) // {B} AS S FROM stream),
+fgrid AS (SELECT p // S AS r, p % S AS c, id, S FROM stream, fparams WHERE p < {B} * S),
+tin AS (SELECT r, c // {T} AS w, c % {T} AS i, id FROM fgrid WHERE c < S - 1 AND c // {T} < (S - 1) // {T}),
+tlb AS (SELECT r, (c - 1) // {T} AS w, (c - 1) % {T} AS i, id FROM fgrid WHERE c >= 1 AND (c - 1) // {T} < (S - 1) // {T}),
+tslots AS (
+  SELECT 'inp' AS side, w, r, i, id, bin,
+         row_number() OVER (PARTITION BY w, r // {B // C}, bin ORDER BY r, i) - 1 AS slot
+  FROM tin JOIN tbins ON id >= lo AND id < hi
+  UNION ALL
+  SELECT 'tgt' AS side, w, r, i, id, bin,
+         row_number() OVER (PARTITION BY w, r // {B // C}, bin ORDER BY r, i) - 1 AS slot
+  FROM tlb JOIN tbins ON id >= lo AND id < hi),
+bkept AS (SELECT s.*, b.size FROM tslots s JOIN bsizes b ON s.bin = b.bin WHERE s.slot < b.size),
+allw AS (SELECT DISTINCT w, r FROM tin),
+combos AS (SELECT w, r, side, bin FROM allw, (VALUES ('inp'), ('tgt')) s(side), tbins)"""
+
+
+def fixed_q(select: str) -> str:
+    return f"WITH {CORE}, {BINS}, {FIXED} {select}"
+
+
+def shard_lines() -> str:
+    return f"""{LINES},
+shards AS (SELECT shard, row_number() OVER (ORDER BY shard) - 1 AS shard_no FROM (SELECT DISTINCT source AS shard FROM documents)),
+ssplit AS (SELECT shard, shard_no, CASE WHEN shard_no = 0 THEN 'valid' WHEN shard_no = 1 THEN 'test' ELSE 'train' END AS split FROM shards),
+slines AS (SELECT l.*, s.split, s.shard_no FROM lines l JOIN ssplit s USING (shard))"""
+
+
 def entry_sql() -> str:
     return windows_sql(ENTRY_B, ENTRY_T, fixed=False)
 
@@ -89,4 +133,65 @@ SELECT doc_id, line_no, CAST(len({words(True)}) AS BIGINT) AS n_words, array_to_
     q["token_positions"] = f"WITH {CORE} SELECT p, id FROM stream"
     q["windows_ragged"] = windows_sql(B, T, fixed=False)
     q["windows_fixed"] = windows_sql(B, T, fixed=True)
+    q["bin_join"] = f"""WITH {CORE}, {BINS}
+SELECT p, id, CAST(bin AS BIGINT) AS bin FROM stream JOIN allbins ON id >= lo AND id < hi"""
+    q["bin_counts"] = f"WITH {CORE}, {BINS} SELECT j, CAST(bin AS BIGINT) AS bin, CAST(n AS BIGINT) AS n, round(share, 6) AS share FROM bshare"
+    q["bin_sizes"] = f"WITH {CORE}, {BINS} SELECT CAST(bin AS BIGINT) AS bin, round(raw, 3) AS raw, CAST(size AS BIGINT) AS size FROM bsizes"
+    q["num_batches"] = f"""WITH {shard_lines()},
+n AS (SELECT split, CAST(sum(len({words()}) + 1) AS BIGINT) AS n_tokens FROM slines GROUP BY split)
+SELECT split, n_tokens,
+  CAST(CASE WHEN n_tokens // {B} <= 1 THEN 0 ELSE ceil((n_tokens // {B} - 1) / {T}) END AS BIGINT) AS num_batch_ragged,
+  CAST(CASE WHEN n_tokens // {B} <= 1 THEN 0 ELSE (n_tokens // {B} - 1) // {T} END AS BIGINT) AS num_batch_fixed FROM n"""
+    mask = f"CASE WHEN id >= 0 AND id < {TAIL_CUTS[0]} THEN '1' ELSE '0' END"
+    q["bin_masks"] = fixed_q(f"""SELECT a.w * {B} + a.r AS sample_id, a.m AS inp_mask, b.m AS tgt_mask FROM
+ (SELECT w, r, string_agg({mask}, ' ' ORDER BY i) AS m FROM tin GROUP BY w, r) a
+ JOIN (SELECT w, r, string_agg({mask}, ' ' ORDER BY i) AS m FROM tlb GROUP BY w, r) b USING (w, r)""")
+    head = (f"CASE WHEN id >= {TAIL_CUTS[0]} AND id < {TAIL_CUTS[1]} THEN {TAIL_CUTS[0]} "
+            f"WHEN id >= {TAIL_CUTS[1]} AND id < {TAIL_CUTS[2]} THEN {TAIL_CUTS[0] + 1} "
+            f"WHEN id >= {TAIL_CUTS[2]} AND id < (SELECT V FROM vsize) THEN {TAIL_CUTS[0] + 2} ELSE id END")
+    q["head_labels"] = fixed_q(f"SELECT w * {B} + r AS sample_id, string_agg(CAST({head} AS VARCHAR), ' ' ORDER BY i) AS head_labels FROM tlb GROUP BY w, r")
+    agg = """agg AS (SELECT w, r, side, bin, count(*) AS cnt, string_agg(i || ' ' || slot, ' ' ORDER BY i) AS tup,
+                sum(i * size + slot) AS weighted FROM bkept GROUP BY w, r, side, bin)"""
+    q["perm_tuples"] = fixed_q(f""", {agg}
+SELECT c.w * {B} + c.r AS sample_id, c.side, CAST(c.bin AS BIGINT) AS bin, CAST(COALESCE(a.cnt, 0) AS BIGINT) AS cnt, COALESCE(a.tup, '') AS tup
+FROM combos c LEFT JOIN agg a USING (w, r, side, bin)""".replace("WITH", "WITH", 1))
+    q["bin_slots"] = fixed_q(f"SELECT w * {B} + r AS sample_id, side, CAST(bin AS BIGINT) AS bin, CAST(i AS BIGINT) AS pos, CAST(slot AS BIGINT) AS slot FROM bkept")
+    q["dense_perm_sums"] = fixed_q(f""", {agg}
+SELECT c.w * {B} + c.r AS sample_id, c.side, CAST(c.bin AS BIGINT) AS bin, CAST(COALESCE(a.cnt, 0) AS BIGINT) AS ones,
+       CAST(COALESCE(a.weighted, 0) AS BIGINT) AS weighted
+FROM combos c LEFT JOIN agg a USING (w, r, side, bin)""")
+    ragged = windows_sql(B, T, fixed=False)
+    fixed = windows_sql(B, T, fixed=True)
+    q["examples_roundtrip"] = ragged.replace("SELECT i.w, i.r, i.w", "SELECT i.w * " + str(B) + " + i.r AS sample_id, i.w, i.r, i.w", 1).replace(
+        f"i.w * {B} + i.r AS sample_id, i.inputs", "i.inputs", 1)
+    q["read_examples"] = fixed_q(f"""SELECT a.w * {B} + a.r AS sample_id, a.inputs, b.labels, b.head_labels, a.inp_mask FROM
+ (SELECT w, r, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) AS inputs, string_agg({mask}, ' ' ORDER BY i) AS inp_mask FROM tin GROUP BY w, r) a
+ JOIN (SELECT w, r, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) AS labels,
+              string_agg(CAST({head} AS VARCHAR), ' ' ORDER BY i) AS head_labels FROM tlb GROUP BY w, r) b USING (w, r)""")
+    q["record_info"] = fixed_q(f"""SELECT 'train' AS split, 'train.bsz-{B}.tlen-{T}.core-{C}' AS filenames,
+ (SELECT string_agg(CAST(size AS VARCHAR), ' ' ORDER BY bin) FROM bsizes) AS bin_sizes,
+ (SELECT CAST(count(DISTINCT w) AS BIGINT) FROM tin) AS num_batch""")
+    q["example_files"] = f"""WITH {shard_lines()},
+n AS (SELECT split, CASE WHEN split = 'train' THEN printf('train-%03d-%02d', shard_no, 0) ELSE split END AS basename,
+             CAST(sum(len({words()}) + 1) AS BIGINT) AS n_tokens FROM slines GROUP BY ALL)
+SELECT split, basename, basename || '.bsz-{B}.tlen-{T}.core-{C}' AS file_name, n_tokens,
+  CAST(CASE WHEN n_tokens // {B} <= 1 THEN 0 ELSE (n_tokens // {B} - 1) // {T} END AS BIGINT) AS num_batch FROM n"""
+    q["corpus_info"] = f"""WITH {LINES}, {COUNTS}, {vocab_cte(CFG.max_size)}
+SELECT CAST(count(*) AS BIGINT) AS vocab_size, '0 {' '.join(map(str, TAIL_CUTS))} ' || count(*) AS cutoffs, 'wt103' AS dataset FROM vocab"""
+    fw = f"SELECT w * {B} + r AS sample_id FROM ({fixed})"
+    q["replica_slots"] = f"""SELECT sample_id, sample_id // {B // C} AS chunk, (sample_id // {B // C}) % {C} AS replica,
+ (sample_id // {B // C}) // {C} AS step FROM ({fw})"""
+    q["full_batches"] = f"""SELECT sample_id, chunk FROM (SELECT sample_id, sample_id // 5 AS chunk, count(*) OVER (PARTITION BY sample_id // 5) AS n FROM ({fw})) WHERE n = 5"""
+    q["host_ranges"] = f"""WITH f AS ({fw}), k AS (SELECT (count(*) // {B} // 3) * {C} * {B // C} AS k FROM f)
+SELECT sample_id, sample_id // k AS host FROM f, k WHERE sample_id < 3 * k"""
+    q["pad_last_batch"] = f"""WITH e AS ({ragged}), bt AS (SELECT DISTINCT sample_id // 10 AS batch FROM e),
+sl AS (SELECT batch, unnest(range(0, 10)) AS slot FROM bt)
+SELECT sl.batch, sl.slot, e.sample_id IS NULL AS is_padding,
+  COALESCE(e.inputs, array_to_string(list_transform(range(0, {T}), lambda x: 0), ' ')) AS inputs
+FROM sl LEFT JOIN e ON e.sample_id // 10 = sl.batch AND e.sample_id % 10 = sl.slot"""
+    q["file_order"] = f"""WITH {shard_lines().split('slines AS')[0].rstrip().rstrip(',')},
+files AS (SELECT printf('train-%03d-%02d', shard_no, 0) AS file FROM ssplit WHERE split = 'train'),
+ep AS (SELECT unnest(range(0, 3)) AS epoch)
+SELECT CAST(epoch AS BIGINT) AS epoch, row_number() OVER (PARTITION BY epoch ORDER BY md5('123456:' || epoch || ':' || file), file) - 1 AS rank, file
+FROM files, ep"""
     return q

@@ -15,9 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import ids_str
+from tokenloom.operators import bins as BN
+from tokenloom.operators import feed as FD
+from tokenloom.operators import windows as W_
 from tokenloom.operators import vocab as V
 from tokenloom.plans import word_corpus as WC
-from tokenloom.session import materialize
+from tokenloom.session import materialize, work_path
+from tokenloom.sources import examples as EX
 from tokenloom.sources import text as S
 
 # Standard run settings used by the registered queries (FIXTURES "Bin sizes").
@@ -119,6 +123,187 @@ def q_windows_fixed(spark, sf):
     return _windows(spark, sf, fixed=True)
 
 
+# --------------------------------------------------------------------------------------------
+# Frequency bins and examples with bin features
+# --------------------------------------------------------------------------------------------
+
+def _fixed_examples(spark, sf):
+    c = Corpus(spark, sf)
+    N = c.N["train"]
+    bs = BN.collect_bin_sizes(BN.bin_sizes(c.split(), N, B // C, T, c.cutoffs))
+    ex = materialize(WC.build_examples(c.split(), N, B, T, C, c.cutoffs, bs, fixed=True))
+    return c, ex, bs
+
+
+def q_bin_join(spark, sf):
+    c = Corpus(spark, sf)
+    return BN.bin_join(c.split(), c.cutoffs).select("p", "id", F.col("bin").cast("bigint").alias("bin"))
+
+
+def q_bin_counts(spark, sf):
+    c = Corpus(spark, sf)
+    t = BN.bin_counts(c.split(), c.N["train"], B // C, T, c.cutoffs)
+    return t.select("j", F.col("bin").cast("bigint").alias("bin"), F.col("n").cast("bigint").alias("n"), rnd(F.col("share")).alias("share"))
+
+
+def q_bin_sizes(spark, sf):
+    c = Corpus(spark, sf)
+    t = BN.bin_sizes(c.split(), c.N["train"], B // C, T, c.cutoffs)
+    return t.select(F.col("bin").cast("bigint").alias("bin"), rnd(F.col("raw"), 3).alias("raw"), F.col("size").cast("bigint").alias("size"))
+
+
+def q_num_batches(spark, sf):
+    """G6 per split of the shard-split corpus (stream length does not depend on the vocabulary)."""
+    docs = S.read_documents(spark, sf)
+    lines = S.with_split(S.read_lines(docs), S.split_by_shard(docs))
+    n = WC.symbol_lines(lines, CFG, marks=True).groupBy("split").agg(F.sum(F.size("symbols")).cast("bigint").alias("n_tokens"))
+    Sx = F.floor(F.col("n_tokens") / F.lit(B)).cast("bigint")
+    ragged = F.when(Sx <= 1, F.lit(0)).otherwise(F.ceil((Sx - 1) / F.lit(T))).cast("bigint")
+    fixed = F.when(Sx <= 1, F.lit(0)).otherwise(F.floor((Sx - 1) / F.lit(T))).cast("bigint")
+    return n.select("split", "n_tokens", ragged.alias("num_batch_ragged"), fixed.alias("num_batch_fixed"))
+
+
+def _int_str(col):
+    return F.array_join(F.transform(F.col(col), lambda x: x.cast("int").cast("string")), " ")
+
+
+def q_bin_masks(spark, sf):
+    _, ex, _ = _fixed_examples(spark, sf)
+    return ex.select("sample_id", _int_str("inp_mask").alias("inp_mask"), _int_str("tgt_mask").alias("tgt_mask"))
+
+
+def q_head_labels(spark, sf):
+    _, ex, _ = _fixed_examples(spark, sf)
+    return ex.select("sample_id", ids_str(F.col("head_labels")).alias("head_labels"))
+
+
+def _bins_long(ex):
+    a = ex.select("sample_id", F.lit("inp").alias("side"), F.explode("inp_bins").alias("b"))
+    t = ex.select("sample_id", F.lit("tgt").alias("side"), F.explode("tgt_bins").alias("b"))
+    return a.unionByName(t).select("sample_id", "side", F.col("b.bin").cast("bigint").alias("bin"),
+                                   F.col("b.cnt").alias("cnt"), F.col("b.tup").alias("tup"))
+
+
+def q_perm_tuples(spark, sf):
+    _, ex, _ = _fixed_examples(spark, sf)
+    return _bins_long(ex).select("sample_id", "side", "bin", "cnt", ids_str(F.col("tup")).alias("tup"))
+
+
+def q_bin_slots(spark, sf):
+    _, ex, _ = _fixed_examples(spark, sf)
+    t = _bins_long(ex).select("sample_id", "side", "bin", F.posexplode("tup").alias("k", "v"))
+    t = t.groupBy("sample_id", "side", "bin", F.floor(F.col("k") / 2).alias("n")).agg(
+        F.max(F.when(F.col("k") % 2 == 0, F.col("v"))).alias("pos"), F.max(F.when(F.col("k") % 2 == 1, F.col("v"))).alias("slot"))
+    return t.select("sample_id", "side", "bin", "pos", "slot")
+
+
+def _weigh(K):
+    def row_fn(row, p):
+        return F.transform(row, lambda v, k: v * (p * K + k))
+    return row_fn
+
+
+def q_dense_perm_sums(spark, sf):
+    _, ex, bs = _fixed_examples(spark, sf)
+    t = _bins_long(ex)
+    size = F.element_at(F.array(*[F.lit(x) for x in bs]), F.col("bin").cast("int") + 1)
+    outs = []
+    for b, K in enumerate(bs):
+        d = t.filter(F.col("bin") == b).withColumn("m", W_.dense_perm(F.col("tup"), T, K))
+        flat = F.flatten(F.transform("m", _weigh(K)))
+        outs.append(d.select("sample_id", "side", "bin",
+                             F.aggregate(F.flatten("m"), F.lit(0.0), lambda a, v: a + v).cast("bigint").alias("ones"),
+                             F.aggregate(flat, F.lit(0.0), lambda a, v: a + v).cast("bigint").alias("weighted")))
+    res = outs[0]
+    for o in outs[1:]:
+        res = res.unionByName(o)
+    return res
+
+
+# --------------------------------------------------------------------------------------------
+# Examples on disk, manifests, feeding
+# --------------------------------------------------------------------------------------------
+
+def q_examples_roundtrip(spark, sf):
+    c = Corpus(spark, sf)
+    ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
+    path = work_path(spark, "examples")
+    EX.write_examples(ex, path, "train", "train")
+    back = EX.read_examples(spark, path, T, fixed=False, split="train")
+    return back.select("sample_id", "w", "r", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"))
+
+
+def q_read_examples(spark, sf):
+    _, ex, _ = _fixed_examples(spark, sf)
+    path = work_path(spark, "examples")
+    EX.write_examples(ex, path, "train", EX.example_file_name("train", B, T, C, True))
+    back = EX.read_examples(spark, path, T, fixed=True, split="train")
+    return back.select("sample_id", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"),
+                       ids_str(F.col("head_labels")).alias("head_labels"), _int_str("inp_mask").alias("inp_mask"))
+
+
+def q_record_info(spark, sf):
+    _, ex, bs = _fixed_examples(spark, sf)
+    ri = EX.record_info(ex.withColumn("split", F.lit("train")).withColumn("basename", F.lit("train")), B, T, C, True, bs)
+    return ri.select("split", F.array_join("filenames", ",").alias("filenames"), ids_str(F.col("bin_sizes")).alias("bin_sizes"), "num_batch")
+
+
+def q_example_files(spark, sf):
+    """A9 over the shard-split corpus: train shards one file each (train-%03d-%02d), valid and
+    test one file each; num_batch per file (fixed length)."""
+    docs = S.read_documents(spark, sf)
+    shards = S.split_by_shard(docs)
+    lines = S.with_split(S.read_lines(docs), shards)
+    n = WC.symbol_lines(lines, CFG, marks=True).groupBy("split", "shard").agg(F.sum(F.size("symbols")).alias("n"))
+    n = n.join(F.broadcast(shards.select("shard", "shard_no")), "shard")
+    n = n.withColumn("basename", F.when(F.col("split") == "train", EX.shard_basename(F.col("shard_no"), F.lit(0))).otherwise(F.col("split")))
+    per = n.groupBy("split", "basename").agg(F.sum("n").cast("bigint").alias("n_tokens"))
+    Sx = F.floor(F.col("n_tokens") / F.lit(B)).cast("bigint")
+    nb = F.when(Sx <= 1, F.lit(0)).otherwise(F.floor((Sx - 1) / F.lit(T))).cast("bigint")
+    return per.select("split", "basename", EX.example_file_name_col(F.col("basename"), B, T, C, True).alias("file_name"), "n_tokens", nb.alias("num_batch"))
+
+
+def q_corpus_info(spark, sf):
+    c = Corpus(spark, sf)
+    ci = EX.corpus_info(c.vocab, c.cutoffs, "wt103")
+    return ci.select(F.col("vocab_size").cast("bigint").alias("vocab_size"), ids_str(F.col("cutoffs")).alias("cutoffs"), "dataset")
+
+
+def _fixed_windows(spark, sf):
+    c = Corpus(spark, sf)
+    return c, WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=True)
+
+
+def q_replica_slots(spark, sf):
+    _, ex = _fixed_windows(spark, sf)
+    return FD.replica_slots(ex, B // C, C).select("sample_id", "chunk", "replica", "step")
+
+
+def q_full_batches(spark, sf):
+    _, ex = _fixed_windows(spark, sf)
+    return FD.full_batches(ex, 5).select("sample_id", "chunk")
+
+
+def q_host_ranges(spark, sf):
+    c, ex = _fixed_windows(spark, sf)
+    nb = BN.num_batches(c.N["train"], B, T, True)
+    return FD.host_ranges(ex, nb, 3, C, B // C).select("sample_id", "host")
+
+
+def q_pad_last_batch(spark, sf):
+    c = Corpus(spark, sf)
+    ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
+    t = FD.pad_last_batch(ex, 10, T)
+    return t.select("batch", "slot", "is_padding", ids_str(F.col("inputs")).alias("inputs"))
+
+
+def q_file_order(spark, sf):
+    docs = S.read_documents(spark, sf)
+    files = S.split_by_shard(docs).filter(F.col("split") == "train").select(
+        EX.shard_basename(F.col("shard_no"), F.lit(0)).alias("file"))
+    return FD.file_order(files, 123456, 3).select(F.col("epoch").cast("bigint").alias("epoch"), "rank", "file")
+
+
 def entry_query(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: documents -> lines -> words -> counts -> vocabulary (specials,
     max_size) -> marks -> ids -> positions -> grid -> windows, B=4, T=32."""
@@ -136,4 +321,23 @@ def registry() -> dict:
         "token_positions": q_token_positions,
         "windows_ragged": q_windows_ragged,
         "windows_fixed": q_windows_fixed,
+        "bin_join": q_bin_join,
+        "bin_counts": q_bin_counts,
+        "bin_sizes": q_bin_sizes,
+        "num_batches": q_num_batches,
+        "bin_masks": q_bin_masks,
+        "head_labels": q_head_labels,
+        "perm_tuples": q_perm_tuples,
+        "bin_slots": q_bin_slots,
+        "dense_perm_sums": q_dense_perm_sums,
+        "examples_roundtrip": q_examples_roundtrip,
+        "read_examples": q_read_examples,
+        "record_info": q_record_info,
+        "example_files": q_example_files,
+        "corpus_info": q_corpus_info,
+        "replica_slots": q_replica_slots,
+        "full_batches": q_full_batches,
+        "host_ranges": q_host_ranges,
+        "pad_last_batch": q_pad_last_batch,
+        "file_order": q_file_order,
     }
