@@ -194,4 +194,82 @@ files AS (SELECT printf('train-%03d-%02d', shard_no, 0) AS file FROM ssplit WHER
 ep AS (SELECT unnest(range(0, 3)) AS epoch)
 SELECT CAST(epoch AS BIGINT) AS epoch, row_number() OVER (PARTITION BY epoch ORDER BY md5('123456:' || epoch || ':' || file), file) - 1 AS rank, file
 FROM files, ep"""
+    q["shard_list"] = "SELECT shard, row_number() OVER (ORDER BY shard) - 1 AS shard_no FROM (SELECT DISTINCT source AS shard FROM documents)"
+    q["split_by_shard"] = f"WITH {shard_lines()} SELECT shard, shard_no, split FROM ssplit"
+    q["split_named"] = f"""WITH {shard_lines()},
+mp AS (SELECT shard, unnest(CASE WHEN shard_no = 0 THEN ['valid', 'test'] ELSE ['train'] END) AS split FROM shards)
+SELECT mp.split, l.doc_id, l.line_no FROM lines l JOIN mp USING (shard)"""
+    n = 100000
+    q["split_tail_chars"] = f"""WITH d AS (SELECT doc_id, text || chr(10) AS raw, length(text || chr(10)) AS len FROM documents),
+o AS (SELECT *, sum(len) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - len AS start FROM d),
+tot AS (SELECT sum(len) AS L FROM d),
+parts AS (SELECT 'train' AS split, 0 AS lo, greatest(L - {2 * n}, 0) AS hi FROM tot
+          UNION ALL SELECT 'valid', greatest(L - {2 * n}, 0), greatest(L - {n}, 0) FROM tot
+          UNION ALL SELECT 'test', greatest(L - {n}, 0), L FROM tot),
+pc AS (SELECT p.split, o.doc_id, greatest(o.start, p.lo) AS ps, least(o.start + o.len, p.hi) AS pe, o.start, o.raw
+       FROM o JOIN parts p ON o.start < p.hi AND o.start + o.len > p.lo),
+pcs AS (SELECT split, doc_id, ps AS piece_start, pe - ps AS piece_len,
+               substring(raw, CAST(ps - start + 1 AS BIGINT), CAST(pe - ps AS BIGINT)) AS raw FROM pc),
+lt AS (SELECT *, length(regexp_extract(raw, '^\s*')) AS lead, length(regexp_extract(raw, '\s*$')) AS trail FROM pcs),
+bd AS (SELECT split, min(CASE WHEN lead < piece_len THEN piece_start + lead END) AS s_lo,
+              max(CASE WHEN lead < piece_len THEN piece_start + piece_len - trail END) AS s_hi FROM lt GROUP BY split),
+tx AS (SELECT lt.split, doc_id, piece_start, piece_len, raw,
+              CASE WHEN least(piece_start + piece_len, s_hi) > greatest(piece_start, s_lo)
+                   THEN substring(raw, CAST(greatest(piece_start, s_lo) - piece_start + 1 AS BIGINT),
+                                  CAST(least(piece_start + piece_len, s_hi) - greatest(piece_start, s_lo) AS BIGINT))
+                   ELSE '' END AS text
+       FROM lt JOIN bd USING (split))
+SELECT split, doc_id, CAST(piece_start AS BIGINT) AS piece_start, CAST(piece_len AS BIGINT) AS piece_len, md5(raw) AS raw_md5, md5(text) AS text_md5,
+  md5(array_to_string(list_transform(regexp_extract_all(text, '(?s).'), lambda c: CASE WHEN c = ' ' THEN '_' ELSE c END), ' ')) AS spaced_md5
+FROM tx"""
+    q["tokenize_delim"] = f"""WITH {LINES}
+SELECT doc_id, line_no, CAST(len(string_split(trim(line), ',')) AS BIGINT) AS n, array_to_string(string_split(trim(line), ','), '|') AS symbols FROM lines"""
+    q["tokenize_chars"] = f"""WITH {LINES}
+SELECT doc_id, line_no, CAST(len(regexp_extract_all(lower(trim(line)), '(?s).')) AS BIGINT) AS n,
+       array_to_string(regexp_extract_all(lower(trim(line)), '(?s).'), ' ') AS symbols FROM lines"""
+    q["add_marks"] = f"""WITH {LINES}
+SELECT doc_id, line_no, array_to_string(list_concat(['<S>'], {words()}, ['<S>']), ' ') AS symbols FROM lines"""
+    q["space_chars"] = f"""WITH {LINES}
+SELECT doc_id, line_no, array_to_string(list_transform(regexp_extract_all(line, '(?s).'), lambda c: CASE WHEN c = ' ' THEN '_' ELSE c END), ' ') AS spaced FROM lines"""
+    q["vocab_from_file"] = f"""WITH {LINES}, {COUNTS},
+body AS (SELECT row_number() OVER (ORDER BY cnt DESC, first) - 1 + 3 AS line_no, lower(sym) || ' ' || cnt AS line FROM counts),
+vf AS (SELECT * FROM (VALUES (0, '<S>'), (1, '</S>'), (2, '<UNK>')) t(line_no, line) UNION ALL SELECT * FROM body),
+fs AS (SELECT string_split(line, ' ')[1] AS sym, min(line_no) AS ln FROM vf GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY ln) - 1 AS BIGINT) AS id, sym FROM fs"""
+    q["vocab_min_freq"] = f"""WITH {LINES}, {COUNTS}, {vocab_cte(None).replace("FROM counts ", "FROM counts WHERE cnt >= 3 ")}
+SELECT id, sym FROM vocab"""
+    q["vocab_size"] = f"WITH {CORE} SELECT (SELECT count(*) FROM vocab) AS vocab_size, (SELECT count(*) FROM counts) AS unique_tokens"
+    q["oov_report"] = f"""WITH {CORE}
+SELECT sym, count(*) AS cnt, min(p) AS first FROM tok WHERE sym NOT IN (SELECT sym FROM vocab) GROUP BY sym"""
+    q["encode_unk"] = f"WITH {CORE} SELECT doc_id, line_no, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids FROM stream GROUP BY doc_id, line_no"
+    q["decode_words"] = f"""WITH {CORE}
+SELECT s.doc_id, s.line_no, string_agg(v.sym, ' ' ORDER BY s.pos) AS text FROM stream s JOIN vocab v ON s.id = v.id
+WHERE s.id <> 0 GROUP BY s.doc_id, s.line_no"""
+    q["counts_all_splits"] = f"""WITH {shard_lines()},
+al AS (SELECT *, CASE split WHEN 'train' THEN 0 WHEN 'valid' THEN 1 ELSE 2 END AS split_ord FROM slines),
+{tokens_cte("atok", marks=False, lines="al", extra_order="split_ord").lstrip()}
+SELECT sym, count(*) AS cnt, min(p) AS first FROM atok GROUP BY sym"""
+    q["sentence_counts"] = f"""WITH cs AS (SELECT conv_id, turn, {words(col="text")} AS symbols FROM conversations),
+c0 AS (SELECT conv_id, turn, unnest(symbols) AS sym, unnest(range(0, len(symbols))) AS pos FROM cs),
+c1 AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn, pos) - 1 AS p FROM c0)
+SELECT sym, count(*) AS cnt, min(p) AS first FROM c1 GROUP BY sym"""
+    q["batch_grid"] = f"""WITH {CORE}, params AS (SELECT count(*) // {B} AS S FROM stream)
+SELECT p, p // S AS r, p % S AS c FROM stream, params WHERE p < {B} * S"""
+    q["next_token"] = f"""WITH {CORE}, params AS (SELECT count(*) // {B} AS S FROM stream),
+g AS (SELECT p // S AS r, p % S AS c, id, S FROM stream, params WHERE p < {B} * S),
+l AS (SELECT r, c, id, lead(id) OVER (PARTITION BY r ORDER BY c) AS next_id, S FROM g)
+SELECT r, c, id, next_id FROM l WHERE c < S - 1"""
+    q["rotated_passes"] = f"""WITH {CORE}, nn AS (SELECT count(*) AS N FROM stream),
+ps AS (SELECT 0 AS pass, N // 3 AS st FROM nn UNION ALL SELECT 1, (2 * N) // 3 FROM nn)
+SELECT CAST(pass AS BIGINT) AS pass, pass * N + (((p - st) % N) + N) % N AS p, id FROM stream, ps, nn"""
+    shuf = f"""{shard_lines()},
+tl AS (SELECT * FROM slines WHERE split = 'train'),
+sh AS (SELECT tl.*, s AS shuffle FROM tl, (SELECT unnest(range(0, 2)) AS s)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY shard, shuffle
+         ORDER BY md5('123456:' || shard || ':' || shuffle || ':' || doc_id || ':' || line_no)) - 1 AS rank FROM sh)"""
+    q["shuffled_sentences"] = f"WITH {shuf} SELECT shard, CAST(shuffle AS BIGINT) AS shuffle, rank, doc_id, line_no FROM rk"
+    q["shard_streams"] = f"""WITH {shuf},
+nn AS (SELECT *, CAST(len({words()}) + 2 AS BIGINT) AS n FROM rk)
+SELECT shard, CAST(shuffle AS BIGINT) AS shuffle, doc_id, line_no,
+  CAST(sum(n) OVER (PARTITION BY shard, shuffle ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS start_p, n FROM nn"""
     return q

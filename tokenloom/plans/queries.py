@@ -304,6 +304,166 @@ def q_file_order(spark, sf):
     return FD.file_order(files, 123456, 3).select(F.col("epoch").cast("bigint").alias("epoch"), "rank", "file")
 
 
+# --------------------------------------------------------------------------------------------
+# Vocabulary and encoding variants, splits, shards
+# --------------------------------------------------------------------------------------------
+
+def _lines(spark, sf):
+    return S.read_lines(S.read_documents(spark, sf))
+
+
+def q_shard_list(spark, sf):
+    return S.shard_list(S.read_documents(spark, sf))
+
+
+def q_split_by_shard(spark, sf):
+    return S.split_by_shard(S.read_documents(spark, sf))
+
+
+def q_split_named(spark, sf):
+    """lm1b layout: the first shard is the valid file and doubles as test; the rest is train."""
+    docs = S.read_documents(spark, sf)
+    sh = S.shard_list(docs)
+    mapping = sh.select("shard", F.explode(F.when(F.col("shard_no") == 0, F.array(F.lit("valid"), F.lit("test")))
+                                           .otherwise(F.array(F.lit("train")))).alias("split"))
+    t = S.split_named(S.read_lines(docs), mapping)
+    return t.select("split", "doc_id", F.col("line_no").cast("bigint").alias("line_no"))
+
+
+def q_split_tail_chars(spark, sf):
+    t = S.split_tail_chars(S.read_documents(spark, sf), 100000)
+    return t.select("split", "doc_id", "piece_start", "piece_len", F.md5("raw").alias("raw_md5"),
+                    F.md5("text").alias("text_md5"), F.md5("spaced").alias("spaced_md5"))
+
+
+def q_tokenize_delim(spark, sf):
+    from tokenloom.functions.text import tokenize
+    t = _lines(spark, sf).select("doc_id", "line_no", tokenize(F.col("line"), delimiter=",").alias("s"))
+    return t.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.size("s").cast("bigint").alias("n"),
+                    F.array_join("s", "|").alias("symbols"))
+
+
+def q_tokenize_chars(spark, sf):
+    from tokenloom.functions.text import tokenize
+    t = _lines(spark, sf).select("doc_id", "line_no", tokenize(F.col("line"), lower=True, delimiter="").alias("s"))
+    return t.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.size("s").cast("bigint").alias("n"),
+                    F.array_join("s", " ").alias("symbols"))
+
+
+def q_add_marks(spark, sf):
+    from tokenloom.functions.text import tokenize
+    t = _lines(spark, sf).select("doc_id", "line_no", tokenize(F.col("line"), double_eos=True).alias("s"))
+    return t.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.array_join("s", " ").alias("symbols"))
+
+
+def q_space_chars(spark, sf):
+    from tokenloom.functions.text import space_chars
+    return _lines(spark, sf).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"),
+                                    space_chars(F.col("line")).alias("spaced"))
+
+
+def q_vocab_from_file(spark, sf):
+    """A vocabulary file rendered from the case-kept counts ("sym count" per line, most common
+    first, after the lines <S>, </S>, <UNK>), read back lower-cased so repeats occur."""
+    from tokenloom.operators.positions import ordered_index
+    lines = WC.single_split(_lines(spark, sf))
+    counts = WC.corpus_counts(lines, CFG)
+    ranked = ordered_index(counts, [], [F.col("cnt").desc(), F.col("first")],
+                           F.struct((-F.col("cnt")).alias("a"), F.floor(F.col("first") / F.lit(1 << 20)).alias("b")), "rank")
+    body = ranked.select((F.col("rank") + 3).alias("line_no"),
+                         F.concat_ws(" ", F.lower("sym"), F.col("cnt").cast("string")).alias("line"))
+    head = spark.createDataFrame([(0, "<S>"), (1, "</S>"), (2, "<UNK>")], "line_no bigint, line string")
+    return V.vocab_from_file(head.unionByName(body), unk="<UNK>")
+
+
+def q_vocab_min_freq(spark, sf):
+    lines = WC.single_split(_lines(spark, sf))
+    cfg = WC.WordConfig(special=("<eos>", "<unk>"), min_freq=3)
+    return WC.corpus_vocab(lines, cfg).select("id", "sym")
+
+
+def q_vocab_size(spark, sf):
+    c = Corpus(spark, sf)
+    return V.vocab_size(c.vocab, c.counts)
+
+
+def q_oov_report(spark, sf):
+    c = Corpus(spark, sf)
+    return V.oov_report(c.split(), c.vocab).select("sym", "cnt", "first")
+
+
+def q_encode_unk(spark, sf):
+    c = Corpus(spark, sf)
+    g = c.split().groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
+    return g.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"),
+                    ids_str(F.transform("_t", lambda x: x["id"])).alias("ids"))
+
+
+def q_decode_words(spark, sf):
+    c = Corpus(spark, sf)
+    d = V.decode_words(c.split(), c.vocab, ["doc_id", "line_no"], exclude=[0])
+    return d.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text")
+
+
+def q_counts_all_splits(spark, sf):
+    docs = S.read_documents(spark, sf)
+    lines = S.with_split(S.read_lines(docs), S.split_by_shard(docs))
+    return WC.corpus_counts(lines, CFG).select("sym", "cnt", "first")
+
+
+def q_sentence_counts(spark, sf):
+    """Counts from already tokenised sentences (conversation turns)."""
+    from tokenloom.functions.text import tokenize
+    from tokenloom.operators.positions import doc_bucket, token_positions
+    conv = spark.read.parquet(f"{sf}/conversations.parquet")
+    sents = conv.select("conv_id", "turn", tokenize(F.col("text")).alias("symbols"))
+    toks = token_positions(sents, "symbols", [], ["conv_id", "turn"], doc_bucket("conv_id", 1000))
+    return V.symbol_counts(toks).select("sym", "cnt", "first")
+
+
+def q_batch_grid(spark, sf):
+    from tokenloom.operators.positions import batch_grid
+    c = Corpus(spark, sf)
+    return batch_grid(c.split(), B, c.N["train"]).select("p", "r", "c")
+
+
+def q_next_token(spark, sf):
+    """Each input with its label (next token in the same row), from the ragged windows."""
+    c = Corpus(spark, sf)
+    ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
+    z = ex.select("r", "w", F.posexplode(F.arrays_zip("inputs", "labels")).alias("i", "z"))
+    return z.select("r", (F.col("w") * T + F.col("i")).alias("c"), F.col("z.inputs").alias("id"), F.col("z.labels").alias("next_id"))
+
+
+def q_rotated_passes(spark, sf):
+    from tokenloom.operators.positions import rotated_passes
+    c = Corpus(spark, sf)
+    N = c.N["train"]
+    r = rotated_passes(c.split().select("p", "id"), [N // 3, (2 * N) // 3], N)
+    return r.select(F.col("pass").cast("bigint").alias("pass"), "p", "id")
+
+
+def _shard_sentences(spark, sf):
+    from tokenloom.operators import shards as SH
+    docs = S.read_documents(spark, sf)
+    lines = S.with_split(S.read_lines(docs), S.split_by_shard(docs)).filter(F.col("split") == "train")
+    return SH.shuffled_sentences(lines, 2, 123456)
+
+
+def q_shuffled_sentences(spark, sf):
+    t = _shard_sentences(spark, sf)
+    return t.select("shard", F.col("shuffle").cast("bigint").alias("shuffle"), "rank", "doc_id",
+                    F.col("line_no").cast("bigint").alias("line_no"))
+
+
+def q_shard_streams(spark, sf):
+    from tokenloom.operators import shards as SH
+    t = WC.symbol_lines(_shard_sentences(spark, sf), WC.PRESETS["lm1b"], marks=True)
+    t = SH.shard_streams(t)
+    return t.select("shard", F.col("shuffle").cast("bigint").alias("shuffle"), "doc_id",
+                    F.col("line_no").cast("bigint").alias("line_no"), "start_p", "n")
+
+
 def entry_query(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: documents -> lines -> words -> counts -> vocabulary (specials,
     max_size) -> marks -> ids -> positions -> grid -> windows, B=4, T=32."""
@@ -340,4 +500,25 @@ def registry() -> dict:
         "host_ranges": q_host_ranges,
         "pad_last_batch": q_pad_last_batch,
         "file_order": q_file_order,
+        "shard_list": q_shard_list,
+        "split_by_shard": q_split_by_shard,
+        "split_named": q_split_named,
+        "split_tail_chars": q_split_tail_chars,
+        "tokenize_delim": q_tokenize_delim,
+        "tokenize_chars": q_tokenize_chars,
+        "add_marks": q_add_marks,
+        "space_chars": q_space_chars,
+        "vocab_from_file": q_vocab_from_file,
+        "vocab_min_freq": q_vocab_min_freq,
+        "vocab_size": q_vocab_size,
+        "oov_report": q_oov_report,
+        "encode_unk": q_encode_unk,
+        "decode_words": q_decode_words,
+        "counts_all_splits": q_counts_all_splits,
+        "sentence_counts": q_sentence_counts,
+        "batch_grid": q_batch_grid,
+        "next_token": q_next_token,
+        "rotated_passes": q_rotated_passes,
+        "shuffled_sentences": q_shuffled_sentences,
+        "shard_streams": q_shard_streams,
     }
