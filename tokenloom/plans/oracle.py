@@ -6,6 +6,7 @@ Building blocks are CTE snippets; each query string is ``WITH <snippets> SELECT
 
 from __future__ import annotations
 
+from tokenloom.functions.text import byte_char_table
 from tokenloom.plans.queries import B, C, CFG, ENTRY_B, ENTRY_T, T, TAIL_CUTS
 
 NL = "chr(10)"
@@ -118,6 +119,12 @@ ssplit AS (SELECT shard, shard_no, CASE WHEN shard_no = 0 THEN 'valid' WHEN shar
 slines AS (SELECT l.*, s.split, s.shard_no FROM lines l JOIN ssplit s USING (shard))"""
 
 
+# RE2 has no look-ahead: the whitespace-run-before-non-space alternative is dropped (the tables
+# hold no double spaces, so the two patterns agree on them).
+RE2_PAT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\pL+| ?\pN+| ?[^\s\pL\pN]+|\s+""".replace("'", "''")
+BYTE_MAP = "MAP {" + ", ".join("'%02X': '%s'" % (b, ch.replace("'", "''")) for b, ch in byte_char_table()) + "}"
+
+
 def entry_sql() -> str:
     return windows_sql(ENTRY_B, ENTRY_T, fixed=False)
 
@@ -210,7 +217,7 @@ pc AS (SELECT p.split, o.doc_id, greatest(o.start, p.lo) AS ps, least(o.start +
        FROM o JOIN parts p ON o.start < p.hi AND o.start + o.len > p.lo),
 pcs AS (SELECT split, doc_id, ps AS piece_start, pe - ps AS piece_len,
                substring(raw, CAST(ps - start + 1 AS BIGINT), CAST(pe - ps AS BIGINT)) AS raw FROM pc),
-lt AS (SELECT *, length(regexp_extract(raw, '^\s*')) AS lead, length(regexp_extract(raw, '\s*$')) AS trail FROM pcs),
+lt AS (SELECT *, length(regexp_extract(raw, '^\\s*')) AS lead, length(regexp_extract(raw, '\\s*$')) AS trail FROM pcs),
 bd AS (SELECT split, min(CASE WHEN lead < piece_len THEN piece_start + lead END) AS s_lo,
               max(CASE WHEN lead < piece_len THEN piece_start + piece_len - trail END) AS s_hi FROM lt GROUP BY split),
 tx AS (SELECT lt.split, doc_id, piece_start, piece_len, raw,
@@ -272,4 +279,14 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY shard, shuffle
 nn AS (SELECT *, CAST(len({words()}) + 2 AS BIGINT) AS n FROM rk)
 SELECT shard, CAST(shuffle AS BIGINT) AS shuffle, doc_id, line_no,
   CAST(sum(n) OVER (PARTITION BY shard, shuffle ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS start_p, n FROM nn"""
+    bl = f"""{LINES},
+bl AS (SELECT doc_id, line_no, CASE WHEN has_newline THEN line || chr(10) ELSE line END AS text FROM lines),
+bt0 AS (SELECT doc_id, line_no, regexp_extract_all(text, '{RE2_PAT}') AS toks FROM bl),
+bt AS (SELECT doc_id, line_no, unnest(toks) AS token, unnest(range(0, len(toks))) AS tok_no FROM bt0)"""
+    q["bpe_pretokens"] = f"WITH {bl} SELECT doc_id, line_no, tok_no, token FROM bt"
+    q["byte_chars"] = f"""WITH {bl}, bm AS (SELECT {BYTE_MAP} AS m)
+SELECT doc_id, line_no, tok_no,
+  array_to_string(list_transform(regexp_extract_all(hex(encode(token)), '..'), lambda h: m[h]), '') AS bc FROM bt, bm"""
+    q["bpe_roundtrip"] = f"""WITH {LINES}
+SELECT doc_id, line_no, md5(CASE WHEN has_newline THEN line || chr(10) ELSE line END) AS text_md5 FROM lines"""
     return q

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import ids_str
 from tokenloom.operators import bins as BN
+from tokenloom.operators import bpe as BP
 from tokenloom.operators import feed as FD
 from tokenloom.operators import windows as W_
 from tokenloom.operators import vocab as V
@@ -464,6 +465,62 @@ def q_shard_streams(spark, sf):
                     F.col("line_no").cast("bigint").alias("line_no"), "start_p", "n")
 
 
+# --------------------------------------------------------------------------------------------
+# Byte-pair encoding
+# --------------------------------------------------------------------------------------------
+
+KEY = ["doc_id", "line_no"]
+
+
+def _bpe_lines(spark, sf):
+    return S.read_lines(S.read_documents(spark, sf), universal_newlines=True)
+
+
+def _bpe_assets(spark, sf, lines):
+    """Merges learned by the fixture job, written as a merges file and read back (A7), plus the
+    id map written as JSON and read back."""
+    learned = BP.learn_merges(lines, KEY)
+    merges = materialize(S.load_merges(BP.merges_file_lines(learned)))
+    ids = materialize(S.load_piece_ids(BP.piece_ids_json(BP.piece_ids_from_merges(merges))))
+    return merges, ids
+
+
+def q_bpe_pretokens(spark, sf):
+    t = BP.bpe_pretokens(_bpe_lines(spark, sf), KEY)
+    return t.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("tok_no").cast("bigint").alias("tok_no"), "token")
+
+
+def q_byte_chars(spark, sf):
+    t = BP.bpe_pretokens(_bpe_lines(spark, sf), KEY)
+    return t.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("tok_no").cast("bigint").alias("tok_no"), "bc")
+
+
+def q_load_merges(spark, sf):
+    merges, _ = _bpe_assets(spark, sf, _bpe_lines(spark, sf))
+    return merges.select(F.col("rank").cast("bigint").alias("rank"), "left", "right")
+
+
+def q_bpe_pieces(spark, sf):
+    lines = _bpe_lines(spark, sf)
+    merges, _ = _bpe_assets(spark, sf, lines)
+    d = BP.bpe_pretokens(lines, KEY).select("bc").distinct()
+    return BP.bpe_pieces(d, merges).select("bc", F.array_join("pieces", " ").alias("pieces"))
+
+
+def q_bpe_token_counts(spark, sf):
+    lines = _bpe_lines(spark, sf)
+    merges, ids = _bpe_assets(spark, sf, lines)
+    return BP.bpe_encode(lines, KEY, merges, ids).groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def q_bpe_roundtrip(spark, sf):
+    lines = _bpe_lines(spark, sf)
+    merges, ids = _bpe_assets(spark, sf, lines)
+    enc = BP.encoded_lines(BP.bpe_encode(lines, KEY, merges, ids), KEY)
+    dec = BP.bpe_decode(enc, KEY, ids)
+    return dec.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.md5("text").alias("text_md5"))
+
+
 def entry_query(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: documents -> lines -> words -> counts -> vocabulary (specials,
     max_size) -> marks -> ids -> positions -> grid -> windows, B=4, T=32."""
@@ -521,4 +578,10 @@ def registry() -> dict:
         "rotated_passes": q_rotated_passes,
         "shuffled_sentences": q_shuffled_sentences,
         "shard_streams": q_shard_streams,
+        "bpe_pretokens": q_bpe_pretokens,
+        "byte_chars": q_byte_chars,
+        "load_merges": q_load_merges,
+        "bpe_pieces": q_bpe_pieces,
+        "bpe_token_counts": q_bpe_token_counts,
+        "bpe_roundtrip": q_bpe_roundtrip,
     }
