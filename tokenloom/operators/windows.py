@@ -128,8 +128,7 @@ def context_windows(grid: DataFrame, S: int, T: int, mem_len: int, fixed: bool)
     W = num_windows(S, T, fixed)
     c = F.col("c")
     # windows w with wT - mem_len <= c < wT + T, and c < S - 1 (the last column is label only)
-    w_lo = F.floor((c - F.lit(T) + 1) / F.lit(T)).cast("bigint")
-    w_lo = F.greatest(w_lo, F.lit(0))
+    w_lo = F.floor(c / F.lit(T)).cast("bigint")
     w_hi = F.least(F.floor((c + F.lit(mem_len)) / F.lit(T)).cast("bigint"), F.lit(W - 1))
     t = grid.filter(c < F.lit(S - 1)).select("r", "c", "id", F.explode(
         F.when(w_hi >= w_lo, F.sequence(w_lo, w_hi)).otherwise(F.array().cast("array<bigint>"))).alias("w"))

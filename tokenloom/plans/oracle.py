@@ -7,7 +7,7 @@ Building blocks are CTE snippets; each query string is ``WITH <snippets> SELECT
 from __future__ import annotations
 
 from tokenloom.functions.text import byte_char_table
-from tokenloom.plans.queries import B, C, CFG, ENTRY_B, ENTRY_T, T, TAIL_CUTS
+from tokenloom.plans.queries import B, C, CFG, CLAMP, ENTRY_B, ENTRY_T, MEM, T, TAIL_CUTS
 
 NL = "chr(10)"
 
@@ -125,6 +125,37 @@ RE2_PAT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\pL+| ?\pN+| ?[^\s\pL\pN]+|\s+""".replac
 BYTE_MAP = "MAP {" + ", ".join("'%02X': '%s'" % (b, ch.replace("'", "''")) for b, ch in byte_char_table()) + "}"
 
 
+def split_core() -> str:
+    """Shard-split corpus: vocabulary from train (top max_size), ``stream`` = the valid split,
+    ``tstream`` = the train split (ids only)."""
+    return f"""{shard_lines()},
+trl AS (SELECT * FROM slines WHERE split = 'train'),
+{tokens_cte("ctok", marks=False, lines="trl").lstrip()},
+counts AS (SELECT sym, count(*) AS cnt, min(p) AS first FROM ctok GROUP BY sym),
+{vocab_cte(CFG.max_size).lstrip()},
+vl AS (SELECT * FROM slines WHERE split = 'valid'),
+{tokens_cte("tok", marks=True, lines="vl").lstrip()},
+stream AS (SELECT t.doc_id, t.line_no, t.pos, t.p, COALESCE(v.id, 1) AS id FROM tok t LEFT JOIN vocab v ON t.sym = v.sym),
+{tokens_cte("ttok", marks=True, lines="trl").lstrip()},
+tstream AS (SELECT COALESCE(v.id, 1) AS id FROM ttok t LEFT JOIN vocab v ON t.sym = v.sym)"""
+
+
+SPLIT_CORE = split_core()
+
+MODEL = f"""
+vsz AS (SELECT count(*) AS V FROM vocab),
+tcnt AS (SELECT id, count(*) AS cnt FROM tstream GROUP BY id),
+m0 AS (SELECT v.id, COALESCE(t.cnt, 0) AS cnt,
+          CASE WHEN v.id < {TAIL_CUTS[0]} THEN 0 WHEN v.id < {TAIL_CUTS[1]} THEN 1 WHEN v.id < {TAIL_CUTS[2]} THEN 2 ELSE 3 END AS bin
+       FROM vocab v LEFT JOIN tcnt t ON v.id = t.id),
+m1 AS (SELECT *, CASE WHEN bin = 0 THEN id ELSE {TAIL_CUTS[0]} + bin - 1 END AS slot FROM m0),
+m2 AS (SELECT *, sum(cnt) OVER (PARTITION BY slot) AS slot_cnt, sum(cnt) OVER (PARTITION BY bin) AS bin_cnt,
+              sum(cnt) OVER () AS NN FROM m1),
+model AS (SELECT id, -(ln((slot_cnt + 1) / (NN + {TAIL_CUTS[0] + 3})) +
+   CASE WHEN bin > 0 THEN ln((cnt + 1) / (bin_cnt + CASE bin WHEN 1 THEN {TAIL_CUTS[1] - TAIL_CUTS[0]}
+        WHEN 2 THEN {TAIL_CUTS[2] - TAIL_CUTS[1]} ELSE V - {TAIL_CUTS[2]} END)) ELSE 0 END) AS loss FROM m2, vsz)"""
+
+
 def entry_sql() -> str:
     return windows_sql(ENTRY_B, ENTRY_T, fixed=False)
 
@@ -289,4 +320,64 @@ SELECT doc_id, line_no, tok_no,
   array_to_string(list_transform(regexp_extract_all(hex(encode(token)), '..'), lambda h: m[h]), '') AS bc FROM bt, bm"""
     q["bpe_roundtrip"] = f"""WITH {LINES}
 SELECT doc_id, line_no, md5(CASE WHEN has_newline THEN line || chr(10) ELSE line END) AS text_md5 FROM lines"""
+    ML = f"""WITH {SPLIT_CORE}, {MODEL}, {BINS},
+vparams AS (SELECT count(*) // {B} AS S FROM stream),
+lab AS (SELECT (p % S - 1) // {T} AS step, p // S AS rw, m.loss FROM stream s JOIN model m USING (id), vparams
+        WHERE p < {B} * S AND p % S >= 1),
+sm AS (SELECT step, count(*) AS n, avg(loss) AS loss FROM lab GROUP BY step)"""
+    q["count_model_loss"] = f"WITH {SPLIT_CORE}, {MODEL} SELECT p, id, round(loss, 6) AS loss FROM stream JOIN model USING (id)"
+    q["loss_mean"] = f"{ML} SELECT step, n, round(loss, 6) AS loss FROM sm"
+    q["ppl_step_mean"] = f"{ML} SELECT round(avg(exp(loss)), 6) AS perplexity, round(avg(loss) / ln(2), 6) AS bpc, count(*) AS steps FROM sm"
+    q["ppl_token_weighted"] = f"""{ML}, tw AS (SELECT sum(loss * n) / sum(n) AS loss FROM sm)
+SELECT round(loss, 6) AS loss, round(exp(loss), 6) AS perplexity, round(loss / ln(2), 6) AS bpc FROM tw"""
+    q["replica_mean"] = f"""{ML}, pc AS (SELECT step, rw // {B // C} AS core, avg(loss) AS l FROM lab GROUP BY ALL)
+SELECT step, round(sum(l) / {C}, 6) AS loss FROM pc GROUP BY step"""
+    q["loss_capacity_mean"] = f"""WITH {SPLIT_CORE}, {MODEL}, {BINS}, {FIXED},
+capk AS (SELECT l.w, l.id, (l.id < {TAIL_CUTS[0]}) OR (k.slot IS NOT NULL) AS kept FROM tlb l
+         LEFT JOIN bkept k ON k.side = 'tgt' AND k.w = l.w AND k.r = l.r AND k.i = l.i)
+SELECT w AS step, CAST(sum(CAST(kept AS INT)) AS BIGINT) AS n_kept,
+  round(sum(CASE WHEN kept THEN loss ELSE 0 END) / sum(CAST(kept AS INT)), 6) AS loss FROM capk JOIN model USING (id) GROUP BY w"""
+    q["loop_mean_loss"] = "SELECT event_id // 100 AS loop, round(avg(value), 6) AS mean_loss, count(*) AS steps FROM events GROUP BY 1"
+    q["throughput"] = f"""WITH sp AS (SELECT event_id // 100 AS span, max(event_id) - min(event_id) AS steps,
+  epoch_us(max(ts)) - epoch_us(min(ts)) AS us FROM events GROUP BY 1),
+r AS (SELECT span, CASE WHEN us > 0 THEN steps / (us / 1e6) END AS sps FROM sp)
+SELECT span, round(sps, 6) AS steps_per_sec, round(sps * {B}, 6) AS examples_per_sec FROM r"""
+    q["lr_by_step"] = """SELECT event_id AS step, round(1e6 * CASE WHEN event_id < 1000 THEN event_id / 1000 * 2.5e-4
+  ELSE 2.5e-4 * ((1 - 0.004) * 0.5 * (1 + cos(pi() * least(event_id - 1000, 9000) / 9000)) + 0.004) END, 6) AS lr_e6 FROM events"""
+    q["eval_capped"] = "SELECT event_id AS step, round(value, 6) AS loss FROM events WHERE event_id < least((SELECT count(*) FROM events), 500)"
+    q["eval_ratio"] = "SELECT event_id AS step, round(value, 6) AS loss FROM events WHERE event_id < (SELECT count(*) FROM events) // 4"
+    el = """el AS (SELECT event_id AS step FROM events WHERE event_id >= 1000 AND event_id % 50 = 0
+  AND event_id NOT IN (SELECT event_id FROM events WHERE event_type = 'click'))"""
+    q["eligible_checkpoints"] = f"WITH {el} SELECT step FROM el"
+    q["best_checkpoint"] = f"""WITH {el} SELECT step, round(exp(value / 10), 6) AS perplexity FROM el JOIN events ON el.step = events.event_id
+ORDER BY exp(value / 10), step LIMIT 1"""
+    q["last_checkpoints"] = f"""WITH {el}, l5 AS (SELECT step FROM el ORDER BY step DESC LIMIT 5)
+SELECT step, row_number() OVER (ORDER BY step) - 1 AS ord FROM l5"""
+    q["average_params"] = """WITH pr AS (SELECT label AS ckpt, printf('v%05d', row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) AS name,
+  embedding FROM embeddings),
+ck AS (SELECT DISTINCT ckpt FROM pr ORDER BY ckpt DESC LIMIT 3),
+common AS (SELECT name FROM pr WHERE ckpt IN (SELECT ckpt FROM ck) GROUP BY name HAVING count(DISTINCT ckpt) = 3),
+ex AS (SELECT name, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS pos FROM pr
+       WHERE ckpt IN (SELECT ckpt FROM ck) AND name IN (SELECT name FROM common))
+SELECT name, CAST(pos AS BIGINT) AS pos, round(sum(CAST(v AS DOUBLE)) / 3, 6) AS value FROM ex GROUP BY name, pos"""
+    grid = f"""WITH {CORE}, params AS (SELECT count(*) // {B} AS S FROM stream),
+grid AS (SELECT p // S AS r, p % S AS c, id, S FROM stream, params WHERE p < {B} * S)"""
+    q["memory_context"] = f"""{grid},
+wins AS (SELECT DISTINCT r, c // {T} AS w FROM grid WHERE c < S - 1),
+mem AS (SELECT wn.r, wn.w, string_agg(CAST(g.id AS VARCHAR), ' ' ORDER BY g.c) AS memory FROM wins wn
+        JOIN grid g ON g.r = wn.r AND g.c >= wn.w * {T} - {MEM} AND g.c < wn.w * {T} GROUP BY wn.r, wn.w)
+SELECT wins.r, wins.w, COALESCE(mem.memory, '') AS memory FROM wins LEFT JOIN mem USING (r, w)"""
+    for key, same in (("context_same_length", True), ("context_anchored", False)):
+        lo = f"greatest(w * {T} - m, c - {MEM})" if same else f"w * {T} - m"
+        q[key] = f"""{grid},
+qk AS (SELECT r, c, id, c // {T} AS w, least({MEM}, (c // {T}) * {T}) AS m,
+              lag(c) OVER (PARTITION BY r, id ORDER BY c) AS prev FROM grid WHERE c < S - 1),
+qv AS (SELECT r, w, c, prev, {lo} AS lo FROM qk)
+SELECT r, w, CAST(sum(c - lo + 1) AS BIGINT) AS visible,
+  CAST(sum(CASE WHEN prev >= lo THEN 1 ELSE 0 END) AS BIGINT) AS repeats,
+  CAST(sum(CASE WHEN prev >= lo THEN least(c - prev, {CLAMP}) ELSE 0 END) AS BIGINT) AS dist_sum
+FROM qv GROUP BY r, w"""
+    q["embedding_lookup"] = f"""WITH {CORE}
+SELECT p, id, round(CAST(embedding[1] AS DOUBLE) * sqrt(len(embedding)), 6) AS e0,
+  round(CAST(embedding[64] AS DOUBLE) * sqrt(len(embedding)), 6) AS e63 FROM stream JOIN embeddings ON embeddings.vec_id = stream.id"""
     return q

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import ids_str
 from tokenloom.operators import bins as BN
+from tokenloom.operators import checkpoints as CK
+from tokenloom.operators import context as CX
+from tokenloom.operators import metrics as MT
 from tokenloom.operators import bpe as BP
 from tokenloom.operators import feed as FD
 from tokenloom.operators import windows as W_
@@ -521,6 +524,153 @@ def q_bpe_roundtrip(spark, sf):
     return dec.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.md5("text").alias("text_md5"))
 
 
+# --------------------------------------------------------------------------------------------
+# Losses and metrics (valid split scored by a count model from the train split)
+# --------------------------------------------------------------------------------------------
+
+def _scored(spark, sf):
+    c = Corpus(spark, sf, by_shard=True)
+    model = materialize(MT.count_model(c.split("train"), c.vocab, c.cutoffs))
+    valid = c.split("valid")
+    labels = MT.step_log(MT.token_losses(valid, model), c.N["valid"], B, T)
+    return c, model, valid, labels
+
+
+def q_count_model_loss(spark, sf):
+    _, model, valid, _ = _scored(spark, sf)
+    return MT.token_losses(valid, model).select("p", "id", rnd(F.col("loss")).alias("loss"))
+
+
+def q_loss_mean(spark, sf):
+    *_, labels = _scored(spark, sf)
+    return MT.step_means(labels).select("step", "n", rnd(F.col("loss")).alias("loss"))
+
+
+def q_ppl_step_mean(spark, sf):
+    *_, labels = _scored(spark, sf)
+    t = MT.ppl_step_mean(MT.step_means(labels))
+    return t.select(rnd(F.col("perplexity")).alias("perplexity"), rnd(F.col("bpc")).alias("bpc"), "steps")
+
+
+def q_ppl_token_weighted(spark, sf):
+    *_, labels = _scored(spark, sf)
+    t = MT.ppl_token_weighted(MT.step_means(labels))
+    return t.select(rnd(F.col("loss")).alias("loss"), rnd(F.col("perplexity")).alias("perplexity"), rnd(F.col("bpc")).alias("bpc"))
+
+
+def q_replica_mean(spark, sf):
+    *_, labels = _scored(spark, sf)
+    return MT.replica_mean(labels, B // C, 1, C).select("step", rnd(F.col("loss")).alias("loss"))
+
+
+def q_loss_capacity_mean(spark, sf):
+    c, model, valid, _ = _scored(spark, sf)
+    N = c.N["valid"]
+    bs = BN.collect_bin_sizes(BN.bin_sizes(valid, N, B // C, T, c.cutoffs))
+    ex = WC.build_examples(valid, N, B, T, C, c.cutoffs, bs, fixed=True)
+    t = MT.loss_capacity_mean(MT.capacity_losses(ex, model, c.cutoffs[1]), ["w"])
+    return t.select(F.col("w").alias("step"), F.col("n_kept").cast("bigint").alias("n_kept"), rnd(F.col("loss")).alias("loss"))
+
+
+def _events(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    return e.select(F.col("event_id").alias("step"), "ts", F.col("value").alias("loss"), "event_type")
+
+
+def q_loop_mean_loss(spark, sf):
+    t = MT.loop_mean_loss(_events(spark, sf), 100)
+    return t.select("loop", rnd(F.col("mean_loss")).alias("mean_loss"), "steps")
+
+
+def q_throughput(spark, sf):
+    t = MT.throughput(_events(spark, sf), B, 100)
+    return t.select("span", rnd(F.col("steps_per_sec")).alias("steps_per_sec"), rnd(F.col("examples_per_sec")).alias("examples_per_sec"))
+
+
+def q_lr_by_step(spark, sf):
+    t = MT.lr_by_step(_events(spark, sf), 2.5e-4, 1000, 10000, 0.004)
+    return t.select("step", rnd(F.col("lr") * 1e6).alias("lr_e6"))
+
+
+def q_eval_capped(spark, sf):
+    ev = _events(spark, sf)
+    n = ev.count()
+    return MT.eval_capped(ev, n, 500).select("step", rnd(F.col("loss")).alias("loss"))
+
+
+def q_eval_ratio(spark, sf):
+    ev = _events(spark, sf)
+    n = ev.count()
+    return MT.eval_ratio(ev, n, 4).select("step", rnd(F.col("loss")).alias("loss"))
+
+
+def _eligible(spark, sf):
+    ev = _events(spark, sf)
+    record = ev.filter(F.col("event_type") == "click")
+    return ev, CK.eligible_checkpoints(ev.select("step"), record, 1000, 50)
+
+
+def q_eligible_checkpoints(spark, sf):
+    return _eligible(spark, sf)[1].select("step")
+
+
+def q_best_checkpoint(spark, sf):
+    ev, el = _eligible(spark, sf)
+    res = el.join(ev, "step").select("step", F.exp(F.col("loss") / 10).alias("perplexity"))
+    return CK.best_checkpoint(res).select("step", rnd(F.col("perplexity")).alias("perplexity"))
+
+
+def q_last_checkpoints(spark, sf):
+    _, el = _eligible(spark, sf)
+    return CK.last_checkpoints(el, 5).select("step", "ord")
+
+
+def q_average_params(spark, sf):
+    vec = spark.read.parquet(f"{sf}/embeddings.parquet")
+    params = CK.params_from_vectors(vec)
+    last3 = [r["step"] for r in CK.last_checkpoints(params.select(F.col("ckpt").alias("step")).distinct(), 3)
+             .orderBy("ord").collect()]
+    # the stand-in checkpoints differ in size; keep the variables every chosen one has
+    chosen = params.filter(F.col("ckpt").isin(last3))
+    common = chosen.groupBy("name").agg(F.countDistinct("ckpt").alias("k")).filter(F.col("k") == len(last3)).select("name")
+    t = CK.average_params(chosen.join(common, "name", "left_semi"), last3)
+    return t.select("name", F.col("pos").cast("bigint").alias("pos"), rnd(F.col("value")).alias("value"))
+
+
+# --------------------------------------------------------------------------------------------
+# Context: memory, visible keys, embedding lookup
+# --------------------------------------------------------------------------------------------
+
+MEM, CLAMP = 48, 16
+
+
+def _context(spark, sf):
+    from tokenloom.operators.positions import batch_grid
+    c = Corpus(spark, sf)
+    N = c.N["train"]
+    grid = batch_grid(c.split(), B, N)
+    return W_.context_windows(grid, N // B, T, MEM, fixed=False)
+
+
+def q_memory_context(spark, sf):
+    return _context(spark, sf).select("r", "w", ids_str(F.col("memory")).alias("memory"))
+
+
+def q_context_same_length(spark, sf):
+    return W_.visible_context(_context(spark, sf), MEM, True, CLAMP)
+
+
+def q_context_anchored(spark, sf):
+    return W_.visible_context(_context(spark, sf), MEM, False, CLAMP)
+
+
+def q_embedding_lookup(spark, sf):
+    c = Corpus(spark, sf)
+    vec = spark.read.parquet(f"{sf}/embeddings.parquet")
+    t = CX.embedding_lookup(c.split(), vec)
+    return t.select("p", "id", rnd(F.get(F.col("vector"), 0)).alias("e0"), rnd(F.get(F.col("vector"), 63)).alias("e63"))
+
+
 def entry_query(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: documents -> lines -> words -> counts -> vocabulary (specials,
     max_size) -> marks -> ids -> positions -> grid -> windows, B=4, T=32."""
@@ -584,4 +734,23 @@ def registry() -> dict:
         "bpe_pieces": q_bpe_pieces,
         "bpe_token_counts": q_bpe_token_counts,
         "bpe_roundtrip": q_bpe_roundtrip,
+        "count_model_loss": q_count_model_loss,
+        "loss_mean": q_loss_mean,
+        "ppl_step_mean": q_ppl_step_mean,
+        "ppl_token_weighted": q_ppl_token_weighted,
+        "replica_mean": q_replica_mean,
+        "loss_capacity_mean": q_loss_capacity_mean,
+        "loop_mean_loss": q_loop_mean_loss,
+        "throughput": q_throughput,
+        "lr_by_step": q_lr_by_step,
+        "eval_capped": q_eval_capped,
+        "eval_ratio": q_eval_ratio,
+        "eligible_checkpoints": q_eligible_checkpoints,
+        "best_checkpoint": q_best_checkpoint,
+        "last_checkpoints": q_last_checkpoints,
+        "average_params": q_average_params,
+        "memory_context": q_memory_context,
+        "context_same_length": q_context_same_length,
+        "context_anchored": q_context_anchored,
+        "embedding_lookup": q_embedding_lookup,
     }
