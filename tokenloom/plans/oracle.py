@@ -380,4 +380,17 @@ FROM qv GROUP BY r, w"""
     q["embedding_lookup"] = f"""WITH {CORE}
 SELECT p, id, round(CAST(embedding[1] AS DOUBLE) * sqrt(len(embedding)), 6) AS e0,
   round(CAST(embedding[64] AS DOUBLE) * sqrt(len(embedding)), 6) AS e63 FROM stream JOIN embeddings ON embeddings.vec_id = stream.id"""
+    q["stream_encode"] = q["encode_unk"]
+    q["stream_counts"] = f"WITH {LINES}, {COUNTS} SELECT sym, cnt FROM counts"
+    fx = windows_sql(B, T, fixed=True)
+    q["stream_segments"] = f"""WITH fw AS ({fx}), mc AS ({q["memory_context"]})
+SELECT fw.r, fw.w, fw.inputs, fw.labels, mc.memory FROM fw JOIN mc ON fw.r = mc.r AND fw.w = mc.w"""
+    q["stream_throughput"] = f"""WITH d AS (SELECT date_trunc('day', ts) AS ws, * FROM events),
+g AS (SELECT ws, count(*) AS n, avg(value) AS mean_loss, max(event_id) - min(event_id) AS steps,
+        epoch_us(max(ts)) - epoch_us(min(ts)) AS us FROM d GROUP BY ws),
+mx AS (SELECT max(ts) AS mt FROM events)
+SELECT CAST(epoch(ws) AS BIGINT) AS window_start, n, round(mean_loss, 6) AS mean_loss,
+  round(CASE WHEN us > 0 THEN steps / (us / 1e6) END, 6) AS steps_per_sec,
+  round(CASE WHEN us > 0 THEN steps / (us / 1e6) END * {B}, 6) AS examples_per_sec
+FROM g, mx WHERE ws + INTERVAL 1 DAY <= mt - INTERVAL 1 HOUR"""
     return q

@@ -27,6 +27,7 @@ from tokenloom.plans import word_corpus as WC
 from tokenloom.session import materialize, work_path
 from tokenloom.sources import examples as EX
 from tokenloom.sources import text as S
+from tokenloom.streaming import jobs as ST
 
 # Standard run settings used by the registered queries (FIXTURES "Bin sizes").
 CFG = WC.WordConfig(special=("<eos>", "<unk>"), lower=False, max_size=20000)
@@ -671,6 +672,48 @@ def q_embedding_lookup(spark, sf):
     return t.select("p", "id", rnd(F.get(F.col("vector"), 0)).alias("e0"), rnd(F.get(F.col("vector"), 63)).alias("e63"))
 
 
+# --------------------------------------------------------------------------------------------
+# Streaming (file stream -> transformations -> parquet sink, availableNow)
+# --------------------------------------------------------------------------------------------
+
+def _doc_stream(spark, sf):
+    schema = S.read_documents(spark, sf).schema
+    return ST.file_stream(spark, sf, schema, glob="documents.parquet")
+
+
+def q_stream_encode(spark, sf):
+    lines = WC.single_split(_lines(spark, sf))
+    vocab = materialize(WC.corpus_vocab(lines, CFG))
+    unk = V.unk_id_of(vocab, CFG.unk)
+    out = ST.run_to_table(ST.stream_encode(ST.stream_lines(_doc_stream(spark, sf)), vocab, unk), "stream-encode")
+    g = out.groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
+    return g.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), ids_str(F.transform("_t", lambda x: x["id"])).alias("ids"))
+
+
+def q_stream_counts(spark, sf):
+    return ST.run_complete_to_table(ST.stream_counts(ST.stream_lines(_doc_stream(spark, sf))), "stream-counts")
+
+
+def q_stream_segments(spark, sf):
+    from tokenloom.operators.positions import batch_grid
+    c = Corpus(spark, sf)
+    grid = batch_grid(c.split(), B, c.N["train"]).select("r", "c", "id", "p")
+    src = work_path(spark, "grid-src")
+    grid.repartitionByRange(4, "p").drop("p").write.parquet(src)
+    stream = ST.file_stream(spark, src, "r bigint, c bigint, id bigint")
+    out = ST.run_to_table(ST.stream_segments(stream, T, MEM), "stream-segments")
+    return out.select("r", "w", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"),
+                      ids_str(F.col("memory")).alias("memory"))
+
+
+def q_stream_throughput(spark, sf):
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    ev = ST.file_stream(spark, sf, schema, glob="events.parquet")
+    out = ST.run_to_table(ST.stream_throughput(ev, "1 day", "1 hour", B), "stream-throughput")
+    return out.select("window_start", "n", rnd(F.col("mean_loss")).alias("mean_loss"),
+                      rnd(F.col("steps_per_sec")).alias("steps_per_sec"), rnd(F.col("examples_per_sec")).alias("examples_per_sec"))
+
+
 def entry_query(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: documents -> lines -> words -> counts -> vocabulary (specials,
     max_size) -> marks -> ids -> positions -> grid -> windows, B=4, T=32."""
@@ -753,4 +796,8 @@ def registry() -> dict:
         "context_same_length": q_context_same_length,
         "context_anchored": q_context_anchored,
         "embedding_lookup": q_embedding_lookup,
+        "stream_encode": q_stream_encode,
+        "stream_counts": q_stream_counts,
+        "stream_segments": q_stream_segments,
+        "stream_throughput": q_stream_throughput,
     }
