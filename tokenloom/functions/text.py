@@ -94,32 +94,61 @@ def byte_char_table() -> list[tuple[int, str]]:
     return out
 
 
-def _byte_map() -> Column:
-    kv = []
-    for b, ch in byte_char_table():
-        kv += [F.lit(f"{b:02X}"), F.lit(ch)]
-    return F.create_map(*kv)
+def _other_runs() -> list[tuple[int, int, int]]:
+    """Runs of bytes outside the self ranges: (first byte, first offset from 256, length)."""
+    selfs = {b for lo, hi in BYTE_SELF_RANGES for b in range(lo, hi + 1)}
+    runs, n = [], 0
+    for b in range(256):
+        if b in selfs:
+            continue
+        if runs and runs[-1][0] + runs[-1][2] == b:
+            runs[-1] = (runs[-1][0], runs[-1][1], runs[-1][2] + 1)
+        else:
+            runs.append((b, n, 1))
+        n += 1
+    return runs
+
 
+def _byte_to_code(b: Column) -> Column:
+    e = None
+    for lo, hi in BYTE_SELF_RANGES:
+        cond = (b >= lo) & (b <= hi)
+        e = F.when(cond, b) if e is None else e.when(cond, b)
+    for start, n0, ln in _other_runs():
+        e = e.when((b >= start) & (b < start + ln), b - F.lit(start) + F.lit(256 + n0))
+    return e
 
-def _char_map() -> Column:
-    kv = []
-    for b, ch in byte_char_table():
-        kv += [F.lit(ch), F.lit(f"{b:02X}")]
-    return F.create_map(*kv)
+
+def _code_to_byte(c: Column) -> Column:
+    e = F.when(c < 256, c)
+    for start, n0, ln in _other_runs():
+        e = e.when((c >= 256 + n0) & (c < 256 + n0 + ln), c - F.lit(256 + n0) + F.lit(start))
+    return e
+
+
+def _utf8_hex(c: Column) -> Column:
+    """UTF-8 bytes (hex) of a code point below 0x800 (all byte characters are)."""
+    return F.when(c < 128, F.lpad(F.hex(c), 2, "0")).otherwise(
+        F.concat(F.hex(F.shiftright(c, 6) + 192), F.hex(c.bitwiseAND(F.lit(63)) + 128)))
 
 
 def byte_chars(token: Column) -> Column:
-    """UTF-8 bytes of a token rendered as printable characters (bijective on bytes)."""
+    """UTF-8 bytes of a token rendered as printable characters (bijective on bytes),
+    by arithmetic on byte values (no per-byte map lookups)."""
     pairs = F.regexp_extract_all(F.hex(F.encode(token, "UTF-8")), F.lit(".."), 0)
-    m = _byte_map()
-    return F.array_join(F.transform(pairs, lambda h: F.element_at(m, h)), "")
+    hexs = F.transform(pairs, lambda h: _utf8_hex(_byte_to_code(F.conv(h, 16, 10).cast("int"))))
+    return F.decode(F.unhex(F.array_join(hexs, "")), "UTF-8")
+
+
+def byte_chars_hex(text: Column) -> Column:
+    """Inverse of P7 up to the bytes: printable characters -> hex of the original bytes."""
+    bs = F.transform(chars(text), lambda ch: F.lpad(F.hex(_code_to_byte(F.ascii(ch))), 2, "0"))
+    return F.array_join(bs, "")
 
 
 def byte_chars_inverse(text: Column) -> Column:
     """Inverse of P7: printable characters back to text; malformed UTF-8 is replaced."""
-    m = _char_map()
-    hexs = F.array_join(F.transform(chars(text), lambda c: F.element_at(m, c)), "")
-    return F.decode(F.unhex(hexs), "UTF-8")
+    return F.decode(F.unhex(byte_chars_hex(text)), "UTF-8")
 
 
 def ids_str(arr: Column) -> Column:

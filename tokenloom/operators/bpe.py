@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.functions.text import bpe_pretokenize, byte_char_table, byte_chars, byte_chars_inverse
+from tokenloom.functions.text import bpe_pretokenize, byte_char_table, byte_chars, byte_chars_hex
 
 
 def line_text(lines: DataFrame) -> DataFrame:
@@ -23,10 +23,13 @@ def line_text(lines: DataFrame) -> DataFrame:
 
 
 def bpe_pretokens(lines: DataFrame, key_cols: list[str]) -> DataFrame:
-    """P6 + P7: (key, tok_no, token, bc) for every pre-token of every line; ``bc`` is the token's
-    UTF-8 bytes as printable characters."""
-    t = line_text(lines).select(*key_cols, F.posexplode(bpe_pretokenize(F.col("text"))).alias("tok_no", "token"))
-    return t.withColumn("bc", byte_chars(F.col("token")))
+    """(key, tok_no, token) for every pre-token of every line."""
+    return line_text(lines).select(*key_cols, F.posexplode(bpe_pretokenize(F.col("text"))).alias("tok_no", "token"))
+
+
+def distinct_tokens(toks: DataFrame) -> DataFrame:
+    """Distinct pre-tokens with their byte characters (P7 once per distinct token)."""
+    return toks.select("token").distinct().withColumn("bc", byte_chars(F.col("token")))
 
 
 def merge_word(word: str, ranks: dict) -> list[str]:
@@ -61,15 +64,23 @@ def merge_ranks(merges: DataFrame) -> dict:
     return {(r["left"], r["right"]): int(r["rank"]) for r in merges.select("rank", "left", "right").collect()}
 
 
-def bpe_pieces(distinct_bc: DataFrame, merges: DataFrame) -> DataFrame:
-    """(bc, pieces ARRAY<STRING>) for each distinct byte-character pre-token."""
+def bpe_pieces(distinct: DataFrame, merges: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """Adds ``pieces`` ARRAY<STRING> to each distinct pre-token (column ``bc``).
+
+    The merge loop is CPU work on few bytes, so the distinct table is spread over a fixed
+    number of partitions first (byte-size-based coalescing would leave one Python worker)."""
     ranks = merge_ranks(merges)
+    cols = distinct.columns
+    n = parallelism or int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         for pdf in batches:
-            yield pd.DataFrame({"bc": pdf["bc"], "pieces": [merge_word(w, ranks) for w in pdf["bc"]]})
+            pdf = pdf.copy()
+            pdf["pieces"] = [merge_word(w, ranks) for w in pdf["bc"]]
+            yield pdf
 
-    return distinct_bc.select("bc").mapInPandas(run, "bc string, pieces array<string>")
+    schema = ", ".join(f"{c} string" for c in cols) + ", pieces array<string>"
+    return distinct.repartition(n).mapInPandas(run, schema)
 
 
 def piece_ids_from_merges(merges: DataFrame) -> DataFrame:
@@ -84,13 +95,13 @@ def piece_ids_from_merges(merges: DataFrame) -> DataFrame:
     return base.unionByName(merged.select("piece", (F.col("idx") + 256).alias("id")))
 
 
-def bpe_encode(lines: DataFrame, key_cols: list[str], merges: DataFrame, piece_ids: DataFrame) -> DataFrame:
-    """P9 + J4: one row per piece: (key, tok_no, piece_no, piece, id). An unknown piece raises.
-    The distinct pre-token table is computed once and joined back (AQE picks broadcast or shuffle
+def bpe_encode(toks: DataFrame, key_cols: list[str], merges: DataFrame, piece_ids: DataFrame) -> DataFrame:
+    """P9 + J4: pre-tokens (``bpe_pretokens``; callers materialise them, they are read twice) ->
+    one row per piece: (key, tok_no, piece_no, piece, id). An unknown piece raises.
+    The distinct pre-token table is merged once and joined back (AQE picks broadcast or shuffle
     by its measured size); the piece id map is bounded by the merges file and broadcast."""
-    toks = bpe_pretokens(lines, key_cols)
-    pieces = bpe_pieces(toks.select("bc").distinct(), merges)
-    j = toks.join(pieces, "bc").select(*key_cols, "tok_no", F.posexplode("pieces").alias("piece_no", "piece"))
+    pieces = bpe_pieces(distinct_tokens(toks), merges).select("token", "pieces")
+    j = toks.join(pieces, "token").select(*key_cols, "tok_no", F.posexplode("pieces").alias("piece_no", "piece"))
     ids = F.broadcast(piece_ids.select(F.col("piece").alias("_p"), "id"))
     j = j.join(ids, j["piece"] == ids["_p"], "left").drop("_p")
     return j.withColumn("id", F.when(F.col("id").isNull(), F.raise_error(F.concat(F.lit("unknown piece: "), F.col("piece"))))
@@ -104,12 +115,13 @@ def encoded_lines(pieces: DataFrame, key_cols: list[str]) -> DataFrame:
 
 
 def bpe_decode(encoded: DataFrame, key_cols: list[str], piece_ids: DataFrame) -> DataFrame:
-    """P10: ids -> pieces -> printable characters -> bytes -> UTF-8 text (bad bytes replaced)."""
+    """P10: ids -> pieces -> bytes -> UTF-8 text (bad bytes replaced). Each piece's bytes are
+    worked out once on the (bounded, broadcast) piece table, not per token."""
     e = encoded.select(*key_cols, F.posexplode("ids").alias("k", "id"))
-    m = F.broadcast(piece_ids.select(F.col("id").alias("_id"), "piece"))
+    m = F.broadcast(piece_ids.select(F.col("id").alias("_id"), byte_chars_hex(F.col("piece")).alias("hx")))
     j = e.join(m, e["id"] == m["_id"], "left")
-    g = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("k", "piece"))).alias("_t"))
-    return g.select(*key_cols, byte_chars_inverse(F.array_join(F.transform("_t", lambda x: x["piece"]), "")).alias("text"))
+    g = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("k", "hx"))).alias("_t"))
+    return g.select(*key_cols, F.decode(F.unhex(F.array_join(F.transform("_t", lambda x: x["hx"]), "")), "UTF-8").alias("text"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -118,11 +130,11 @@ def bpe_decode(encoded: DataFrame, key_cols: list[str], piece_ids: DataFrame) ->
 # asset the encoder downloads; it is not one of the encoder's own operators.
 # ---------------------------------------------------------------------------------------------
 
-def learn_merges(lines: DataFrame, key_cols: list[str], num_merges: int = 300, top_words: int = 2000) -> DataFrame:
+def learn_merges(toks: DataFrame, num_merges: int = 300, top_words: int = 2000) -> DataFrame:
     """merges(rank, left, right) learned from the ``top_words`` most common pre-tokens (a bounded
     table: one task is enough). Ties: higher pair count first, then the smaller pair."""
-    toks = bpe_pretokens(lines, key_cols)
-    words = toks.groupBy("bc").agg(F.count(F.lit(1)).alias("cnt")).orderBy(F.col("cnt").desc(), "bc").limit(top_words)
+    words = toks.groupBy("token").agg(F.count(F.lit(1)).alias("cnt")).orderBy(F.col("cnt").desc(), "token").limit(top_words)
+    words = words.select(byte_chars(F.col("token")).alias("bc"), "cnt")
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         vocab = {tuple(w): int(c) for w, c in zip(pdf["bc"], pdf["cnt"])}

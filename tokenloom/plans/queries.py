@@ -480,12 +480,18 @@ def _bpe_lines(spark, sf):
     return S.read_lines(S.read_documents(spark, sf), universal_newlines=True)
 
 
-def _bpe_assets(spark, sf, lines):
+def _bpe_tokens(spark, sf):
+    """Pre-tokens of every line, written once: the merge fixture, the distinct table and the
+    join back all read them."""
+    return materialize(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY), "pretokens")
+
+
+def _bpe_assets(toks):
     """Merges learned by the fixture job, written as a merges file and read back (A7), plus the
     id map written as JSON and read back."""
-    learned = BP.learn_merges(lines, KEY)
-    merges = materialize(S.load_merges(BP.merges_file_lines(learned)))
-    ids = materialize(S.load_piece_ids(BP.piece_ids_json(BP.piece_ids_from_merges(merges))))
+    learned = BP.learn_merges(toks)
+    merges = materialize(S.load_merges(BP.merges_file_lines(learned)), "merges")
+    ids = materialize(S.load_piece_ids(BP.piece_ids_json(BP.piece_ids_from_merges(merges))), "piece-ids")
     return merges, ids
 
 
@@ -495,32 +501,32 @@ def q_bpe_pretokens(spark, sf):
 
 
 def q_byte_chars(spark, sf):
-    t = BP.bpe_pretokens(_bpe_lines(spark, sf), KEY)
+    from tokenloom.functions.text import byte_chars
+    t = BP.bpe_pretokens(_bpe_lines(spark, sf), KEY).withColumn("bc", byte_chars(F.col("token")))
     return t.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("tok_no").cast("bigint").alias("tok_no"), "bc")
 
 
 def q_load_merges(spark, sf):
-    merges, _ = _bpe_assets(spark, sf, _bpe_lines(spark, sf))
+    merges, _ = _bpe_assets(_bpe_tokens(spark, sf))
     return merges.select(F.col("rank").cast("bigint").alias("rank"), "left", "right")
 
 
 def q_bpe_pieces(spark, sf):
-    lines = _bpe_lines(spark, sf)
-    merges, _ = _bpe_assets(spark, sf, lines)
-    d = BP.bpe_pretokens(lines, KEY).select("bc").distinct()
-    return BP.bpe_pieces(d, merges).select("bc", F.array_join("pieces", " ").alias("pieces"))
+    toks = _bpe_tokens(spark, sf)
+    merges, _ = _bpe_assets(toks)
+    return BP.bpe_pieces(BP.distinct_tokens(toks), merges).select("bc", F.array_join("pieces", " ").alias("pieces"))
 
 
 def q_bpe_token_counts(spark, sf):
-    lines = _bpe_lines(spark, sf)
-    merges, ids = _bpe_assets(spark, sf, lines)
-    return BP.bpe_encode(lines, KEY, merges, ids).groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
+    toks = _bpe_tokens(spark, sf)
+    merges, ids = _bpe_assets(toks)
+    return BP.bpe_encode(toks, KEY, merges, ids).groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def q_bpe_roundtrip(spark, sf):
-    lines = _bpe_lines(spark, sf)
-    merges, ids = _bpe_assets(spark, sf, lines)
-    enc = BP.encoded_lines(BP.bpe_encode(lines, KEY, merges, ids), KEY)
+    toks = _bpe_tokens(spark, sf)
+    merges, ids = _bpe_assets(toks)
+    enc = BP.encoded_lines(BP.bpe_encode(toks, KEY, merges, ids), KEY)
     dec = BP.bpe_decode(enc, KEY, ids)
     return dec.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.md5("text").alias("text_md5"))
 
