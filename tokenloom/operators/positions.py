@@ -28,10 +28,13 @@ def prefix_offsets(df: DataFrame, weight: Column, part_cols: list[str], order_co
     """Add ``out`` = sum of ``weight`` over all rows before this one in the order ``order_cols``
     within ``part_cols``. ``bucket`` must be non-decreasing along the order.
 
-    Plan: one aggregate of df to the bucket table (small: rows / bucket size), a running sum
-    over that table, then one windowed running sum partitioned by (part, bucket). The join of the
-    bucket offsets is left to AQE (broadcast when the measured bucket table is small, shuffle
-    join otherwise).
+    Plan: one aggregate of df to the bucket table (small: rows / bucket size; map-side partial
+    aggregation), a running sum over that table, then one windowed running sum partitioned by
+    (part, bucket). The join of the bucket offsets is left to AQE (broadcast when the measured
+    bucket table is small, shuffle join otherwise).
+
+    df is read twice (bucket totals, then rows); when its upstream is expensive (tokenising)
+    the caller passes a written table, so the second read is a pruned Parquet scan.
     """
     d = df.withColumn("_w", weight.cast("bigint")).withColumn("_bk", bucket)
     keys = list(part_cols) + ["_bk"]

@@ -86,14 +86,18 @@ def bin_features(windows: DataFrame, cutoffs: list[int], bin_sizes: list[int]) -
                .withColumn("tgt_mask", bin_mask(F.col("labels"), cutoffs)) \
                .withColumn("head_labels", head_labels(F.col("labels"), cutoffs))
     before = Window.partitionBy("w", "core").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    for side, src in (("inp", "inputs"), ("tgt", "labels")):
+    tails = list(enumerate(zip(cutoffs[1:-1], cutoffs[2:])))
+    sides = (("inp", "inputs"), ("tgt", "labels"))
+    # positions of every tail bin first, then all running counters in one select (one window)
+    d = d.select("*", *[bin_positions(F.col(src), lo, hi).alias(f"_{side}_pos{b}")
+                        for side, src in sides for b, (lo, hi) in tails])
+    d = d.select("*", *[F.least(F.lit(bin_sizes[b]).cast("bigint"),
+                                F.coalesce(F.sum(F.size(f"_{side}_pos{b}")).over(before), F.lit(0)).cast("bigint")).alias(f"_{side}_off{b}")
+                        for side, _ in sides for b, _ in tails])
+    for side, _ in sides:
         structs = []
-        for b, (lo, hi) in enumerate(zip(cutoffs[1:-1], cutoffs[2:])):
-            pos = f"_{side}_pos{b}"
-            off = f"_{side}_off{b}"
-            d = d.withColumn(pos, bin_positions(F.col(src), lo, hi))
-            d = d.withColumn(off, F.least(F.lit(bin_sizes[b]).cast("bigint"),
-                                          F.coalesce(F.sum(F.size(pos)).over(before), F.lit(0)).cast("bigint")))
+        for b, _ in tails:
+            pos, off = f"_{side}_pos{b}", f"_{side}_off{b}"
             keep = F.greatest(F.lit(0), F.least(F.size(pos), F.lit(bin_sizes[b]) - F.col(off)))
             kept = F.slice(F.col(pos), 1, keep.cast("int"))
             tup = F.flatten(F.transform(kept, _pair_maker(off)))

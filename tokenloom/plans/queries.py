@@ -49,16 +49,17 @@ class Corpus:
         lines = S.read_lines(docs)
         if by_shard:
             lines = S.with_split(lines, S.split_by_shard(docs))
-            count_lines = lines.filter(F.col("split") == "train")
         else:
             lines = WC.single_split(lines)
-            count_lines = lines
+        # tokenise once; counting, positions and encoding read the written table
+        tok = materialize(WC.symbol_lines(lines, cfg, marks=True).drop("line"), "tokenized")
+        count_lines = tok.filter(F.col("split") == "train") if by_shard else tok
         self.lines = lines
-        self.counts = materialize(WC.corpus_counts(count_lines, cfg))
-        self.vocab = materialize(V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size))
+        self.counts = materialize(WC.corpus_counts(count_lines, cfg, tokenized=True), "counts")
+        self.vocab = materialize(V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size), "vocab")
         self.V = self.vocab.count()
         self.unk_id = V.unk_id_of(self.vocab, cfg.unk)
-        self.stream = materialize(WC.encoded_stream(lines, self.vocab, cfg, self.unk_id))
+        self.stream = materialize(WC.encoded_stream(tok, self.vocab, cfg, self.unk_id, tokenized=True), "stream")
         self.N = WC.split_sizes(self.stream)
 
     @property

@@ -56,33 +56,47 @@ def symbol_lines(lines: DataFrame, cfg: WordConfig, marks: bool) -> DataFrame:
                                                  cfg.add_eos and marks, cfg.add_double_eos and marks))
 
 
-def counted_tokens(lines: DataFrame, cfg: WordConfig) -> DataFrame:
+def without_marks(symbols: F.Column, cfg: WordConfig) -> F.Column:
+    """The symbols of a marked line without the marks ``symbol_lines(marks=True)`` added."""
+    if cfg.add_double_eos:
+        return F.slice(symbols, 2, F.size(symbols) - 2)
+    if cfg.add_eos:
+        return F.slice(symbols, 1, F.size(symbols) - 1)
+    return symbols
+
+
+def counted_tokens(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
     """Tokens to count (no end marks, as counting uses add_eos=False) with their position in the
-    concatenation of all given splits (split order, doc_id, line_no)."""
-    s = symbol_lines(lines, cfg, marks=False)
+    concatenation of all given splits (split order, doc_id, line_no). With ``tokenized`` the
+    lines already carry marked ``symbols`` (a written table) and are not tokenised again."""
+    if tokenized:
+        s = lines.withColumn("symbols", without_marks(F.col("symbols"), cfg))
+    else:
+        s = symbol_lines(lines, cfg, marks=False)
     bucket = F.struct(F.col("split_ord"), doc_bucket("doc_id", cfg.bucket_docs))
     return token_positions(s, "symbols", [], ["split_ord", "doc_id", "line_no"], bucket)
 
 
-def corpus_counts(lines: DataFrame, cfg: WordConfig) -> DataFrame:
+def corpus_counts(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
     """Counts over every given split, ties by (split order, position)."""
-    return V.symbol_counts(counted_tokens(lines, cfg))
+    return V.symbol_counts(counted_tokens(lines, cfg, tokenized))
 
 
 def corpus_vocab(lines: DataFrame, cfg: WordConfig) -> DataFrame:
     return V.build_vocab(corpus_counts(lines, cfg), cfg.special, cfg.min_freq, cfg.max_size)
 
 
-def stream_tokens(lines: DataFrame, cfg: WordConfig) -> DataFrame:
+def stream_tokens(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
     """W1 with marks: (split, doc_id, line_no, pos, p, sym); ``p`` restarts per split."""
-    s = symbol_lines(lines, cfg, marks=True)
+    s = lines if tokenized else symbol_lines(lines, cfg, marks=True)
     return token_positions(s, "symbols", ["split"], ["doc_id", "line_no"], doc_bucket("doc_id", cfg.bucket_docs),
                            keep=["doc_id", "line_no"])
 
 
-def encoded_stream(lines: DataFrame, vocab: DataFrame, cfg: WordConfig, unk_id: int | None) -> DataFrame:
+def encoded_stream(lines: DataFrame, vocab: DataFrame, cfg: WordConfig, unk_id: int | None,
+                   tokenized: bool = False) -> DataFrame:
     """J1 + W1: (split, doc_id, line_no, pos, p, sym, id)."""
-    return V.encode(stream_tokens(lines, cfg), vocab, unk_id, bounded=cfg.max_size is not None)
+    return V.encode(stream_tokens(lines, cfg, tokenized), vocab, unk_id, bounded=cfg.max_size is not None)
 
 
 def split_sizes(stream: DataFrame) -> dict[str, int]:
