@@ -11,8 +11,26 @@ from tokenloom.operators.positions import doc_bucket, prefix_offsets
 SPLIT_ORDER = {"train": 0, "valid": 1, "test": 2}
 
 
+def parallelism(spark: SparkSession) -> int:
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # pragma: no cover - connect sessions
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores (a small file with
+    one row group) by hashing ``key``; a large input already has enough splits and is left as
+    is (no shuffle). The per-line work that follows (regex tokenising) is CPU-heavy, so it
+    should not run in one task."""
+    n = parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n, key)
+    return df
+
+
 def read_documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), "doc_id")
 
 
 def read_lines(docs: DataFrame, text_col: str = "text", shard_col: str = "source",
