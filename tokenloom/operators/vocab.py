@@ -47,13 +47,16 @@ def build_vocab(counts: DataFrame, special=(), min_freq: int = 0, max_size: int
     never decrease along the order, so no single task sorts the vocabulary.
     """
     spark = counts.sparkSession
-    sp = specials_table(spark, special)
-    k = sp.count() if special else 0
+    specials_list = _dedup(special)
+    sp = specials_table(spark, specials_list)
+    k = len(specials_list)
     order = [F.col("cnt").desc(), F.col("first").asc()]
     ranked = counts
     if max_size is not None:
         ranked = ranked.orderBy(*order).limit(int(max_size))
-    ranked = ranked.filter(F.col("cnt") >= F.lit(min_freq)).join(F.broadcast(sp.select("sym")), "sym", "left_anti")
+    ranked = ranked.filter(F.col("cnt") >= F.lit(min_freq))
+    if specials_list:
+        ranked = ranked.filter(~F.col("sym").isin(specials_list))
     if max_size is not None:
         ranked = ranked.withColumn("idx", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
     else:
@@ -124,8 +127,11 @@ def decode_words(tokens: DataFrame, vocab: DataFrame, key_cols: list[str], pos_c
     return g.select(*key_cols, F.array_join(F.transform("_a", lambda x: x["s"]), " ").alias("text"))
 
 
-def unk_id_of(vocab: DataFrame, unk: str) -> int | None:
-    """Id of the unknown symbol, or None (one scalar to the driver)."""
+def unk_id_of(vocab: DataFrame, unk: str, special=None) -> int | None:
+    """Id of the unknown symbol, or None. A built vocabulary numbers its specials first, so the
+    id follows from the specials list; otherwise one scalar is looked up."""
+    if special is not None and unk in special:
+        return _dedup(special).index(unk)
     r = vocab.filter(F.col("sym") == unk).select("id").limit(1).collect()
     return int(r[0][0]) if r else None
 

@@ -58,7 +58,7 @@ class Corpus:
         self.counts = materialize(WC.corpus_counts(count_lines, cfg, tokenized=True), "counts")
         self.vocab = materialize(V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size), "vocab")
         self.V = self.vocab.count()
-        self.unk_id = V.unk_id_of(self.vocab, cfg.unk)
+        self.unk_id = V.unk_id_of(self.vocab, cfg.unk, cfg.special)
         self.stream = materialize(WC.encoded_stream(tok, self.vocab, cfg, self.unk_id, tokenized=True), "stream")
         self.N = WC.split_sizes(self.stream)
 
@@ -691,7 +691,7 @@ def _doc_stream(spark, sf):
 def q_stream_encode(spark, sf):
     lines = WC.single_split(_lines(spark, sf))
     vocab = materialize(WC.corpus_vocab(lines, CFG))
-    unk = V.unk_id_of(vocab, CFG.unk)
+    unk = V.unk_id_of(vocab, CFG.unk, CFG.special)
     out = ST.run_to_table(ST.stream_encode(ST.stream_lines(_doc_stream(spark, sf)), vocab, unk), "stream-encode")
     g = out.groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
     return g.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), ids_str(F.transform("_t", lambda x: x["id"])).alias("ids"))
