@@ -19,6 +19,9 @@ def test_prefix_offsets_and_rank(spark):
     got = prefix_offsets(df, F.col("w"), ["part"], [F.col("key")], F.floor(F.col("key") / 37), "start")
     want = df.withColumn("start", F.sum("w").over(Window.partitionBy("part").orderBy("key")) - F.col("w"))
     assert got.select("part", "key", "start").exceptAll(want.select("part", "key", "start")).count() == 0
+    from tokenloom.operators.positions import coarser
+    got3 = prefix_offsets(df, F.col("w"), ["part"], [F.col("key")], F.floor(F.col("key") / 7), "start", coarsen=coarser(4))
+    assert got3.select("part", "key", "start").exceptAll(want.select("part", "key", "start")).count() == 0
     idx = ordered_index(df, [], [F.col("w").desc(), F.col("key")], F.struct((-F.col("w")).alias("a"), F.floor(F.col("key") / 50).alias("b")))
     want = df.withColumn("idx", F.row_number().over(Window.orderBy(F.col("w").desc(), "key")) - 1)
     assert idx.select("key", "idx").exceptAll(want.select("key", F.col("idx").cast("bigint"))).count() == 0

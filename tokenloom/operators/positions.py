@@ -24,7 +24,7 @@ def doc_bucket(col: str = "doc_id", size: int = 1000) -> Column:
 
 
 def prefix_offsets(df: DataFrame, weight: Column, part_cols: list[str], order_cols: list[Column],
-                   bucket: Column, out: str) -> DataFrame:
+                   bucket: Column, out: str, coarsen=None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over all rows before this one in the order ``order_cols``
     within ``part_cols``. ``bucket`` must be non-decreasing along the order.
 
@@ -33,19 +33,33 @@ def prefix_offsets(df: DataFrame, weight: Column, part_cols: list[str], order_co
     (part, bucket). The join of the bucket offsets is left to AQE (broadcast when the measured
     bucket table is small, shuffle join otherwise).
 
+    ``coarsen`` (a function of the bucket column, non-decreasing) adds a level: the bucket
+    table's own running sum is computed the same way with coarser buckets, so no single task
+    holds the whole bucket table however large the input grows.
+
     df is read twice (bucket totals, then rows); when its upstream is expensive (tokenising)
     the caller passes a written table, so the second read is a pruned Parquet scan.
     """
     d = df.withColumn("_w", weight.cast("bigint")).withColumn("_bk", bucket)
     keys = list(part_cols) + ["_bk"]
     sizes = d.groupBy(*keys).agg(F.sum("_w").alias("_bn"))
-    wb = Window.partitionBy(*part_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select(*keys, F.coalesce(F.sum("_bn").over(wb), F.lit(0)).cast("bigint").alias("_boff"))
+    if coarsen is None:
+        wb = Window.partitionBy(*part_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+        offs = sizes.select(*keys, F.coalesce(F.sum("_bn").over(wb), F.lit(0)).cast("bigint").alias("_boff"))
+    else:
+        sz = sizes.withColumnRenamed("_bk", "_bk1")
+        offs = prefix_offsets(sz, F.col("_bn"), part_cols, [F.col("_bk1")], coarsen(F.col("_bk1")), "_off1")
+        offs = offs.select(*part_cols, F.col("_bk1").alias("_bk"), F.col("_off1").alias("_boff"))
     wi = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     res = d.join(offs, keys).withColumn(out, (F.col("_boff") + F.coalesce(F.sum("_w").over(wi), F.lit(0))).cast("bigint"))
     return res.drop("_w", "_bk", "_boff")
 
 
+def coarser(factor: int = 1024):
+    """Level above a numeric bucket: ``factor`` consecutive buckets."""
+    return lambda b: F.floor(b / F.lit(factor)).cast("bigint")
+
+
 def ordered_index(df: DataFrame, part_cols: list[str], order_cols: list[Column], bucket: Column,
                   out: str = "idx") -> DataFrame:
     """0-based rank of each row in a total order, computed with the same two-level scheme
@@ -54,7 +68,7 @@ def ordered_index(df: DataFrame, part_cols: list[str], order_cols: list[Column],
 
 
 def token_positions(lines: DataFrame, symbols_col: str, part_cols: list[str], order_cols: list[str],
-                    bucket: Column, keep: list[str] | None = None) -> DataFrame:
+                    bucket: Column, keep: list[str] | None = None, coarsen=None) -> DataFrame:
     """One row per token with its position ``p`` in the concatenation of lines (per part).
 
     The line starts come from ``prefix_offsets`` on line lengths; ``posexplode`` adds the offset
@@ -62,7 +76,7 @@ def token_positions(lines: DataFrame, symbols_col: str, part_cols: list[str], or
     """
     keep = keep or []
     t = prefix_offsets(lines.withColumn("_n", F.size(symbols_col)), F.col("_n"), part_cols,
-                       [F.col(c) for c in order_cols], bucket, "_start")
+                       [F.col(c) for c in order_cols], bucket, "_start", coarsen)
     t = t.select(*part_cols, *keep, "_start", F.posexplode(symbols_col).alias("pos", "sym"))
     return t.select(*part_cols, *keep, (F.col("_start") + F.col("pos")).alias("p"), "pos", "sym")
 

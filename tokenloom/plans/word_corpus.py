@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import tokenize
 from tokenloom.operators import vocab as V
-from tokenloom.operators.positions import batch_grid, doc_bucket, token_positions
+from tokenloom.operators.positions import batch_grid, coarser, doc_bucket, token_positions
 from tokenloom.operators.windows import bin_features, window_tokens
 
 
@@ -73,8 +73,9 @@ def counted_tokens(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -
         s = lines.withColumn("symbols", without_marks(F.col("symbols"), cfg))
     else:
         s = symbol_lines(lines, cfg, marks=False)
-    bucket = F.struct(F.col("split_ord"), doc_bucket("doc_id", cfg.bucket_docs))
-    return token_positions(s, "symbols", [], ["split_ord", "doc_id", "line_no"], bucket)
+    # numeric bucket, non-decreasing in (split order, doc_id): split order in the high bits
+    bucket = F.col("split_ord").cast("bigint") * F.lit(1 << 44) + doc_bucket("doc_id", cfg.bucket_docs)
+    return token_positions(s, "symbols", [], ["split_ord", "doc_id", "line_no"], bucket, coarsen=coarser())
 
 
 def corpus_counts(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
@@ -90,7 +91,7 @@ def stream_tokens(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) ->
     """W1 with marks: (split, doc_id, line_no, pos, p, sym); ``p`` restarts per split."""
     s = lines if tokenized else symbol_lines(lines, cfg, marks=True)
     return token_positions(s, "symbols", ["split"], ["doc_id", "line_no"], doc_bucket("doc_id", cfg.bucket_docs),
-                           keep=["doc_id", "line_no"])
+                           keep=["doc_id", "line_no"], coarsen=coarser())
 
 
 def encoded_stream(lines: DataFrame, vocab: DataFrame, cfg: WordConfig, unk_id: int | None,
