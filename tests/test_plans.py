@@ -34,6 +34,7 @@ def test_same_result_for_1_4_16_partitions(spark):
     try:
         for n in (1, 4, 16):
             spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            Q.clear_corpus_cache()
             df = Q.q_windows_fixed(spark, SF001)
             results.append(sorted(tuple(r) for r in df.collect()))
     finally:

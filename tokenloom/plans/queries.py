@@ -70,6 +70,22 @@ class Corpus:
         return self.stream.filter(F.col("split") == name)
 
 
+_CORPORA: dict = {}
+
+
+def corpus(spark: SparkSession, sf_dir: str, cfg: WC.WordConfig = CFG, by_shard: bool = False) -> Corpus:
+    """A13 for the registered queries: a corpus built for (session, tables, settings) is reused
+    through its written tables, as the reference reuses its cached corpus."""
+    key = (id(spark), sf_dir, cfg, by_shard)
+    if key not in _CORPORA:
+        _CORPORA[key] = Corpus(spark, sf_dir, cfg, by_shard)
+    return _CORPORA[key]
+
+
+def clear_corpus_cache() -> None:
+    _CORPORA.clear()
+
+
 # --------------------------------------------------------------------------------------------
 # A: sources
 # --------------------------------------------------------------------------------------------
@@ -111,12 +127,12 @@ def q_vocab_top_k(spark, sf):
 
 
 def q_token_positions(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     return c.split().select("p", "id")
 
 
 def _windows(spark, sf, fixed: bool, Bq=B, Tq=T):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     ex = WC.build_examples(c.split(), c.N["train"], Bq, Tq, C, fixed=fixed)
     return ex.select("w", "r", "sample_id", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"))
 
@@ -134,7 +150,7 @@ def q_windows_fixed(spark, sf):
 # --------------------------------------------------------------------------------------------
 
 def _fixed_examples(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     N = c.N["train"]
     bs = BN.collect_bin_sizes(BN.bin_sizes(c.split(), N, B // C, T, c.cutoffs))
     ex = materialize(WC.build_examples(c.split(), N, B, T, C, c.cutoffs, bs, fixed=True))
@@ -142,18 +158,18 @@ def _fixed_examples(spark, sf):
 
 
 def q_bin_join(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     return BN.bin_join(c.split(), c.cutoffs).select("p", "id", F.col("bin").cast("bigint").alias("bin"))
 
 
 def q_bin_counts(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     t = BN.bin_counts(c.split(), c.N["train"], B // C, T, c.cutoffs)
     return t.select("j", F.col("bin").cast("bigint").alias("bin"), F.col("n").cast("bigint").alias("n"), rnd(F.col("share")).alias("share"))
 
 
 def q_bin_sizes(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     t = BN.bin_sizes(c.split(), c.N["train"], B // C, T, c.cutoffs)
     return t.select(F.col("bin").cast("bigint").alias("bin"), rnd(F.col("raw"), 3).alias("raw"), F.col("size").cast("bigint").alias("size"))
 
@@ -231,7 +247,7 @@ def q_dense_perm_sums(spark, sf):
 # --------------------------------------------------------------------------------------------
 
 def q_examples_roundtrip(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
     path = work_path(spark, "examples")
     EX.write_examples(ex, path, "train", "train")
@@ -270,13 +286,13 @@ def q_example_files(spark, sf):
 
 
 def q_corpus_info(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     ci = EX.corpus_info(c.vocab, c.cutoffs, "wt103")
     return ci.select(F.col("vocab_size").cast("bigint").alias("vocab_size"), ids_str(F.col("cutoffs")).alias("cutoffs"), "dataset")
 
 
 def _fixed_windows(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     return c, WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=True)
 
 
@@ -297,7 +313,7 @@ def q_host_ranges(spark, sf):
 
 
 def q_pad_last_batch(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
     t = FD.pad_last_batch(ex, 10, T)
     return t.select("batch", "slot", "is_padding", ids_str(F.col("inputs")).alias("inputs"))
@@ -389,24 +405,24 @@ def q_vocab_min_freq(spark, sf):
 
 
 def q_vocab_size(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     return V.vocab_size(c.vocab, c.counts)
 
 
 def q_oov_report(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     return V.oov_report(c.split(), c.vocab).select("sym", "cnt", "first")
 
 
 def q_encode_unk(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     g = c.split().groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
     return g.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"),
                     ids_str(F.transform("_t", lambda x: x["id"])).alias("ids"))
 
 
 def q_decode_words(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     d = V.decode_words(c.split(), c.vocab, ["doc_id", "line_no"], exclude=[0])
     return d.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text")
 
@@ -429,13 +445,13 @@ def q_sentence_counts(spark, sf):
 
 def q_batch_grid(spark, sf):
     from tokenloom.operators.positions import batch_grid
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     return batch_grid(c.split(), B, c.N["train"]).select("p", "r", "c")
 
 
 def q_next_token(spark, sf):
     """Each input with its label (next token in the same row), from the ragged windows."""
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
     z = ex.select("r", "w", F.posexplode(F.arrays_zip("inputs", "labels")).alias("i", "z"))
     return z.select("r", (F.col("w") * T + F.col("i")).alias("c"), F.col("z.inputs").alias("id"), F.col("z.labels").alias("next_id"))
@@ -443,7 +459,7 @@ def q_next_token(spark, sf):
 
 def q_rotated_passes(spark, sf):
     from tokenloom.operators.positions import rotated_passes
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     N = c.N["train"]
     r = rotated_passes(c.split().select("p", "id"), [N // 3, (2 * N) // 3], N)
     return r.select(F.col("pass").cast("bigint").alias("pass"), "p", "id")
@@ -483,17 +499,23 @@ def _bpe_lines(spark, sf):
 
 def _bpe_tokens(spark, sf):
     """Pre-tokens of every line, written once: the merge fixture, the distinct table and the
-    join back all read them."""
-    return materialize(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY), "pretokens")
+    join back all read them (reused per session and tables, like a built corpus)."""
+    key = (id(spark), sf, "bpe-pretokens")
+    if key not in _CORPORA:
+        _CORPORA[key] = materialize(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY), "pretokens")
+    return _CORPORA[key]
 
 
 def _bpe_assets(toks):
     """Merges learned by the fixture job, written as a merges file and read back (A7), plus the
     id map written as JSON and read back."""
-    learned = BP.learn_merges(toks)
-    merges = materialize(S.load_merges(BP.merges_file_lines(learned)), "merges")
-    ids = materialize(S.load_piece_ids(BP.piece_ids_json(BP.piece_ids_from_merges(merges))), "piece-ids")
-    return merges, ids
+    key = (id(toks), "bpe-assets")
+    if key not in _CORPORA:
+        learned = BP.learn_merges(toks)
+        merges = materialize(S.load_merges(BP.merges_file_lines(learned)), "merges")
+        ids = materialize(S.load_piece_ids(BP.piece_ids_json(BP.piece_ids_from_merges(merges))), "piece-ids")
+        _CORPORA[key] = (merges, ids)
+    return _CORPORA[key]
 
 
 def q_bpe_pretokens(spark, sf):
@@ -537,7 +559,7 @@ def q_bpe_roundtrip(spark, sf):
 # --------------------------------------------------------------------------------------------
 
 def _scored(spark, sf):
-    c = Corpus(spark, sf, by_shard=True)
+    c = corpus(spark, sf, by_shard=True)
     model = materialize(MT.count_model(c.split("train"), c.vocab, c.cutoffs))
     valid = c.split("valid")
     labels = MT.step_log(MT.token_losses(valid, model), c.N["valid"], B, T)
@@ -654,7 +676,7 @@ MEM, CLAMP = 48, 16
 
 def _context(spark, sf):
     from tokenloom.operators.positions import batch_grid
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     N = c.N["train"]
     grid = batch_grid(c.split(), B, N)
     return W_.context_windows(grid, N // B, T, MEM, fixed=False)
@@ -673,7 +695,7 @@ def q_context_anchored(spark, sf):
 
 
 def q_embedding_lookup(spark, sf):
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     vec = spark.read.parquet(f"{sf}/embeddings.parquet")
     t = CX.embedding_lookup(c.split(), vec)
     return t.select("p", "id", rnd(F.get(F.col("vector"), 0)).alias("e0"), rnd(F.get(F.col("vector"), 63)).alias("e63"))
@@ -703,7 +725,7 @@ def q_stream_counts(spark, sf):
 
 def q_stream_segments(spark, sf):
     from tokenloom.operators.positions import batch_grid
-    c = Corpus(spark, sf)
+    c = corpus(spark, sf)
     grid = batch_grid(c.split(), B, c.N["train"]).select("r", "c", "id", "p")
     src = work_path(spark, "grid-src")
     grid.repartitionByRange(4, "p").drop("p").write.parquet(src)
