@@ -27,19 +27,25 @@ def words(lower: bool = False, col: str = "line") -> str:
     return f"list_filter(string_split_regex({src}, '\\s+'), lambda x: x <> '')"
 
 
-def tokens_cte(name: str, marks: bool, lines: str = "lines", lower: bool = False, extra_order: str = "") -> str:
-    """Tokens with their concatenation position p (one global order per call)."""
+def tokens_cte(name: str, marks: bool, lines: str = "lines", lower: bool = False, extra_order: str = "",
+               part: str = "") -> str:
+    """Tokens with their concatenation position p (per ``part`` when given) and the line's
+    symbol count ``nsym``."""
     sy = f"list_concat({words(lower)}, ['<eos>'])" if marks else words(lower)
+    over = (f"PARTITION BY {part} " if part else "") + "ORDER BY " + ((extra_order + ", ") if extra_order else "") + "doc_id, line_no, pos"
+    extra = (", " + extra_order) if extra_order else ""
+    extra += (", " + part) if part and part != extra_order else ""
     return f"""
 {name}_s AS (SELECT *, {sy} AS symbols FROM {lines}),
-{name}_0 AS (SELECT doc_id, line_no, unnest(symbols) AS sym, unnest(range(0, len(symbols))) AS pos
-             {(', ' + extra_order) if extra_order else ''} FROM {name}_s),
-{name} AS (SELECT *, row_number() OVER (ORDER BY {(extra_order + ', ') if extra_order else ''}doc_id, line_no, pos) - 1 AS p
-           FROM {name}_0)"""
+{name}_0 AS (SELECT doc_id, line_no, len(symbols) AS nsym, unnest(symbols) AS sym, unnest(range(0, len(symbols))) AS pos
+             {extra} FROM {name}_s),
+{name} AS (SELECT *, row_number() OVER ({over}) - 1 AS p FROM {name}_0)"""
 
 
-COUNTS = tokens_cte("ctok", marks=False) + """,
-counts AS (SELECT sym, count(*) AS cnt, min(p) AS first FROM ctok GROUP BY sym)"""
+# counting order key: position in the marked stream of the split (the end mark itself is not
+# counted), split order in the high bits
+COUNTS = tokens_cte("ctok", marks=True) + """,
+counts AS (SELECT sym, count(*) AS cnt, min(p) AS first FROM ctok WHERE pos < nsym - 1 GROUP BY sym)"""
 
 SPECIALS = """
 specials AS (SELECT * FROM (VALUES ('<eos>', 0), ('<unk>', 1)) t(sym, id))"""
@@ -130,8 +136,8 @@ def split_core() -> str:
     ``tstream`` = the train split (ids only)."""
     return f"""{shard_lines()},
 trl AS (SELECT * FROM slines WHERE split = 'train'),
-{tokens_cte("ctok", marks=False, lines="trl").lstrip()},
-counts AS (SELECT sym, count(*) AS cnt, min(p) AS first FROM ctok GROUP BY sym),
+{tokens_cte("ctok", marks=True, lines="trl").lstrip()},
+counts AS (SELECT sym, count(*) AS cnt, min(p) AS first FROM ctok WHERE pos < nsym - 1 GROUP BY sym),
 {vocab_cte(CFG.max_size).lstrip()},
 vl AS (SELECT * FROM slines WHERE split = 'valid'),
 {tokens_cte("tok", marks=True, lines="vl").lstrip()},
@@ -285,8 +291,8 @@ SELECT s.doc_id, s.line_no, string_agg(v.sym, ' ' ORDER BY s.pos) AS text FROM s
 WHERE s.id <> 0 GROUP BY s.doc_id, s.line_no"""
     q["counts_all_splits"] = f"""WITH {shard_lines()},
 al AS (SELECT *, CASE split WHEN 'train' THEN 0 WHEN 'valid' THEN 1 ELSE 2 END AS split_ord FROM slines),
-{tokens_cte("atok", marks=False, lines="al", extra_order="split_ord").lstrip()}
-SELECT sym, count(*) AS cnt, min(p) AS first FROM atok GROUP BY sym"""
+{tokens_cte("atok", marks=True, lines="al", part="split_ord").lstrip()}
+SELECT sym, count(*) AS cnt, min(split_ord * CAST(72057594037927936 AS BIGINT) + p) AS first FROM atok WHERE pos < nsym - 1 GROUP BY sym"""
     q["sentence_counts"] = f"""WITH cs AS (SELECT conv_id, turn, {words(col="text")} AS symbols FROM conversations),
 c0 AS (SELECT conv_id, turn, unnest(symbols) AS sym, unnest(range(0, len(symbols))) AS pos FROM cs),
 c1 AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn, pos) - 1 AS p FROM c0)

@@ -51,15 +51,16 @@ class Corpus:
             lines = S.with_split(lines, S.split_by_shard(docs))
         else:
             lines = WC.single_split(lines)
-        # tokenise once; counting, positions and encoding read the written table
-        tok = materialize(WC.symbol_lines(lines, cfg, marks=True).drop("line"), "tokenized")
+        # tokenise and place lines once; counting and encoding read the written table
+        tok = materialize(WC.positioned_lines(lines.drop("has_newline"), cfg).drop("line"), "positioned-lines")
         count_lines = tok.filter(F.col("split") == "train") if by_shard else tok
         self.lines = lines
-        self.counts = materialize(WC.corpus_counts(count_lines, cfg, tokenized=True), "counts")
-        self.vocab = materialize(V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size), "vocab")
+        self.counts = materialize(WC.corpus_counts(count_lines, cfg, positioned=True), "counts")
+        # vocabulary-sized and cheap to recompute from the written counts: cached, not written
+        self.vocab = V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size).cache()
         self.V = self.vocab.count()
         self.unk_id = V.unk_id_of(self.vocab, cfg.unk, cfg.special)
-        self.stream = materialize(WC.encoded_stream(tok, self.vocab, cfg, self.unk_id, tokenized=True), "stream")
+        self.stream = materialize(WC.encoded_stream(tok, self.vocab, cfg, self.unk_id), "stream")
         self.N = WC.split_sizes(self.stream)
 
     @property

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import tokenize
 from tokenloom.operators import vocab as V
-from tokenloom.operators.positions import batch_grid, coarser, doc_bucket, token_positions
+from tokenloom.operators.positions import batch_grid, coarser, doc_bucket
 from tokenloom.operators.windows import bin_features, window_tokens
 
 
@@ -56,48 +56,60 @@ def symbol_lines(lines: DataFrame, cfg: WordConfig, marks: bool) -> DataFrame:
                                                  cfg.add_eos and marks, cfg.add_double_eos and marks))
 
 
-def without_marks(symbols: F.Column, cfg: WordConfig) -> F.Column:
-    """The symbols of a marked line without the marks ``symbol_lines(marks=True)`` added."""
+def without_marks(symbols: F.Column, cfg: WordConfig) -> tuple[F.Column, int]:
+    """The symbols of a marked line without the marks ``symbol_lines(marks=True)`` added, and
+    the offset of the first kept symbol in the marked line."""
     if cfg.add_double_eos:
-        return F.slice(symbols, 2, F.size(symbols) - 2)
+        return F.slice(symbols, 2, F.size(symbols) - 2), 1
     if cfg.add_eos:
-        return F.slice(symbols, 1, F.size(symbols) - 1)
-    return symbols
+        return F.slice(symbols, 1, F.size(symbols) - 1), 0
+    return symbols, 0
 
 
-def counted_tokens(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
-    """Tokens to count (no end marks, as counting uses add_eos=False) with their position in the
-    concatenation of all given splits (split order, doc_id, line_no). With ``tokenized`` the
-    lines already carry marked ``symbols`` (a written table) and are not tokenised again."""
-    if tokenized:
-        s = lines.withColumn("symbols", without_marks(F.col("symbols"), cfg))
-    else:
-        s = symbol_lines(lines, cfg, marks=False)
-    # numeric bucket, non-decreasing in (split order, doc_id): split order in the high bits
-    bucket = F.col("split_ord").cast("bigint") * F.lit(1 << 44) + doc_bucket("doc_id", cfg.bucket_docs)
-    return token_positions(s, "symbols", [], ["split_ord", "doc_id", "line_no"], bucket, coarsen=coarser())
+# Counting order key: split order in the high bits, stream position below (p < 2^56).
+SPLIT_SHIFT = 1 << 56
 
 
-def corpus_counts(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
+def positioned_lines(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
+    """W1 at line level: marked ``symbols`` plus ``start_p``, the position of the line's first
+    token in its split's stream (three-level prefix sum over doc_id buckets). Counting and
+    encoding both read this one table, so positions are computed once."""
+    s = lines if tokenized else symbol_lines(lines, cfg, marks=True)
+    s = s.withColumn("_n", F.size("symbols"))
+    from tokenloom.operators.positions import prefix_offsets
+    s = prefix_offsets(s, F.col("_n"), ["split"], [F.col("doc_id"), F.col("line_no")],
+                       doc_bucket("doc_id", cfg.bucket_docs), "start_p", coarser())
+    return s.drop("_n")
+
+
+def counted_tokens(plines: DataFrame, cfg: WordConfig) -> DataFrame:
+    """Tokens to count (no end marks, as counting uses add_eos=False) with an order key ``p``
+    that follows the concatenation of all given splits: (split order, stream position)."""
+    syms, shift = without_marks(F.col("symbols"), cfg)
+    t = plines.select("split_ord", "start_p", F.posexplode(syms).alias("pos", "sym"))
+    key = F.col("split_ord").cast("bigint") * F.lit(SPLIT_SHIFT) + F.col("start_p") + F.col("pos") + F.lit(shift)
+    return t.select(key.alias("p"), "sym")
+
+
+def corpus_counts(lines: DataFrame, cfg: WordConfig, positioned: bool = False) -> DataFrame:
     """Counts over every given split, ties by (split order, position)."""
-    return V.symbol_counts(counted_tokens(lines, cfg, tokenized))
+    pl = lines if positioned else positioned_lines(lines, cfg)
+    return V.symbol_counts(counted_tokens(pl, cfg))
 
 
 def corpus_vocab(lines: DataFrame, cfg: WordConfig) -> DataFrame:
     return V.build_vocab(corpus_counts(lines, cfg), cfg.special, cfg.min_freq, cfg.max_size)
 
 
-def stream_tokens(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
+def stream_tokens(plines: DataFrame) -> DataFrame:
     """W1 with marks: (split, doc_id, line_no, pos, p, sym); ``p`` restarts per split."""
-    s = lines if tokenized else symbol_lines(lines, cfg, marks=True)
-    return token_positions(s, "symbols", ["split"], ["doc_id", "line_no"], doc_bucket("doc_id", cfg.bucket_docs),
-                           keep=["doc_id", "line_no"], coarsen=coarser())
+    t = plines.select("split", "doc_id", "line_no", "start_p", F.posexplode("symbols").alias("pos", "sym"))
+    return t.select("split", "doc_id", "line_no", (F.col("start_p") + F.col("pos")).alias("p"), "pos", "sym")
 
 
-def encoded_stream(lines: DataFrame, vocab: DataFrame, cfg: WordConfig, unk_id: int | None,
-                   tokenized: bool = False) -> DataFrame:
-    """J1 + W1: (split, doc_id, line_no, pos, p, sym, id)."""
-    return V.encode(stream_tokens(lines, cfg, tokenized), vocab, unk_id, bounded=cfg.max_size is not None)
+def encoded_stream(plines: DataFrame, vocab: DataFrame, cfg: WordConfig, unk_id: int | None) -> DataFrame:
+    """J1 + W1 over positioned lines: (split, doc_id, line_no, pos, p, sym, id)."""
+    return V.encode(stream_tokens(plines), vocab, unk_id, bounded=cfg.max_size is not None)
 
 
 def split_sizes(stream: DataFrame) -> dict[str, int]:
