@@ -18,7 +18,7 @@ def shuffle_key(seed: int, *cols) -> F.Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
 
 
-def shuffled_sentences(lines: DataFrame, num_shuffle: int, seed: int, bucket_hex: int = 3) -> DataFrame:
+def shuffled_sentences(lines: DataFrame, num_shuffle: int, seed: int, bucket_hex: int = 4) -> DataFrame:
     """Every sentence of a shard once per shuffle, ranked by md5(seed, shard, shuffle,
     doc_id, line_no): (shard, shuffle, rank, ...line columns)."""
     d = lines.withColumn("shuffle", F.explode(F.sequence(F.lit(0), F.lit(num_shuffle - 1))))
