@@ -97,3 +97,32 @@ def bpe(word, ranks):
         syms = merged
         if len(syms) == 1:
             return syms
+
+
+def learn_merges(words, counts, num_merges):
+    """Merge learning by full recount of all pairs after every merge."""
+    from collections import Counter
+    vocab = {tuple(w): c for w, c in zip(words, counts)}
+    out = []
+    for rank in range(num_merges):
+        pairs = Counter()
+        for w, c in vocab.items():
+            for a, b in zip(w, w[1:]):
+                pairs[(a, b)] += c
+        if not pairs:
+            break
+        best = min(pairs.items(), key=lambda kv: (-kv[1], kv[0]))[0]
+        out.append((rank, best[0], best[1]))
+        nv = {}
+        for w, c in vocab.items():
+            res, i = [], 0
+            while i < len(w):
+                if i < len(w) - 1 and (w[i], w[i + 1]) == best:
+                    res.append(w[i] + w[i + 1])
+                    i += 2
+                else:
+                    res.append(w[i])
+                    i += 1
+            nv[tuple(res)] = nv.get(tuple(res), 0) + c
+        vocab = nv
+    return out

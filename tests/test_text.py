@@ -102,3 +102,13 @@ def test_bpe_encode_decode(spark):
     assert back == ranks
     ids2 = {r["piece"]: r["id"] for r in load_piece_ids(BP.piece_ids_json(ids)).collect()}
     assert ids2 == {r["piece"]: r["id"] for r in ids.collect()}
+
+
+def test_learn_merges_incremental_equals_full_recount():
+    import random
+    from tokenloom.operators.bpe import learn_from_counts
+    rnd = random.Random(5)
+    alphabet = "abcdeĠ"
+    words = list({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 9))) for _ in range(400)})
+    counts = [rnd.randint(1, 50) for _ in words]
+    assert learn_from_counts(words, counts, 120) == model.learn_merges(words, counts, 120)

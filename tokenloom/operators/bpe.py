@@ -137,34 +137,51 @@ def learn_merges(toks: DataFrame, num_merges: int = 300, top_words: int = 2000)
     words = words.select(byte_chars(F.col("token")).alias("bc"), "cnt")
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        vocab = {tuple(w): int(c) for w, c in zip(pdf["bc"], pdf["cnt"])}
-        out = []
-        for rank in range(num_merges):
-            pairs = Counter()
-            for w, c in vocab.items():
-                for a, b in zip(w, w[1:]):
-                    pairs[(a, b)] += c
-            if not pairs:
-                break
-            best = min(pairs.items(), key=lambda kv: (-kv[1], kv[0]))[0]
-            out.append((rank, best[0], best[1]))
-            nv = {}
-            for w, c in vocab.items():
-                res, i = [], 0
-                while i < len(w):
-                    if i < len(w) - 1 and (w[i], w[i + 1]) == best:
-                        res.append(w[i] + w[i + 1])
-                        i += 2
-                    else:
-                        res.append(w[i])
-                        i += 1
-                nv[tuple(res)] = nv.get(tuple(res), 0) + c
-            vocab = nv
-        return pd.DataFrame(out, columns=["rank", "left", "right"])
+        return pd.DataFrame(learn_from_counts(list(pdf["bc"]), [int(c) for c in pdf["cnt"]], num_merges),
+                            columns=["rank", "left", "right"])
 
     return words.withColumn("_g", F.lit(0)).groupBy("_g").applyInPandas(learn, "rank int, left string, right string")
 
 
+def learn_from_counts(words: list, counts: list, num_merges: int) -> list:
+    """The learning loop of the fixture with incremental pair counts: after a merge only the
+    words holding the merged pair are recounted."""
+    from collections import defaultdict
+    syms = [list(w) for w in words]
+    pairs: Counter = Counter()
+    where = defaultdict(set)
+    for i, w in enumerate(syms):
+        for a, b in zip(w, w[1:]):
+            pairs[(a, b)] += counts[i]
+            where[(a, b)].add(i)
+    out = []
+    for rank in range(num_merges):
+        if not pairs:
+            break
+        best = min(pairs.items(), key=lambda kv: (-kv[1], kv[0]))[0]
+        out.append((rank, best[0], best[1]))
+        for i in list(where[best]):
+            w, c = syms[i], counts[i]
+            for a, b in zip(w, w[1:]):
+                pairs[(a, b)] -= c
+                if pairs[(a, b)] <= 0:
+                    del pairs[(a, b)]
+                where[(a, b)].discard(i)
+            merged, j = [], 0
+            while j < len(w):
+                if j < len(w) - 1 and (w[j], w[j + 1]) == best:
+                    merged.append(w[j] + w[j + 1])
+                    j += 2
+                else:
+                    merged.append(w[j])
+                    j += 1
+            syms[i] = merged
+            for a, b in zip(merged, merged[1:]):
+                pairs[(a, b)] += c
+                where[(a, b)].add(i)
+    return out
+
+
 def merges_file_lines(merges: DataFrame) -> DataFrame:
     """Render merges as the lines of a merges file: a header line, one ``left right`` line per
     merge, and the empty text after the final newline."""
