@@ -112,3 +112,23 @@ def test_stream_segments_equal_batch(spark):
         "r", "w", "inputs", "labels", F.array_join(F.transform("memory", lambda x: x.cast("string")), " ").alias("memory"))
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_manifest_and_corpus_info_read_back(spark):
+    from tokenloom.plans import queries as Q
+    from tokenloom.session import work_path
+    from tokenloom.sources import examples as EX
+    c = Q.corpus(spark, SF001)
+    ci = EX.corpus_info(c.vocab, c.cutoffs, "wt103")
+    path = work_path(spark, "corpus-info")
+    ci.select("json").write.text(path)
+    back = spark.read.text(path).select(F.from_json("value", EX.CORPUS_INFO_SCHEMA).alias("j")).select("j.*").collect()[0]
+    assert back["vocab_size"] == c.V and back["cutoffs"] == c.cutoffs and back["dataset"] == "wt103"
+    from tokenloom.plans import word_corpus as WC
+    ex = WC.build_examples(c.split(), c.N["train"], 4, 8, 2, fixed=False)
+    ri = EX.record_info(ex.withColumn("split", F.lit("train")).withColumn("basename", F.lit("train")), 4, 8, 2, False, [])
+    rpath = work_path(spark, "record-info")
+    ri.select("json").write.text(rpath)
+    info = EX.load_record_info(spark, rpath).collect()[0]
+    assert info["filenames"] == ["train.bsz-4.tlen-8"] and info["bin_sizes"] == []
+    assert info["num_batch"] == ex.select("w").distinct().count()
