@@ -71,7 +71,7 @@ def ppl_step_mean(log: DataFrame) -> DataFrame:
 
 def ppl_token_weighted(log: DataFrame) -> DataFrame:
     """Token-weighted loss sum(loss*n)/sum(n), then exp and / ln 2 (null on no rows)."""
-    a = log.agg((F.sum(F.col("loss") * F.col("n")) / F.sum("n")).alias("loss"))
+    a = log.agg(F.try_divide(F.sum(F.col("loss") * F.col("n")), F.sum("n")).alias("loss"))
     return a.select("loss", F.exp("loss").alias("perplexity"), (F.col("loss") / F.lit(LN2)).alias("bpc"))
 
 
@@ -94,7 +94,7 @@ def capacity_losses(examples: DataFrame, model: DataFrame, head_hi: int) -> Data
 def loss_capacity_mean(tokens: DataFrame, group: list[str]) -> DataFrame:
     """Tokens over bin capacity leave both the sum and the count."""
     k = F.col("kept").cast("int")
-    return tokens.groupBy(*group).agg(F.sum(k).alias("n_kept"), (F.sum(F.col("loss") * k) / F.sum(k)).alias("loss"))
+    return tokens.groupBy(*group).agg(F.sum(k).alias("n_kept"), F.try_divide(F.sum(F.col("loss") * k), F.sum(k)).alias("loss"))
 
 
 def loop_mean_loss(log: DataFrame, iterations: int, step: str = "step", loss: str = "loss") -> DataFrame:
