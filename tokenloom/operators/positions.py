@@ -2,12 +2,13 @@
 rotated passes (J7, U4).
 
 The reference concatenates every encoded line into one vector in one process. Here the start
-of every row in the concatenation is a two-level prefix sum:
+of every row in the concatenation is a multi-level prefix sum:
 
 1. a *bucket* column that never decreases along the order (e.g. ``doc_id div 1000``) groups
    rows; the per-bucket totals form a small table whose running sum gives each bucket's offset;
 2. inside a bucket a windowed running sum (partitioned by the bucket) gives the offset of
-   each row.
+   each row. With ``coarsen`` the bucket table's own running sum is computed the same way over
+   coarser buckets (a third level).
 
 Both levels are data-derived, so retries and re-reads give the same numbers (no partition ids).
 """
