@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests import model
 from tokenloom.operators import metrics as MT
