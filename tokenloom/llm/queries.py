@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import jaccard_join
+from tokenloom.llm import bpe_codec, jaccard_join, language_id
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +20,16 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), ~language_id.heldout(), language_id.heldout())
+
+
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.encode_decode(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_jaccard_join,)}
+    return {f.__name__: f for f in (op4_jaccard_join, op6_language_id, op9_bpe_codec)}
 
 
 def all_sql() -> dict[str, str]:

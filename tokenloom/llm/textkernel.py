@@ -85,8 +85,9 @@ def word_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, end, np.searchsorted(start, offs)
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word's lower-cased bytes, worked off in slices of the buffer."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = True) -> np.ndarray:
+    """64-bit hash of each word's (lower-cased) bytes, worked off in slices of the buffer."""
+    table = _BYTE[_LOWER] if lower else _BYTE
     out = np.empty(len(start), dtype=np.uint64)
     lo = 0
     while lo < len(start):
@@ -94,7 +95,7 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         base, top = int(start[lo]), int(end[hi - 1])
         power, inv = _powers(top - base + 1)
         total = np.zeros(top - base + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[_LOWER[data[base:top]]] * power[:top - base], out=total[1:])
+        np.cumsum(table[data[base:top]] * power[:top - base], out=total[1:])
         s, e = start[lo:hi] - base, end[lo:hi] - base
         out[lo:hi] = mix((total[e] - total[s]) * inv[s] + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         lo = hi
