@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import bpe_codec, jaccard_join, language_id
+from tokenloom.llm import bpe_codec, jaccard_join, language_id, line_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,8 +28,12 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_decode(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_jaccard_join, op6_language_id, op9_bpe_codec)}
+    return {f.__name__: f for f in (op4_jaccard_join, op6_language_id, op9_bpe_codec, op10_line_dedup)}
 
 
 def all_sql() -> dict[str, str]:
