@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import bpe_codec, jaccard_join, language_id, line_dedup
+from tokenloom.llm import bpe_codec, decontaminate, jaccard_join, language_id, line_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -32,8 +32,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_jaccard_join, op6_language_id, op9_bpe_codec, op10_line_dedup)}
+    return {f.__name__: f for f in (op3_decontaminate, op4_jaccard_join, op6_language_id, op9_bpe_codec, op10_line_dedup)}
 
 
 def all_sql() -> dict[str, str]:
