@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe_codec, decontaminate, jaccard_join, language_id, line_dedup
+from tokenloom.llm import bpe_codec, decontaminate, jaccard_join, language_id, line_dedup, secrets
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -32,12 +33,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The owner of a document is its source, its repository the source's part in one language."""
+    return secrets.scan(table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontaminate, op4_jaccard_join, op6_language_id, op9_bpe_codec, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_jaccard_join, op6_language_id, op9_bpe_codec, op10_line_dedup)}
 
 
 def all_sql() -> dict[str, str]:
