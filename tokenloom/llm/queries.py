@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe_codec, decontaminate, jaccard_join, language_id, line_dedup, secrets, toxicity
+from tokenloom.llm import bpe_codec, decontaminate, jaccard_join, language_id, line_dedup, secrets, token_file, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -25,6 +25,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"), ~language_id.heldout(), language_id.heldout())
 
 
+def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = language_id.heldout("doc_id", 3, 1)
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held, held)
@@ -48,7 +52,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_jaccard_join, op6_language_id, op8_toxicity, op9_bpe_codec, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_jaccard_join, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup)}
 
 
 def all_sql() -> dict[str, str]:
