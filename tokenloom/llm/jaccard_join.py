@@ -5,8 +5,9 @@ A set is a node once, however many rows carry it, so exact copies cost one row e
 
 1. One pass gives each row its set size and a 128-bit fingerprint of its set, and fixed-size
    bucket counts of all shingles: the rarity order (count, hash) that every set is sorted by.
-2. The rarest shingles of each set, ``n - ceil(percent n) + 1`` of them, are posted. Linked sets share
-   at least one of them. Shingles posted by one set only fall away.
+2. The rarest shingles of each set, ``n - ceil(percent n) + spare(n)`` of them, are posted. Linked sets share
+   at least ``spare`` of them (the lesser of the two), so a set with fewer postings that any other set has too
+   links with nothing and falls away, and so do shingles posted by one set only.
 3. Sets with a shared shingle go, whole, into bounded index blocks, near copies mostly side by
    side (the block key is a set's most shared posting). In a block, each query merges its short
    inverted lists with a heap, probes its long lists by binary search, and keeps sets
@@ -76,21 +77,28 @@ def _survey(k: int):
     return run
 
 
+def _spare(n):
+    """Postings that linked sets share at least, the lesser set's count; grows with n."""
+    return 1 + n // 20
+
+
 def _prefix(k: int, percent: int, order):
-    """(shingle, fp, n) of the rarest shingles of each set; fp only where the set has words."""
+    """(shingle, fp, n) of the rarest shingles of each set; once for each partition."""
     schema = pa.schema([("token", pa.int64()), ("fp", pa.binary()), ("n", pa.int64())])
 
     def run(batches):
         counts = np.frombuffer(order.value, dtype=np.int64)
+        seen = set()
         for _, data, offs in tk.chunks(batches):
             tokens, fps, sizes, lens = [], [], [], []
             for s in _sets(data, offs, k):
-                n = len(s)
-                if not n:
+                n, fp = len(s), _fingerprint(s)
+                if not n or fp in seen:
                     continue
-                rare = n - -(-percent * n // 100) + 1
+                seen.add(fp)
+                rare = n - -(-percent * n // 100) + _spare(n)
                 tokens.append(s[np.lexsort((s, counts[_bucket(s)]))[:rare]])
-                fps.append(_fingerprint(s))
+                fps.append(fp)
                 sizes.append(n)
                 lens.append(rare)
             if tokens:
@@ -264,8 +272,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     posted = texts.select("text").mapInArrow(_prefix(k, percent, order), "token long, fp binary, n long").groupBy("token", "fp").agg(F.first("n").alias("n"))
     posted = materialize(posted, "jj-posted")
-    shared = posted.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    posted = materialize(posted.join(shared, "token"), "jj-shared")
+    least = f"1 + cast(ceil(n * {percent} / 100) as long) div 20"  # spare() of the smallest set that n can link with
+    for _ in range(2):
+        shared = posted.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+        posted = materialize(posted.drop("df").join(shared, "token"), "jj-shared")
+        enough = posted.groupBy("fp").agg(F.count("*").alias("held"), F.first("n").alias("n")).where(f"held >= {least}").select("fp")
+        posted = posted.join(enough, "fp", "left_semi")
+    posted = materialize(posted, "jj-shared")
 
     # index blocks: sets by their most shared posting; a key too heavy for one block is split by set
     home = posted.groupBy("fp").agg(F.max(F.struct("df", "token")).alias("top"), F.first("n").alias("n")).select("fp", "n", F.col("top.token").alias("key"))
