@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe_codec, decontaminate, jaccard_join, language_id, line_dedup, secrets, token_file, toxicity
+from tokenloom.llm import bpe_codec, decontaminate, jaccard_join, language_id, line_dedup, lm_score, secrets, token_file, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,6 +21,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"), ~language_id.heldout("doc_id", 7, 2))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"), ~language_id.heldout(), language_id.heldout())
 
@@ -52,7 +56,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_jaccard_join, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_jaccard_join, op5_lm_score, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup)}
 
 
 def all_sql() -> dict[str, str]:
