@@ -27,7 +27,7 @@ from tokenloom.llm import textkernel as tk
 from tokenloom.llm.elias_fano import EliasFano
 from tokenloom.session import materialize
 
-MU = 50.0
+MU = 500.0
 BATCH_BYTES = 8 << 20  # text in a batch, about; a longer text is a batch of its own
 SHARD_ITEMS = 1 << 21  # requests that a shard gets, about
 SALTS = 16

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe_codec, decontaminate, jaccard_join, language_id, line_dedup, lm_score, secrets, token_file, toxicity
+from tokenloom.llm import bm25_search, bpe_codec, decontaminate, jaccard_join, language_id, line_dedup, lm_score, secrets, token_file, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -51,13 +51,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
 
 
+def op2_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: every benchmark item whose id is divisible by 20, against all documents."""
+    index = bm25_search.build_index(table(spark, sf_dir, "documents"))
+    return bm25_search.top_k(index, table(spark, sf_dir, "benchmark").where("item_id % 20 = 0"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_jaccard_join, op5_lm_score, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_bm25_search, op3_decontaminate, op4_jaccard_join, op5_lm_score, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup)}
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op2_bm25_search": bm25_search.SQL}
