@@ -1,80 +1,61 @@
-"""Plain-loop models written from the operator descriptions, used as test oracles."""
+"""Small models for the tests, from the definitions in SURVEY §2."""
 
 from __future__ import annotations
 
-import math
+import bisect
+import statistics
+from collections import Counter
+from fractions import Fraction
 
 
-def windows(data, B, T, C=1, cutoffs=(), bin_sizes=(), fixed=False):
-    """Training windows of a flat id list: rows of S = len div B steps, windows every T steps,
-    inputs/labels shifted by one; with cutoffs and fixed length also masks, head labels and
-    capacity-limited (position, slot) tuples per tail bin with counters per core group."""
+def bin_number(x, cutoffs):
+    """Which of [c0, c1), [c1, c2), ... holds x."""
+    return bisect.bisect_right(cutoffs, x) - 1
+
+
+def check_windows(examples, data, B, T, C=1, cutoffs=(), bin_sizes=(), fixed=False):
+    """Holds (w, r, ...) examples against the definition by arithmetic on stream positions.
+
+    Token p of the first B * S sits in row p div S, column p mod S. Input i of window w in row r is position r*S + w*T + i and its
+    label the next one. A tail-bin token's slot is its rank among the same window's, core's and bin's tokens.
+    """
     S = len(data) // B
-    rows = [data[r * S:(r + 1) * S] for r in range(B)]
-    out = []
-    per_core = max(B // C, 1)
-    tails = list(zip(cutoffs[1:-1], cutoffs[2:])) if cutoffs else []
-    w, t = 0, 0
-    while t < S - 1:
-        L = min(S - 1 - t, T)
-        if fixed and L < T:
-            break
-        cnt = {"inp": [0] * len(tails), "tgt": [0] * len(tails)}
-        for r in range(B):
-            if r % per_core == 0:
-                cnt = {"inp": [0] * len(tails), "tgt": [0] * len(tails)}
-            inputs = rows[r][t:t + L]
-            labels = rows[r][t + 1:t + L + 1]
-            ex = {"w": w, "r": r, "sample_id": w * B + r, "inputs": inputs, "labels": labels}
-            if cutoffs and fixed:
-                lo, hi = cutoffs[0], cutoffs[1]
-                ex["inp_mask"] = [1 if lo <= x < hi else 0 for x in inputs]
-                ex["tgt_mask"] = [1 if lo <= x < hi else 0 for x in labels]
-                head = list(labels)
-                for b, (a, z) in enumerate(tails):
-                    for i, x in enumerate(labels):
-                        if a <= x < z:
-                            head[i] = cutoffs[1] + b
-                ex["head_labels"] = head
-                for side, arr in (("inp", inputs), ("tgt", labels)):
-                    bins = []
-                    for b, (a, z) in enumerate(tails):
-                        tup = []
-                        for i, x in enumerate(arr):
-                            if a <= x < z:
-                                if cnt[side][b] < bin_sizes[b]:
-                                    tup += [i, cnt[side][b]]
-                                    cnt[side][b] += 1
-                                else:
-                                    break
-                        bins.append((b, len(tup) // 2, tup))
-                    ex[f"{side}_bins"] = bins
-            out.append(ex)
-        t += T
-        w += 1
-    return out
+    steps = max(S - 1, 0)
+    lengths = [min(T, steps - t) for t in range(0, steps, T)]
+    lengths = [n for n in lengths if n == T or not fixed]
+    assert sorted((e["w"], e["r"]) for e in examples) == [(w, r) for w in range(len(lengths)) for r in range(B)]
+    for e in examples:
+        first = e["r"] * S + e["w"] * T
+        at = range(first, first + lengths[e["w"]])
+        assert e["sample_id"] == e["w"] * B + e["r"]
+        assert e["inputs"] == [data[p] for p in at] and e["labels"] == [data[p + 1] for p in at]
+        if not (cutoffs and fixed):
+            continue
+        assert e["inp_mask"] == [int(bin_number(x, cutoffs) == 0) for x in e["inputs"]]
+        assert e["tgt_mask"] == [int(bin_number(x, cutoffs) == 0) for x in e["labels"]]
+        assert e["head_labels"] == [x if (b := bin_number(x, cutoffs)) == 0 else cutoffs[1] + b - 1 for x in e["labels"]]
+        for side, shift in (("inp", 0), ("tgt", 1)):
+            core = e["r"] // max(B // C, 1)
+            ahead = Counter(bin_number(data[r * S + e["w"] * T + i + shift], cutoffs) for r in range(core * max(B // C, 1), e["r"]) for i in range(lengths[e["w"]]))
+            for k, size in enumerate(bin_sizes):
+                own = [i for i, p in enumerate(at) if bin_number(data[p + shift], cutoffs) == k + 1]
+                pairs = [(i, ahead[k + 1] + j) for j, i in enumerate(own) if ahead[k + 1] + j < size]
+                assert e[f"{side}_bins"][k] == (k, len(pairs), [x for pair in pairs for x in pair])
 
 
 def bin_sizes(data, b, T, cutoffs, std_mult=(2.5, 2.5, 2.5)):
-    out = []
-    if not cutoffs:
-        return out
-    nb = len(data) // b // T
-    d = data[:b * nb * T]
-    for k, (lo, hi) in enumerate(zip(cutoffs[1:-1], cutoffs[2:])):
-        shares = []
-        for j in range(nb):
-            n = 0
-            for i in range(b):
-                chunk = d[i * nb * T + j * T: i * nb * T + (j + 1) * T]
-                n += sum(1 for x in chunk if lo <= x < hi)
-            shares.append(n / (b * T))
-        mean = sum(shares) / nb
-        std = math.sqrt(sum((s - mean) ** 2 for s in shares) / nb)
-        x = math.ceil(round(T * b * (mean + std_mult[k] * std), 9))
-        y = x - x % 8
-        out.append(y + 8 if x % 8 >= 4 else max(8, y))
-    return out
+    """Capacities from the per-batch counts of each tail bin, over position arithmetic."""
+    n = len(data) // b // T
+    if not cutoffs or not n:
+        return []
+    counts = [[0] * n for _ in cutoffs[2:]]
+    for p, x in enumerate(data[:b * n * T]):
+        k = bin_number(x, cutoffs)
+        if 1 <= k < len(cutoffs) - 1:
+            counts[k - 1][p % (n * T) // T] += 1
+    want = [statistics.fmean(c) + m * statistics.pstdev(c) for c, m in zip(counts, std_mult)]
+    up = [-int(-round(w, 9) // 1) for w in want]
+    return [max(8, 8 * int(Fraction(x, 8) + Fraction(1, 2))) for x in up]
 
 
 def bpe(word, ranks):

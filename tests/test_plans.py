@@ -66,7 +66,7 @@ def test_examples_roundtrip_and_feed(spark):
     hr = FD.host_ranges(back, nb, 2, 2, 2)
     k = (nb // 2) * 2 * 2
     assert hr.count() == 2 * k and hr.agg(F.max("sample_id")).first()[0] == 2 * k - 1
-    pad = FD.pad_last_batch(back, 7, 8)
+    pad = FD.pad_last_batch(back, 7, 8, back.count())
     assert pad.count() % 7 == 0 and pad.filter("not is_padding").count() == back.count()
 
 

@@ -81,9 +81,10 @@ def test_bpe_encode_decode(spark):
     lines = read_lines(docs, universal_newlines=True)
     key = ["doc_id", "line_no"]
     toks = BP.bpe_pretokens(lines, key).cache()
-    merges = BP.learn_merges(toks, num_merges=60, top_words=300).cache()
+    merges = BP.learn_merges(toks, rounds=60, per_round=1).cache()
     ranks = BP.merge_ranks(merges)
-    assert len(ranks) == 60
+    counts = {r["bc"]: r["cnt"] for r in toks.groupBy("token").count().select(TX.byte_chars(F.col("token")).alias("bc"), F.col("count").alias("cnt")).collect()}
+    assert [(k, *m) for m, k in sorted(ranks.items(), key=lambda x: x[1])] == model.learn_merges(list(counts), list(counts.values()), 60)
     # pieces equal a second, differently written loop
     d = BP.bpe_pieces(BP.distinct_tokens(toks), merges).limit(400).collect()
     for r in d:
@@ -104,11 +105,29 @@ def test_bpe_encode_decode(spark):
     assert ids2 == {r["piece"]: r["id"] for r in ids.collect()}
 
 
-def test_learn_merges_incremental_equals_full_recount():
+def test_merge_word_long_and_random():
     import random
-    from tokenloom.operators.bpe import learn_from_counts
+    from tokenloom.operators.bpe import merge_word
     rnd = random.Random(5)
-    alphabet = "abcdeĠ"
-    words = list({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 9))) for _ in range(400)})
-    counts = [rnd.randint(1, 50) for _ in words]
-    assert learn_from_counts(words, counts, 120) == model.learn_merges(words, counts, 120)
+    for _ in range(300):
+        parts = ["a", "b", "c"]
+        ranks = {}
+        for k in range(rnd.randint(1, 25)):
+            pair = (rnd.choice(parts), rnd.choice(parts))
+            ranks.setdefault(pair, k)
+            parts.append("".join(pair))
+        word = "".join(rnd.choice("abc") for _ in range(rnd.randint(0, 40)))
+        assert merge_word(word, ranks) == model.bpe(word, ranks)
+    assert merge_word("a" * 200_000, {("a", "a"): 0, ("aa", "aa"): 1})[:2] == ["aaaa", "aaaa"]
+
+
+def test_bytes_that_are_no_text(spark):
+    import random
+    from tokenloom.functions.text import byte_char_table, byte_chars_inverse
+    rnd = random.Random(9)
+    raws = [bytes(rnd.choice([rnd.randrange(256), 0xE2, 0x82, 0xAC, 0x41]) for _ in range(rnd.randrange(12))) for _ in range(400)]
+    chars = dict(byte_char_table())
+    rows = [(i, "".join(chars[b] for b in r)) for i, r in enumerate(raws)]
+    df = spark.createDataFrame(rows, "i int, t string").select("i", byte_chars_inverse(F.col("t")).alias("text"))
+    assert {r["i"]: r["text"] for r in df.collect()} == {i: r.decode("utf-8", "replace") for i, r in enumerate(raws)}
+

@@ -81,32 +81,17 @@ def bpe_pretokenize(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit("(?U)" + BPE_PATTERN), 0)
 
 
-def byte_char_table() -> list[tuple[int, str]]:
-    """(byte, printable character) for all 256 bytes, from the rule above."""
-    selfs = {b for lo, hi in BYTE_SELF_RANGES for b in range(lo, hi + 1)}
-    out, n = [], 0
-    for b in range(256):
-        if b in selfs:
-            out.append((b, chr(b)))
-        else:
-            out.append((b, chr(256 + n)))
-            n += 1
-    return out
+def _other_runs() -> list[tuple[int, int, int]]:
+    """Runs of bytes between the self ranges: (first byte, first offset from 256, length)."""
+    edges = [0, *(e for lo, hi in BYTE_SELF_RANGES for e in (lo, hi + 1)), 256]
+    gaps = [(a, z - a) for a, z in zip(edges[::2], edges[1::2], strict=True) if z > a]
+    return [(a, sum(n for b, n in gaps if b < a), n) for a, n in gaps]
 
 
-def _other_runs() -> list[tuple[int, int, int]]:
-    """Runs of bytes outside the self ranges: (first byte, first offset from 256, length)."""
-    selfs = {b for lo, hi in BYTE_SELF_RANGES for b in range(lo, hi + 1)}
-    runs, n = [], 0
-    for b in range(256):
-        if b in selfs:
-            continue
-        if runs and runs[-1][0] + runs[-1][2] == b:
-            runs[-1] = (runs[-1][0], runs[-1][1], runs[-1][2] + 1)
-        else:
-            runs.append((b, n, 1))
-        n += 1
-    return runs
+def byte_char_table() -> list[tuple[int, str]]:
+    """(byte, printable character) for all 256 bytes, from the runs."""
+    return sorted([(b, chr(b)) for lo, hi in BYTE_SELF_RANGES for b in range(lo, hi + 1)]
+                  + [(a + i, chr(256 + first + i)) for a, first, n in _other_runs() for i in range(n)])
 
 
 def _byte_to_code(b: Column) -> Column:
@@ -148,7 +133,7 @@ def byte_chars_hex(text: Column) -> Column:
 
 def byte_chars_inverse(text: Column) -> Column:
     """Inverse of P7: printable characters back to text; malformed UTF-8 is replaced."""
-    return F.decode(F.unhex(byte_chars_hex(text)), "UTF-8")
+    return F.make_valid_utf8(F.unhex(byte_chars_hex(text)).cast("string"))
 
 
 def ids_str(arr: Column) -> Column:

@@ -8,9 +8,8 @@ Decoding joins ids to pieces, concatenates in order and maps characters back to
 
 from __future__ import annotations
 
-from collections import Counter
+import heapq
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,29 +32,28 @@ def distinct_tokens(toks: DataFrame) -> DataFrame:
 
 
 def merge_word(word: str, ranks: dict) -> list[str]:
-    """P8 on one pre-token: repeatedly join the lowest-ranked adjacent pair (all its occurrences,
-    left to right) until no ranked pair is left; a one-character word is returned as is."""
-    parts = list(word)
-    if len(parts) < 2:
-        return [word]
-    while len(parts) > 1:
-        best, best_rank = None, None
-        for a, b in zip(parts, parts[1:]):
-            r = ranks.get((a, b))
-            if r is not None and (best_rank is None or r < best_rank):
-                best, best_rank = (a, b), r
-        if best is None:
-            break
-        out, i, n = [], 0, len(parts)
-        while i < n:
-            if i < n - 1 and parts[i] == best[0] and parts[i + 1] == best[1]:
-                out.append(best[0] + best[1])
-                i += 2
-            else:
-                out.append(parts[i])
-                i += 1
-        parts = out
-    return parts
+    """P8 on one pre-token: the lowest-ranked pair is joined wherever it occurs, left to right, until no
+    ranked pair is left. A heap holds (rank, place) over a linked list of the parts, so a long
+    unbroken run costs n log n; pairs made by a step wait until that step is through."""
+    parts: list = list(word)
+    after, before = [*range(1, len(parts)), -1], [-1, *range(len(parts) - 1)]
+    heap = [(ranks[pair], i) for i, pair in enumerate(zip(parts, parts[1:])) if pair in ranks]
+    heapq.heapify(heap)
+    while heap:
+        rank, made = heap[0][0], []
+        while heap and heap[0][0] == rank:
+            i = heapq.heappop(heap)[1]
+            j = after[i]
+            if parts[i] is None or j < 0 or ranks.get((parts[i], parts[j])) != rank:
+                continue
+            parts[i], parts[j], after[i] = parts[i] + parts[j], None, after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            made += [before[i], i]
+        for i in made:
+            if i >= 0 and parts[i] is not None and after[i] >= 0 and (r := ranks.get((parts[i], parts[after[i]]))) is not None:
+                heapq.heappush(heap, (r, i))
+    return [p for p in parts if p is not None]
 
 
 def merge_ranks(merges: DataFrame) -> dict:
@@ -91,17 +89,29 @@ def piece_ids_from_merges(merges: DataFrame) -> DataFrame:
     merged = merges.select(F.concat("left", "right").alias("piece"), "rank").groupBy("piece").agg(F.min("rank").alias("rank"))
     merged = merged.join(base.select("piece"), "piece", "left_anti")
     from tokenloom.operators.positions import ordered_index
-    merged = ordered_index(merged, [], [F.col("rank")], F.floor(F.col("rank") / F.lit(1 << 16)), "idx")
+    merged = ordered_index(merged, [], [F.col("rank")], F.expr(f"rank div {1 << 16}"), "idx")
     return base.unionByName(merged.select("piece", (F.col("idx") + 256).alias("id")))
 
 
+BROADCAST_TOKENS = 200_000  # of a few dozen bytes each
+HOT_TOKENS = 1000
+
+
 def bpe_encode(toks: DataFrame, key_cols: list[str], merges: DataFrame, piece_ids: DataFrame) -> DataFrame:
     """P9 + J4: pre-tokens (``bpe_pretokens``; callers materialise them, they are read twice) ->
     one row per piece: (key, tok_no, piece_no, piece, id). An unknown piece raises.
-    The distinct pre-token table is merged once and joined back (AQE picks broadcast or shuffle
-    by its measured size); the piece id map is bounded by the merges file and broadcast."""
-    pieces = bpe_pieces(distinct_tokens(toks), merges).select("token", "pieces")
-    j = toks.join(pieces, "token").select(*key_cols, "tok_no", F.posexplode("pieces").alias("piece_no", "piece"))
+    The distinct pre-token table is merged once, written and joined back: by broadcast up to
+    ``BROADCAST_TOKENS`` rows; beyond, the ``HOT_TOKENS`` most common by broadcast and the rest, without
+    hot keys, by a shuffle. The piece id map is bounded by the merges file and broadcast."""
+    from tokenloom.session import materialize
+    pieces = materialize(bpe_pieces(distinct_tokens(toks), merges).select("token", "pieces"), "bpe-pieces")
+    if pieces.count() <= BROADCAST_TOKENS:
+        j = toks.join(F.broadcast(pieces), "token")
+    else:
+        hot = toks.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.col("_n").desc(), "token").limit(HOT_TOKENS).select("token")
+        common = F.broadcast(materialize(pieces.join(F.broadcast(hot), "token"), "bpe-hot"))
+        j = toks.join(common, "token").unionByName(toks.join(common.select("token"), "token", "left_anti").join(pieces, "token"))
+    j = j.select(*key_cols, "tok_no", F.posexplode("pieces").alias("piece_no", "piece"))
     ids = F.broadcast(piece_ids.select(F.col("piece").alias("_p"), "id"))
     j = j.join(ids, j["piece"] == ids["_p"], "left").drop("_p")
     return j.withColumn("id", F.when(F.col("id").isNull(), F.raise_error(F.concat(F.lit("unknown piece: "), F.col("piece"))))
@@ -121,65 +131,41 @@ def bpe_decode(encoded: DataFrame, key_cols: list[str], piece_ids: DataFrame) ->
     m = F.broadcast(piece_ids.select(F.col("id").alias("_id"), byte_chars_hex(F.col("piece")).alias("hx")))
     j = e.join(m, e["id"] == m["_id"], "left")
     g = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("k", "hx"))).alias("_t"))
-    return g.select(*key_cols, F.decode(F.unhex(F.array_join(F.transform("_t", lambda x: x["hx"]), "")), "UTF-8").alias("text"))
+    return g.select(*key_cols, F.make_valid_utf8(F.unhex(F.array_join(F.transform("_t", lambda x: x["hx"]), "")).cast("string")).alias("text"))
 
 
 # ---------------------------------------------------------------------------------------------
 # Fixture: no merges file is shipped and there is no network, so a small set of merges is
-# learned from the most common pre-tokens of the given table. This stands in for the merges
+# learned from all pre-tokens of the given table. This stands in for the merges
 # asset the encoder downloads; it is not one of the encoder's own operators.
 # ---------------------------------------------------------------------------------------------
 
-def learn_merges(toks: DataFrame, num_merges: int = 300, top_words: int = 2000) -> DataFrame:
-    """merges(rank, left, right) learned from the ``top_words`` most common pre-tokens (a bounded
-    table: one task is enough). Ties: higher pair count first, then the smaller pair."""
-    words = toks.groupBy("token").agg(F.count(F.lit(1)).alias("cnt")).orderBy(F.col("cnt").desc(), "token").limit(top_words)
-    words = words.select(byte_chars(F.col("token")).alias("bc"), "cnt")
-
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(learn_from_counts(list(pdf["bc"]), [int(c) for c in pdf["cnt"]], num_merges),
-                            columns=["rank", "left", "right"])
-
-    return words.withColumn("_g", F.lit(0)).groupBy("_g").applyInPandas(learn, "rank int, left string, right string")
-
-
-def learn_from_counts(words: list, counts: list, num_merges: int) -> list:
-    """The learning loop of the fixture with incremental pair counts: after a merge only the
-    words holding the merged pair are recounted."""
-    from collections import defaultdict
-    syms = [list(w) for w in words]
-    pairs: Counter = Counter()
-    where = defaultdict(set)
-    for i, w in enumerate(syms):
-        for a, b in zip(w, w[1:]):
-            pairs[(a, b)] += counts[i]
-            where[(a, b)].add(i)
-    out = []
-    for rank in range(num_merges):
-        if not pairs:
-            break
-        best = min(pairs.items(), key=lambda kv: (-kv[1], kv[0]))[0]
-        out.append((rank, best[0], best[1]))
-        for i in list(where[best]):
-            w, c = syms[i], counts[i]
-            for a, b in zip(w, w[1:]):
-                pairs[(a, b)] -= c
-                if pairs[(a, b)] <= 0:
-                    del pairs[(a, b)]
-                where[(a, b)].discard(i)
-            merged, j = [], 0
-            while j < len(w):
-                if j < len(w) - 1 and (w[j], w[j + 1]) == best:
-                    merged.append(w[j] + w[j + 1])
-                    j += 2
-                else:
-                    merged.append(w[j])
-                    j += 1
-            syms[i] = merged
-            for a, b in zip(merged, merged[1:]):
-                pairs[(a, b)] += c
-                where[(a, b)].add(i)
-    return out
+OPEN, CLOSE = "\ue000", "\ue001"  # around each piece of a word; no byte character is one of them
+ROUNDS, PER_ROUND = 6, 10
+
+
+def learn_merges(toks: DataFrame, rounds: int = ROUNDS, per_round: int = PER_ROUND) -> DataFrame:
+    """merges(rank, left, right) learned from every distinct pre-token, weighted by its count.
+
+    Each round counts the adjacent pairs of all words in one aggregation and takes the ``per_round`` most
+    common new ones (ties: the smaller pair); they are applied to the words in that order. Only those
+    rows reach the driver."""
+    from tokenloom.session import materialize
+    words = toks.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
+    marked = F.concat(F.lit(OPEN), F.array_join(F.split(byte_chars(F.col("token")), ""), CLOSE + OPEN), F.lit(CLOSE))
+    words = materialize(words.where("token != ''").select("cnt", marked.alias("s")), "bpe-words")
+    merges: list[tuple[str, str]] = []
+    text = F.col("s")
+    for _ in range(rounds):
+        parts = F.split(F.regexp_replace(text, f"^{OPEN}|{CLOSE}$", ""), CLOSE + OPEN)
+        pairs = words.select("cnt", parts.alias("x")).select("cnt", F.explode(F.transform(
+            F.filter("x", lambda _, i: i > 0), lambda y, i: F.struct(F.get("x", i).alias("left"), y.alias("right")))).alias("p"))
+        top = pairs.groupBy("p.left", "p.right").agg(F.sum("cnt").alias("n")).orderBy(F.col("n").desc(), "left", "right").limit(per_round + len(merges)).collect()
+        new = [p for r in top if (p := (r["left"], r["right"])) not in merges][:per_round]
+        merges += new
+        for left, right in new:
+            text = F.replace(text, F.lit(OPEN + left + CLOSE + OPEN + right + CLOSE), F.lit(OPEN + left + right + CLOSE))
+    return toks.sparkSession.createDataFrame([(i, *m) for i, m in enumerate(merges)], "rank int, left string, right string")
 
 
 def merges_file_lines(merges: DataFrame) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.positions import ordered_index
-
 
 def eligible_checkpoints(ckpts: DataFrame, record: DataFrame, start: int, interval: int,
                          max_step: int | None = None, step: str = "step") -> DataFrame:
@@ -31,13 +29,12 @@ def last_checkpoints(ckpts: DataFrame, n: int, step: str = "step") -> DataFrame:
     return last.withColumn("ord", (F.row_number().over(Window.orderBy(step)) - 1).cast("bigint"))
 
 
-def params_from_vectors(vectors: DataFrame, ckpt_col: str = "label", id_col: str = "vec_id",
-                        values_col: str = "embedding", bucket: int = 4096) -> DataFrame:
-    """Stand-in parameters: checkpoint = ``ckpt_col``; variable name = 'v%05d' of the rank of
-    ``id_col`` within its checkpoint (two-level rank: a checkpoint may be a third of the rows)."""
-    r = ordered_index(vectors, [ckpt_col], [F.col(id_col)], F.floor(F.col(id_col) / F.lit(bucket)), "_rank")
-    return r.select(F.col(ckpt_col).alias("ckpt"), F.format_string("v%05d", F.col("_rank")).alias("name"),
-                    F.col(values_col).alias("values"))
+def params_from_vectors(vectors: DataFrame, n: int = 5, id_col: str = "vec_id",
+                        values_col: str = "embedding") -> DataFrame:
+    """Stand-in parameters of ``n`` checkpoints: checkpoint = id mod n, variable = id div n, so
+    checkpoints hold the same variables where n divides the number of rows."""
+    return vectors.select(F.pmod(F.col(id_col), F.lit(n)).alias("ckpt"), F.format_string("v%05d", F.expr(f"{id_col} div {n}")).alias("name"),
+                          F.col(values_col).alias("values"))
 
 
 def average_params(params: DataFrame, ckpts: list, skip_prefix: str = "global_step") -> DataFrame:
@@ -48,8 +45,8 @@ def average_params(params: DataFrame, ckpts: list, skip_prefix: str = "global_st
     n = len(ckpts)
     p = params.filter(F.col("ckpt").isin(list(ckpts)))
     names = p.filter(F.col("ckpt") == F.lit(ckpts[0])).select("name").filter(~F.col("name").startswith(skip_prefix))
-    e = p.join(names, "name", "left_semi").select("name", "ckpt", F.posexplode("values").alias("pos", "v"))
-    g = e.groupBy("name", "pos").agg((F.sum(F.col("v").cast("double")) / F.lit(n)).alias("value"),
-                                     F.countDistinct("ckpt").alias("_k"))
-    return g.withColumn("value", F.when(F.col("_k") == n, F.col("value"))
-                        .otherwise(F.raise_error(F.concat(F.lit("missing in a checkpoint: "), F.col("name"))))).drop("_k")
+    held = p.select("name", "ckpt").distinct().groupBy("name").agg(F.count(F.lit(1)).alias("_k"))
+    names = names.join(held, "name").select("name", F.when(F.col("_k") == n, F.col("_k")).otherwise(
+        F.raise_error(F.concat(F.lit("missing in a checkpoint: "), F.col("name")))).alias("_k")).where("_k is not null").select("name")
+    e = p.join(names, "name", "left_semi").select("name", F.posexplode("values").alias("pos", "v"))
+    return e.groupBy("name", "pos").agg((F.sum(F.col("v").cast("double")) / F.lit(n)).alias("value"))

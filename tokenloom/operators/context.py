@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_VECTORS = 100_000  # of some hundred doubles each: tens of MB
+
+
 def embedding_lookup(tokens: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                      dim: int | None = None, scale: bool = True) -> DataFrame:
-    """Join each token id to its vector (equi-join; AQE broadcasts the vector table when its
-    measured size is small) and multiply by sqrt(d)."""
-    v = vectors.select(F.col(id_col).alias("_vid"), F.col(vec_col).alias("_vec"))
-    j = tokens.join(v, tokens["id"] == v["_vid"]).drop("_vid")
-    d = dim if dim is not None else None
-    factor = F.sqrt(F.size("_vec").cast("double")) if d is None else F.lit(math.sqrt(d))
-    vec = F.transform("_vec", lambda x: x.cast("double") * factor) if scale else F.col("_vec")
-    return j.withColumn("vector", vec).drop("_vec")
+    """Each token with its vector times sqrt(d), null where the table has none. The vectors are scaled
+    before the join, once each; a table of at most ``BROADCAST_VECTORS`` rows is broadcast, so a hot id needs no
+    shuffle, and a larger one is joined by a shuffle whose skewed partitions AQE splits."""
+    factor = F.sqrt(F.size(vec_col).cast("double")) if dim is None else F.lit(math.sqrt(dim))
+    vec = F.transform(vec_col, lambda x: x.cast("double") * factor) if scale else F.col(vec_col)
+    v = vectors.select(F.col(id_col).alias("_vid"), vec.alias("vector"))
+    if vectors.count() <= BROADCAST_VECTORS:
+        v = F.broadcast(v)
+    return tokens.join(v, tokens["id"] == v["_vid"], "left").drop("_vid")

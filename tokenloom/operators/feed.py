@@ -10,16 +10,14 @@ from pyspark.sql import functions as F
 def replica_slots(examples: DataFrame, b: int, C: int) -> DataFrame:
     """Each host pulls one batch of ``b`` samples per replica in turn:
     chunk j = sample_id div b, replica = j mod C, step = j div C."""
-    j = F.floor(F.col("sample_id") / F.lit(b)).cast("bigint")
-    return examples.withColumn("chunk", j).withColumn("replica", F.pmod(j, F.lit(C))).withColumn(
-        "step", F.floor(j / F.lit(C)).cast("bigint"))
+    return (examples.withColumn("chunk", F.expr(f"sample_id div {b}")).withColumn("replica", F.pmod("chunk", F.lit(C)))
+            .withColumn("step", F.expr(f"chunk div {C}")))
 
 
-def full_batches(examples: DataFrame, b: int) -> DataFrame:
-    """drop the last incomplete per-core batch (chunks of ``b`` consecutive samples)."""
-    j = F.floor(F.col("sample_id") / F.lit(b)).cast("bigint")
-    d = examples.withColumn("chunk", j)
-    return d.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("chunk"))).filter(F.col("_n") == b).drop("_n")
+def full_batches(examples: DataFrame, b: int, total: int) -> DataFrame:
+    """drop the last incomplete per-core batch (chunks of ``b`` consecutive samples). Sample ids
+    run from 0 to ``total`` - 1 without gaps, so this is a filter."""
+    return examples.filter(F.col("sample_id") < F.lit(total - total % b)).withColumn("chunk", F.expr(f"sample_id div {b}"))
 
 
 def host_ranges(examples: DataFrame, num_batch: int, hosts: int, C: int, b: int) -> DataFrame:
@@ -29,7 +27,7 @@ def host_ranges(examples: DataFrame, num_batch: int, hosts: int, C: int, b: int)
     if k <= 0:
         return examples.limit(0).withColumn("host", F.lit(None).cast("bigint"))
     d = examples.filter(F.col("sample_id") < F.lit(hosts * k))
-    return d.withColumn("host", F.floor(F.col("sample_id") / F.lit(k)).cast("bigint"))
+    return d.withColumn("host", F.expr(f"sample_id div {k}"))
 
 
 def file_order(files: DataFrame, seed: int, epochs: int, file_col: str = "file") -> DataFrame:
@@ -41,15 +39,12 @@ def file_order(files: DataFrame, seed: int, epochs: int, file_col: str = "file")
     return d.withColumn("rank", (F.row_number().over(w) - 1).cast("bigint"))
 
 
-def pad_last_batch(examples: DataFrame, size: int, T: int) -> DataFrame:
-    """Group samples into batches of ``size`` (batch = sample_id div size); every batch is
-    filled to ``size`` slots, missing slots get zero inputs and ``is_padding`` = true."""
-    batches = examples.select(F.floor(F.col("sample_id") / F.lit(size)).cast("bigint").alias("batch")).distinct()
-    slots = batches.select("batch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(size - 1).cast("bigint"))).alias("slot"))
-    rows = examples.withColumn("batch", F.floor(F.col("sample_id") / F.lit(size)).cast("bigint")) \
-                   .withColumn("slot", F.pmod(F.col("sample_id"), F.lit(size)).cast("bigint"))
+def pad_last_batch(examples: DataFrame, size: int, T: int, total: int) -> DataFrame:
+    """Samples in batches of ``size`` (batch = sample_id div size). Sample ids run from 0 to
+    ``total`` - 1 without gaps, so only the last batch is short: its missing slots, ``size`` - 1 rows at
+    most, come from a range and get zero inputs and ``is_padding`` = true."""
+    place = (F.expr(f"sample_id div {size}").alias("batch"), F.expr(f"sample_id % {size}").alias("slot"))
+    rows = examples.select(*place, F.lit(False).alias("is_padding"), "inputs", "labels")
     zeros = F.array_repeat(F.lit(0).cast("bigint"), T)
-    j = slots.join(rows, ["batch", "slot"], "left")
-    return j.select("batch", "slot", F.col("sample_id").isNull().alias("is_padding"),
-                    F.coalesce(F.col("inputs"), zeros).alias("inputs"),
-                    F.coalesce(F.col("labels"), zeros).alias("labels"))
+    pads = examples.sparkSession.range(total, total + -total % size).withColumnRenamed("id", "sample_id")
+    return rows.unionByName(pads.select(*place, F.lit(True).alias("is_padding"), zeros.alias("inputs"), zeros.alias("labels")))

@@ -107,21 +107,20 @@ def encode(tokens: DataFrame, vocab: DataFrame, unk_id: int | None, bounded: boo
     return j.withColumn("id", idc.cast("bigint"))
 
 
-def oov_report(tokens: DataFrame, vocab: DataFrame, sym: str = "sym", order: str = "p") -> DataFrame:
-    """Symbols missing from the vocabulary (anti-join) with their counts and first position."""
-    miss = tokens.join(vocab.select(F.col("sym").alias(sym)), sym, "left_anti")
-    return symbol_counts(miss, sym, order)
+def oov_report(counts: DataFrame, vocab: DataFrame) -> DataFrame:
+    """The rows of a count table (sym, cnt, first) whose symbol the vocabulary lacks."""
+    return counts.join(vocab.select("sym"), "sym", "left_anti")
 
 
 def decode_words(tokens: DataFrame, vocab: DataFrame, key_cols: list[str], pos_col: str = "pos",
-                 exclude: list[int] | None = None) -> DataFrame:
-    """Ids -> symbols joined by a space per key, excluded ids left out.
-    Out-of-range ids raise (the reference asserts)."""
+                 exclude: list[int] | None = None, bounded: bool = False) -> DataFrame:
+    """Ids -> symbols joined by a space per key, excluded ids left out; an id out of range
+    raises. A vocabulary ``bounded`` by max_size is broadcast, so hot ids aren't shuffled."""
     t = tokens
     if exclude:
         t = t.filter(~F.col("id").isin(list(exclude)))
     v = vocab.select(F.col("id").alias("_vid"), F.col("sym").alias("_vs"))
-    j = t.join(v, t["id"] == v["_vid"], "left")
+    j = t.join(F.broadcast(v) if bounded else v, t["id"] == v["_vid"], "left")
     s = F.when(F.col("_vs").isNull(), F.raise_error(F.concat(F.lit("id out of range: "), F.col("id").cast("string")))).otherwise(F.col("_vs"))
     g = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct(F.col(pos_col).alias("k"), s.alias("s")))).alias("_a"))
     return g.select(*key_cols, F.array_join(F.transform("_a", lambda x: x["s"]), " ").alias("text"))

@@ -33,11 +33,11 @@ def window_tokens(grid: DataFrame, S: int, T: int, fixed: bool, B: int, C: int =
     W = num_windows(S, T, fixed)
     b = max(B // C, 1)
     c = F.col("c")
-    home = F.floor(c / F.lit(T)).cast("bigint")
+    home = F.expr(f"c div {T}")
     ws = F.when((F.pmod(c, F.lit(T)) == 0) & (c > 0), F.array(home, home - 1)).otherwise(F.array(home))
     t = (grid.select("r", "c", "id", F.explode(ws).alias("w"))
          .filter(F.col("w") < F.lit(W))
-         .withColumn("core", F.floor(F.col("r") / F.lit(b)).cast("bigint")))
+         .withColumn("core", F.expr(f"r div {b}")))
     t = t.repartition("w", "core")
     g = t.groupBy("w", "core", "r").agg(F.array_sort(F.collect_list(F.struct("c", "id"))).alias("_t"))
     ids = F.transform("_t", lambda x: x["id"])
@@ -47,6 +47,11 @@ def window_tokens(grid: DataFrame, S: int, T: int, fixed: bool, B: int, C: int =
                     F.slice("_ids", 1, n - 1).alias("inputs"), F.slice("_ids", 2, n - 1).alias("labels"))
 
 
+def tail_bins(cutoffs: list[int]) -> list[tuple[int, int, int]]:
+    """(bin, lo, hi) of the tail bins, numbered from 0."""
+    return [(b, cutoffs[b + 1], cutoffs[b + 2]) for b in range(len(cutoffs) - 2)]
+
+
 def in_bin(x: Column, lo: int, hi: int) -> Column:
     return (x >= F.lit(lo)) & (x < F.lit(hi))
 
@@ -60,7 +65,7 @@ def head_labels(labels: Column, cutoffs: list[int]) -> Column:
     """Head ids kept; an id in tail bin b becomes cutoffs[1] + b."""
     def f(x):
         e = None
-        for b, (lo, hi) in enumerate(zip(cutoffs[1:-1], cutoffs[2:])):
+        for b, lo, hi in tail_bins(cutoffs):
             cond = in_bin(x, lo, hi)
             e = F.when(cond, F.lit(cutoffs[1] + b).cast("bigint")) if e is None else e.when(cond, F.lit(cutoffs[1] + b).cast("bigint"))
         return x if e is None else e.otherwise(x)
@@ -81,12 +86,12 @@ def bin_features(windows: DataFrame, cutoffs: list[int], bin_sizes: list[int]) -
     The running count before a row is ``min(bin_size, sum of earlier rows' counts)``.
     """
     if len(cutoffs) - len(bin_sizes) != 2:
-        raise ValueError("len(cutoffs) - len(bin_sizes) != 2")
+        raise ValueError(f"{len(cutoffs)} cutoffs make {max(len(cutoffs) - 2, 0)} tail bins, but {len(bin_sizes)} capacities are given")
     d = windows.withColumn("inp_mask", bin_mask(F.col("inputs"), cutoffs)) \
                .withColumn("tgt_mask", bin_mask(F.col("labels"), cutoffs)) \
                .withColumn("head_labels", head_labels(F.col("labels"), cutoffs))
     before = Window.partitionBy("w", "core").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    tails = list(enumerate(zip(cutoffs[1:-1], cutoffs[2:])))
+    tails = [(b, (lo, hi)) for b, lo, hi in tail_bins(cutoffs)]
     sides = (("inp", "inputs"), ("tgt", "labels"))
     # positions of every tail bin first, then all running counters in one select (one window)
     d = d.select("*", *[bin_positions(F.col(src), lo, hi).alias(f"_{side}_pos{b}")
@@ -113,15 +118,11 @@ def _pair_maker(off: str):
 
 
 def dense_perm(tup: Column, T: int, bin_size: int) -> Column:
-    """[T, bin_size] 0/1 matrix from flattened (pos, slot) pairs. Each position holds at
-    most one slot, so a position -> slot map gives every cell in O(1)."""
-    half = F.sequence(F.lit(0), F.floor(F.size(tup) / 2).cast("int") - 1)
-    ps = F.transform(half, lambda i: F.get(tup, i * 2))
-    ks = F.transform(half, lambda i: F.get(tup, i * 2 + 1))
-    m = F.when(F.size(tup) > 0, F.map_from_arrays(ps, ks))
-    return F.transform(F.sequence(F.lit(0), F.lit(T - 1)), lambda p: F.transform(
-        F.sequence(F.lit(0), F.lit(bin_size - 1)),
-        lambda k: F.when(F.coalesce(F.element_at(m, p.cast("bigint")), F.lit(-1)) == k, F.lit(1.0)).otherwise(F.lit(0.0)).cast("float")))
+    """[T, bin_size] 0/1 matrix from flattened (pos, slot) pairs. The slot of a position is looked
+    up once (pairs are in position order, each position once); its row is that slot's unit vector."""
+    pairs = F.transform(F.filter(tup, lambda x, i: i % 2 == 0), lambda p, i: F.struct(p.alias("p"), F.get(tup, i * 2 + 1).alias("k")))
+    slots = F.transform(F.sequence(F.lit(0), F.lit(T - 1)), lambda p: F.get(F.filter(pairs, lambda x: x["p"] == p), F.lit(0))["k"])
+    return F.transform(slots, lambda s: F.transform(F.sequence(F.lit(0), F.lit(bin_size - 1)), lambda k: F.coalesce((k == s).cast("float"), F.lit(0.0).cast("float"))))
 
 
 def context_windows(grid: DataFrame, S: int, T: int, mem_len: int, fixed: bool) -> DataFrame:
@@ -132,8 +133,8 @@ def context_windows(grid: DataFrame, S: int, T: int, mem_len: int, fixed: bool)
     W = num_windows(S, T, fixed)
     c = F.col("c")
     # windows w with wT - mem_len <= c < wT + T, and c < S - 1 (the last column is label only)
-    w_lo = F.floor(c / F.lit(T)).cast("bigint")
-    w_hi = F.least(F.floor((c + F.lit(mem_len)) / F.lit(T)).cast("bigint"), F.lit(W - 1))
+    w_lo = F.expr(f"c div {T}")
+    w_hi = F.least(F.expr(f"(c + {mem_len}) div {T}"), F.lit(W - 1).cast("bigint"))
     t = grid.filter(c < F.lit(S - 1)).select("r", "c", "id", F.explode(
         F.when(w_hi >= w_lo, F.sequence(w_lo, w_hi)).otherwise(F.array().cast("array<bigint>"))).alias("w"))
     g = t.groupBy("r", "w").agg(F.array_sort(F.collect_list(F.struct("c", "id"))).alias("_t"))

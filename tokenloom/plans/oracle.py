@@ -7,6 +7,7 @@ Building blocks are CTE snippets; each query string is ``WITH <snippets> SELECT
 from __future__ import annotations
 
 from tokenloom.functions.text import byte_char_table
+from tokenloom.operators.bpe import PER_ROUND, ROUNDS
 from tokenloom.plans.queries import B, C, CFG, CLAMP, ENTRY_B, ENTRY_T, MEM, T, TAIL_CUTS
 
 NL = "chr(10)"
@@ -51,6 +52,48 @@ SPECIALS = """
 specials AS (SELECT * FROM (VALUES ('<eos>', 0), ('<unk>', 1)) t(sym, id))"""
 
 
+def bpe_sql(pretokens: str) -> dict[str, str]:
+    """Merges learned in rounds over all pre-tokens by string replacement, pieces by a recursive query that
+    joins the lowest-ranked pair of each word first, and counts of piece ids."""
+    o, c = "chr(57344)", "chr(57345)"  # around each piece
+    parts = f"string_split(s[2:-2], {c} || {o})"
+    ctes = [f"""{pretokens},
+bm AS (SELECT {BYTE_MAP} AS m),
+wd AS (SELECT token, count(*) AS cnt FROM bt WHERE token <> '' GROUP BY token),
+w0 AS (SELECT token, cnt, {o} || array_to_string(list_transform(regexp_extract_all(hex(encode(token)), '..'), lambda h: m[h]), {c} || {o}) || {c} AS s FROM wd, bm),
+m0 AS (SELECT 0 AS rank, '' AS l, '' AS r WHERE false)"""]
+    for k in range(ROUNDS):
+        ctes.append(f"""x{k} AS (SELECT cnt, {parts} AS x FROM w{k}),
+p{k} AS (SELECT cnt, unnest(x[:-2]) AS l, unnest(x[2:]) AS r FROM x{k} WHERE len(x) > 1),
+t{k} AS (SELECT l, r, row_number() OVER (ORDER BY n DESC, l, r) - 1 AS i FROM (
+  SELECT l, r, sum(cnt) AS n FROM p{k} WHERE (l, r) NOT IN (SELECT (l, r) FROM m{k}) GROUP BY l, r) ORDER BY n DESC, l, r LIMIT {PER_ROUND}),
+m{k + 1} AS (SELECT * FROM m{k} UNION ALL SELECT i + (SELECT count(*) FROM m{k}), l, r FROM t{k})""")
+        s = "s"
+        for i in range(PER_ROUND):
+            pair = f"(SELECT {{}} FROM t{k} WHERE i = {i})"
+            old = pair.format(f"{o} || l || {c} || {o} || r || {c}")
+            new = pair.format(f"{o} || l || r || {c}")
+            s = f"replace({s}, coalesce({old}, {o} || {o}), coalesce({new}, {o} || {o}))"
+        ctes.append(f"w{k + 1} AS MATERIALIZED (SELECT token, cnt, {s} AS s FROM w{k})")
+    learned = "WITH RECURSIVE " + ",\n".join(ctes)
+    merges = f"SELECT CAST(rank AS BIGINT) AS rank, l AS \"left\", r AS \"right\" FROM m{ROUNDS}"
+    pieces = f""",
+mm AS (SELECT rank, {o} || l || {c} || {o} || r || {c} AS old, {o} || l || r || {c} AS new, l || r AS piece FROM m{ROUNDS}),
+st AS (SELECT token, s FROM w0 UNION ALL
+       SELECT st.token, replace(st.s, arg_min(mm.old, mm.rank), arg_min(mm.new, mm.rank)) FROM st JOIN mm ON contains(st.s, mm.old) GROUP BY st.token, st.s),
+fin AS (SELECT token, s FROM st WHERE NOT EXISTS (SELECT 1 FROM mm WHERE contains(st.s, mm.old)))"""
+    counts = f""",
+base AS (SELECT unnest(map_values(m)) AS piece, unnest(map_keys(m)) AS h FROM bm),
+made AS (SELECT piece, min(rank) AS rank FROM mm WHERE piece NOT IN (SELECT piece FROM base) GROUP BY piece),
+ids AS (SELECT piece, row_number() OVER (ORDER BY h) - 1 AS id FROM base UNION ALL
+        SELECT piece, 255 + row_number() OVER (ORDER BY rank) FROM made),
+pc AS (SELECT unnest({parts}) AS piece, cnt FROM fin JOIN wd USING (token))
+SELECT CAST(id AS BIGINT) AS id, CAST(sum(cnt) AS BIGINT) AS cnt FROM pc JOIN ids USING (piece) GROUP BY id"""
+    return {"load_merges": f"{learned} {merges}",
+            "bpe_pieces": f"{learned}{pieces} SELECT array_to_string({parts}, '') AS bc, array_to_string({parts}, ' ') AS pieces FROM fin",
+            "bpe_token_counts": learned + pieces + counts}
+
+
 def vocab_cte(max_size: int | None) -> str:
     lim = f"ORDER BY cnt DESC, first LIMIT {max_size}" if max_size else ""
     return SPECIALS + f""",
@@ -94,7 +137,7 @@ bshare AS (SELECT g.j, t.bin, COALESCE(c.n, 0) AS n, COALESCE(c.n, 0) / {B // C
            FROM bgrid g CROSS JOIN tbins t LEFT JOIN bcnt c ON c.j = g.j AND c.bin = t.bin),
 braw AS (SELECT bin, {T * (B // C)} * (avg(share) + 2.5 * stddev_pop(share)) AS raw FROM bshare GROUP BY bin),
 bx AS (SELECT bin, raw, CAST(ceil(round(raw, 9)) AS BIGINT) AS x FROM braw),
-bsizes AS (SELECT bin, raw, CASE WHEN x % 8 >= 4 THEN x - x % 8 + 8 ELSE greatest(8, x - x % 8) END AS size FROM bx)"""
+bsizes AS (SELECT bin, raw, greatest(8, 8 * ((x + 4) // 8)) AS size FROM bx)"""
 
 FIXED = f"""
 fparams AS (SELECT count(*) // {B} AS S FROM stream),
@@ -324,6 +367,7 @@ bt AS (SELECT doc_id, line_no, unnest(toks) AS token, unnest(range(0, len(toks))
     q["byte_chars"] = f"""WITH {bl}, bm AS (SELECT {BYTE_MAP} AS m)
 SELECT doc_id, line_no, tok_no,
   array_to_string(list_transform(regexp_extract_all(hex(encode(token)), '..'), lambda h: m[h]), '') AS bc FROM bt, bm"""
+    q.update(bpe_sql(bl))
     q["bpe_roundtrip"] = f"""WITH {LINES}
 SELECT doc_id, line_no, md5(CASE WHEN has_newline THEN line || chr(10) ELSE line END) AS text_md5 FROM lines"""
     ML = f"""WITH {SPLIT_CORE}, {MODEL}, {BINS},
@@ -359,12 +403,9 @@ SELECT span, round(sps, 6) AS steps_per_sec, round(sps * {B}, 6) AS examples_per
 ORDER BY exp(value / 10), step LIMIT 1"""
     q["last_checkpoints"] = f"""WITH {el}, l5 AS (SELECT step FROM el ORDER BY step DESC LIMIT 5)
 SELECT step, row_number() OVER (ORDER BY step) - 1 AS ord FROM l5"""
-    q["average_params"] = """WITH pr AS (SELECT label AS ckpt, printf('v%05d', row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) AS name,
-  embedding FROM embeddings),
+    q["average_params"] = """WITH pr AS (SELECT vec_id % 5 AS ckpt, printf('v%05d', vec_id // 5) AS name, embedding FROM embeddings),
 ck AS (SELECT DISTINCT ckpt FROM pr ORDER BY ckpt DESC LIMIT 3),
-common AS (SELECT name FROM pr WHERE ckpt IN (SELECT ckpt FROM ck) GROUP BY name HAVING count(DISTINCT ckpt) = 3),
-ex AS (SELECT name, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS pos FROM pr
-       WHERE ckpt IN (SELECT ckpt FROM ck) AND name IN (SELECT name FROM common))
+ex AS (SELECT name, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS pos FROM pr WHERE ckpt IN (SELECT ckpt FROM ck))
 SELECT name, CAST(pos AS BIGINT) AS pos, round(sum(CAST(v AS DOUBLE)) / 3, 6) AS value FROM ex GROUP BY name, pos"""
     grid = f"""WITH {CORE}, params AS (SELECT count(*) // {B} AS S FROM stream),
 grid AS (SELECT p // S AS r, p % S AS c, id, S FROM stream, params WHERE p < {B} * S)"""
@@ -385,7 +426,7 @@ SELECT r, w, CAST(sum(c - lo + 1) AS BIGINT) AS visible,
 FROM qv GROUP BY r, w"""
     q["embedding_lookup"] = f"""WITH {CORE}
 SELECT p, id, round(CAST(embedding[1] AS DOUBLE) * sqrt(len(embedding)), 6) AS e0,
-  round(CAST(embedding[64] AS DOUBLE) * sqrt(len(embedding)), 6) AS e63 FROM stream JOIN embeddings ON embeddings.vec_id = stream.id"""
+  round(CAST(embedding[64] AS DOUBLE) * sqrt(len(embedding)), 6) AS e63 FROM stream LEFT JOIN embeddings ON embeddings.vec_id = stream.id"""
     q["stream_encode"] = q["encode_unk"]
     q["stream_counts"] = f"WITH {LINES}, {COUNTS} SELECT sym, cnt FROM counts"
     fx = windows_sql(B, T, fixed=True)

@@ -9,6 +9,7 @@ parameters (label = checkpoint, rank of vec_id within it = variable name).
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,18 +72,27 @@ class Corpus:
         return self.stream.filter(F.col("split") == name)
 
 
-_CORPORA: dict = {}
+_CORPORA: OrderedDict = OrderedDict()
+KEPT = 6  # entries kept, the latest used
 
 
-def corpus(spark: SparkSession, sf_dir: str, cfg: WC.WordConfig = CFG, by_shard: bool = False) -> Corpus:
-    """A13 for the registered queries: a corpus built for (session, tables, settings) is reused
-    through its written tables, as the reference reuses its cached corpus."""
-    key = (id(spark), sf_dir, cfg, by_shard)
+def _once(key: tuple, build):
+    """A13 for the registered queries: what was built for (application, tables, settings) is used again
+    through its written tables. Only KEPT entries stay; ``clear_corpus_cache`` forgets all, as it must when
+    tables under the same path change."""
     if key not in _CORPORA:
-        _CORPORA[key] = Corpus(spark, sf_dir, cfg, by_shard)
+        _CORPORA[key] = build()
+        if len(_CORPORA) > KEPT:
+            _CORPORA.popitem(last=False)
+    _CORPORA.move_to_end(key)
     return _CORPORA[key]
 
 
+def corpus(spark: SparkSession, sf_dir: str, cfg: WC.WordConfig = CFG, by_shard: bool = False) -> Corpus:
+    """The corpus of a table for some settings."""
+    return _once((spark.sparkContext.applicationId, sf_dir, cfg, by_shard), lambda: Corpus(spark, sf_dir, cfg, by_shard))
+
+
 def clear_corpus_cache() -> None:
     _CORPORA.clear()
 
@@ -303,8 +313,8 @@ def q_replica_slots(spark, sf):
 
 
 def q_full_batches(spark, sf):
-    _, ex = _fixed_windows(spark, sf)
-    return FD.full_batches(ex, 5).select("sample_id", "chunk")
+    c, ex = _fixed_windows(spark, sf)
+    return FD.full_batches(ex, 5, B * BN.num_batches(c.N["train"], B, T, True)).select("sample_id", "chunk")
 
 
 def q_host_ranges(spark, sf):
@@ -316,7 +326,7 @@ def q_host_ranges(spark, sf):
 def q_pad_last_batch(spark, sf):
     c = corpus(spark, sf)
     ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
-    t = FD.pad_last_batch(ex, 10, T)
+    t = FD.pad_last_batch(ex, 10, T, B * BN.num_batches(c.N["train"], B, T, False))
     return t.select("batch", "slot", "is_padding", ids_str(F.col("inputs")).alias("inputs"))
 
 
@@ -412,7 +422,7 @@ def q_vocab_size(spark, sf):
 
 def q_oov_report(spark, sf):
     c = corpus(spark, sf)
-    return V.oov_report(c.split(), c.vocab).select("sym", "cnt", "first")
+    return V.oov_report(c.counts, c.vocab).select("sym", "cnt", "first")
 
 
 def q_encode_unk(spark, sf):
@@ -424,7 +434,7 @@ def q_encode_unk(spark, sf):
 
 def q_decode_words(spark, sf):
     c = corpus(spark, sf)
-    d = V.decode_words(c.split(), c.vocab, ["doc_id", "line_no"], exclude=[0])
+    d = V.decode_words(c.split(), c.vocab, ["doc_id", "line_no"], exclude=[0], bounded=True)
     return d.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text")
 
 
@@ -501,22 +511,20 @@ def _bpe_lines(spark, sf):
 def _bpe_tokens(spark, sf):
     """Pre-tokens of every line, written once: the merge fixture, the distinct table and the
     join back all read them (reused per session and tables, like a built corpus)."""
-    key = (id(spark), sf, "bpe-pretokens")
-    if key not in _CORPORA:
-        _CORPORA[key] = materialize(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY), "pretokens")
-    return _CORPORA[key]
+    return _once((spark.sparkContext.applicationId, sf, "bpe-pretokens"),
+                 lambda: materialize(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY), "pretokens"))
 
 
-def _bpe_assets(toks):
+def _bpe_assets(spark, sf):
     """Merges learned by the fixture job, written as a merges file and read back (A7), plus the
     id map written as JSON and read back."""
-    key = (id(toks), "bpe-assets")
-    if key not in _CORPORA:
-        learned = BP.learn_merges(toks)
+    def build():
+        learned = BP.learn_merges(_bpe_tokens(spark, sf))
         merges = materialize(S.load_merges(BP.merges_file_lines(learned)), "merges")
         ids = materialize(S.load_piece_ids(BP.piece_ids_json(BP.piece_ids_from_merges(merges))), "piece-ids")
-        _CORPORA[key] = (merges, ids)
-    return _CORPORA[key]
+        return merges, ids
+
+    return _once((spark.sparkContext.applicationId, sf, "bpe-assets"), build)
 
 
 def q_bpe_pretokens(spark, sf):
@@ -531,30 +539,43 @@ def q_byte_chars(spark, sf):
 
 
 def q_load_merges(spark, sf):
-    merges, _ = _bpe_assets(_bpe_tokens(spark, sf))
+    merges, _ = _bpe_assets(spark, sf)
     return merges.select(F.col("rank").cast("bigint").alias("rank"), "left", "right")
 
 
 def q_bpe_pieces(spark, sf):
     toks = _bpe_tokens(spark, sf)
-    merges, _ = _bpe_assets(toks)
+    merges, _ = _bpe_assets(spark, sf)
     return BP.bpe_pieces(BP.distinct_tokens(toks), merges).select("bc", F.array_join("pieces", " ").alias("pieces"))
 
 
 def q_bpe_token_counts(spark, sf):
     toks = _bpe_tokens(spark, sf)
-    merges, ids = _bpe_assets(toks)
+    merges, ids = _bpe_assets(spark, sf)
     return BP.bpe_encode(toks, KEY, merges, ids).groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def q_bpe_roundtrip(spark, sf):
     toks = _bpe_tokens(spark, sf)
-    merges, ids = _bpe_assets(toks)
+    merges, ids = _bpe_assets(spark, sf)
     enc = BP.encoded_lines(BP.bpe_encode(toks, KEY, merges, ids), KEY)
     dec = BP.bpe_decode(enc, KEY, ids)
     return dec.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.md5("text").alias("text_md5"))
 
 
+def q_bpe_decode_windows(spark, sf):
+    """P10 on slices of ids that cut characters: every line's byte ids (the first 256 piece ids) in runs
+    of 50, each run decoded on its own with malformed bytes replaced."""
+    _, ids = _bpe_assets(spark, sf)
+    lines = BP.line_text(_bpe_lines(spark, sf)).where("text != ''")
+    hexes = F.regexp_extract_all(F.hex(F.encode("text", "UTF-8")), F.lit(".."), 0)
+    numbers = F.transform(hexes, lambda h: F.conv(h, 16, 10).cast("bigint"))
+    runs = F.transform(F.sequence(F.lit(0), F.expr("(size(n) - 1) div 50")), lambda k: F.struct(k.cast("bigint").alias("k"), F.slice("n", k * 50 + 1, 50).alias("ids")))
+    cut = lines.select(*KEY, numbers.alias("n")).select(*KEY, F.explode(runs).alias("r")).select(*KEY, F.col("r.k").alias("run"), "r.ids")
+    dec = BP.bpe_decode(cut, [*KEY, "run"], ids)
+    return dec.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "run", F.md5("text").alias("text_md5"))
+
+
 # --------------------------------------------------------------------------------------------
 # Losses and metrics (valid split scored by a count model from the train split)
 # --------------------------------------------------------------------------------------------
@@ -661,10 +682,7 @@ def q_average_params(spark, sf):
     params = CK.params_from_vectors(vec)
     last3 = [r["step"] for r in CK.last_checkpoints(params.select(F.col("ckpt").alias("step")).distinct(), 3)
              .orderBy("ord").collect()]
-    # the stand-in checkpoints differ in size; keep the variables every chosen one has
-    chosen = params.filter(F.col("ckpt").isin(last3))
-    common = chosen.groupBy("name").agg(F.countDistinct("ckpt").alias("k")).filter(F.col("k") == len(last3)).select("name")
-    t = CK.average_params(chosen.join(common, "name", "left_semi"), last3)
+    t = CK.average_params(params, last3)
     return t.select("name", F.col("pos").cast("bigint").alias("pos"), rnd(F.col("value")).alias("value"))
 
 
@@ -807,6 +825,7 @@ def registry() -> dict:
         "bpe_pieces": q_bpe_pieces,
         "bpe_token_counts": q_bpe_token_counts,
         "bpe_roundtrip": q_bpe_roundtrip,
+        "bpe_decode_windows": q_bpe_decode_windows,
         "count_model_loss": q_count_model_loss,
         "loss_mean": q_loss_mean,
         "ppl_step_mean": q_ppl_step_mean,

@@ -61,7 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover
             pass
         return d
-    d = tempfile.mkdtemp(prefix="tokenloom-ckpt-")
+    if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master", "").startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    d = tempfile.mkdtemp(prefix="tokenloom-ckpt-")  # a local master: one machine
     try:
         spark.sparkContext.setCheckpointDir(d)
         return spark.sparkContext.getCheckpointDir() or d
@@ -70,9 +72,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never reused, never deleted here)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for this application under the shared checkpoint folder."""
+    return f"{_work_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _work_base(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokenloom-{spark.sparkContext.applicationId}"
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Deletes every table that this application has written by ``work_path``. Results read from them
+    must be written elsewhere before."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_work_base(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
