@@ -12,9 +12,9 @@ A set is a node once, however many rows carry it, so exact copies cost one row e
    side (the block key is a set's most shared posting). In a block, each query merges its short
    inverted lists with a heap, probes its long lists by binary search, and keeps sets
    reaching the required overlap. Only a spanning forest of the links found leaves a block.
-4. Links between blocks: first one set of each (shingle, block) asks the shingle's first
-   block; after components are formed, each set asks every other block in which a shingle of its
-   own is held by a set of another component. Sets already joined aren't compared again, so a
+4. Links between blocks: where a block key was too heavy for one block, one set of each piece asks the
+   first piece. After components are formed, each set asks every lower block in which ``spare`` of its
+   postings are held by sets of other components. Sets already joined aren't compared again, so a
    group of near copies doesn't cost all its pairs, and no link between components is missed.
 """
 
@@ -253,6 +253,13 @@ def _round(held: DataFrame, routes: DataFrame, percent: int, own: bool) -> DataF
             .groupBy("block", "part").applyInPandas(_ask(percent, own), EDGE))
 
 
+def _routes(places: DataFrame, least: str) -> DataFrame:
+    """(fp, block): lower blocks than a set's own where enough of its postings are held by sets of other labels."""
+    there = places.groupBy("token", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    met = places.alias("p").join(there.alias("t"), F.expr("p.token = t.token and t.block < p.block and (t.lo != p.label or t.hi != p.label)"))
+    return met.groupBy("p.fp", "t.block").agg(F.count("*").alias("held"), F.first("p.n").alias("n")).where(f"held >= {least}").select("fp", "block")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (least id reachable by links).
 
@@ -286,28 +293,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     total = home.agg(F.sum("n")).first()[0] or 0
     blocks = total // BLOCK_WEIGHT + 1
     heavy = home.groupBy("key").agg(F.sum("n").alias("w")).where(F.col("w") > BLOCK_WEIGHT).select("key", F.expr(f"cast(w div {BLOCK_WEIGHT} as int) + 1").alias("pieces"))
-    home = home.join(heavy, "key", "left").select("fp", "n", F.when(F.col("pieces").isNull(), F.pmod(F.xxhash64("key"), F.lit(blocks)))
+    home = home.join(heavy, "key", "left").select("fp", "n", "key", F.col("pieces").isNotNull().alias("split"), F.when(F.col("pieces").isNull(), F.pmod(F.xxhash64("key"), F.lit(blocks)))
                                                   .otherwise(F.xxhash64("key", F.pmod(F.xxhash64("fp"), F.col("pieces")))).alias("block"))
     # whole sets of the members, one for each class
     pick = home.join(classes, "fp").select(F.col("least").alias("id"))
     sets = texts.join(pick, "id", "left_semi").select("text").mapInArrow(_whole(k), "fp binary, items binary")
     held = materialize(home.join(sets.dropDuplicates(["fp"]), "fp"), "jj-held")
 
-    labelled = held.withColumn("label", F.col("fp"))
-    places = materialize(posted.join(held.select("fp", "block"), "fp").select("token", "fp", "block"), "jj-places")
-    firsts = places.groupBy("token", "block").agg(F.min("fp").alias("fp"))
-    star = (firsts.join(places.groupBy("token").agg(F.min("block").alias("to")), "token").where("block != to")
+    # the pieces of a split key: one set of each asks the first
+    pieces = held.where("split").groupBy("key", "block").agg(F.min("fp").alias("fp"))
+    star = (pieces.join(pieces.groupBy("key").agg(F.min("block").alias("to")), "key").where("block != to")
             .select("fp", F.col("to").alias("block")).distinct())
-    found = materialize(_round(labelled, star, percent, True), "jj-links")
+
+    found = materialize(_round(held.withColumn("label", F.col("fp")), star, percent, True), "jj-links")
     roots = components(found)
 
-    named = places.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("label", F.coalesce("root", "fp")).drop("root")
-    spread = named.select("token", "block", "label").distinct()
-    open_ = spread.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("block").alias("b0"), F.max("block").alias("b1")).where("lo != hi and b0 != b1").select("token")
-    routes = (named.join(open_, "token").alias("q").join(spread.join(open_, "token").alias("s"), "token")
-              .where("s.block < q.block and s.label != q.label").select("q.fp", F.col("s.block").alias("block")).distinct())
-    held = held.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("label", F.coalesce("root", "fp")).drop("root")
-    more = materialize(_round(held, materialize(routes, "jj-routes"), percent, False), "jj-links")
+    labels = roots.select(F.col("node").alias("fp"), F.col("root").alias("label"))
+    held = held.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    routes = materialize(_routes(posted.join(held.select("fp", "block", "label"), "fp"), least), "jj-routes")
+    more = materialize(_round(held, routes, percent, False), "jj-links")
     roots = components(found.unionByName(more)) if more.limit(1).count() else roots
 
     comp = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
