@@ -21,7 +21,26 @@ from pyspark.sql import functions as F
 
 def doc_bucket(col: str = "doc_id", size: int = 1000) -> Column:
     """Default bucket: ``size`` consecutive document ids."""
-    return F.floor(F.col(col) / F.lit(size)).cast("bigint")
+    return F.expr(f"{col} div {size}")
+
+
+# places of the counting order key: token number in its line, line number, document id, split order
+POS_PLACES, LINE_PLACES, DOC_PLACES = 9, 8, 19
+
+
+def order_key(split_ord: Column, doc: Column, line: Column) -> Column:
+    """A number (decimal(38, 0)) that grows along (split order, document, line), with room for the token's
+    number in the line to be added. It is worked out from the row alone, so an order of first occurrence needs no
+    positions, and its minimum stays in a hash aggregate."""
+    def at(c: Column, places: int) -> Column:
+        return c.cast("decimal(38,0)") * F.lit("1" + "0" * places).cast("decimal(38,0)")
+    key = at(split_ord, POS_PLACES + LINE_PLACES + DOC_PLACES) + at(doc, POS_PLACES + LINE_PLACES) + at(line, POS_PLACES)
+    return key.cast("decimal(38,0)")
+
+
+def order_bucket(key: str, docs: int = 1000) -> Column:
+    """Of an order key: ``docs`` consecutive documents of a split."""
+    return F.expr(f"{key} div {docs}{'0' * (POS_PLACES + LINE_PLACES)}BD")
 
 
 def prefix_offsets(df: DataFrame, weight: Column, part_cols: list[str], order_cols: list[Column],
@@ -57,15 +76,20 @@ def prefix_offsets(df: DataFrame, weight: Column, part_cols: list[str], order_co
 
 
 def coarser(factor: int = 1024):
-    """Level above a numeric bucket: ``factor`` consecutive buckets."""
-    return lambda b: F.floor(b / F.lit(factor)).cast("bigint")
+    """Level above a numeric bucket: ``factor`` (a power of two) consecutive buckets."""
+    return lambda b: F.shiftright(b, factor.bit_length() - 1)
+
+
+def rank_coarser(factor: int = 1024):
+    """Level above a (count, bucket) struct: ``factor`` consecutive buckets of a count."""
+    return lambda b: F.struct(b["a"].alias("a"), F.shiftright(b["b"], factor.bit_length() - 1).alias("b"))
 
 
 def ordered_index(df: DataFrame, part_cols: list[str], order_cols: list[Column], bucket: Column,
-                  out: str = "idx") -> DataFrame:
-    """0-based rank of each row in a total order, computed with the same two-level scheme
+                  out: str = "idx", coarsen=None) -> DataFrame:
+    """0-based rank of each row in a total order, computed with the same scheme of levels
     (the order must be strict, e.g. end in a unique key)."""
-    return prefix_offsets(df, F.lit(1), part_cols, order_cols, bucket, out)
+    return prefix_offsets(df, F.lit(1), part_cols, order_cols, bucket, out, coarsen)
 
 
 def token_positions(lines: DataFrame, symbols_col: str, part_cols: list[str], order_cols: list[str],
@@ -87,7 +111,7 @@ def batch_grid(stream: DataFrame, B: int, N: int, p_col: str = "p") -> DataFrame
     S = N // B
     p = F.col(p_col)
     return (stream.filter(p < F.lit(B * S))
-            .withColumn("r", F.floor(p / F.lit(S)).cast("bigint") if S > 0 else F.lit(None).cast("bigint"))
+            .withColumn("r", F.expr(f"{p_col} div {S}") if S > 0 else F.lit(None).cast("bigint"))
             .withColumn("c", F.pmod(p, F.lit(S)) if S > 0 else F.lit(None).cast("bigint")))
 
 

@@ -2,8 +2,8 @@
 vocabularies (A6), encoding (J1, J2, W1) and decoding (P11, J3).
 
 Tie order follows ``Counter.most_common``: count descending, then first occurrence in the
-concatenation order. The first occurrence is the smallest token position ``p`` (a long), so the
-count is a plain hash aggregate with a map-side partial step.
+concatenation order. The first occurrence is the smallest order key (``positions.order_key``, worked out
+from a row alone), so the count is a plain hash aggregate with a map-side partial step: one scan, one shuffle.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.positions import ordered_index
+from tokenloom.operators.positions import coarser, order_bucket, ordered_index, rank_coarser
 
 
 def symbol_counts(tokens: DataFrame, sym: str = "sym", order: str = "p") -> DataFrame:
-    """(sym, cnt, first). ``order`` is the concatenation position of each token."""
+    """(sym, cnt, first). ``order`` is the order key of each token."""
     return tokens.groupBy(F.col(sym).alias("sym")).agg(
-        F.count(F.lit(1)).alias("cnt"), F.min(order).cast("bigint").alias("first"))
+        F.count(F.lit(1)).alias("cnt"), F.min(order).alias("first"))
 
 
 def _dedup(seq) -> list[str]:
@@ -34,7 +34,7 @@ def specials_table(spark: SparkSession, special) -> DataFrame:
 
 
 def build_vocab(counts: DataFrame, special=(), min_freq: int = 0, max_size: int | None = None,
-                first_bucket: int = 1 << 20) -> DataFrame:
+                docs_bucket: int = 1000) -> DataFrame:
     """vocab(id, sym, cnt, is_special).
 
     Specials first (keep first on repeats). Then symbols by count descending, first occurrence
@@ -43,8 +43,8 @@ def build_vocab(counts: DataFrame, special=(), min_freq: int = 0, max_size: int
     symbols already present as specials are skipped.
 
     With ``max_size`` the top-k is a TakeOrdered (k rows) and ids are a row number over k rows.
-    Without it ids come from the two-level rank (W9): buckets of (count, first div first_bucket)
-    never decrease along the order, so no single task sorts the vocabulary.
+    Without it ids come from the rank over levels (W9): buckets of (count, documents of the first
+    occurrence) never decrease along the order, so no single task sorts the vocabulary.
     """
     spark = counts.sparkSession
     specials_list = _dedup(special)
@@ -60,8 +60,8 @@ def build_vocab(counts: DataFrame, special=(), min_freq: int = 0, max_size: int
     if max_size is not None:
         ranked = ranked.withColumn("idx", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
     else:
-        bucket = F.struct((-F.col("cnt")).alias("a"), F.floor(F.col("first") / F.lit(first_bucket)).alias("b"))
-        ranked = ordered_index(ranked, [], order, bucket, "idx")
+        bucket = F.struct((-F.col("cnt")).alias("a"), order_bucket("first", docs_bucket).alias("b"))
+        ranked = ordered_index(ranked, [], order, bucket, "idx", rank_coarser())
     words = ranked.select((F.col("idx") + F.lit(k)).alias("id"), "sym", F.col("cnt").cast("bigint").alias("cnt"),
                           F.lit(False).alias("is_special"))
     specials = sp.select("id", "sym", F.lit(None).cast("bigint").alias("cnt"), F.lit(True).alias("is_special"))
@@ -77,7 +77,7 @@ def vocab_from_file(lines: DataFrame, unk: str | None = "<UNK>", bucket_lines: i
     t = lines.select("line_no", F.when(F.size(fields) > 0, F.element_at(fields, 1))
                      .otherwise(F.raise_error(F.lit("blank line in vocabulary file"))).alias("sym"))
     first = t.groupBy("sym").agg(F.min("line_no").alias("line_no"))
-    v = ordered_index(first, [], [F.col("line_no")], F.floor(F.col("line_no") / F.lit(bucket_lines)), "id")
+    v = ordered_index(first, [], [F.col("line_no")], F.expr(f"line_no div {bucket_lines}"), "id", coarser())
     v = v.select("id", "sym")
     if unk is not None and v.filter(F.col("sym") == unk).limit(1).count() == 0:
         raise ValueError(f"vocabulary file has no {unk}")

@@ -43,10 +43,10 @@ def tokens_cte(name: str, marks: bool, lines: str = "lines", lower: bool = False
 {name} AS (SELECT *, row_number() OVER ({over}) - 1 AS p FROM {name}_0)"""
 
 
-# counting order key: position in the marked stream of the split (the end mark itself is not
-# counted), split order in the high bits
-COUNTS = tokens_cte("ctok", marks=True) + """,
-counts AS (SELECT sym, count(*) AS cnt, min(p) AS first FROM ctok WHERE pos < nsym - 1 GROUP BY sym)"""
+# counting order key: document, line, token in the line as the digits of one number
+KEY = "CAST(doc_id AS HUGEINT) * 100000000000000000 + line_no * 1000000000 + pos"
+COUNTS = tokens_cte("ctok", marks=True) + f""",
+counts AS (SELECT sym, count(*) AS cnt, CAST(min({KEY}) AS VARCHAR) AS first_key, min(p) AS first FROM ctok WHERE pos < nsym - 1 GROUP BY sym)"""
 
 SPECIALS = """
 specials AS (SELECT * FROM (VALUES ('<eos>', 0), ('<unk>', 1)) t(sym, id))"""
@@ -214,7 +214,7 @@ def all_sql() -> dict[str, str]:
     q["read_lines"] = f"WITH {LINES} SELECT shard, doc_id, line_no, line, has_newline FROM lines"
     q["tokenize_words"] = f"""WITH {LINES}
 SELECT doc_id, line_no, CAST(len({words(True)}) AS BIGINT) AS n_words, array_to_string({words(True)}, ' ') AS words FROM lines"""
-    q["symbol_counts"] = f"WITH {LINES}, {COUNTS} SELECT sym, cnt, first FROM counts"
+    q["symbol_counts"] = f"WITH {LINES}, {COUNTS} SELECT sym, cnt, first_key AS first FROM counts"
     q["vocab_ids"] = f"WITH {LINES}, {COUNTS}, {vocab_cte(None)} SELECT id, sym FROM vocab"
     q["vocab_top_k"] = f"WITH {LINES}, {COUNTS}, {vocab_cte(CFG.max_size)} SELECT id, sym, COALESCE(cnt, 0) AS cnt FROM vocab"
     q["token_positions"] = f"WITH {CORE} SELECT p, id FROM stream"
@@ -327,7 +327,7 @@ SELECT CAST(row_number() OVER (ORDER BY ln) - 1 AS BIGINT) AS id, sym FROM fs"""
 SELECT id, sym FROM vocab"""
     q["vocab_size"] = f"WITH {CORE} SELECT (SELECT count(*) FROM vocab) AS vocab_size, (SELECT count(*) FROM counts) AS unique_tokens"
     q["oov_report"] = f"""WITH {CORE}
-SELECT sym, count(*) AS cnt, min(p) AS first FROM tok WHERE sym NOT IN (SELECT sym FROM vocab) GROUP BY sym"""
+SELECT sym, count(*) AS cnt, CAST(min({KEY}) AS VARCHAR) AS first FROM tok WHERE sym NOT IN (SELECT sym FROM vocab) GROUP BY sym"""
     q["encode_unk"] = f"WITH {CORE} SELECT doc_id, line_no, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids FROM stream GROUP BY doc_id, line_no"
     q["decode_words"] = f"""WITH {CORE}
 SELECT s.doc_id, s.line_no, string_agg(v.sym, ' ' ORDER BY s.pos) AS text FROM stream s JOIN vocab v ON s.id = v.id
@@ -335,11 +335,11 @@ WHERE s.id <> 0 GROUP BY s.doc_id, s.line_no"""
     q["counts_all_splits"] = f"""WITH {shard_lines()},
 al AS (SELECT *, CASE split WHEN 'train' THEN 0 WHEN 'valid' THEN 1 ELSE 2 END AS split_ord FROM slines),
 {tokens_cte("atok", marks=True, lines="al", part="split_ord").lstrip()}
-SELECT sym, count(*) AS cnt, min(split_ord * CAST(72057594037927936 AS BIGINT) + p) AS first FROM atok WHERE pos < nsym - 1 GROUP BY sym"""
+SELECT sym, count(*) AS cnt, CAST(min(split_ord * CAST(1000000000000000000000000000000000000 AS HUGEINT) + {KEY}) AS VARCHAR) AS first FROM atok WHERE pos < nsym - 1 GROUP BY sym"""
     q["sentence_counts"] = f"""WITH cs AS (SELECT conv_id, turn, {words(col="text")} AS symbols FROM conversations),
 c0 AS (SELECT conv_id, turn, unnest(symbols) AS sym, unnest(range(0, len(symbols))) AS pos FROM cs),
-c1 AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn, pos) - 1 AS p FROM c0)
-SELECT sym, count(*) AS cnt, min(p) AS first FROM c1 GROUP BY sym"""
+c1 AS (SELECT sym, conv_id AS doc_id, turn AS line_no, pos FROM c0)
+SELECT sym, count(*) AS cnt, CAST(min({KEY}) AS VARCHAR) AS first FROM c1 GROUP BY sym"""
     q["batch_grid"] = f"""WITH {CORE}, params AS (SELECT count(*) // {B} AS S FROM stream)
 SELECT p, p // S AS r, p % S AS c FROM stream, params WHERE p < {B} * S"""
     q["next_token"] = f"""WITH {CORE}, params AS (SELECT count(*) // {B} AS S FROM stream),

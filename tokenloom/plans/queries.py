@@ -41,6 +41,11 @@ def rnd(c, n: int = 6):
     return F.round(c.cast("double"), n)
 
 
+def first_str():
+    """The order key of first occurrence as digits (the oracle's tables have no decimal(38, 0))."""
+    return F.col("first").cast("string").alias("first")
+
+
 class Corpus:
     """Lines, vocabulary and encoded stream of one table, built once per call."""
 
@@ -56,7 +61,7 @@ class Corpus:
         tok = materialize(WC.positioned_lines(lines.drop("has_newline"), cfg).drop("line"), "positioned-lines")
         count_lines = tok.filter(F.col("split") == "train") if by_shard else tok
         self.lines = lines
-        self.counts = materialize(WC.corpus_counts(count_lines, cfg, positioned=True), "counts")
+        self.counts = materialize(WC.corpus_counts(count_lines, cfg, marked=True), "counts")
         # vocabulary-sized and cheap to recompute from the written counts: cached, not written
         self.vocab = V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size).cache()
         self.V = self.vocab.count()
@@ -121,7 +126,7 @@ def q_tokenize_words(spark, sf):
 def q_symbol_counts(spark, sf):
     lines = WC.single_split(S.read_lines(S.read_documents(spark, sf)))
     c = WC.corpus_counts(lines, CFG)
-    return c.select("sym", "cnt", "first")
+    return c.select("sym", "cnt", first_str())
 
 
 def q_vocab_ids(spark, sf):
@@ -398,11 +403,11 @@ def q_space_chars(spark, sf):
 def q_vocab_from_file(spark, sf):
     """A vocabulary file rendered from the case-kept counts ("sym count" per line, most common
     first, after the lines <S>, </S>, <UNK>), read back lower-cased so repeats occur."""
-    from tokenloom.operators.positions import ordered_index
+    from tokenloom.operators.positions import order_bucket, ordered_index, rank_coarser
     lines = WC.single_split(_lines(spark, sf))
     counts = WC.corpus_counts(lines, CFG)
     ranked = ordered_index(counts, [], [F.col("cnt").desc(), F.col("first")],
-                           F.struct((-F.col("cnt")).alias("a"), F.floor(F.col("first") / F.lit(1 << 20)).alias("b")), "rank")
+                           F.struct((-F.col("cnt")).alias("a"), order_bucket("first").alias("b")), "rank", rank_coarser())
     body = ranked.select((F.col("rank") + 3).alias("line_no"),
                          F.concat_ws(" ", F.lower("sym"), F.col("cnt").cast("string")).alias("line"))
     head = spark.createDataFrame([(0, "<S>"), (1, "</S>"), (2, "<UNK>")], "line_no bigint, line string")
@@ -422,7 +427,7 @@ def q_vocab_size(spark, sf):
 
 def q_oov_report(spark, sf):
     c = corpus(spark, sf)
-    return V.oov_report(c.counts, c.vocab).select("sym", "cnt", "first")
+    return V.oov_report(c.counts, c.vocab).select("sym", "cnt", first_str())
 
 
 def q_encode_unk(spark, sf):
@@ -441,17 +446,15 @@ def q_decode_words(spark, sf):
 def q_counts_all_splits(spark, sf):
     docs = S.read_documents(spark, sf)
     lines = S.with_split(S.read_lines(docs), S.split_by_shard(docs))
-    return WC.corpus_counts(lines, CFG).select("sym", "cnt", "first")
+    return WC.corpus_counts(lines, CFG).select("sym", "cnt", first_str())
 
 
 def q_sentence_counts(spark, sf):
     """Counts from already tokenised sentences (conversation turns)."""
     from tokenloom.functions.text import tokenize
-    from tokenloom.operators.positions import doc_bucket, token_positions
     conv = spark.read.parquet(f"{sf}/conversations.parquet")
-    sents = conv.select("conv_id", "turn", tokenize(F.col("text")).alias("symbols"))
-    toks = token_positions(sents, "symbols", [], ["conv_id", "turn"], doc_bucket("conv_id", 1000))
-    return V.symbol_counts(toks).select("sym", "cnt", "first")
+    sents = conv.select(F.lit(0).alias("split_ord"), F.col("conv_id").alias("doc_id"), F.col("turn").alias("line_no"), tokenize(F.col("text")).alias("symbols"))
+    return V.symbol_counts(WC.counted_tokens(sents, CFG, marked=False)).select("sym", "cnt", first_str())
 
 
 def q_batch_grid(spark, sf):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import tokenize
 from tokenloom.operators import vocab as V
-from tokenloom.operators.positions import batch_grid, coarser, doc_bucket
+from tokenloom.operators.positions import batch_grid, coarser, doc_bucket, order_key
 from tokenloom.operators.windows import bin_features, window_tokens
 
 
@@ -56,18 +56,13 @@ def symbol_lines(lines: DataFrame, cfg: WordConfig, marks: bool) -> DataFrame:
                                                  cfg.add_eos and marks, cfg.add_double_eos and marks))
 
 
-def without_marks(symbols: F.Column, cfg: WordConfig) -> tuple[F.Column, int]:
-    """The symbols of a marked line without the marks ``symbol_lines(marks=True)`` added, and
-    the offset of the first kept symbol in the marked line."""
+def without_marks(symbols: F.Column, cfg: WordConfig) -> F.Column:
+    """The symbols of a marked line without the marks ``symbol_lines(marks=True)`` added."""
     if cfg.add_double_eos:
-        return F.slice(symbols, 2, F.size(symbols) - 2), 1
+        return F.slice(symbols, 2, F.size(symbols) - 2)
     if cfg.add_eos:
-        return F.slice(symbols, 1, F.size(symbols) - 1), 0
-    return symbols, 0
-
-
-# Counting order key: split order in the high bits, stream position below (p < 2^56).
-SPLIT_SHIFT = 1 << 56
+        return F.slice(symbols, 1, F.size(symbols) - 1)
+    return symbols
 
 
 def positioned_lines(lines: DataFrame, cfg: WordConfig, tokenized: bool = False) -> DataFrame:
@@ -82,19 +77,18 @@ def positioned_lines(lines: DataFrame, cfg: WordConfig, tokenized: bool = False)
     return s.drop("_n")
 
 
-def counted_tokens(plines: DataFrame, cfg: WordConfig) -> DataFrame:
-    """Tokens to count (no end marks, as counting uses add_eos=False) with an order key ``p``
-    that follows the concatenation of all given splits: (split order, stream position)."""
-    syms, shift = without_marks(F.col("symbols"), cfg)
-    t = plines.select("split_ord", "start_p", F.posexplode(syms).alias("pos", "sym"))
-    key = F.col("split_ord").cast("bigint") * F.lit(SPLIT_SHIFT) + F.col("start_p") + F.col("pos") + F.lit(shift)
-    return t.select(key.alias("p"), "sym")
+def counted_tokens(slines: DataFrame, cfg: WordConfig, marked: bool) -> DataFrame:
+    """Tokens to count (no end marks, as counting uses add_eos=False) with an order key ``p`` that
+    follows the concatenation of all given splits: (split order, document, line, place in it)."""
+    syms = without_marks(F.col("symbols"), cfg) if marked else F.col("symbols")
+    t = slines.select(order_key(F.col("split_ord"), F.col("doc_id"), F.col("line_no")).alias("_k"), F.posexplode(syms).alias("pos", "sym"))
+    return t.select((F.col("_k") + F.col("pos")).cast("decimal(38,0)").alias("p"), "sym")
 
 
-def corpus_counts(lines: DataFrame, cfg: WordConfig, positioned: bool = False) -> DataFrame:
-    """Counts over every given split, ties by (split order, position)."""
-    pl = lines if positioned else positioned_lines(lines, cfg)
-    return V.symbol_counts(counted_tokens(pl, cfg))
+def corpus_counts(lines: DataFrame, cfg: WordConfig, marked: bool = False) -> DataFrame:
+    """Counts over every given split, ties by (split order, place); one scan, one shuffle.
+    ``marked``: the lines carry marked symbols already."""
+    return V.symbol_counts(counted_tokens(lines if marked else symbol_lines(lines, cfg, marks=False), cfg, marked))
 
 
 def corpus_vocab(lines: DataFrame, cfg: WordConfig) -> DataFrame:

@@ -28,6 +28,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     b = SparkSession.builder.master(master).appName(app)
     b = b.config("spark.driver.memory", driver_memory)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
+    b = b.config("tokenloom.scan.partitions", str(cpus))  # the bench's tables are single files
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

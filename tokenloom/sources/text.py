@@ -11,30 +11,16 @@ from tokenloom.operators.positions import doc_bucket, prefix_offsets
 SPLIT_ORDER = {"train": 0, "valid": 1, "test": 2}
 
 
-def parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover - connect sessions
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores (a small file with
-    one row group) by hashing ``key``; a large input already has enough splits and is left as
-    is (no shuffle). The per-line work that follows (regex tokenising) is CPU-heavy, so it
-    should not run in one task."""
-    n = parallelism(df.sparkSession)
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - connect sessions have no RDD view
-        return df
-    if have < n:
-        return df.repartition(n, key)
-    return df
+SCAN_PARTITIONS = "tokenloom.scan.partitions"
 
 
 def read_documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), "doc_id")
+    """The documents table. The session setting ``tokenloom.scan.partitions`` (unset: none) deals its rows to
+    so many partitions by doc_id first: for small files of one row group, whose per-line work would run in
+    one task. A large input has enough splits and needs no such shuffle."""
+    docs = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    n = int(spark.conf.get(SCAN_PARTITIONS, "0"))
+    return docs.repartition(n, "doc_id") if n else docs
 
 
 def read_lines(docs: DataFrame, text_col: str = "text", shard_col: str = "source",
