@@ -43,3 +43,12 @@ def test_odd_rows(spark):
     none = li.identify(df.where("score = 2 and lang is null"), ~li.heldout(), li.heldout()).collect()
     assert {r.lang_pred for r in none} == {"und"} and all(r.rejected for r in none)
     assert li.identify(df.limit(0), ~li.heldout(), li.heldout()).count() == 0
+
+
+def test_rejects_what_no_language_fits(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang")
+    r = np.random.default_rng(1)
+    junk = [(-1 - i, "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz   "), 300)), None) for i in range(5)] + [(-10, "北京大学是中国的一所大学" * 3, None)]
+    out = li.identify(docs.unionByName(spark.createDataFrame(junk, docs.schema)), ~li.heldout(), li.heldout())
+    got = {r.doc_id for r in out.where("rejected").collect()}
+    assert {j[0] for j in junk} <= got and len(got) <= len(junk) + 2

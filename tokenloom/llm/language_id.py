@@ -5,7 +5,7 @@ blank. For each language an interpolated Kneser-Ney model of ``ORDER`` character
 learned from at most ``SAMPLE`` labelled texts (the least by hash of their id, whole) and stored as sorted
 hash arrays: for each order the n-gram keys with their final probabilities, and the context keys with the weight
 of the lower order. A text's language is the one with the least cross-entropy per character. It is rejected
-when that cross-entropy lies further above the language's own mean than any calibration text's, scaled by length.
+when that cross-entropy lies further above the language's own mean than calibration texts do, with room for short ones.
 """
 
 from __future__ import annotations
@@ -24,9 +24,12 @@ from tokenloom.llm import textkernel as tk
 
 ORDER = 4
 SAMPLE = 600  # labelled texts a language learns from at most; one in five of them calibrates
+LANGUAGES = 200  # learned at most, the most common ones
 DISCOUNT = 0.75
 BITS = 12  # of a character in an n-gram key
-SLACK = 1.5  # times the largest deviation of the calibration texts
+# A text is rejected if its cross-entropy is above the language's mean by more than SLACK times the share that all but one in 200
+# calibration texts stay within (LEAST_ABOVE at least), plus SHORT / sqrt(characters)
+SLACK, LEAST_ABOVE, SHORT = 1.5, 0.6, 4.0
 UNKNOWN = "und"
 
 
@@ -145,23 +148,27 @@ def _learn(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _calibrate(texts: pd.DataFrame, models: dict[str, KneserNey]) -> dict[str, tuple[float, float]]:
-    """(mean cross-entropy, largest length-scaled deviation allowed) of each language."""
+    """(mean cross-entropy, share above it that is allowed to long texts) of each language."""
     out = {}
     for lang in models:
         own = texts.loc[texts["lang"] == lang, "text"].tolist()
         ce, n, letters = cross_entropies(own, {lang: models[lang]}) if own else (np.zeros((0, 1)), np.zeros(0), np.zeros(0))
         ce, n = ce[letters > 0, 0], n[letters > 0]
         mean = float(np.average(ce, weights=n)) if len(ce) else 0.0
-        worst = float(max((ce - mean) * np.sqrt(n), default=np.inf))
-        out[lang] = (mean, max(worst * SLACK, 3 * mean))
+        above = float(np.quantile(ce / mean - 1, 0.995)) if len(ce) else 0.0
+        out[lang] = (mean, SLACK * max(above, LEAST_ABOVE))
     return out
 
 
 def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str):
     """Broadcast (models, limits); the sample, and so what reaches the driver, is SAMPLE texts of a language at most."""
-    w = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    known = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and id is not null")
-    sample = known.distinct().withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= SAMPLE)
+    w = W.partitionBy("lang").orderBy("u", "id")
+    known = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and id is not null").distinct()
+    known = known.withColumn("u", F.pmod(F.xxhash64("id"), F.lit(1 << 52)))
+    counts = known.groupBy("lang").agg(F.count("*").alias("c")).orderBy(F.col("c").desc(), "lang").limit(LANGUAGES)
+    # only rows whose hash is low enough for some 4 * SAMPLE of a language are ranked, so none ranks all its rows
+    low = known.join(F.broadcast(counts), "lang").where(F.col("u") * F.col("c") < F.lit(4.0 * SAMPLE * (1 << 52)))
+    sample = low.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= SAMPLE).select("id", "lang", "rank")
     texts = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null")
     texts = texts.join(F.broadcast(sample), ["id", "lang"]).select("lang", "rank", "text").dropDuplicates(["lang", "rank"])
     learned = texts.groupBy("lang").applyInPandas(_learn, "lang string, model binary").collect()
@@ -188,7 +195,7 @@ def _predict(fitted):
             least = ce.min(axis=1)
             second = np.partition(ce, 1, axis=1)[:, 1] if ce.shape[1] > 1 else least + 1
             score = np.where(letters > 0, 1 / (1 + np.exp(-np.minimum((second - least) * np.sqrt(n), 50))), 0.0)
-            rejected = (letters == 0) | ((least - mean[best]) * np.sqrt(n) > most[best])
+            rejected = (letters == 0) | (least > mean[best] * (1 + most[best] + SHORT / np.sqrt(n)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(names[best], pa.string()), pa.array(score), pa.array(np.where(letters > 0, least, np.nan)), pa.array(rejected)], schema=schema)
 
     return run
