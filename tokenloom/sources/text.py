@@ -47,6 +47,33 @@ def read_lines(docs: DataFrame, text_col: str = "text", shard_col: str = "source
                     ((F.col("line_no") < F.col("_n") - 1) | F.col("_nl")).alias("has_newline"))
 
 
+def read_text_files(spark: SparkSession, glob: str) -> DataFrame:
+    """A1 / A2 on text files: the lines of all files that match, in the columns of ``read_lines``.
+
+    ``shard`` is the file name; ``doc_id`` grows along the sorted files and, inside a file, along the blocks that Spark
+    splits it into; ``line_no`` counts the lines of a block, so numbering needs no group larger than a block. The table is
+    written once, as the order of a block's lines is that of this scan. The reader doesn't say whether a file's
+    last line ends in a newline; it is taken to."""
+    from tokenloom.session import materialize
+    t = spark.read.text(glob).select(F.col("_metadata.file_name").alias("shard"), F.col("_metadata.file_block_start").alias("block"),
+                                     F.monotonically_increasing_id().alias("n"), F.col("value").alias("line"))
+    t = materialize(t, "text-files")
+    files = t.select("shard").distinct()
+    files = files.select("shard", (F.row_number().over(Window.orderBy("shard")) - 1).cast("bigint").alias("f"))  # one row for each file
+    at = F.row_number().over(Window.partitionBy("shard", "block").orderBy("n")) - 1
+    t = t.join(files, "shard").select("shard", (F.shiftleft("f", 40) + F.col("block")).alias("doc_id"), at.alias("line_no"), "line")
+    return t.withColumn("has_newline", F.lit(True))
+
+
+def file_lines(lines: DataFrame, trailing: bool = False) -> DataFrame:
+    """(line_no, line) of one file read by ``read_text_files`` whose lines fit one block, e.g. a vocabulary or
+    merges file; ``trailing`` adds the empty text behind the last newline, as ``load_merges`` expects it."""
+    out = lines.select(F.col("line_no").cast("bigint").alias("line_no"), "line")
+    if trailing:
+        out = out.unionByName(out.agg((F.max("line_no") + 1).alias("line_no")).select("line_no", F.lit("").alias("line")))
+    return out
+
+
 def shard_list(docs: DataFrame, shard_col: str = "source") -> DataFrame:
     """A2: sorted shard list (shard, shard_no). The window runs over the distinct-shard table
     (one row per file), never over documents."""
