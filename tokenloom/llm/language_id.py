@@ -154,7 +154,7 @@ def _calibrate(texts: pd.DataFrame, models: dict[str, KneserNey]) -> dict[str, t
         own = texts.loc[texts["lang"] == lang, "text"].tolist()
         ce, n, letters = cross_entropies(own, {lang: models[lang]}) if own else (np.zeros((0, 1)), np.zeros(0), np.zeros(0))
         ce, n = ce[letters > 0, 0], n[letters > 0]
-        mean = float(np.average(ce, weights=n)) if len(ce) else 0.0
+        mean = float(np.average(ce, weights=n)) if len(ce) else np.inf  # nothing to calibrate by: no text is rejected
         above = float(np.quantile(ce / mean - 1, 0.995)) if len(ce) else 0.0
         out[lang] = (mean, SLACK * max(above, LEAST_ABOVE))
     return out
