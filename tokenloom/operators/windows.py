@@ -1,13 +1,13 @@
-"""Training windows from the batch grid (G7, W3, F3), bin features (P13, P14, W4, G8),
+"""Training windows (G7, W3, F3), bin features (P13, P14, W4, G8),
 dense permutations (P15), memory and visible context (W7, W8).
 
-The grid holds one row per token (r = batch row, c = step column). A window w of row r has
-inputs at columns [wT, min(wT+T, S-1)) and labels one column later; so each token is sent to
-its home window ``c div T`` and, when ``c`` is a positive multiple of T, also to the window
-before (as its last label). One shuffle groups (w, core, r); each group holds at most T+1
-tokens, so no group grows with the data. The running bin counters of W4 restart per
-(window, core group) and are a running sum over rows of that group, computed on per-window
-arrays (no per-token window function).
+The stream comes as id arrays, one per line, with the position of the first id. Row r of the batch grid is
+positions [rS, rS + S); window w of the row has inputs at columns [wT, min(wT + T, S - 1)) and labels one column
+later, so it covers T + 1 positions and shares one with the next window. Each line's array is cut at the window
+edges before the shuffle: about tokens / T + lines records move, not one per token. One shuffle groups
+(w, core, r); each group holds at most T + 1 tokens, so no group grows with the data. The running bin counters of
+W4 restart per (window, core group) and are a running sum over rows of that group, computed on
+per-window arrays (no per-token window function).
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ def num_windows(S: int, T: int, fixed: bool) -> int:
     return (S - 1) // T if fixed else -(-(S - 1) // T)
 
 
-def window_tokens(grid: DataFrame, S: int, T: int, fixed: bool, B: int, C: int = 1) -> DataFrame:
-    """W3 + G7 + F3: (w, r, core, sample_id, inputs, labels) from grid (r, c, id).
+def windows_of(lines: DataFrame, S: int, T: int, fixed: bool, B: int, C: int = 1) -> DataFrame:
+    """W3 + G7 + F3: (w, r, core, sample_id, inputs, labels) from lines (start_p, ids).
 
     ``core = r div (B div C)``; ``sample_id = w*B + r`` (window-major, then row).
     The shuffle is hash-partitioned on (w, core) so the later per-core running counters
@@ -32,19 +32,24 @@ def window_tokens(grid: DataFrame, S: int, T: int, fixed: bool, B: int, C: int =
     """
     W = num_windows(S, T, fixed)
     b = max(B // C, 1)
-    c = F.col("c")
-    home = F.expr(f"c div {T}")
-    ws = F.when((F.pmod(c, F.lit(T)) == 0) & (c > 0), F.array(home, home - 1)).otherwise(F.array(home))
-    t = (grid.select("r", "c", "id", F.explode(ws).alias("w"))
-         .filter(F.col("w") < F.lit(W))
-         .withColumn("core", F.expr(f"r div {b}")))
-    t = t.repartition("w", "core")
-    g = t.groupBy("w", "core", "r").agg(F.array_sort(F.collect_list(F.struct("c", "id"))).alias("_t"))
-    ids = F.transform("_t", lambda x: x["id"])
-    g = g.select("w", "core", "r", ids.alias("_ids"))
+    lines = lines.filter((F.size("ids") > 0) & (F.col("start_p") < F.lit(B * S))) if W else lines.limit(0)
+    S, W = max(S, 1), max(W, 1)
+
+    def number(p: str, before: int) -> str:
+        """Of the window (all rows' windows in a row) that holds position p; with ``before``, the first that does."""
+        return f"(({p}) div {S}) * {W} + greatest(least((({p}) % {S} - {before}) div {T}, {W - 1}), 0)"
+
+    last = f"least(start_p + size(ids), {B * S}) - 1"
+    cut = lines.select("start_p", "ids", F.explode(F.sequence(F.expr(number("start_p", 1)), F.expr(number(last, 0)))).alias("g"))
+    cut = cut.select("start_p", "ids", F.expr(f"g % {W}").alias("w"), F.expr(f"g div {W}").alias("r"))
+    lo, hi = f"greatest(r * {S} + w * {T}, start_p)", f"least(r * {S} + least(w * {T} + {T + 1}, {S}), start_p + size(ids))"
+    cut = cut.filter(F.expr(f"{hi} > {lo}")).select("w", "r", F.expr(f"r div {b}").alias("core"), F.expr(lo).alias("p"),
+                                                    F.expr(f"slice(ids, cast({lo} - start_p + 1 as int), cast({hi} - {lo} as int))").alias("part"))
+    g = cut.repartition("w", "core").groupBy("w", "core", "r").agg(F.array_sort(F.collect_list(F.struct("p", "part"))).alias("_t"))
+    g = g.select("w", "core", "r", F.flatten(F.transform("_t", lambda x: x["part"])).alias("_ids"))
     n = F.size("_ids")
-    return g.select("w", "r", "core", (F.col("w") * F.lit(B) + F.col("r")).alias("sample_id"),
-                    F.slice("_ids", 1, n - 1).alias("inputs"), F.slice("_ids", 2, n - 1).alias("labels"))
+    return g.filter(n > 1).select("w", "r", "core", (F.col("w") * F.lit(B) + F.col("r")).alias("sample_id"),
+                                  F.slice("_ids", 1, n - 1).alias("inputs"), F.slice("_ids", 2, n - 1).alias("labels"))
 
 
 def tail_bins(cutoffs: list[int]) -> list[tuple[int, int, int]]:

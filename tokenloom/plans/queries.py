@@ -66,15 +66,20 @@ class Corpus:
         self.vocab = V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size).cache()
         self.V = self.vocab.count()
         self.unk_id = V.unk_id_of(self.vocab, cfg.unk, cfg.special)
-        self.stream = materialize(WC.encoded_stream(tok, self.vocab, cfg, self.unk_id), "stream")
-        self.N = WC.split_sizes(self.stream)
+        self.encoded = materialize(WC.encoded_stream(tok, self.vocab, cfg, self.unk_id), "stream")
+        self.N = WC.split_sizes(self.encoded)
 
     @property
     def cutoffs(self):
         return [0] + TAIL_CUTS + [self.V]
 
+    def lines_of(self, name: str = "train") -> DataFrame:
+        """Encoded lines of a split: (doc_id, line_no, start_p, ids)."""
+        return self.encoded.filter(F.col("split") == name)
+
     def split(self, name: str = "train") -> DataFrame:
-        return self.stream.filter(F.col("split") == name)
+        """The same, one row per token."""
+        return WC.tokens_of(self.lines_of(name))
 
 
 _CORPORA: OrderedDict = OrderedDict()
@@ -149,7 +154,7 @@ def q_token_positions(spark, sf):
 
 def _windows(spark, sf, fixed: bool, Bq=B, Tq=T):
     c = corpus(spark, sf)
-    ex = WC.build_examples(c.split(), c.N["train"], Bq, Tq, C, fixed=fixed)
+    ex = WC.build_examples(c.lines_of(), c.N["train"], Bq, Tq, C, fixed=fixed)
     return ex.select("w", "r", "sample_id", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"))
 
 
@@ -169,7 +174,7 @@ def _fixed_examples(spark, sf):
     c = corpus(spark, sf)
     N = c.N["train"]
     bs = BN.collect_bin_sizes(BN.bin_sizes(c.split(), N, B // C, T, c.cutoffs))
-    ex = materialize(WC.build_examples(c.split(), N, B, T, C, c.cutoffs, bs, fixed=True))
+    ex = materialize(WC.build_examples(c.lines_of(), N, B, T, C, c.cutoffs, bs, fixed=True))
     return c, ex, bs
 
 
@@ -264,7 +269,7 @@ def q_dense_perm_sums(spark, sf):
 
 def q_examples_roundtrip(spark, sf):
     c = corpus(spark, sf)
-    ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
+    ex = WC.build_examples(c.lines_of(), c.N["train"], B, T, C, fixed=False)
     path = work_path(spark, "examples")
     EX.write_examples(ex, path, "train", "train")
     back = EX.read_examples(spark, path, T, fixed=False, split="train")
@@ -309,7 +314,7 @@ def q_corpus_info(spark, sf):
 
 def _fixed_windows(spark, sf):
     c = corpus(spark, sf)
-    return c, WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=True)
+    return c, WC.build_examples(c.lines_of(), c.N["train"], B, T, C, fixed=True)
 
 
 def q_replica_slots(spark, sf):
@@ -330,7 +335,7 @@ def q_host_ranges(spark, sf):
 
 def q_pad_last_batch(spark, sf):
     c = corpus(spark, sf)
-    ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
+    ex = WC.build_examples(c.lines_of(), c.N["train"], B, T, C, fixed=False)
     t = FD.pad_last_batch(ex, 10, T, B * BN.num_batches(c.N["train"], B, T, False))
     return t.select("batch", "slot", "is_padding", ids_str(F.col("inputs")).alias("inputs"))
 
@@ -431,10 +436,8 @@ def q_oov_report(spark, sf):
 
 
 def q_encode_unk(spark, sf):
-    c = corpus(spark, sf)
-    g = c.split().groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
-    return g.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"),
-                    ids_str(F.transform("_t", lambda x: x["id"])).alias("ids"))
+    lines = corpus(spark, sf).lines_of().groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("start_pos", "ids"))).alias("_t"))
+    return lines.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), ids_str(F.flatten(F.transform("_t", lambda x: x["ids"]))).alias("ids"))
 
 
 def q_decode_words(spark, sf):
@@ -466,7 +469,7 @@ def q_batch_grid(spark, sf):
 def q_next_token(spark, sf):
     """Each input with its label (next token in the same row), from the ragged windows."""
     c = corpus(spark, sf)
-    ex = WC.build_examples(c.split(), c.N["train"], B, T, C, fixed=False)
+    ex = WC.build_examples(c.lines_of(), c.N["train"], B, T, C, fixed=False)
     z = ex.select("r", "w", F.posexplode(F.arrays_zip("inputs", "labels")).alias("i", "z"))
     return z.select("r", (F.col("w") * T + F.col("i")).alias("c"), F.col("z.inputs").alias("id"), F.col("z.labels").alias("next_id"))
 
@@ -622,7 +625,7 @@ def q_loss_capacity_mean(spark, sf):
     c, model, valid, _ = _scored(spark, sf)
     N = c.N["valid"]
     bs = BN.collect_bin_sizes(BN.bin_sizes(valid, N, B // C, T, c.cutoffs))
-    ex = WC.build_examples(valid, N, B, T, C, c.cutoffs, bs, fixed=True)
+    ex = WC.build_examples(c.lines_of("valid"), N, B, T, C, c.cutoffs, bs, fixed=True)
     t = MT.loss_capacity_mean(MT.capacity_losses(ex, model, c.cutoffs[1]), ["w"])
     return t.select(F.col("w").alias("step"), F.col("n_kept").cast("bigint").alias("n_kept"), rnd(F.col("loss")).alias("loss"))
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import tokenize
 from tokenloom.operators import vocab as V
-from tokenloom.operators.positions import batch_grid, coarser, doc_bucket, order_key
-from tokenloom.operators.windows import bin_features, window_tokens
+from tokenloom.operators.positions import coarser, doc_bucket, order_key
+from tokenloom.operators.windows import bin_features, windows_of
 
 
 @dataclass(frozen=True)
@@ -95,29 +95,43 @@ def corpus_vocab(lines: DataFrame, cfg: WordConfig) -> DataFrame:
     return V.build_vocab(corpus_counts(lines, cfg), cfg.special, cfg.min_freq, cfg.max_size)
 
 
-def stream_tokens(plines: DataFrame) -> DataFrame:
-    """W1 with marks: (split, doc_id, line_no, pos, p, sym); ``p`` restarts per split."""
-    t = plines.select("split", "doc_id", "line_no", "start_p", F.posexplode("symbols").alias("pos", "sym"))
-    return t.select("split", "doc_id", "line_no", (F.col("start_p") + F.col("pos")).alias("p"), "pos", "sym")
+PIECE = 1 << 16  # tokens of a line that are grouped at most: a character corpus may be one line
 
 
 def encoded_stream(plines: DataFrame, vocab: DataFrame, cfg: WordConfig, unk_id: int | None) -> DataFrame:
-    """J1 + W1 over positioned lines: (split, doc_id, line_no, pos, p, sym, id)."""
-    return V.encode(stream_tokens(plines), vocab, unk_id, bounded=cfg.max_size is not None)
+    """J1 + W1 over positioned lines: (split, doc_id, line_no, start_pos, start_p, ids), one array for each
+    ``PIECE`` tokens of a line, which begins at ``start_pos`` in its line and ``start_p`` in the stream.
 
+    Pieces are dealt by their key before they are taken apart, one record each; the vocabulary join and the
+    regrouping then stay in those partitions (a bounded vocabulary is broadcast)."""
+    key = ["split", "doc_id", "line_no", "start_pos"]
+    cut = F.expr(f"sequence(0L, (size(symbols) - 1) div {PIECE})")
+    t = plines.select("split", "doc_id", "line_no", "start_p", "symbols", F.explode(cut).alias("_k"))
+    t = t.select("split", "doc_id", "line_no", (F.col("_k") * PIECE).alias("start_pos"), (F.col("start_p") + F.col("_k") * PIECE).alias("start_p"),
+                 F.expr(f"slice(symbols, cast(_k * {PIECE} as int) + 1, {PIECE})").alias("symbols"))
+    t = t.repartition(*key).select(*key, "start_p", F.posexplode("symbols").alias("pos", "sym"))
+    t = V.encode(t, vocab, unk_id, bounded=cfg.max_size is not None)
+    g = t.groupBy(*key, "start_p").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
+    return g.select(*key, "start_p", F.transform("_t", lambda x: x["id"]).alias("ids"))
 
-def split_sizes(stream: DataFrame) -> dict[str, int]:
+
+def tokens_of(lines: DataFrame) -> DataFrame:
+    """The encoded lines as one row per token: (split, doc_id, line_no, pos, p, id)."""
+    t = lines.select("split", "doc_id", "line_no", "start_pos", "start_p", F.posexplode("ids").alias("_i", "id"))
+    return t.select("split", "doc_id", "line_no", (F.col("start_pos") + F.col("_i")).alias("pos"), (F.col("start_p") + F.col("_i")).alias("p"), "id")
+
+
+def split_sizes(lines: DataFrame) -> dict[str, int]:
     """N per split (a handful of scalars to the driver)."""
-    return {r["split"]: int(r["n"]) for r in stream.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {r["split"]: int(r["n"]) for r in lines.groupBy("split").agg(F.sum(F.size("ids")).alias("n")).collect()}
 
 
 def build_examples(stream: DataFrame, N: int, B: int, T: int, C: int = 1, cutoffs: list[int] | None = None,
                    bin_sizes: list[int] | None = None, fixed: bool = False) -> DataFrame:
-    """A8's content: windows (w, r, core, sample_id, inputs, labels) plus, when ``cutoffs`` is
+    """A8's content from encoded lines (or tokens, (p, id) rows): windows (w, r, core, sample_id, inputs, labels) plus, when ``cutoffs`` is
     non-empty and ``fixed`` (the reference's use_tpu), masks, head labels and bin tuples."""
-    grid = batch_grid(stream, B, N)
-    S = N // B
-    win = window_tokens(grid, S, T, fixed, B, C)
+    lines = stream if "ids" in stream.columns else stream.select(F.col("p").alias("start_p"), F.array("id").alias("ids"))
+    win = windows_of(lines, N // B, T, fixed, B, C)
     if cutoffs and fixed:
         win = bin_features(win, cutoffs, bin_sizes or [])
     return win
