@@ -8,8 +8,12 @@ from tokenloom.llm import line_dedup as ld
 
 
 def brute(rows):
-    """{(id, line)} kept, by comparing each line with all earlier ones that share a word."""
-    lines = sorted((ld.LAST_ID if d is None else d, i, frozenset(re.split(ld.SPACE, s.lower())) - {""}) for d, t in rows if t is not None for i, s in enumerate(t.split("\n")))
+    """{(id, line)} kept, by comparing each line with all earlier ones that share a shingle."""
+    def tokens(s):
+        w = re.findall(r"[^ \t\x0b\f\r\n]+", s.lower())
+        return frozenset(tuple(w[i:i + ld.WORDS]) for i in range(max(len(w) - ld.WORDS + 1, 1))) if w else frozenset()
+
+    lines = sorted((ld.LAST_ID if d is None else d, i, tokens(s)) for d, t in rows if t is not None for i, s in enumerate(t.split("\n")))
     kept, at = set(), {}
     for x, (d, i, s) in enumerate(lines):
         if not s:
@@ -36,14 +40,14 @@ def test_documents_against_all_earlier_lines(spark):
 
 def test_near_copies(spark):
     r = random.Random(2)
-    base = [[f"w{r.randrange(60)}" for _ in range(r.randrange(1, 30))] for _ in range(12)]
+    base = [[f"w{r.randrange(60)}" for _ in range(r.randrange(1, 90))] for _ in range(12)]
     rows = []
     for d in range(60):
         text = []
         for _ in range(r.randrange(6)):
             w = list(r.choice(base))
-            for _ in range(r.randrange(5)):
-                w[r.randrange(len(w))] = f"w{r.randrange(80)}"
+            for _ in range(r.randrange(4)):
+                w[r.choice([0, -1, r.randrange(len(w))])] = f"w{r.randrange(80)}"
             text.append(" ".join(w) if r.random() < 0.8 else " ".join(w).upper() + "  ")
         rows.append((d, "\n".join(text)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -55,7 +59,7 @@ def test_near_copies(spark):
 
 
 def test_odd_rows(spark):
-    rows = [(1, "a b c\n\nA  b c\nz", "k"), (1, "a b c\n\nA  b c\nz", "k"), (2, "c b a", "m"), (3, None, "n"), (4, "", None), (5, " \n ", "p"),
+    rows = [(1, "a b c\n\nA  b c\nz", "k"), (1, "a b c\n\nA  b c\nz", "k"), (2, " a b C ", "m"), (3, None, "n"), (4, "", None), (5, " \n ", "p"),
             (None, "z\nnew line", "q"), (7, "big " + " ".join(f"v{i}" for i in range(50000)), "r"), (8, "big " + " ".join(f"v{i}" for i in range(49000)), "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, kept string")
     out = sorted(((r.doc_id, r.text if r.text is None else r.text[:12], r.kept) for r in ld.dedup_lines(df).collect()), key=str)

@@ -1,15 +1,16 @@
 """Operator 10, line dedup by an exact set-similarity join, in DataFrame functions only.
 
-A line's set is its distinct lower-cased words. A line is removed if an earlier line, by (document id, line number), has a set
-with a Jaccard similarity of ``PERCENT`` or more; the earlier line may itself be removed.
+A line's tokens are its distinct shingles of ``WORDS`` lower-cased words; a shorter line is one token. A line is removed if an earlier
+line, by (document id, line number), has a token set with a Jaccard similarity of ``PERCENT`` or more; the earlier line may
+itself be removed.
 
-1. Rarity: the words of all texts are counted in ``BUCKETS`` counters; a word's key orders by counter class, then
-   longer words first, then by hash, so a line's sorted keys start with its rarest words.
+1. Rarity: the words of all texts are counted in ``BUCKETS`` counters. A shingle's key orders by the class of its first word's
+   counter, then by hash, so a line's sorted keys start with the tokens of its rarest words.
 2. Lines with equal sets are one set, standing for its first line; the others are removed.
 3. Prefix filter: the first ``n - ceil(0.8 n) + 1`` keys of each set are posted. Sets that reach the similarity
-   share one of them. Along a key's postings, in line order, a streaming window pairs each set with the first one and
-   with the one before it. Pairs must pass the length filter, the positional filter and a parity
-   bitmap of the symmetric difference; the rest are verified on their full sets.
+   share one of them. Keys posted once fall away. Along a key's postings, in line order, a streaming window pairs each
+   set with the first one and with the one before it. Pairs must pass the length and the positional
+   filter; the rest are verified on their full sets.
 4. Sets not removed so far meet the other earlier postings of keys that four sets or more share. A large group of
    near copies is thus removed in step 3 and never multiplied out.
 """
@@ -23,53 +24,57 @@ from pyspark.sql import functions as F
 from tokenloom.session import materialize
 
 PERCENT = 80
+WORDS = 5
 BUCKETS = 1 << 14
 LAST_ID = (1 << 63) - 1  # stands for a null id: after all others
-BROADCAST_IDS = 2_000_000  # ids (8 bytes each) that are broadcast at most; more go through a shuffle
-SPACE = r"[ \t\x0B\f\r\n]+"
+BROADCAST_LINES = 2_000_000  # (id, line) rows, 12 bytes each, that are broadcast at most; more go through a shuffle
+SPACE = r" \t\x0B\f\r\n"
+HASH = (1 << 57) - 1
 
 
-def _words(text: Column) -> Column:
-    return F.split(F.lower(text), SPACE)
+def _texts_to_lines(docs: DataFrame) -> DataFrame:
+    """(id, line, w): the lower-cased words of each line that has some."""
+    lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line", "s"))
+    words = F.array_remove(F.split(F.lower("s"), f"[{SPACE}]+"), "")
+    return lines.select("id", "line", words.alias("w")).where("size(w) > 0")
 
 
-def _classes(texts: DataFrame) -> Column:
-    """Array of the rarity class of each counter: 0 up to the mean, one more for each doubling."""
-    words = texts.select(F.explode(_words(F.col("text"))).alias("w")).where("w != ''")
-    counts = dict(words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("c")).collect())
+def _classes(docs: DataFrame) -> str:
+    """SQL array: the rarity class of each counter, 0 up to the mean and one more for each doubling, in a key's top bits."""
+    words = docs.select(F.explode(F.split(F.lower("text"), f"[{SPACE}]+")).alias("w"))
+    counts = dict(words.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} as int)").alias("b")).agg(F.count("*").alias("c")).collect())
     mean = max(1, sum(counts.values()) // BUCKETS)
-    return F.split(F.lit(",".join(str((counts.get(b, 0) // mean).bit_length()) for b in range(BUCKETS))), ",").cast("array<int>")
-
+    top = ",".join(str((counts.get(b, 0) // mean).bit_length() << 57) for b in range(BUCKETS))
+    return f"cast(split('{top}', ',') as array<bigint>)"
 
-def _lines(docs: DataFrame, classes: Column) -> DataFrame:
-    """(id, line, n, keys) of the lines that have words; keys sorted from the rarest word."""
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
-        sort = F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long") * 64 + (63 - F.least(F.length(w), F.lit(63)))
-        return F.shiftleft(sort, 51).bitwiseOR(h.bitwiseAND(F.lit((1 << 51) - 1)))
 
-    lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line", "s"))
-    keys = F.sort_array(F.array_distinct(F.transform(F.array_remove(_words(F.col("s")), ""), key)))
-    return lines.select("id", "line", keys.alias("keys")).withColumn("n", F.size("keys")).where("n > 0")
+def _sets(lines: DataFrame, classes: str) -> DataFrame:
+    """(id, line, n, keys): keys sorted from the rarest token."""
+    hashed = lines.select("id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
+    key = f"get({classes}, cast(get(h, i - 1) & {BUCKETS - 1} as int)) + (xxhash64(slice(h, i, {WORDS})) & {HASH})"
+    keys = F.expr(f"sort_array(array_distinct(transform(sequence(1, greatest(size(h) - {WORDS - 1}, 1)), i -> {key})))")
+    return hashed.select("id", "line", keys.alias("keys")).withColumn("n", F.size("keys"))
 
 
 def _near(x: str, y: str) -> str:
-    """Length, positional and bitmap filter of postings x and y (columns n, pos, sig)."""
+    """Length and positional filter of postings x and y (columns n, pos)."""
     need = f"(({PERCENT} * ({x}.n + {y}.n) + {PERCENT + 99}) div {100 + PERCENT})"
     return (f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n)"
-            f" and least({x}.pos, {y}.pos) + 1 + least({x}.n - {x}.pos, {y}.n - {y}.pos) - 1 >= {need}"
-            f" and bit_count({x}.sig ^ {y}.sig) <= {x}.n + {y}.n - 2 * {need}")
+            f" and least({x}.pos, {y}.pos) + least({x}.n - {x}.pos, {y}.n - {y}.pos) >= {need}")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: Column) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: str) -> DataFrame:
     """(id, line) of the sets x for which a pair (id, line, yid, yline) reaches the similarity."""
     pairs = materialize(pairs.distinct(), "ld-pairs")
-    ids = pairs.select("id").union(pairs.select("yid")).distinct()
-    ids = materialize(ids, "ld-ids")
-    few = ids.count() <= BROADCAST_IDS
-    places = pairs.select("id", "line").union(pairs.select("yid", "yline")).distinct()
-    sets = _lines(docs.join(F.broadcast(ids) if few else ids, "id", "left_semi"), classes)
-    sets = materialize(sets.join(places, ["id", "line"], "left_semi").select("id", "line", "n", "keys").dropDuplicates(["id", "line", "keys"]), "ld-sets")
+    places = materialize(pairs.select("id", "line").union(pairs.select("yid", "yline")).distinct(), "ld-places")
+    held = places.count()
+    if not held:
+        return pairs.select("id", "line")
+    ids = places.select("id").distinct()
+    if held <= BROADCAST_LINES:
+        ids, places = F.broadcast(ids), F.broadcast(places)
+    lines = _texts_to_lines(docs.join(ids, "id", "left_semi")).join(places, ["id", "line"], "left_semi")
+    sets = materialize(_sets(lines, classes).dropDuplicates(["id", "line", "keys"]), "ld-sets")
     both = (pairs.join(sets, ["id", "line"])
             .join(sets.select(F.col("id").alias("yid"), F.col("line").alias("yline"), F.col("n").alias("m"), F.col("keys").alias("ykeys")), ["yid", "yline"]))
     same = F.size(F.array_intersect("keys", "ykeys"))
@@ -84,19 +89,19 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     classes = _classes(docs)
-    sig = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
-    prefix = F.slice("keys", 1, F.col("n") - F.expr(f"cast(ceil(n * {PERCENT} / 100) as int)") + 1)
-    lines = _lines(docs, classes).select("id", "line", "n", F.xxhash64("keys").alias("fp"), sig.alias("sig"), prefix.alias("prefix"))
-    first = lines.groupBy("fp", "sig", "n").agg(F.min(F.struct("id", "line", "prefix")).alias("f"))
-    first = materialize(first.select("f.id", "f.line", "n", "sig", "f.prefix"), "ld-first")
+    prefix = F.expr(f"slice(keys, 1, n - cast(ceil(n * {PERCENT} / 100) as int) + 1)")
+    lines = _sets(_texts_to_lines(docs), classes).select("id", "line", "n", F.xxhash64("keys").alias("fp"), F.hash("keys").alias("fp2"), prefix.alias("prefix"))
+    first = lines.groupBy("fp", "fp2", "n").agg(F.min(F.struct("id", "line", "prefix")).alias("f"))
+    first = materialize(first.select("f.id", "f.line", "n", "f.prefix"), "ld-first")
 
     w = W.partitionBy("key").orderBy("id", "line")
-    me = F.struct("id", "line", "n", "pos", "sig")
-    posted = (first.select("id", "line", "n", "sig", F.posexplode("prefix").alias("pos", "key"))
-              .select("key", "id", "line", "n", "pos", "sig", F.row_number().over(w).alias("rn"),
-                      F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2"),
+    me = F.struct("id", "line", "n", "pos")
+    posted = (first.select("id", "line", "n", F.posexplode("prefix").alias("pos", "key"))
+              .select("key", "id", "line", "n", (F.col("pos") + 1).alias("pos"), F.row_number().over(w).alias("rn"), F.lead("n").over(w).alias("next"))
+              .where("rn > 1 or next is not null").drop("next")
+              .select("*", F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2"),
                       *[F.lead("n", k).over(w).isNotNull().alias(f"more{k}") for k in (1, 2, 3)])
-              .withColumn("x", F.struct("n", "pos", "sig"))
+              .withColumn("x", F.struct("n", "pos"))
               .withColumn("near1", F.expr(f"rn > 1 and ({_near('x', 'y1')})")).withColumn("near2", F.expr(f"rn > 2 and ({_near('x', 'y2')})"))
               .withColumn("many", F.expr("rn > 3 or rn = 3 and more1 or rn = 2 and more2 or rn = 1 and more3"))
               .where("near1 or near2 or many").drop("more1", "more2", "more3", "x"))
@@ -106,7 +111,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return posted.where(near).select("id", "line", F.col(f"{y}.id").alias("yid"), F.col(f"{y}.line").alias("yline"))
 
     gone = materialize(_verified(pairs("near1", "y1").union(pairs("near2", "y2")).where("(yid, yline) < (id, line)"), docs, classes), "ld-gone")
-    narrow = posted.where("many").select("key", "id", "line", "n", "pos", "sig", "rn")
+    narrow = posted.where("many").select("key", "id", "line", "n", "pos", "rn")
     x = narrow.where("rn > 3").join(gone, ["id", "line"], "left_anti").alias("x")
     more = (x.join(narrow.where("rn > 1").alias("y"), F.expr(f"x.key = y.key and y.rn < x.rn - 1 and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
             .select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline")))
@@ -117,7 +122,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines (lines with words), kept_lines (their numbers), n_removed."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(F.col(text_col).cast("string"), "\n").alias("lines"))
-    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.coalesce(F.filter(F.transform("lines", lambda s, i: F.when(s.rlike(r"[^ \t\x0B\f\r\n]"), i)), lambda i: i.isNotNull()), F.array().cast("array<int>")).alias("own"))
+    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.coalesce(F.filter(F.transform("lines", lambda s, i: F.when(s.rlike(f"[^{SPACE}]"), i)), lambda i: i.isNotNull()), F.array().cast("array<int>")).alias("own"))
     rows = rows.join(kept_lines(docs, id_col, text_col), "id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
     kept = F.array_intersect("own", "kept")
     return rows.select("doc_id", F.size("own").alias("n_lines"), kept.alias("kept_lines"), (F.size("own") - F.size(kept)).alias("n_removed"))
@@ -131,7 +136,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
     kept = kept_lines(docs, id_col, text_col).select(F.col("id").alias("__id"), F.col("kept").alias("__kept"))
     out = docs.withColumn("__id", key).join(kept, "__id", "left")
-    lines = F.filter(F.split(F.col(text_col), "\n"), lambda s, i: ~s.rlike(r"[^ \t\x0B\f\r\n]") | F.array_contains("__kept", i))
-    wordless = ~F.coalesce(F.col(text_col).rlike(r"[^ \t\x0B\f\r\n]"), F.lit(False))
+    lines = F.filter(F.split(F.col(text_col), "\n"), lambda s, i: ~s.rlike(f"[^{SPACE}]") | F.array_contains("__kept", i))
+    wordless = ~F.coalesce(F.col(text_col).rlike(f"[^{SPACE}]"), F.lit(False))
     out = out.where(wordless | F.col("__kept").isNotNull())
     return out.select(*[F.when(wordless, F.col(c)).otherwise(F.array_join(lines, "\n")).alias(c) if c == text_col else F.col(c) for c in docs.columns])
