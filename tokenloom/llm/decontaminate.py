@@ -21,6 +21,8 @@ LITERALS = 4
 COVERAGE = 0.3
 CONSISTENT = 0.8
 BROADCAST_WINDOWS = 500_000  # item windows (24 bytes each) that are broadcast at most; more are joined by a shuffle
+FORMS = ("literal", "template")
+BROADCAST_IDS = 2_000_000  # contaminated texts (16 bytes each) that are broadcast at most, to read them again
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 # fixed values: unit words
 UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams ton tons lb lbs pound pounds ounce ounces ml l liter liters litre "
@@ -48,11 +50,33 @@ def _forms(words: Column) -> dict[str, Column]:
     return {"literal": canon(False), "template": canon(True)}
 
 
-def _windows(canon: Column) -> Column:
-    """Hash of each window, in order."""
-    h = F.transform(canon, lambda w: F.xxhash64(w))
-    last = F.size(canon) - WINDOW
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.xxhash64(F.slice(h, i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
+def _hashes(rows: DataFrame) -> DataFrame:
+    """``rows`` with the hashes of the canonical words of both forms in place of ``words``: the same as hashing the
+    words of ``_forms``, but each word is lower-cased and hashed once."""
+    names = [c for c in rows.columns if c != "words"]
+    num, unit, name = (F.xxhash64(F.lit(x)) for x in (NUM, UNIT, NAME))
+    low = rows.where(F.size("words") >= WINDOW).select(*names, "words", F.transform("words", lambda w: F.lower(w)).alias("low"))
+
+    def literal(w: Column, i: Column) -> Column:
+        return F.when(_number(w), num).when(w.isin(UNITS) & F.coalesce(_number(F.get("low", i - 1)), F.lit(False)), unit).otherwise(F.xxhash64(w))
+
+    def template(w: Column, i: Column) -> Column:
+        h = F.get("h_literal", i)
+        return F.when((F.get("low", i) == w) | (h == num) | (h == unit), h).otherwise(name)
+
+    low = low.select(*names, "words", "low", F.transform("low", literal).alias("h_literal"))
+    return low.select(*names, "h_literal", F.transform("words", template).alias("h_template"))
+
+
+def _windows(hashed: DataFrame) -> DataFrame:
+    """(form, pos, h) for each window of each form, in place of the word hashes (columns h_<form>).
+
+    Word hashes are columns of their own: inside the windows' lambda they'd be worked out again for each window."""
+    names = [c for c in hashed.columns if not c.startswith("h_")]
+    hashed = hashed.where(F.size(f"h_{FORMS[0]}") >= WINDOW)
+    one = lambda i: F.array(*[F.struct(F.lit(f).alias("form"), (i - 1).cast("int").alias("pos"), F.xxhash64(F.slice(f"h_{f}", i, WINDOW)).alias("h")) for f in FORMS])
+    each = F.flatten(F.transform(F.sequence(F.lit(1), F.size(f"h_{FORMS[0]}") - (WINDOW - 1)), one))
+    return hashed.select(*names, F.explode(each).alias("x")).select(*names, "x.*")
 
 
 def _placeholder(w: Column) -> Column:
@@ -69,9 +93,11 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null")
     items = items.groupBy("text").agg(F.min("item_id").alias("item_id")).select("item_id", _words(F.col("text")).alias("words"))
     items = items.select("item_id", "words", *[c.alias(f) for f, c in _forms(F.col("words")).items()])
-    both = [items.select("item_id", F.lit(f).alias("form"), F.col(f).alias("canon"), F.transform("words", lambda w: F.lower(w)).alias("words")) for f in ("literal", "template")]
+    items = materialize(items, "dc-forms")
+    both = [items.select("item_id", F.lit(f).alias("form"), F.col(f).alias("canon"), F.transform("words", lambda w: F.lower(w)).alias("words")) for f in FORMS]
+    parts = _windows(items.select("item_id", *[F.transform(f, lambda w: F.xxhash64(w)).alias(f"h_{f}") for f in FORMS])).withColumnRenamed("pos", "ipos")
     items = materialize(both[0].unionByName(both[1]), "dc-items")
-    parts = items.select("item_id", "form", "canon", F.posexplode(_windows(F.col("canon"))).alias("ipos", "h"))
+    parts = parts.join(items.drop("words"), ["item_id", "form"])
     parts = parts.where(F.size(F.filter(F.expr(f"slice(canon, ipos + 1, {WINDOW})"), lambda w: ~_placeholder(w))) >= LITERALS).drop("canon")
     parts = materialize(parts, "dc-windows")
     few = parts.count() <= BROADCAST_WINDOWS
@@ -79,20 +105,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     words = rows.select("doc_id", F.xxhash64("text").alias("th"), _words(F.col("text")).alias("words"))
-    canon = words.select("doc_id", "th", *[c.alias(f) for f, c in _forms(F.col("words")).items()])
-    # a text's windows of both forms; where the text has nothing to replace by names they are equal and the join finds both
-    found = None
-    for f in ("literal", "template"):
-        own = parts.where(F.col("form") == f)
-        hit = canon.select("doc_id", "th", F.posexplode(_windows(F.col(f))).alias("dpos", "h")).join(F.broadcast(own) if few else own, "h")
-        hit = hit.groupBy("doc_id", "th", "item_id", "form", "ipos").agg(F.min("dpos").alias("dpos"))
-        found = hit if found is None else found.unionByName(hit)
+    found = _windows(_hashes(words)).withColumnRenamed("pos", "dpos").join(F.broadcast(parts) if few else parts, ["form", "h"])
+    found = found.groupBy("doc_id", "th", "item_id", "form", "ipos").agg(F.min("dpos").alias("dpos"))
     found = (found.groupBy("doc_id", "th", "item_id", "form").agg(F.count("*").alias("n_matched"), F.collect_list(F.struct("ipos", "dpos")).alias("at"))
              .join(F.broadcast(totals) if few else totals, ["item_id", "form"]).where(F.col("n_matched") >= COVERAGE * F.col("n_windows")))
     found = materialize(found, "dc-found")
 
     # the values behind the placeholders of the matched windows
     ids = found.select("doc_id", "th").distinct()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     low = words.join(ids, words.doc_id.eqNullSafe(ids.doc_id) & (words.th == ids.th), "left_semi").select("doc_id", "th", F.transform("words", lambda w: F.lower(w)).alias("dwords")).dropDuplicates(["doc_id", "th"])
     both = found.alias("f").join(low.alias("w"), F.expr("f.doc_id <=> w.doc_id and f.th = w.th")).select("f.*", "w.dwords")
     both = both.join(items.select("item_id", "form", "canon", F.col("words").alias("iwords")), ["item_id", "form"])
