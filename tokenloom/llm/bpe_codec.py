@@ -58,6 +58,8 @@ class Bpe:
 
     def pieces(self, word: str) -> list[bytes | int]:
         """UTF-8 pieces of a word; the id of a special token found in it."""
+        if word.isascii() and word.isalpha():  # a run of letters is one piece
+            return [word.lower().encode()]
         out: list[bytes | int] = []
         for part in self._cut.split(word) if self._cut and "<" in word else [word]:
             if part in self.special:
