@@ -29,12 +29,24 @@ from tokenloom.session import materialize
 
 MU = 500.0
 BATCH_BYTES = 8 << 20  # text in a batch, about; a longer text is a batch of its own
-SHARD_ITEMS = 1 << 21  # requests that a shard gets, about
+SHARD_ITEMS = 1 << 20  # requests that a shard gets, about
 SALTS = 16
 FLOOR = -8.0  # least log10 of a stored probability
 START = np.uint32(0xFFFFFFFF)  # id of the context that a text starts in
 
-BATCHES = "batch string, docs binary, known binary, train binary, ends binary, tokens binary, vocab binary"
+BATCHES = "batch string, docs binary, known binary, train binary, ends binary, tokens binary, places binary, n_tokens long, n_words long, vocab binary"
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """A column for the shuffle: its numbers by byte planes, compressed."""
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T) if len(x) else np.zeros(0, np.uint8)
+    return len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, kind) -> np.ndarray:
+    n, size = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(raw[8:], n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).reshape(n)
 
 
 def _pack():
@@ -45,11 +57,15 @@ def _pack():
             start, end, first = tk.word_bounds(data, offs)
             words = tk.word_hashes(data, start, end) | np.uint64(1)  # 0 is the end of a text
             words = np.insert(words, first[1:], np.uint64(0))
-            vocab, tokens = np.unique(words, return_inverse=True)
+            vocab, tokens, often = np.unique(tk.mix(words), return_inverse=True, return_counts=True)
+            places = np.argsort(-often, kind="stable")  # tokens are numbered by frequency, which packs better
+            rank = np.empty(len(places), np.uint32)
+            rank[places] = np.arange(len(places))
             ids = b.column(0)
             row = [str(uuid.uuid4()), ids.fill_null(0).to_numpy().astype("<i8").tobytes(), ids.is_valid().to_numpy(False).astype(np.uint8).tobytes(), b.column(2).to_numpy(False).astype(np.uint8).tobytes(),
-                   (first[1:] + np.arange(1, len(first))).astype("<i8").tobytes(), tokens.astype("<u4").tobytes(), vocab.tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.string() if isinstance(x, str) else pa.binary()) for x in row], names=names)
+                   (first[1:] + np.arange(1, len(first))).astype("<i8").tobytes(), _packed(rank[tokens]), _packed(places.astype("<u4")), len(tokens), len(vocab), vocab.tobytes()]
+            kinds = {str: pa.string(), int: pa.int64(), bytes: pa.binary()}
+            yield pa.RecordBatch.from_arrays([pa.array([x], kinds[type(x)]) for x in row], names=names)
 
     return run
 
@@ -60,21 +76,11 @@ class _Batch:
         self.known = np.frombuffer(row.known, np.uint8).astype(bool)
         self.train = np.frombuffer(row.train, np.uint8).astype(bool)
         self.ends = np.frombuffer(row.ends, "<i8")
-        self.tokens = np.frombuffer(row.tokens, "<u4")
-        self.vocab = np.frombuffer(row.vocab, np.uint64)
+        self.tokens = _unpacked(row.places, "<u4")[_unpacked(row.tokens, "<u4")]
+        self.words = int(row.n_words)
         self.sizes = np.diff(self.ends, prepend=0)
         self.learned = np.repeat(self.train, self.sizes)
 
-    def shards(self, n: int) -> np.ndarray:
-        return (tk.mix(self.vocab) % np.uint64(n)).astype(np.int64)
-
-    def answered(self, answers: list[tuple[int, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(id, count) of each word of the batch's vocabulary."""
-        ids, counts, shard = np.zeros(len(self.vocab), np.uint32), np.zeros(len(self.vocab), np.int64), self.shards(n)
-        for s, i, c in answers:
-            ids[shard == s], counts[shard == s] = i, c
-        return ids, counts
-
     def bigrams(self, ids: np.ndarray, counts: np.ndarray, n: int):
         """(context, word, training count, count of the context, shard) of the distinct bigrams, and each token's."""
         w = ids[self.tokens]
@@ -91,6 +97,11 @@ class _Batch:
         return v, w, seen, context, (tk.mix(v.astype(np.uint64) * np.uint64(SALTS) + salt) % np.uint64(n)).astype(np.int64), back
 
 
+def _word_shards(vocab: np.ndarray, n: int) -> np.ndarray:
+    """Shard of each word: ranges of its hash, so a sorted vocabulary is a row of shards."""
+    return ((vocab >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
 def _by_shard(shard: np.ndarray):
     order = np.argsort(shard, kind="stable")
     cuts = np.flatnonzero(np.diff(shard[order])) + 1
@@ -106,9 +117,9 @@ def _ask_words(n: int):
     def run(frames):
         for f in frames:
             for row in f.itertuples():
-                b = _Batch(row)
-                seen = np.bincount(b.tokens, weights=b.learned, minlength=len(b.vocab)).astype("<i8")
-                rows = [(s, row.batch, b.vocab[i].tobytes(), seen[i].tobytes()) for s, i in _by_shard(b.shards(n))]
+                b, vocab = _Batch(row), np.frombuffer(row.vocab, np.uint64)
+                seen = np.bincount(b.tokens, weights=b.learned, minlength=len(vocab)).astype("<i8")
+                rows = [(s, row.batch, vocab[i].tobytes(), _packed(seen[i])) for s, i in _by_shard(_word_shards(vocab, n))]
                 yield pd.DataFrame(rows, columns=["shard", "batch", "words", "counts"])
 
     return run
@@ -122,38 +133,40 @@ def _number(n: int):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         words = [np.frombuffer(x, np.uint64) for x in rows["words"]]
         every, back = np.unique(np.concatenate(words), return_inverse=True)
-        count = np.bincount(back, weights=np.concatenate([np.frombuffer(x, "<i8") for x in rows["counts"]])).astype(np.int64)
+        count = np.bincount(back, weights=np.concatenate([_unpacked(x, "<i8") for x in rows["counts"]])).astype(np.int64)
         if len(every) * n >= START:
             raise ValueError("the vocabulary doesn't fit 32-bit ids")
         ids = (np.arange(len(every)) * n + key[0]).astype(np.uint32)
         parts = np.split(back, np.cumsum([len(x) for x in words])[:-1])
         known = [[int((count > 0).sum()), int(count.sum())]] + [[0, 0]] * (len(rows) - 1)
-        return pd.DataFrame({"shard": key[0], "batch": rows["batch"], "ids": [ids[p].astype("<u4").tobytes() for p in parts], "counts": [count[p].astype("<i8").tobytes() for p in parts],
+        return pd.DataFrame({"shard": key[0], "batch": rows["batch"], "ids": [_packed(ids[p].astype("<u4")) for p in parts], "counts": [_packed(count[p].astype("<i8")) for p in parts],
                              "distinct": [k[0] for k in known], "total": [k[1] for k in known]})
 
     return run
 
 
-def _batch_rows(rows: pd.DataFrame, words: int):
+def _batch_rows(rows: pd.DataFrame):
     """(batch, ids, counts) from a batch's own row and the answers for its words."""
     b = _Batch(rows[rows["kind"] == 0].iloc[0])
-    said = rows[rows["kind"] == 1]
-    answers = [(int(s), np.frombuffer(i, "<u4"), np.frombuffer(c, "<i8")) for s, i, c in zip(said["shard"], said["ids"], said["counts"], strict=True)]
-    return b, *b.answered(answers, words)
+    said = rows[rows["kind"] == 1].sort_values("shard")
+    ids, counts = (np.concatenate([_unpacked(x, kind) for x in said[c]]) for c, kind in (("ids", "<u4"), ("counts", "<i8")))
+    if len(ids) != b.words:
+        raise ValueError("a batch lacks answers for some of its words")
+    return b, ids, counts
 
 
 BIGRAMS = "shard long, batch string, contexts binary, runs binary, context_counts binary, words binary, counts binary"
 
 
-def _ask_bigrams(words: int, n: int):
+def _ask_bigrams(n: int):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        b, ids, counts = _batch_rows(rows, words)
+        b, ids, counts = _batch_rows(rows)
         v, w, seen, context, shard, _ = b.bigrams(ids, counts, n)
         out = []
         for s, i in _by_shard(shard):
             head = np.flatnonzero(np.concatenate([[True], np.diff(v[i]) != 0]))
             runs = np.diff(np.append(head, len(i)))
-            out.append((s, key[0], v[i][head].astype("<u4").tobytes(), runs.astype("<u4").tobytes(), context[i][head].astype("<i8").tobytes(), w[i].astype("<u4").tobytes(), seen[i].astype("<u4").tobytes()))
+            out.append((s, key[0], _packed(v[i][head]), _packed(runs.astype("<u4")), _packed(context[i][head]), _packed(w[i]), _packed(seen[i].astype("<u4"))))
         return pd.DataFrame(out, columns=[x.split()[0] for x in BIGRAMS.split(", ")])
 
     return run
@@ -206,8 +219,8 @@ CODES = "shard long, batch string, codes binary"
 
 def _shard(key, rows: pd.DataFrame) -> pd.DataFrame:
     """Builds a shard's trie from all requests' counts, and answers them."""
-    size = [len(x) // 4 for x in rows["words"]]
-    get = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in rows[c]])
+    size = [int.from_bytes(x[:8], "little") for x in rows["words"]]
+    get = lambda c, kind: np.concatenate([_unpacked(x, kind) for x in rows[c]])
     runs = get("runs", "<u4")
     pair = np.repeat(get("contexts", "<u4").astype(np.uint64), runs) << np.uint64(32) | get("words", "<u4")
     every, first, back = np.unique(pair, return_index=True, return_inverse=True)
@@ -217,16 +230,16 @@ def _shard(key, rows: pd.DataFrame) -> pd.DataFrame:
     had = seen > 0
     trie = Trie(Trie.build(v[had], w[had], seen[had] / (context[had] + MU)))
     codes = trie.find(v, w)[back].astype("<u2")
-    return pd.DataFrame({"shard": key[0], "batch": rows["batch"], "codes": [x.tobytes() for x in np.split(codes, np.cumsum(size)[:-1])]})
+    return pd.DataFrame({"shard": key[0], "batch": rows["batch"], "codes": [_packed(x) for x in np.split(codes, np.cumsum(size)[:-1])]})
 
 
-def _total(words: int, n: int, total: int, distinct: int):
+def _total(n: int, total: int, distinct: int):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        b, ids, counts = _batch_rows(rows, words)
+        b, ids, counts = _batch_rows(rows)
         _, _, _, context, shard, back = b.bigrams(ids, counts, n)
         codes = np.zeros(len(shard), np.uint16)
         said = rows[rows["kind"] == 2]
-        answers = {int(s): np.frombuffer(c, "<u2") for s, c in zip(said["shard"], said["codes"], strict=True)}
+        answers = {int(s): _unpacked(c, "<u2") for s, c in zip(said["shard"], said["codes"], strict=True)}
         for s, i in _by_shard(shard):
             codes[i] = answers[s]
         c = counts[b.tokens]
@@ -250,7 +263,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     batches = materialize(rows.mapInArrow(_pack(), BATCHES), "lm-batches")
-    items, tokens = batches.agg(F.sum(F.length("vocab") / 8), F.sum(F.length("tokens") / 4)).first()
+    items, tokens = batches.agg(F.sum("n_words"), F.sum("n_tokens")).first()
     words = int((items or 0) // SHARD_ITEMS) + 1
     shards = int((tokens or 0) // SHARD_ITEMS) + 1
     asked = batches.mapInPandas(_ask_words(words), WORDS)
@@ -258,11 +271,11 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     distinct, total = numbered.agg(F.sum("distinct"), F.sum("total")).first()
 
     nothing = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
-    held = batches.select(F.lit(0).alias("kind"), "batch", "docs", "known", "train", "ends", "tokens", "vocab", *nothing("long", "shard"), *nothing("binary", "ids", "counts", "codes"))
-    told = numbered.select(F.lit(1).alias("kind"), "batch", *nothing("binary", "docs", "known", "train", "ends", "tokens", "vocab"), "shard", "ids", "counts", *nothing("binary", "codes"))
+    held = batches.select(F.lit(0).alias("kind"), "batch", "docs", "known", "train", "ends", "tokens", "places", "n_words", *nothing("long", "shard"), *nothing("binary", "ids", "counts", "codes"))
+    told = numbered.select(F.lit(1).alias("kind"), "batch", *nothing("binary", "docs", "known", "train", "ends", "tokens", "places"), *nothing("long", "n_words"), "shard", "ids", "counts", *nothing("binary", "codes"))
     both = held.unionByName(told)
-    bigrams = both.groupBy("batch").applyInPandas(_ask_bigrams(words, shards), BIGRAMS)
+    bigrams = both.groupBy("batch").applyInPandas(_ask_bigrams(shards), BIGRAMS)
     codes = bigrams.groupBy("shard").applyInPandas(_shard, CODES)
-    codes = codes.select(F.lit(2).alias("kind"), "batch", *nothing("binary", "docs", "known", "train", "ends", "tokens", "vocab"), "shard", *nothing("binary", "ids", "counts"), "codes")
-    out = both.unionByName(codes).groupBy("batch").applyInPandas(_total(words, shards, int(total or 0), int(distinct or 0)), "doc_id long, trained boolean, n_tokens long, n_known long, base_score double, score double")
+    codes = codes.select(F.lit(2).alias("kind"), "batch", *nothing("binary", "docs", "known", "train", "ends", "tokens", "places"), *nothing("long", "n_words"), "shard", *nothing("binary", "ids", "counts"), "codes")
+    out = both.unionByName(codes).groupBy("batch").applyInPandas(_total(shards, int(total or 0), int(distinct or 0)), "doc_id long, trained boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", F.lit(int(total or 0)).cast("long").alias("train_tokens"), "base_score", "score")
