@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +37,8 @@ from tokenloom.llm.components import components
 from tokenloom.session import materialize
 
 BUCKETS = 1 << 16  # counters of the rarity order: fixed, so the broadcast is 512 KB at any input size
-BLOCK_WEIGHT = 1 << 20  # shingles in an index block, about
+BROADCAST_IDS = 2_000_000  # ids of texts to read again (8 bytes each) that are broadcast at most; more are joined by a shuffle
+BLOCK_WEIGHT = 1 << 19  # shingles in an index block, about
 QUERY_WEIGHT = 1 << 20  # shingles of the queries that one task asks a block, about
 
 
@@ -277,7 +279,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = seen.where("bucket is null").select("id", "n", "fp")
     classes = rows.where("fp is not null and id is not null").groupBy("fp").agg(F.min("id").alias("least"))
 
-    posted = texts.select("text").mapInArrow(_prefix(k, percent, order), "token long, fp binary, n long").groupBy("token", "fp").agg(F.first("n").alias("n"))
+    # one exchange by shingle; a streaming window then drops the shingles posted by one set only
+    posted = texts.select("text").mapInArrow(_prefix(k, percent, order), "token long, fp binary, n long").repartition("token")
+    w = W.partitionBy("token").orderBy("fp")
+    posted = (posted.groupBy("token", "fp").agg(F.first("n").alias("n"))
+              .withColumn("rn", F.row_number().over(w)).withColumn("next", F.lead("n").over(w)).where("rn > 1 or next is not null").drop("rn", "next"))
     posted = materialize(posted, "jj-posted")
     least = f"1 + cast(ceil(n * {percent} / 100) as long) div 20"  # spare() of the smallest set that n can link with
     for _ in range(2):
@@ -297,6 +303,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                                   .otherwise(F.xxhash64("key", F.pmod(F.xxhash64("fp"), F.col("pieces")))).alias("block"))
     # whole sets of the members, one for each class
     pick = home.join(classes, "fp").select(F.col("least").alias("id"))
+    pick = materialize(pick, "jj-ids")
+    pick = F.broadcast(pick) if pick.count() <= BROADCAST_IDS else pick
     sets = texts.join(pick, "id", "left_semi").select("text").mapInArrow(_whole(k), "fp binary, items binary")
     held = materialize(home.join(sets.dropDuplicates(["fp"]), "fp"), "jj-held")
 
