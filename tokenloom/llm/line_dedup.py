@@ -110,7 +110,13 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def pairs(near: str, y: str) -> DataFrame:
         return posted.where(near).select("id", "line", F.col(f"{y}.id").alias("yid"), F.col(f"{y}.line").alias("yline"))
 
-    gone = materialize(_verified(pairs("near1", "y1").union(pairs("near2", "y2")).where("(yid, yline) < (id, line)"), docs, classes), "ld-gone")
+    # each set's likeliest partner first, the one with most shared keys; the others for sets that it doesn't remove
+    met = pairs("near1", "y1").union(pairs("near2", "y2")).where("(yid, yline) < (id, line)")
+    met = materialize(met.groupBy("id", "line", "yid", "yline").agg(F.count("*").alias("c")), "ld-met")
+    best = materialize(met.groupBy("id", "line").agg(F.max(F.struct("c", "yid", "yline")).alias("y")).select("id", "line", "y.yid", "y.yline"), "ld-best")
+    gone = materialize(_verified(best, docs, classes), "ld-gone")
+    rest = met.drop("c").join(gone, ["id", "line"], "left_anti").join(best, ["id", "line", "yid", "yline"], "left_anti")
+    gone = materialize(gone.union(_verified(rest, docs, classes)), "ld-gone")
     narrow = posted.where("many").select("key", "id", "line", "n", "pos", "rn")
     x = narrow.where("rn > 3").join(gone, ["id", "line"], "left_anti").alias("x")
     more = (x.join(narrow.where("rn > 1").alias("y"), F.expr(f"x.key = y.key and y.rn < x.rn - 1 and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
