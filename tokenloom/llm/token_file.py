@@ -9,6 +9,7 @@ a segment at a time through a table of 2**LIMIT entries at most.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -23,10 +24,10 @@ from tokenloom.llm.wordtable import WordTable
 from tokenloom.session import work_path
 
 LIMIT = 18
-BLOCK = 256  # ids between checkpoints
-SEGMENT = 1 << 19  # ids in a segment, about; a longer document is a segment of its own
+BLOCK = 128  # ids between checkpoints
+SEGMENT = 1 << 20  # ids in a segment, about; a longer document is a segment of its own
 END = 1
-JOINED = 500  # words that one call of the library gets
+JOINED, TEXTS = 250, 16  # words joined to one text, and texts that one call of the library gets
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -104,6 +105,7 @@ class Code:
 
 def library_encoder(spec: str):
     """Words -> ids by the tokenizers library, many words to a call; the cut between words comes from their pieces."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
     from tokenizers import Tokenizer
     lib, bpe = Tokenizer.from_str(spec), Bpe(spec)
     lib.no_truncation()
@@ -117,6 +119,10 @@ def library_encoder(spec: str):
         ends[made] |= ends[r]
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [some(words[i:i + JOINED * TEXTS]) for i in range(0, len(words), JOINED * TEXTS)] or [some([])]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([n for _, n in parts])
+
+    def some(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pieces = np.cumsum([len(bpe.pieces(w)) for w in words])
         texts = [" ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
         ids = np.array([i for e in lib.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], dtype=np.int64)
@@ -140,7 +146,7 @@ def _ids(spec):
             _kept.clear()
             _kept[key] = WordTable(library_encoder(spec.value))
         table = _kept[key]
-        for b, data, offs in tk.chunks(batches):
+        for b, data, offs in tk.chunks(batches, chunk_bytes=2 << 20):
             ids, at = table.ids(data, offs)
             ids = np.insert(ids, at[1:], END).astype("<u2" if len(table.flat) == 0 or ids.max(initial=0) < 1 << 16 else "<u4")
             at = at + np.arange(len(at))
@@ -159,8 +165,9 @@ def _unpacked(col: pa.Array) -> list[np.ndarray]:
 def _count(batches: Iterator[pa.RecordBatch]):
     total = np.zeros(0, dtype=np.int64)
     for b in batches:
-        for ids in _unpacked(b.column(0)):
-            n = np.bincount(ids)
+        rows = _unpacked(b.column(0))
+        for lo in range(0, len(rows), 256):
+            n = np.bincount(np.concatenate(rows[lo:lo + 256]))
             if len(n) > len(total):
                 total = np.pad(total, (0, len(n) - len(total)))
             total[:len(n)] += n

@@ -11,7 +11,7 @@ import numpy as np
 
 from tokenloom.llm import textkernel as tk
 
-TABLE_WORDS = 1 << 19  # words kept at most; a fuller table starts anew, which changes no result
+TABLE_WORDS = 1 << 20  # words kept at most; a fuller table starts anew, which changes no result
 
 
 def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -35,7 +35,9 @@ class WordTable:
     def ids(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offset of each text's ids)."""
         start, end, first = tk.word_bounds(data, offs)
-        hashes, at, back = np.unique(tk.word_hashes(data, start, end, lower=False), return_index=True, return_inverse=True)
+        hashes, back = np.unique(tk.word_hashes(data, start, end, lower=False), return_inverse=True)
+        at = np.empty(len(hashes), np.int64)
+        at[back] = np.arange(len(back))  # a place where each distinct word stands
         if len(self.hash) > TABLE_WORDS:
             self.clear()
         place = np.searchsorted(self.hash, hashes)
