@@ -70,3 +70,15 @@ def test_templates_and_slots(spark):
     a, b = spark.createDataFrame([(9, frame)], "item_id long, text string"), spark.createDataFrame([(1, odd), (2, frame.replace("Xx", "Yy"))], "doc_id long, text string")
     assert got(b, a) == {(2, 9)}
     assert got(df.limit(0), items) == set() and got(df, items.limit(0)) == set()
+
+
+def test_repeated_frames_and_variants(spark):
+    frames = "The red box in the first room holds 5 balls and the red box in the next room holds 7 balls and the red box in the next room holds 9 balls and the red box in the next room holds 11 balls so how many balls are there"
+    swap = frames.replace("5", "50").replace("7", "70").replace("9", "90").replace("11", "30")
+    torn = "The red box in the next room holds 1 balls and the red box in the next room holds 2 balls and the red box "
+    items = spark.createDataFrame([(1, frames), (2, ITEM)], "item_id long, text string")
+    wrong = ITEM.replace("Tom", "Al", 1).replace("before Tom", "before Cy")
+    rows = [(1, frames), (2, "some words " + swap), (3, torn * 3 + frames), (None, torn + swap), (4, wrong + " . " + ITEM.replace("12", "40")),
+            (5, torn + swap.replace("red box in the next room holds 90", "very red box in the next room holds 90"))]
+    got_ = got(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert got_ >= {(1, 1), (2, 1), (3, 1), (None, 1), (4, 2), (5, 1)} and (4, 1) not in got_

@@ -6,7 +6,8 @@ words after a number, by typed placeholders; ``template`` replaces words with a
 with all windows of the documents. Along the matched windows the values behind placeholders are compared: within a
 document and item, a value of the item must stand for the same value of the document wherever it occurs, or the match is a
 chance one of the frame words. A document is contaminated by an item if ``COVERAGE`` of the item's windows
-match in one form with ``CONSISTENT`` of its slots agreeing.
+match in one form with ``CONSISTENT`` of its slots agreeing, either with each window at its first place or in one alignment
+of item and document (``_alignments``).
 """
 
 from __future__ import annotations
@@ -83,6 +84,44 @@ def _placeholder(w: Column) -> Column:
     return w.isin(NUM, NAME, UNIT)
 
 
+def _texts(words: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``words`` whose text ``found`` names."""
+    ids = found.select("doc_id", "th").distinct()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return words.join(ids, words.doc_id.eqNullSafe(ids.doc_id) & (words.th == ids.th), "left_semi")
+
+
+def _judged(found: DataFrame, words: DataFrame, items: DataFrame) -> DataFrame:
+    """``found`` with coverage, n_slots and consistency in place of ``at``: the values behind the placeholders of the matched windows."""
+    low = _texts(words, found).select("doc_id", "th", F.transform("words", lambda w: F.lower(w)).alias("dwords")).dropDuplicates(["doc_id", "th"])
+    both = found.alias("f").join(low.alias("w"), F.expr("f.doc_id <=> w.doc_id and f.th = w.th")).select("f.*", "w.dwords")
+    both = both.join(items.select("item_id", "form", "canon", F.col("words").alias("iwords")), ["item_id", "form"])
+    spots = F.array_sort(F.array_distinct(F.flatten(F.transform("at", lambda m: F.transform(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda k: F.struct((m.ipos + k).alias("i"), (m.dpos + k).alias("d")))))))
+    slots = F.transform(F.filter(spots, lambda s: _placeholder(F.get("canon", s.i))), lambda s: F.struct(F.get("iwords", s.i).alias("i"), F.get("dwords", s.d).alias("d")))
+    both = both.withColumn("slots", slots)
+    agree = F.size(F.filter("slots", lambda s: F.get(F.filter("slots", lambda t: t.i == s.i), F.lit(0)).d == s.d))
+    return both.select("doc_id", "th", "item_id", "form", "n_matched", "n_windows", (F.col("n_matched") / F.col("n_windows")).alias("coverage"), F.size("slots").alias("n_slots"),
+                       F.when(F.size("slots") == 0, F.lit(1.0)).otherwise(agree / F.size("slots")).alias("consistency"))
+
+
+def _alignments(rest: DataFrame, words: DataFrame, parts: DataFrame, items: DataFrame, few: bool) -> DataFrame:
+    """One row, as ``found``, per alignment of each match in ``rest`` that covers the item.
+
+    An alignment is an offset (dpos - ipos) of a matched window; each item window stands at its match nearest to the offset,
+    no further from it than the item is long, so texts with words put in keep together and repeated frames stay apart."""
+    key = ["doc_id", "th", "item_id", "form"]
+    at = _windows(_hashes(_texts(words, rest).dropDuplicates(["doc_id", "th"]))).withColumnRenamed("pos", "dpos").join(F.broadcast(parts) if few else parts, ["form", "h"])
+    rows = rest.join(items.select("item_id", "form", F.size("canon").alias("long")), ["item_id", "form"])
+    at = at.alias("a").join(rows.alias("r"), F.expr("a.doc_id <=> r.doc_id and a.th = r.th and a.item_id = r.item_id and a.form = r.form"))
+    at = at.select(*[f"r.{k}" for k in key], "r.n_windows", "r.long", "a.ipos", "a.dpos", F.expr("a.dpos - a.ipos").alias("off"))
+    at = materialize(at.withColumn("band", F.floor(F.col("off") / F.col("long"))), "dc-hits")
+    offs = at.select(*key, "off", "band").distinct().select(*key, "off", F.explode(F.expr("sequence(band - 1, band + 1)")).alias("band"))
+    near = offs.alias("o").join(at.alias("a"), F.expr(" and ".join([f"o.{k} <=> a.{k}" for k in [*key, "band"]] + ["abs(a.off - o.off) <= a.long"])))
+    near = near.groupBy(*[f"o.{k}" for k in key], "o.off", "a.n_windows", "a.ipos").agg(F.min(F.expr("struct(abs(a.off - o.off) as far, a.dpos)")).alias("m"))
+    near = near.groupBy(*key, "off", "n_windows").agg(F.count("*").alias("n_matched"), F.collect_list(F.struct("ipos", "m.dpos")).alias("at"))
+    return near.drop("off").where(F.col("n_matched") >= COVERAGE * F.col("n_windows"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, form, n_matched, n_windows, coverage, n_slots, consistency.
 
@@ -111,17 +150,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
              .join(F.broadcast(totals) if few else totals, ["item_id", "form"]).where(F.col("n_matched") >= COVERAGE * F.col("n_windows")))
     found = materialize(found, "dc-found")
 
-    # the values behind the placeholders of the matched windows
-    ids = found.select("doc_id", "th").distinct()
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    low = words.join(ids, words.doc_id.eqNullSafe(ids.doc_id) & (words.th == ids.th), "left_semi").select("doc_id", "th", F.transform("words", lambda w: F.lower(w)).alias("dwords")).dropDuplicates(["doc_id", "th"])
-    both = found.alias("f").join(low.alias("w"), F.expr("f.doc_id <=> w.doc_id and f.th = w.th")).select("f.*", "w.dwords")
-    both = both.join(items.select("item_id", "form", "canon", F.col("words").alias("iwords")), ["item_id", "form"])
-    spots = F.array_sort(F.array_distinct(F.flatten(F.transform("at", lambda m: F.transform(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda k: F.struct((m.ipos + k).alias("i"), (m.dpos + k).alias("d")))))))
-    slots = F.transform(F.filter(spots, lambda s: _placeholder(F.get("canon", s.i))), lambda s: F.struct(F.get("iwords", s.i).alias("i"), F.get("dwords", s.d).alias("d")))
-    both = both.withColumn("slots", slots)
-    agree = F.size(F.filter("slots", lambda s: F.get(F.filter("slots", lambda t: t.i == s.i), F.lit(0)).d == s.d))
-    both = both.select("doc_id", "item_id", "form", "n_matched", "n_windows", (F.col("n_matched") / F.col("n_windows")).alias("coverage"), F.size("slots").alias("n_slots"),
-                       F.when(F.size("slots") == 0, F.lit(1.0)).otherwise(agree / F.size("slots")).alias("consistency")).where(F.col("consistency") >= CONSISTENT)
+    first = materialize(_judged(found, words, items), "dc-first")
+    rest = first.where(F.col("consistency") < CONSISTENT).select("doc_id", "th", "item_id", "form", "n_windows")
+    passed = first.where(F.col("consistency") >= CONSISTENT)
+    rest = materialize(rest, "dc-rest")
+    if rest.limit(1).count():
+        placed = materialize(_alignments(rest, words, parts, items, few), "dc-aligned")
+        passed = passed.unionByName(_judged(placed, words, items).where(F.col("consistency") >= CONSISTENT))
     best = F.max(F.struct("coverage", "consistency", "form", "n_matched", "n_windows", "n_slots")).alias("b")
-    return both.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.form", "b.n_matched", "b.n_windows", "b.coverage", "b.n_slots", "b.consistency")
+    return passed.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.form", "b.n_matched", "b.n_windows", "b.coverage", "b.n_slots", "b.consistency")
