@@ -60,3 +60,9 @@ def test_blocks_of_queries_and_odd_rows(spark, monkeypatch):
     same(got, brute(docs, asked, 7))
     assert {r.doc_id for r in got if r.query_id == 1} >= {7, None}
     assert bm.top_k(index, q.limit(0)).count() == 0 and bm.top_k(bm.build_index(d.limit(0)), q).count() == 0
+
+
+def test_registered_documents_query(spark):
+    assert [q for q in queries.registry() if q.startswith("op2_")][0] == "op2_bm25_documents"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
+    same(queries.registry()["op2_bm25_documents"](spark, SF001).collect(), brute(rows, [r for r in rows if r[0] % 20 == 0], 10))
