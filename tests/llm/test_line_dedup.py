@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from tokenloom.llm import line_dedup as ld
+from tokenloom.llm import queries
 
 
 def brute(rows):
@@ -67,3 +68,16 @@ def test_odd_rows(spark):
     assert ld.dedup_lines(df).columns == df.columns
     assert got(df) == brute([x[:2] for x in rows])
     assert ld.line_report(df.limit(0)).count() == 0 and ld.dedup_lines(df.where(F.lit(False))).count() == 0
+
+
+def test_one_changed_word(spark, tmp_path):
+    rows = [(n, " ".join(f"v{n}x{i}" for i in range(n)) + "\n" + " ".join("new" if i == n // 2 else f"v{n}x{i}" for i in range(n))) for n in (4, 8, 9, 12, 30, 48)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: list(r.kept_lines) for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {n: [0, 1] if n < 9 else [0] for n, _ in rows}
+
+
+def test_word_tokens_against_all_earlier_lines(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    monkeypatch.setattr(ld, "WORDS", 1)
+    assert {(r.id, i) for r in ld.kept_lines(docs, words=1).collect() for i in r.kept} == brute([(r.doc_id, r.text) for r in docs.collect()])

@@ -1,16 +1,16 @@
 """Operator 10, line dedup by an exact set-similarity join, in DataFrame functions only.
 
-A line's tokens are its distinct shingles of ``WORDS`` lower-cased words; a shorter line is one token. A line is removed if an earlier
-line, by (document id, line number), has a token set with a Jaccard similarity of ``PERCENT`` or more; the earlier line may
+A line's tokens are its distinct shingles of ``words`` lower-cased words (1: the words themselves, as the registered query has it;
+``WORDS`` unless said); a shorter line is one token. A line is removed if an earlier line, by (document id, line number), has a token set with a Jaccard similarity of ``PERCENT`` or more; the earlier line may
 itself be removed.
 
-1. Rarity: the words of all texts are counted in ``BUCKETS`` counters. A shingle's key orders by the class of its first word's
+1. Rarity: the words of all texts are counted in ``BUCKETS`` counters. A token's key orders by the class of its first word's
    counter, then by hash, so a line's sorted keys start with the tokens of its rarest words.
 2. Lines with equal sets are one set, standing for its first line; the others are removed.
 3. Prefix filter: the first ``n - ceil(0.8 n) + 1`` keys of each set are posted. Sets that reach the similarity
    share one of them. Keys posted once fall away. Along a key's postings, in line order, a streaming window pairs each
-   set with the first one and with the one before it. Pairs must pass the length and the positional
-   filter; the rest are verified on their full sets.
+   set with the first one and with the one before it. Pairs must pass the length filter, the positional
+   filter and a parity bitmap of the symmetric difference; the rest are verified on their full sets.
 4. Sets not removed so far meet the other earlier postings of keys that four sets or more share. A large group of
    near copies is thus removed in step 3 and never multiplied out.
 """
@@ -40,30 +40,31 @@ def _texts_to_lines(docs: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame) -> str:
-    """SQL array: the rarity class of each counter, 0 up to the mean and one more for each doubling, in a key's top bits."""
+    """SQL array: the rarity class of each counter, 0 up to a 32nd of the mean and one more for each doubling, in a key's top bits."""
     words = docs.select(F.explode(F.split(F.lower("text"), f"[{SPACE}]+")).alias("w"))
     counts = dict(words.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} as int)").alias("b")).agg(F.count("*").alias("c")).collect())
     mean = max(1, sum(counts.values()) // BUCKETS)
-    top = ",".join(str((counts.get(b, 0) // mean).bit_length() << 57) for b in range(BUCKETS))
+    top = ",".join(str((counts.get(b, 0) * 32 // mean).bit_length() << 57) for b in range(BUCKETS))
     return f"cast(split('{top}', ',') as array<bigint>)"
 
 
-def _sets(lines: DataFrame, classes: str) -> DataFrame:
+def _sets(lines: DataFrame, classes: str, words: int) -> DataFrame:
     """(id, line, n, keys): keys sorted from the rarest token."""
     hashed = lines.select("id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
-    key = f"get({classes}, cast(get(h, i - 1) & {BUCKETS - 1} as int)) + (xxhash64(slice(h, i, {WORDS})) & {HASH})"
-    keys = F.expr(f"sort_array(array_distinct(transform(sequence(1, greatest(size(h) - {WORDS - 1}, 1)), i -> {key})))")
+    key = f"get({classes}, cast(get(h, i - 1) & {BUCKETS - 1} as int)) + (xxhash64(slice(h, i, {words})) & {HASH})"
+    keys = F.expr(f"sort_array(array_distinct(transform(sequence(1, greatest(size(h) - {words - 1}, 1)), i -> {key})))")
     return hashed.select("id", "line", keys.alias("keys")).withColumn("n", F.size("keys"))
 
 
 def _near(x: str, y: str) -> str:
-    """Length and positional filter of postings x and y (columns n, pos)."""
+    """Length, positional and bitmap filter of postings x and y (columns n, pos, sig)."""
     need = f"(({PERCENT} * ({x}.n + {y}.n) + {PERCENT + 99}) div {100 + PERCENT})"
     return (f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n)"
-            f" and least({x}.pos, {y}.pos) + least({x}.n - {x}.pos, {y}.n - {y}.pos) >= {need}")
+            f" and least({x}.pos, {y}.pos) + least({x}.n - {x}.pos, {y}.n - {y}.pos) >= {need}"
+            f" and bit_count({x}.sig ^ {y}.sig) <= {x}.n + {y}.n - 2 * {need}")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: str) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: str, words: int) -> DataFrame:
     """(id, line) of the sets x for which a pair (id, line, yid, yline) reaches the similarity."""
     pairs = materialize(pairs.distinct(), "ld-pairs")
     places = materialize(pairs.select("id", "line").union(pairs.select("yid", "yline")).distinct(), "ld-places")
@@ -74,14 +75,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: str) -> DataFrame:
     if held <= BROADCAST_LINES:
         ids, places = F.broadcast(ids), F.broadcast(places)
     lines = _texts_to_lines(docs.join(ids, "id", "left_semi")).join(places, ["id", "line"], "left_semi")
-    sets = materialize(_sets(lines, classes).dropDuplicates(["id", "line", "keys"]), "ld-sets")
+    sets = materialize(_sets(lines, classes, words).dropDuplicates(["id", "line", "keys"]), "ld-sets")
     both = (pairs.join(sets, ["id", "line"])
             .join(sets.select(F.col("id").alias("yid"), F.col("line").alias("yline"), F.col("n").alias("m"), F.col("keys").alias("ykeys")), ["yid", "yline"]))
     same = F.size(F.array_intersect("keys", "ykeys"))
     return both.where(100 * same >= PERCENT * (F.col("n") + F.col("m") - same)).select("id", "line").distinct()
 
 
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """(id, kept): the numbers, from 0 and sorted, of the kept lines that have words, for ids that keep any.
 
     A null text has no lines; a null id counts as later than all others. Rows that share an id are one
@@ -90,18 +91,19 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     classes = _classes(docs)
     prefix = F.expr(f"slice(keys, 1, n - cast(ceil(n * {PERCENT} / 100) as int) + 1)")
-    lines = _sets(_texts_to_lines(docs), classes).select("id", "line", "n", F.xxhash64("keys").alias("fp"), F.hash("keys").alias("fp2"), prefix.alias("prefix"))
-    first = lines.groupBy("fp", "fp2", "n").agg(F.min(F.struct("id", "line", "prefix")).alias("f"))
-    first = materialize(first.select("f.id", "f.line", "n", "f.prefix"), "ld-first")
+    sig = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+    lines = _sets(_texts_to_lines(docs), classes, words).select("id", "line", "n", sig.alias("sig"), F.xxhash64("keys").alias("fp"), F.hash("keys").alias("fp2"), prefix.alias("prefix"))
+    first = lines.groupBy("fp", "fp2", "n").agg(F.min(F.struct("id", "line", "sig", "prefix")).alias("f"))
+    first = materialize(first.select("f.id", "f.line", "n", "f.sig", "f.prefix"), "ld-first")
 
     w = W.partitionBy("key").orderBy("id", "line")
-    me = F.struct("id", "line", "n", "pos")
-    posted = (first.select("id", "line", "n", F.posexplode("prefix").alias("pos", "key"))
-              .select("key", "id", "line", "n", (F.col("pos") + 1).alias("pos"), F.row_number().over(w).alias("rn"), F.lead("n").over(w).alias("next"))
+    me = F.struct("id", "line", "n", "pos", "sig")
+    posted = (first.select("id", "line", "n", "sig", F.posexplode("prefix").alias("pos", "key"))
+              .select("key", "id", "line", "n", "sig", (F.col("pos") + 1).alias("pos"), F.row_number().over(w).alias("rn"), F.lead("n").over(w).alias("next"))
               .where("rn > 1 or next is not null").drop("next")
               .select("*", F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2"),
                       *[F.lead("n", k).over(w).isNotNull().alias(f"more{k}") for k in (1, 2, 3)])
-              .withColumn("x", F.struct("n", "pos"))
+              .withColumn("x", F.struct("n", "pos", "sig"))
               .withColumn("near1", F.expr(f"rn > 1 and ({_near('x', 'y1')})")).withColumn("near2", F.expr(f"rn > 2 and ({_near('x', 'y2')})"))
               .withColumn("many", F.expr("rn > 3 or rn = 3 and more1 or rn = 2 and more2 or rn = 1 and more3"))
               .where("near1 or near2 or many").drop("more1", "more2", "more3", "x"))
@@ -114,33 +116,33 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     met = pairs("near1", "y1").union(pairs("near2", "y2")).where("(yid, yline) < (id, line)")
     met = materialize(met.groupBy("id", "line", "yid", "yline").agg(F.count("*").alias("c")), "ld-met")
     best = materialize(met.groupBy("id", "line").agg(F.max(F.struct("c", "yid", "yline")).alias("y")).select("id", "line", "y.yid", "y.yline"), "ld-best")
-    gone = materialize(_verified(best, docs, classes), "ld-gone")
+    gone = materialize(_verified(best, docs, classes, words), "ld-gone")
     rest = met.drop("c").join(gone, ["id", "line"], "left_anti").join(best, ["id", "line", "yid", "yline"], "left_anti")
-    gone = materialize(gone.union(_verified(rest, docs, classes)), "ld-gone")
-    narrow = posted.where("many").select("key", "id", "line", "n", "pos", "rn")
+    gone = materialize(gone.union(_verified(rest, docs, classes, words)), "ld-gone")
+    narrow = posted.where("many").select("key", "id", "line", "n", "pos", "sig", "rn")
     x = narrow.where("rn > 3").join(gone, ["id", "line"], "left_anti").alias("x")
     more = (x.join(narrow.where("rn > 1").alias("y"), F.expr(f"x.key = y.key and y.rn < x.rn - 1 and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
             .select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline")))
-    gone = gone.union(_verified(more, docs, classes))
+    gone = gone.union(_verified(more, docs, classes, words))
     return first.select("id", "line").join(gone, ["id", "line"], "left_anti").groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("kept"))
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines (lines with words), kept_lines (their numbers), n_removed."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(F.col(text_col).cast("string"), "\n").alias("lines"))
     rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.coalesce(F.filter(F.transform("lines", lambda s, i: F.when(s.rlike(f"[^{SPACE}]"), i)), lambda i: i.isNotNull()), F.array().cast("array<int>")).alias("own"))
-    rows = rows.join(kept_lines(docs, id_col, text_col), "id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
+    rows = rows.join(kept_lines(docs, id_col, text_col, words), "id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
     kept = F.array_intersect("own", "kept")
     return rows.select("doc_id", F.size("own").alias("n_lines"), kept.alias("kept_lines"), (F.size("own") - F.size(kept)).alias("n_removed"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """``docs`` with the removed lines cut from its texts, and without the rows that lost all their lines with words.
 
     A null text, an empty one and one without words stay as they are. Other columns are carried along.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    kept = kept_lines(docs, id_col, text_col).select(F.col("id").alias("__id"), F.col("kept").alias("__kept"))
+    kept = kept_lines(docs, id_col, text_col, words).select(F.col("id").alias("__id"), F.col("kept").alias("__kept"))
     out = docs.withColumn("__id", key).join(kept, "__id", "left")
     lines = F.filter(F.split(F.col(text_col), "\n"), lambda s, i: ~s.rlike(f"[^{SPACE}]") | F.array_contains("__kept", i))
     wordless = ~F.coalesce(F.col(text_col).rlike(f"[^{SPACE}]"), F.lit(False))

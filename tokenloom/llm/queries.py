@@ -43,7 +43,8 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    """Tokens of a line: its words."""
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), words=1)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
