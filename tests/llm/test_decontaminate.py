@@ -82,3 +82,11 @@ def test_repeated_frames_and_variants(spark):
             (5, torn + swap.replace("red box in the next room holds 90", "very red box in the next room holds 90"))]
     got_ = got(spark.createDataFrame(rows, "doc_id long, text string"), items)
     assert got_ >= {(1, 1), (2, 1), (3, 1), (None, 1), (4, 2), (5, 1)} and (4, 1) not in got_
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    texts = ["What is 12 times 7?", "12 7", "day one of 5 and 5 days", "小明有3个苹果他又买了12个苹果一共有几个", "สมชายมีแอปเปิ้ล 3 ผล", "..."]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(1, "so what is 15 times 9 then"), (2, "What is 12 times x"), (3, "12 7"), (4, "13 7"), (5, "3 day one of 6 and 6 days"), (6, "day one of 6 and 8 days"),
+            (7, "问题:小明有5个苹果他又买了40个苹果一共有几个?"), (8, "สมชายมีแอปเปิ้ล 8 ผล"), (9, None), (None, "what is 12 times 7"), (10, "")]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), items) == {(1, 0), (3, 1), (5, 2), (7, 3), (8, 4), (None, 0)}

@@ -1,13 +1,14 @@
 """Operator 3, benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-Words are runs of letters and digits. A text gets two canonical forms: ``literal`` replaces numbers, and unit
+Words are runs of letters and digits, or single characters of scripts without blanks. A text gets two canonical forms: ``literal`` replaces numbers, and unit
 words after a number, by typed placeholders; ``template`` replaces words with a capital too, as names. Windows of
 ``WINDOW`` canonical words of the benchmark items, with ``LITERALS`` words that aren't placeholders at least, are hash-joined
 with all windows of the documents. Along the matched windows the values behind placeholders are compared: within a
 document and item, a value of the item must stand for the same value of the document wherever it occurs, or the match is a
 chance one of the frame words. A document is contaminated by an item if ``COVERAGE`` of the item's windows
 match in one form with ``CONSISTENT`` of its slots agreeing, either with each window at its first place or in one alignment
-of item and document (``_alignments``).
+of item and document (``_alignments``). An item without such a window, as it is short or mostly placeholders, is one window of
+its whole length (``_whole``).
 """
 
 from __future__ import annotations
@@ -25,13 +26,18 @@ BROADCAST_WINDOWS = 500_000  # item windows (24 bytes each) that are broadcast a
 FORMS = ("literal", "template")
 BROADCAST_IDS = 2_000_000  # contaminated texts (16 bytes each) that are broadcast at most, to read them again
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
+BREAK = r"[^\p{L}\p{M}\p{N}]+"
+# scripts written without blanks (Thai to Myanmar, Khmer, Han and kana): each character is a word, with its marks
+UNSPACED = r"[\u0E00-\u109F\u1780-\u17FF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
 # fixed values: unit words
 UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams ton tons lb lbs pound pounds ounce ounces ml l liter liters litre "
          "litres second seconds minute minutes hour hours day days week weeks month months year years cent cents dollar dollars euro euros percent degree degrees").split()
 
 
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[^\p{L}\p{M}\p{N}]+"), "")
+    text = F.coalesce(text, F.lit(""))
+    each = rf"{BREAK}|(?<={UNSPACED})(?!\p{{M}})|(?=[{UNSPACED}&&[^\p{{M}}]])"
+    return F.array_remove(F.when(text.rlike(UNSPACED), F.split(text, each)).otherwise(F.split(text, BREAK)), "")
 
 
 def _number(w: Column) -> Column:
@@ -51,12 +57,12 @@ def _forms(words: Column) -> dict[str, Column]:
     return {"literal": canon(False), "template": canon(True)}
 
 
-def _hashes(rows: DataFrame) -> DataFrame:
+def _hashes(rows: DataFrame, least: int = WINDOW) -> DataFrame:
     """``rows`` with the hashes of the canonical words of both forms in place of ``words``: the same as hashing the
     words of ``_forms``, but each word is lower-cased and hashed once."""
     names = [c for c in rows.columns if c != "words"]
     num, unit, name = (F.xxhash64(F.lit(x)) for x in (NUM, UNIT, NAME))
-    low = rows.where(F.size("words") >= WINDOW).select(*names, "words", F.transform("words", lambda w: F.lower(w)).alias("low"))
+    low = rows.where(F.size("words") >= least).select(*names, "words", F.transform("words", lambda w: F.lower(w)).alias("low"))
 
     def literal(w: Column, i: Column) -> Column:
         return F.when(_number(w), num).when(w.isin(UNITS) & F.coalesce(_number(F.get("low", i - 1)), F.lit(False)), unit).otherwise(F.xxhash64(w))
@@ -122,11 +128,48 @@ def _alignments(rest: DataFrame, words: DataFrame, parts: DataFrame, items: Data
     return near.drop("off").where(F.col("n_matched") >= COVERAGE * F.col("n_windows"))
 
 
+def _short(items: DataFrame) -> DataFrame:
+    """(item_id, form, n, h, canon, iwords): the whole length of items without windows as one.
+
+    The literal form needs one word that isn't a placeholder, the template form half of them; numbers only match as written."""
+    solid = F.size(F.filter("canon", lambda w: ~_placeholder(w)))
+    lit = F.col("form") == "literal"
+    items = items.where(F.size("words") > 0).withColumn("as_is", lit & (solid == 0)).where(lit | (2 * solid >= F.size("canon")))
+    items = items.select("item_id", F.when(F.col("as_is"), "verbatim").otherwise(F.col("form")).alias("form"), F.when(F.col("as_is"), F.col("words")).otherwise(F.col("canon")).alias("canon"), F.col("words").alias("iwords"))
+    return items.select("item_id", "form", F.size("canon").alias("n"), F.transform("canon", lambda w: F.xxhash64(w)).alias("hs"), "canon", "iwords").withColumn("h", F.xxhash64("hs")).drop("hs")
+
+
+def _whole(words: DataFrame, short: DataFrame) -> DataFrame:
+    """The judged matches of the items in ``short``: every place of a document counts, and all its slots must agree."""
+    lengths = sorted(r.n for r in short.select("n").distinct().collect())
+    rows = words.withColumn("raw", F.col("words")).withColumn("said", F.transform("words", lambda w: F.lower(w)))
+    rows = _hashes(rows, lengths[0]).withColumn("h_verbatim", F.transform("said", lambda w: F.xxhash64(w)))
+    unit, name = F.xxhash64(F.lit(UNIT)), F.xxhash64(F.lit(NAME))
+
+    def window(form: str, n: int):
+        def at(i: Column) -> Column:
+            low, own = F.get("said", i - 1), F.get(f"h_{form}", i - 1)
+            plain = F.when(low != F.get("raw", i - 1), name).otherwise(F.xxhash64(low)) if form == "template" else F.xxhash64(low)
+            first = F.when(own == unit, plain).otherwise(own)  # no number stands before the first word of an item
+            h = F.xxhash64(F.concat(F.array(first), F.slice(f"h_{form}", i + 1, n - 1)))
+            return F.struct(F.lit(form).alias("form"), F.lit(n).alias("n"), h.alias("h"), F.slice("said", i, n).alias("dwords"))
+        return F.transform(F.filter(F.sequence(F.lit(1), F.size("said")), lambda i: i <= F.size("said") - (n - 1)), at)
+
+    each = F.flatten(F.array(*[window(form, n) for form in (*FORMS, "verbatim") for n in lengths]))
+    found = rows.select("doc_id", "th", F.explode(each).alias("x")).select("doc_id", "th", "x.*")
+    found = found.join(F.broadcast(short) if short.count() <= BROADCAST_WINDOWS else short, ["form", "n", "h"])
+    pairs = F.transform("canon", lambda c, k: F.struct(c.alias("c"), F.get("iwords", k).alias("i"), F.get("dwords", k).alias("d")))
+    found = found.withColumn("slots", F.filter(pairs, lambda p: _placeholder(p.c)))
+    found = found.where(F.forall("slots", lambda p: F.get(F.filter("slots", lambda t: t.i == p.i), F.lit(0)).d == p.d))
+    one = F.lit(1).cast("long")
+    return found.select("doc_id", "th", "item_id", "form", one.alias("n_matched"), one.alias("n_windows"), F.lit(1.0).alias("coverage"), F.size("slots").alias("n_slots"), F.lit(1.0).alias("consistency"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, form, n_matched, n_windows, coverage, n_slots, consistency.
 
-    Items of equal text are one, named by the least id. An item of fewer than WINDOW words, or with placeholders only, has no
-    window and isn't found; a null or empty text matches nothing. Repeated rows of a document give one row; a null id
+    Items of equal text are one, named by the least id. An item without words isn't found;
+    a null or empty text matches nothing. Repeated rows of a document give one row; a null id
     is a document as any other (all rows with it are told apart by text, and come out with a null id).
     """
     items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null")
@@ -157,5 +200,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     if rest.limit(1).count():
         placed = materialize(_alignments(rest, words, parts, items, few), "dc-aligned")
         passed = passed.unionByName(_judged(placed, words, items).where(F.col("consistency") >= CONSISTENT))
+    short = materialize(_short(items.join(parts.select("item_id").distinct(), "item_id", "left_anti")), "dc-short")
+    if short.limit(1).count():
+        passed = passed.unionByName(_whole(words, short))
     best = F.max(F.struct("coverage", "consistency", "form", "n_matched", "n_windows", "n_slots")).alias("b")
     return passed.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.form", "b.n_matched", "b.n_windows", "b.coverage", "b.n_slots", "b.consistency")
