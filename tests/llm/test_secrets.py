@@ -64,3 +64,11 @@ def test_random_and_odd_texts(spark):
 def test_ownership(spark):
     rows = [("h", "a", "r1"), ("h", "a", "r1"), ("h", "a", "r2"), ("h", None, "r3"), ("g", "b", "r")]
     assert {tuple(x) for x in ss.ownership(spark.createDataFrame(rows, "hash string, owner string, repo string")).collect()} == {("h", 3, 2, 4), ("g", 1, 1, 1)}
+
+
+def test_many_repositories_of_one_owner(spark):
+    wide, own = "Zq9+kd83JJsla0/dkeYY2", "Hb7+pw52MMxtc4/uioRR9"
+    rows = [(i, f"x {wide} y", "a", f"r{i}") for i in range(6)] + [(10, f"x {own} y", "b", "r1"), (11, f"x {own} y", "b", "r2")]
+    out = {r.doc_id: r for r in ss.scan(spark.createDataFrame(rows, "doc_id long, text string, owner string, repo string"), F.col("owner"), F.col("repo")).collect()}
+    assert all(out[i].n_live == 0 and out[i].spans == "" for i in range(6))
+    assert all((out[i].n_live, out[i].spans, list(out[i].owners), list(out[i].repos)) == (1, "live:2:23", [1], [2]) for i in (10, 11))

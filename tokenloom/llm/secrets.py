@@ -1,8 +1,8 @@
 """Operator 1, secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Base kinds are fixed patterns; ``live`` candidates are long mixed tokens outside base spans. Every candidate's value is
-hashed and counted over the corpus by distinct repository and owner. A value that more than ``OWNERS`` owners have is a widely
-copied example; a value of few owners that looks random is a live-looking credential. Base spans always stay;
+hashed and counted over the corpus by distinct repository and owner. A value that more than ``OWNERS`` owners or
+``REPOS`` repositories have is a widely copied example; a value of few of both that looks random is a live-looking credential. Base spans always stay;
 the method adds the live candidates that are owner-specific, and says for each text how many of its values are which.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenloom.session import materialize
 
 OWNERS = 2  # owners that a credential has at most; copies of a document in more places make it an example
+REPOS = 3  # repositories that a credential is in at most, of one owner too
 SALTS = 16  # pieces that a hot value's rows are dealt to when counts are joined back
 # fixed values: the patterns of the kinds, in their order, with the least length and the group that has it
 KINDS = {
@@ -58,10 +59,11 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner: Column, repo: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_widespread.
+    """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_widespread, owners, repos.
 
     ``base_sha256`` digests and ``spans`` lists kind:start:end, in code points with the end exclusive, by start, then kind as in
-    KINDS. n_live counts values of few owners that look random, n_widespread values of many owners, base kinds included. A null
+    KINDS. n_live counts values of few owners and repositories that look random, n_widespread values of many of either, base kinds included.
+    ``owners`` and ``repos`` have the counts of each span's value, in the order of ``spans``. A null
     text is empty; a null owner or repository counts as one of that name. Repeated rows stay and count as one place.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), owner.cast("string").alias("owner"), repo.cast("string").alias("repo"))
@@ -78,11 +80,11 @@ def scan(docs: DataFrame, owner: Column, repo: Column, id_col: str = "doc_id", t
     texts = materialize(texts.withColumn("cover", cover).where((F.col("kind") < BASE) | F.col("cover").isNull() | (F.col("cover") < F.col("end"))).drop("cover", "gap", "size", "i"), "ss-texts")
 
     places = each.where(F.length("value") >= 6).select("owner", "repo", F.sha2("value", 256).alias("hash"))
-    counts = ownership(places).select("hash", "n_owners").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counts = ownership(places).select("hash", "n_owners", "n_repos", ((F.col("n_owners") > OWNERS) | (F.col("n_repos") > REPOS)).alias("wide")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     told = (texts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "th"), F.lit(SALTS)).cast("int")).join(counts, ["hash", "salt"])
-            .withColumn("live", (F.col("n_owners") <= OWNERS) & _random_looking(F.col("value"))).where((F.col("kind") < BASE) | F.col("live")))
+            .withColumn("live", ~F.col("wide") & _random_looking(F.col("value"))).where((F.col("kind") < BASE) | F.col("live")))
     name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
-    span = F.struct("start", "kind", F.concat_ws(":", name, "start", "end").alias("s"), "live", (F.col("n_owners") > OWNERS).alias("wide"))
+    span = F.struct("start", "kind", F.concat_ws(":", name, "start", "end").alias("s"), "live", "wide", "n_owners", "n_repos")
     told = told.groupBy(*key).agg(F.array_sort(F.collect_list(span)).alias("all"))
     out = rows.select(*key).alias("r").join(told.alias("t"), F.expr("r.doc_id <=> t.doc_id and r.th = t.th and r.n = t.n"), "left").select("r.doc_id", F.coalesce("t.all", F.array().cast(told.schema["all"].dataType)).alias("all"))
     count = lambda f: F.size(F.filter("all", f)).cast("long")
@@ -90,4 +92,5 @@ def scan(docs: DataFrame, owner: Column, repo: Column, id_col: str = "doc_id", t
     text = lambda a: F.array_join(F.transform(a, lambda x: x.s), ",")
     return out.select("doc_id", *[count(of(k)).alias(f"n_{n}") for k, n in enumerate(list(KINDS)[:BASE])],
                       F.sha2(text(F.filter("all", lambda x: x.kind < BASE)), 256).alias("base_sha256"), text(F.col("all")).alias("spans"),
-                      count(lambda x: x.live).alias("n_live"), count(lambda x: x.wide).alias("n_widespread"))
+                      count(lambda x: x.live).alias("n_live"), count(lambda x: x.wide).alias("n_widespread"),
+                      F.transform("all", lambda x: x.n_owners).alias("owners"), F.transform("all", lambda x: x.n_repos).alias("repos"))
