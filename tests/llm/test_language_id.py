@@ -52,3 +52,27 @@ def test_rejects_what_no_language_fits(spark):
     out = li.identify(docs.unionByName(spark.createDataFrame(junk, docs.schema)), ~li.heldout(), li.heldout())
     got = {r.doc_id for r in out.where("rejected").collect()}
     assert {j[0] for j in junk} <= got and len(got) <= len(junk) + 2
+
+
+def test_many_rows_of_a_language(spark):
+    """More labelled rows of one language than are sampled, so that only low hashes are ranked."""
+    words = {"en": "the cat sat on the mat", "de": "der hund und die katze"}
+    df = spark.range(9000).selectExpr("id as doc_id", "if(id % 3 = 0, 'de', 'en') as lang").selectExpr("doc_id", "lang", f"concat(if(lang = 'de', '{words['de']}', '{words['en']}'), ' ', doc_id) as text")
+    out = li.identify(df, ~li.heldout(), li.heldout())
+    assert out.join(df, "doc_id").where("lang = lang_pred and not rejected").count() == 9000
+    (fitted,) = li.fit(df, "doc_id", "text", "lang")
+    assert sorted(fitted.value[0]) == ["de", "en"]
+
+
+def test_groups_of_languages(spark, monkeypatch):
+    """Languages learned in groups give what they give in one group; none is left out."""
+    scripts = [chr(0x4E00 + 7 * i) for i in range(60)]
+    rows = [(100 * i + k, "".join(chr(ord(c) + (j * k) % 5) for j in range(40)), f"l{i:02d}") for i, c in enumerate(scripts) for k in range(6)]
+    rows += [(-1, None, None), (-2, "12", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    never = F.lit(False)
+    one = sorted(map(str, li.identify(df, F.lit(True), never).collect()))
+    monkeypatch.setattr(li, "LANGUAGES", 25)
+    assert len(list(li.fit(df, "doc_id", "text", "lang"))) == 3
+    assert sorted(map(str, li.identify(df, F.lit(True), never).collect())) == one
+    assert len({x.split("lang_pred=")[1].split(",")[0] for x in one}) == 61

@@ -71,3 +71,18 @@ def test_odd_rows(spark, monkeypatch):
     got = sorted((tuple(r) for r in tf.round_trip(df, PATH, with_ids=True).collect()), key=key)
     assert [r[:4] for r in got] == want(rows) and all(len(r[4]) == r[2] for r in got)
     assert tf.round_trip(df.limit(0), PATH).count() == 0
+
+
+def test_segments_of_null_ids(spark, monkeypatch):
+    """Several segments, the first of them with null ids only, in one range of ids."""
+    monkeypatch.setattr(tf, "SEGMENT", 6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    text = "one two three four"
+    try:
+        for parts in ("1", "3"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            rows = [(None, text), (None, text), (None, text + " five"), (1, text), (2, text), (2, text)]
+            got = sorted((tuple(r) for r in tf.round_trip(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()), key=key)
+            assert [r[:2] for r in got] == [r[:2] for r in want(rows)] and sorted(r[3] for r in got) == sorted(r[3] for r in want(rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

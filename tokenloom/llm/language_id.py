@@ -2,7 +2,7 @@
 
 A text is lower-cased; letters are kept, every run of other characters is one blank, and the text starts after a
 blank. For each language an interpolated Kneser-Ney model of ``ORDER`` characters is
-learned from at most ``SAMPLE`` labelled texts (the least by hash of their id, whole) and stored as sorted
+learned from at most ``SAMPLE`` labelled texts (the least by hash of their id, whole; every language is learned) and stored as sorted
 hash arrays: for each order the n-gram keys with their final probabilities, and the context keys with the weight
 of the lower order. A text's language is the one with the least cross-entropy per character. It is rejected
 when that cross-entropy lies further above the language's own mean than calibration texts do, with room for short ones.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,10 +22,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tokenloom.llm import textkernel as tk
+from tokenloom.session import materialize
 
 ORDER = 4
 SAMPLE = 600  # labelled texts a language learns from at most; one in five of them calibrates
-LANGUAGES = 200  # learned at most, the most common ones
+LANGUAGES = 200  # whose models a task holds at a time; more of them are worked off in groups
+BROADCAST_LANGUAGES = 2000  # up to so many, the table of languages and that of the sampled ids are broadcast
 DISCOUNT = 0.75
 BITS = 12  # of a character in an n-gram key
 # A text is rejected if its cross-entropy is above the language's mean by more than SLACK times the share that all but one in 200
@@ -160,43 +163,92 @@ def _calibrate(texts: pd.DataFrame, models: dict[str, KneserNey]) -> dict[str, t
     return out
 
 
-def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str):
-    """Broadcast (models, limits); the sample, and so what reaches the driver, is SAMPLE texts of a language at most."""
+def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> Iterator:
+    """Broadcast (models, limits) of each group of LANGUAGES languages, one after another; none if nothing can be learned.
+
+    Every language is learned. The sample, and so what reaches the driver at a time, is SAMPLE texts of each language of a group."""
     w = W.partitionBy("lang").orderBy("u", "id")
     known = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and id is not null").distinct()
-    known = known.withColumn("u", F.pmod(F.xxhash64("id"), F.lit(1 << 52)))
-    counts = known.groupBy("lang").agg(F.count("*").alias("c")).orderBy(F.col("c").desc(), "lang").limit(LANGUAGES)
+    known = known.withColumn("u", F.pmod(F.xxhash64("id"), F.lit(1 << 52)) / F.lit(float(1 << 52)))
+    counts = materialize(known.groupBy("lang").agg(F.count("*").alias("c")).withColumn("grp", F.expr(f"(row_number() over (order by lang) - 1) div {LANGUAGES}")), "languages")
+    groups = counts.agg(F.max("grp")).first()[0]
+    groups = 0 if groups is None else groups + 1
     # only rows whose hash is low enough for some 4 * SAMPLE of a language are ranked, so none ranks all its rows
-    low = known.join(F.broadcast(counts), "lang").where(F.col("u") * F.col("c") < F.lit(4.0 * SAMPLE * (1 << 52)))
-    sample = low.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= SAMPLE).select("id", "lang", "rank")
+    few = F.broadcast(counts) if groups * LANGUAGES <= BROADCAST_LANGUAGES else counts
+    low = known.join(few, "lang").where(F.col("u") < F.lit(4.0 * SAMPLE) / F.col("c"))
+    sample = low.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= SAMPLE).select("id", "lang", "rank", "grp")
     texts = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null")
-    texts = texts.join(F.broadcast(sample), ["id", "lang"]).select("lang", "rank", "text").dropDuplicates(["lang", "rank"])
-    learned = texts.groupBy("lang").applyInPandas(_learn, "lang string, model binary").collect()
-    models = {r.lang: pickle.loads(r.model) for r in sorted(learned, key=lambda r: r.lang)}
-    limits = _calibrate(texts.where("rank % 5 = 0").toPandas(), models)
-    return labelled.sparkSession.sparkContext.broadcast((models, limits))
+    texts = texts.join(F.broadcast(sample) if groups * LANGUAGES <= BROADCAST_LANGUAGES else sample, ["id", "lang"])
+    texts = texts.groupBy("lang", "rank", "grp").agg(F.min("text").alias("text"))  # of an id's several texts, the least
+    if groups > 1:
+        texts = materialize(texts, "language-sample")
+    for g in range(groups):
+        own = texts.where(F.col("grp") == g)
+        learned = own.groupBy("lang").applyInPandas(_learn, "lang string, model binary").collect()
+        models = {r.lang: pickle.loads(r.model) for r in sorted(learned, key=lambda r: r.lang)}
+        if models:
+            yield labelled.sparkSession.sparkContext.broadcast((models, _calibrate(own.where("rank % 5 = 0").select("lang", "rank", "text").toPandas(), models)))
+
+
+STATE = "doc_id long, text string, held_out boolean, lang string, least double, second double, mean double, most double"
+OUT = "doc_id long, held_out boolean, lang_pred string, score double, cross_entropy double, rejected boolean"
+_KINDS = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
 
 
-OUT = "doc_id long, held_out boolean, lang_pred string, score double, cross_entropy double, rejected boolean"
+def _schema(ddl: str) -> pa.Schema:
+    return pa.schema([(n, _KINDS[k]) for n, k in (c.split() for c in ddl.split(", "))])
 
 
-def _predict(fitted):
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())])
+def _best(ce: np.ndarray, models: dict, limits: dict) -> list[np.ndarray]:
+    """(name, cross-entropy, next best cross-entropy, mean, share allowed above it) of each text's best language."""
+    names = np.array([*models], dtype=object)
+    mean, most = (np.array([limits[x][i] for x in models]) for i in (0, 1))
+    best = ce.argmin(axis=1)
+    second = np.partition(ce, 1, axis=1)[:, 1] if ce.shape[1] > 1 else np.full(len(ce), np.inf)
+    return [names[best], ce.min(axis=1), second, mean[best], most[best]]
+
+
+def _narrow(fitted):
+    """Holds each text's best language so far against one more group of languages."""
+    schema = _schema(STATE)
 
     def run(batches):
         models, limits = fitted.value
-        names = np.array([*models, UNKNOWN], dtype=object)
-        mean, most = (np.array([*(limits[x][i] for x in models), 0.0]) for i in (0, 1))
+        for b, _, _ in tk.chunks(batches, chunk_bytes=2 << 20):
+            new = _best(cross_entropies([t or "" for t in b.column(1).to_pylist()], models)[0], models, limits)
+            old = [np.array(b.column(i).to_pylist(), dtype=object if i == 3 else float) for i in range(3, 8)]
+            better = new[1] < old[1]  # of equals the first by name, and groups are in the order of names
+            second = np.where(better, np.minimum(new[2], old[1]), np.minimum(old[2], new[1]))
+            best = [np.where(better, x, y) for x, y in zip(new, old, strict=True)]
+            best[2] = second
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *(pa.array(x, t) for x, t in zip(best, schema.types[3:], strict=True))], schema=schema)
+
+    return run
+
+
+def _predict(fitted):
+    """Holds each text's best language of the groups before against the last group, and decides. ``fitted``: None if nothing was learned."""
+    schema = _schema(OUT)
+
+    def run(batches):
+        models, limits = fitted.value if fitted is not None else ({}, {})
         for b, _, _ in tk.chunks(batches, chunk_bytes=2 << 20):
             ce, n, letters = cross_entropies([t or "" for t in b.column(1).to_pylist()], models)
-            if not models:
-                ce, letters = np.zeros((b.num_rows, 1)), letters * 0
-            best = np.where(letters > 0, ce.argmin(axis=1), len(models))
-            least = ce.min(axis=1)
-            second = np.partition(ce, 1, axis=1)[:, 1] if ce.shape[1] > 1 else least + 1
+            if models:
+                lang, least, second, mean, most = _best(ce, models, limits)
+            else:
+                lang, letters = np.full(b.num_rows, UNKNOWN, dtype=object), letters * 0
+                least, second, mean, most = (np.zeros(b.num_rows) for _ in range(4))
+            if b.num_columns > 3:
+                old = [np.array(b.column(i).to_pylist(), dtype=object if i == 3 else float) for i in range(3, 8)]
+                better = least < old[1]
+                second = np.where(better, np.minimum(second, old[1]), np.minimum(old[2], least))
+                lang, least, mean, most = (np.where(better, x, y) for x, y in ((lang, old[0]), (least, old[1]), (mean, old[3]), (most, old[4])))
+            lang = np.where(letters > 0, lang, UNKNOWN)
+            second = np.where(np.isinf(second), least + 1, second)
             score = np.where(letters > 0, 1 / (1 + np.exp(-np.minimum((second - least) * np.sqrt(n), 50))), 0.0)
-            rejected = (letters == 0) | (least > mean[best] * (1 + most[best] + SHORT / np.sqrt(n)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(names[best], pa.string()), pa.array(score), pa.array(np.where(letters > 0, least, np.nan)), pa.array(rejected)], schema=schema)
+            rejected = (letters == 0) | (least > mean * (1 + most + SHORT / np.sqrt(n)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(lang, pa.string()), pa.array(score), pa.array(np.where(letters > 0, least, np.nan)), pa.array(rejected)], schema=schema)
 
     return run
 
@@ -209,9 +261,16 @@ def identify(docs: DataFrame, train: Column, held_out: Column, id_col: str = "do
     text if nothing could be learned. score is 1 / (1 + exp(-margin * sqrt(characters))) of the two best languages,
     ties go to the language first by name. Repeated rows and null ids stay; other columns are never read.
     """
-    fitted = fit(docs.where(train), id_col, text_col, lang_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held_out.alias("held_out"))
-    return rows.mapInArrow(_predict(fitted), OUT)
+    last = None
+    for fitted in fit(docs.where(train), id_col, text_col, lang_col):
+        if last is not None:
+            if len(rows.columns) == 3:
+                rows = rows.select("*", F.lit(UNKNOWN).alias("lang"), *(F.lit(x).alias(c) for c, x in (("least", float("inf")), ("second", float("inf")), ("mean", 0.0), ("most", 0.0))))
+            rows = materialize(rows.mapInArrow(_narrow(last), STATE), "languages-so-far")
+            last.unpersist()
+        last = fitted
+    return rows.mapInArrow(_predict(last), OUT)
 
 
 def heldout(id_col: str = "doc_id", mod: int = 5, rest: int = 0) -> Column:

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,13 +184,12 @@ def _segments(lengths):
     kinds = [pa.int64()] * 3 + [pa.binary()] * 5
 
     def run(batches):
-        code, start, part = Code(np.frombuffer(lengths.value, dtype=np.uint8)), 0, None
+        code, start, part = Code(np.frombuffer(lengths.value, dtype=np.uint8)), 0, TaskContext.get().partitionId()  # ranges of ids are numbered in order
 
         def segment(docs, ids):
-            nonlocal start, part
+            nonlocal start
             flat = np.concatenate(ids).astype(np.int64)
             bits, points = code.encode(flat)
-            part = docs[0] if part is None else part
             known = np.array([d is not None for d in docs], dtype=np.uint8)
             row = [part, start, len(flat), np.array([d or 0 for d in docs], "<i8").tobytes(), known.tobytes(), np.array([len(x) for x in ids], "<i8").tobytes(), bits, points.astype("<i8").tobytes()]
             start += len(flat)
@@ -256,14 +256,14 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
     """One row per document of the file: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (and ids)."""
     lengths = spark.sparkContext.broadcast(bytes(spark.read.parquet(f"{path}/header").first()[0]))
     segments = spark.read.parquet(f"{path}/segments")
-    parts = segments.groupBy("part").agg(F.sum("n").alias("n")).orderBy(F.col("part").asc_nulls_first()).collect()  # one row for each file part
+    parts = segments.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()  # one row for each file part
     before, rows = 0, []
     for p in parts:
         rows.append((p.part, before))
         before += p.n
     offsets = F.broadcast(spark.createDataFrame(rows, "part long, before long"))
     out = segments.mapInArrow(_read(lengths, with_ids), "part long, start long, doc_id long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
-    out = out.join(offsets, out.part.eqNullSafe(offsets.part))
+    out = out.join(offsets, "part")
     return out.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
 
 
