@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bm25_search, bpe_codec, decontaminate, jaccard_join, language_id, line_dedup, lm_score, secrets, token_file, toxicity, warc
+from tokenloom.llm import bm25_search, bpe_codec, decontaminate, hard_negatives, jaccard_join, language_id, line_dedup, lm_score, secrets, token_file, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -68,13 +68,19 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each anchor (an id divisible by 100) and each of its first 5 rows of the same label: the first 10 rows of other labels
+    whose score is 30 to 90 per cent of the positive's."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_bm25_documents, op2_bm25_search, op3_decontaminate, op4_jaccard_join, op5_lm_score, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup, op13_warc)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_bm25_documents, op2_bm25_search, op3_decontaminate, op4_jaccard_join, op5_lm_score, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup, op12_hard_negatives, op13_warc)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_bm25_search": bm25_search.SQL, "op13_warc": warc.SQL}
+    return {"op2_bm25_search": bm25_search.SQL, "op12_hard_negatives": hard_negatives.SQL, "op13_warc": warc.SQL}
