@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bm25_search, bpe_codec, decontaminate, hard_negatives, jaccard_join, language_id, line_dedup, lm_score, secrets, token_file, toxicity, warc
+from tokenloom.llm import bm25_search, bpe_codec, decontaminate, divergence, hard_negatives, jaccard_join, language_id, line_dedup, lm_score, secrets, token_file, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -68,6 +68,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language keeps the V terms in 3 or more of its documents. p = 1 + floor(10^9 (count + 1) / (N + V)) of a group, q of what it is held
+    against. Part pair: each other source of the language, floor((p - q)^2 / q) added up over the kept terms. Part term: the group's terms with
+    p > q, q that of the language, the first 200."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each anchor (an id divisible by 100) and each of its first 5 rows of the same label: the first 10 rows of other labels
     whose score is 30 to 90 per cent of the positive's."""
@@ -79,8 +86,8 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_bm25_documents, op2_bm25_search, op3_decontaminate, op4_jaccard_join, op5_lm_score, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup, op12_hard_negatives, op13_warc)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_bm25_documents, op2_bm25_search, op3_decontaminate, op4_jaccard_join, op5_lm_score, op6_language_id, op7_token_file, op8_toxicity, op9_bpe_codec, op10_line_dedup, op11_source_divergence, op12_hard_negatives, op13_warc)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_bm25_search": bm25_search.SQL, "op12_hard_negatives": hard_negatives.SQL, "op13_warc": warc.SQL}
+    return {"op2_bm25_search": bm25_search.SQL, "op11_source_divergence": divergence.SQL, "op12_hard_negatives": hard_negatives.SQL, "op13_warc": warc.SQL}
