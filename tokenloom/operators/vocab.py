@@ -107,6 +107,47 @@ def encode(tokens: DataFrame, vocab: DataFrame, unk_id: int | None, bounded: boo
     return j.withColumn("id", idc.cast("bigint"))
 
 
+ENCODE_BYTES = 64 << 20  # of a vocabulary's symbols, up to which it goes to every task for encoding whole arrays
+
+
+def fits_tasks(vocab: DataFrame) -> bool:
+    """Whether a vocabulary's measured size allows ``encode_arrays``."""
+    n = vocab.agg(F.sum(F.octet_length("sym") + 12)).first()[0]
+    return (n or 0) <= ENCODE_BYTES
+
+
+def encode_arrays(lines: DataFrame, vocab: DataFrame, unk_id: int | None, sym: str = "symbols", out: str = "ids") -> DataFrame:
+    """J1 / J2 on whole arrays: the column ``sym`` (array of symbols) becomes ``out`` (array of ids), all other columns stay.
+
+    The vocabulary (``fits_tasks``) is looked up in Arrow batches by an exact hash of the symbols, so tokens are neither
+    taken apart into rows nor regrouped, and nothing is shuffled. Without ``unk_id`` an unknown symbol raises."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    known = vocab.select("sym", "id").toArrow()
+    table = lines.sparkSession.sparkContext.broadcast((known["sym"].combine_chunks(), known["id"].to_numpy().astype(np.int64)))
+    kept = [c for c in lines.columns if c != sym]
+    schema = ", ".join([f"`{c}` {lines.schema[c].dataType.simpleString()}" for c in kept] + [f"`{out}` array<bigint>"])
+
+    def run(batches):
+        symbols, numbers = table.value
+        for b in batches:
+            col = b.column(len(kept))
+            words = col.flatten().dictionary_encode()
+            at = pc.index_in(words.dictionary, value_set=symbols.cast(words.dictionary.type))
+            if at.null_count and unk_id is None:
+                raise ValueError(f"unknown symbol: {words.dictionary.filter(at.is_null())[0].as_py()}")
+            at = at.fill_null(-1).to_numpy().astype(np.int64)
+            ids = np.where(at >= 0, numbers[np.maximum(at, 0)], unk_id if unk_id is not None else -1) if len(numbers) else np.full(len(at), unk_id if unk_id is not None else -1)
+            ids = ids[words.indices.to_numpy()] if len(ids) else np.zeros(0, np.int64)
+            sizes = pc.fill_null(pc.list_value_length(col), 0).to_numpy()
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], lists], names=[*kept, out])
+
+    return lines.select(*kept, sym).mapInArrow(run, schema)
+
+
 def oov_report(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """The rows of a count table (sym, cnt, first) whose symbol the vocabulary lacks."""
     return counts.join(vocab.select("sym"), "sym", "left_anti")

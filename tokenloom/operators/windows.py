@@ -82,8 +82,8 @@ def bin_positions(arr: Column, lo: int, hi: int) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: in_bin(F.get(arr, i), lo, hi))
 
 
-def bin_features(windows: DataFrame, cutoffs: list[int], bin_sizes: list[int]) -> DataFrame:
-    """P13 + P14 + W4 + G8 on (w, core, r, inputs, labels).
+def bin_features(windows: DataFrame, cutoffs: list[int], bin_sizes: list[int], keys: tuple[str, ...] = ()) -> DataFrame:
+    """P13 + P14 + W4 + G8 on (w, core, r, inputs, labels), of each stream that ``keys`` name.
 
     For each tail bin b and each of inputs / labels: the positions holding a bin-b id get slot
     numbers that run over the rows of one (window, core group) in row order and stop at
@@ -95,7 +95,7 @@ def bin_features(windows: DataFrame, cutoffs: list[int], bin_sizes: list[int]) -
     d = windows.withColumn("inp_mask", bin_mask(F.col("inputs"), cutoffs)) \
                .withColumn("tgt_mask", bin_mask(F.col("labels"), cutoffs)) \
                .withColumn("head_labels", head_labels(F.col("labels"), cutoffs))
-    before = Window.partitionBy("w", "core").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys, "w", "core").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     tails = [(b, (lo, hi)) for b, lo, hi in tail_bins(cutoffs)]
     sides = (("inp", "inputs"), ("tgt", "labels"))
     # positions of every tail bin first, then all running counters in one select (one window)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tokenloom.functions.text import byte_char_table
 from tokenloom.operators.bpe import PER_ROUND, ROUNDS
-from tokenloom.plans.queries import B, C, CFG, CLAMP, ENTRY_B, ENTRY_T, MEM, T, TAIL_CUTS
+from tokenloom.plans.queries import B, C, CFG, CLAMP, ENTRY_B, ENTRY_T, MEM, SEED, SHARD_CFG, SHUFFLES, T, TAIL_CUTS
 
 NL = "chr(10)"
 
@@ -205,6 +205,46 @@ model AS (SELECT id, -(ln((slot_cnt + 1) / (NN + {TAIL_CUTS[0] + 3})) +
         WHEN 2 THEN {TAIL_CUTS[2] - TAIL_CUTS[1]} ELSE V - {TAIL_CUTS[2]} END)) ELSE 0 END) AS loss FROM m2, vsz)"""
 
 
+def shard_sql() -> dict[str, str]:
+    """Sharded sets token by token: each (shard, shuffle) is a stream, bin counters restart in each (file, window, core)."""
+    marks = f"list_concat(['<S>'], {words()}, ['<S>'])"
+    core = f"""{shard_lines()},
+trl AS (SELECT * FROM slines WHERE split = 'train'),
+{tokens_cte("ctok", marks=True, lines="trl").lstrip()},
+counts AS (SELECT sym, count(*) AS cnt, min(p) AS first FROM ctok WHERE pos < nsym - 1 GROUP BY sym),
+{vocab_cte(SHARD_CFG.max_size).lstrip().replace("<eos>", "<S>").replace("<unk>", "<UNK>")},
+sent AS (SELECT shard, shard_no, split, doc_id, line_no, {marks} AS symbols, shuffle,
+           CASE WHEN split = 'train' THEN printf('train-%03d-%02d', shard_no, shuffle) ELSE split END || '.bsz-{B}.tlen-{T}.core-{C}' AS basename,
+           CASE WHEN split = 'train' THEN md5('{SEED}:' || shard || ':' || shuffle || ':' || doc_id || ':' || line_no) ELSE '' END AS ord
+         FROM slines, (SELECT unnest(range(0, {SHUFFLES})) AS shuffle) WHERE split = 'train' OR (split = 'valid' AND shuffle = 0)),
+st0 AS (SELECT *, unnest(symbols) AS sym, unnest(range(0, len(symbols))) AS pos FROM sent),
+st1 AS (SELECT split, basename, sym, row_number() OVER (PARTITION BY basename ORDER BY ord, doc_id, line_no, pos) - 1 AS p, count(*) OVER (PARTITION BY basename) AS n FROM st0),
+every AS (SELECT split, basename, p, n // {B} AS S, coalesce(v.id, 1) AS id FROM st1 LEFT JOIN vocab v USING (sym)),
+stream AS (SELECT p, id FROM every WHERE split = 'valid'), {BINS},
+g AS (SELECT split, basename, p // S AS r, p % S AS c, id, S FROM every WHERE p < {B} * S),
+tok AS (SELECT 'inp' AS side, split, basename, r, c // {T} AS w, c % {T} AS i, id FROM g WHERE c < S - 1 AND c // {T} < (S - 1) // {T}
+        UNION ALL SELECT 'tgt', split, basename, r, (c - 1) // {T}, (c - 1) % {T}, id FROM g WHERE c >= 1 AND (c - 1) // {T} < (S - 1) // {T})"""
+    head = (f"CASE WHEN id < {TAIL_CUTS[0]} THEN id WHEN id < {TAIL_CUTS[1]} THEN {TAIL_CUTS[0]} WHEN id < {TAIL_CUTS[2]} THEN {TAIL_CUTS[0] + 1} ELSE {TAIL_CUTS[0] + 2} END")
+    out = {}
+    out["shard_examples"] = f"""WITH {core},
+slot AS (SELECT t.*, bin, size, row_number() OVER (PARTITION BY basename, side, w, r // {B // C}, bin ORDER BY r, i) - 1 AS slot FROM tok t JOIN tbins ON id >= lo AND id < hi JOIN bsizes USING (bin)),
+tup AS (SELECT basename, side, w, r, bin, string_agg(i || ' ' || slot, ' ' ORDER BY i) AS tup FROM slot WHERE slot < size GROUP BY ALL),
+ex AS (SELECT basename, w, r, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) FILTER (side = 'inp') AS inputs, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) FILTER (side = 'tgt') AS labels,
+         string_agg(CAST({head} AS VARCHAR), ' ' ORDER BY i) FILTER (side = 'tgt') AS head_labels FROM tok WHERE split = 'train' GROUP BY ALL),
+lists AS (SELECT e.basename, e.w, e.r, s.side, string_agg(coalesce(t.tup, ''), '|' ORDER BY tb.bin) AS tups
+          FROM ex e CROSS JOIN (VALUES ('inp'), ('tgt')) s(side) CROSS JOIN tbins tb
+          LEFT JOIN tup t ON t.basename = e.basename AND t.w = e.w AND t.r = e.r AND t.side = s.side AND t.bin = tb.bin GROUP BY ALL)
+SELECT e.basename, e.w * {B} + e.r AS sample_id, e.inputs, e.labels, e.head_labels, a.tups AS inp_tup, b.tups AS tgt_tup
+FROM ex e JOIN lists a ON a.basename = e.basename AND a.w = e.w AND a.r = e.r AND a.side = 'inp' JOIN lists b ON b.basename = e.basename AND b.w = e.w AND b.r = e.r AND b.side = 'tgt'"""
+    out["load_record_info"] = f"""WITH {core},
+f AS (SELECT split, basename, max(CASE WHEN S <= 1 THEN 0 ELSE (S - 1) // {T} END) AS W FROM every GROUP BY ALL),
+h AS (SELECT basename, count(DISTINCT (w, r)) AS examples, sum(id) AS sums FROM tok WHERE side = 'inp' GROUP BY basename)
+SELECT f.split, f.basename, (SELECT string_agg(CAST(size AS VARCHAR), ' ' ORDER BY bin) FROM bsizes) AS bin_sizes,
+  CAST(sum(f.W) OVER (PARTITION BY f.split) AS BIGINT) AS num_batch, coalesce(h.examples, 0) AS examples, CAST(coalesce(h.sums, 0) AS BIGINT) AS sum_inputs
+FROM f LEFT JOIN h USING (basename)"""
+    return out
+
+
 def entry_sql() -> str:
     return windows_sql(ENTRY_B, ENTRY_T, fixed=False)
 
@@ -359,6 +399,15 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY shard, shuffle
 nn AS (SELECT *, CAST(len({words()}) + 2 AS BIGINT) AS n FROM rk)
 SELECT shard, CAST(shuffle AS BIGINT) AS shuffle, doc_id, line_no,
   CAST(sum(n) OVER (PARTITION BY shard, shuffle ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS start_p, n FROM nn"""
+    q.update(shard_sql())
+    q["rotated_examples"] = f"""WITH {CORE}, nn AS (SELECT count(*) AS N FROM stream),
+ps AS (SELECT 0 AS pass, N // 3 AS st FROM nn UNION ALL SELECT 1, 0 FROM nn UNION ALL SELECT 2, (2 * N) // 3 FROM nn),
+rot AS (SELECT pass * N + (((p - st) % N) + N) % N AS p, id FROM stream, ps, nn),
+params AS (SELECT count(*) // {B} AS S FROM rot),
+grid AS (SELECT p // S AS r, p % S AS c, id, S FROM rot, params WHERE p < {B} * S),
+i AS (SELECT r, c // {T} AS w, count(*) AS n, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY c) AS inputs FROM grid WHERE c < S - 1 GROUP BY r, w),
+l AS (SELECT r, (c - 1) // {T} AS w, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY c) AS labels FROM grid WHERE c >= 1 GROUP BY r, w)
+SELECT w * {B} + r AS sample_id, w, r, inputs, labels FROM i JOIN l USING (r, w) WHERE n = {T}"""
     bl = f"""{LINES},
 bl AS (SELECT doc_id, line_no, CASE WHEN has_newline THEN line || chr(10) ELSE line END AS text FROM lines),
 bt0 AS (SELECT doc_id, line_no, regexp_extract_all(text, '{RE2_PAT}') AS toks FROM bl),

@@ -503,6 +503,72 @@ def q_shard_streams(spark, sf):
                     F.col("line_no").cast("bigint").alias("line_no"), "start_p", "n")
 
 
+# Sharded sets: two shuffles of each train shard, both marks, bins from the valid split.
+SHARD_CFG = WC.WordConfig(special=("<S>", "<UNK>"), add_eos=False, add_double_eos=True, max_size=20000, unk="<UNK>")
+SHUFFLES, SEED = 2, 123456
+
+
+def _shard_set(spark, sf):
+    """The examples and manifests of a sharded corpus on disk: (path of the examples, path of the manifests, stream table). The train
+    files of every (shard, shuffle) and the valid file are built by one plan."""
+    from tokenloom.operators import sharded as SD
+
+    def build():
+        c = corpus(spark, sf, SHARD_CFG, by_shard=True)
+        shards = F.broadcast(S.split_by_shard(S.read_documents(spark, sf)).select("shard", "shard_no"))
+        sent = c.encoded.where("split = 'train'").join(shards, "shard")
+        sent = SD.shuffled_pieces(sent, SHUFFLES, SEED)
+        name = EX.example_file_name_col(EX.shard_basename(F.col("shard_no"), F.col("shuffle")), B, T, C, True)
+        train = sent.select(F.lit("train").alias("split"), name.alias("basename"), "start_p", "ids")
+        valid = c.lines_of("valid").select(F.lit("valid").alias("split"), F.lit(EX.example_file_name("valid", B, T, C, True)).alias("basename"), "start_p", "ids")
+        pieces = materialize(train.unionByName(valid), "shard-pieces")
+        bins = BN.collect_bin_sizes(BN.bin_sizes(c.split("valid"), c.N["valid"], B // C, T, c.cutoffs))
+        streams = materialize(SD.stream_table(pieces, B, T, True), "streams")
+        path, info = work_path(spark, "shard-examples"), work_path(spark, "record-info")
+        EX.write_example_files(SD.examples_of_streams(pieces, streams, B, T, C, c.cutoffs, bins, fixed=True), path)
+        EX.write_record_info(EX.record_info_of_streams(streams, bins), info, B, T, C, True)
+        return path, info, streams
+
+    return _once((spark.sparkContext.applicationId, sf, "shard-set"), build)
+
+
+def _tuples(side: str):
+    return F.array_join(F.transform(side, lambda x: ids_str(x["tup"])), "|")
+
+
+def q_shard_examples(spark, sf):
+    """A8 + A9 over shards: every example of every train file, read back through the manifest."""
+    path, info, _ = _shard_set(spark, sf)
+    ex = EX.read_listed(spark, path, info, "train", B, T, C, fixed=True)
+    return ex.select("basename", "sample_id", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"), ids_str(F.col("head_labels")).alias("head_labels"),
+                     _tuples("inp_bins").alias("inp_tup"), _tuples("tgt_bins").alias("tgt_tup"))
+
+
+def q_load_record_info(spark, sf):
+    """A11 + A14: the manifests of the sharded set and what the files they list hold."""
+    path, info, _ = _shard_set(spark, sf)
+    outs = []
+    for split in ("train", "valid"):
+        ri = EX.load_record_info(spark, f"{info}/{EX.record_info_name(split, B, T, C, True)}")
+        held = EX.read_listed(spark, path, info, split, B, T, C, fixed=True).groupBy("basename").agg(
+            F.count(F.lit(1)).alias("examples"), F.sum(F.aggregate("inputs", F.lit(0).cast("bigint"), lambda a, x: a + x)).cast("bigint").alias("sum_inputs"))
+        files = ri.select(F.explode("filenames").alias("basename"), ids_str(F.col("bin_sizes")).alias("bin_sizes"), "num_batch")
+        outs.append(files.join(held, "basename", "left").select(F.lit(split).alias("split"), "basename", "bin_sizes", "num_batch", F.coalesce("examples", F.lit(0)).alias("examples"), F.coalesce("sum_inputs", F.lit(0)).alias("sum_inputs")))
+    return outs[0].unionByName(outs[1])
+
+
+def q_rotated_examples(spark, sf):
+    """A8 with J7: the fixed-length examples of three passes of the train stream, each begun elsewhere; arrays are cut at the wrap."""
+    from tokenloom.operators import sharded as SD
+    c = corpus(spark, sf)
+    N = c.N["train"]
+    pieces = c.lines_of().select(F.lit("train").alias("split"), F.lit("train").alias("basename"), "start_p", "ids")
+    starts = spark.createDataFrame([("train", "train", [N // 3, 0, (2 * N) // 3])], "split string, basename string, starts array<bigint>")
+    streams = materialize(SD.stream_table(pieces, B, T, True, starts), "streams")
+    ex = SD.examples_of_streams(pieces, streams, B, T, C, fixed=True)
+    return ex.select("sample_id", "w", "r", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"))
+
+
 # --------------------------------------------------------------------------------------------
 # Byte-pair encoding
 # --------------------------------------------------------------------------------------------
@@ -825,6 +891,9 @@ def registry() -> dict:
         "rotated_passes": q_rotated_passes,
         "shuffled_sentences": q_shuffled_sentences,
         "shard_streams": q_shard_streams,
+        "shard_examples": q_shard_examples,
+        "load_record_info": q_load_record_info,
+        "rotated_examples": q_rotated_examples,
         "bpe_pretokens": q_bpe_pretokens,
         "byte_chars": q_byte_chars,
         "load_merges": q_load_merges,

@@ -99,20 +99,28 @@ PIECE = 1 << 16  # tokens of a line that are grouped at most: a character corpus
 
 
 def encoded_stream(plines: DataFrame, vocab: DataFrame, cfg: WordConfig, unk_id: int | None) -> DataFrame:
-    """J1 + W1 over positioned lines: (split, doc_id, line_no, start_pos, start_p, ids), one array for each
-    ``PIECE`` tokens of a line, which begins at ``start_pos`` in its line and ``start_p`` in the stream.
-
-    Pieces are dealt by their key before they are taken apart, one record each; the vocabulary join and the
-    regrouping then stay in those partitions (a bounded vocabulary is broadcast)."""
-    key = ["split", "doc_id", "line_no", "start_pos"]
-    cut = F.expr(f"sequence(0L, (size(symbols) - 1) div {PIECE})")
-    t = plines.select("split", "doc_id", "line_no", "start_p", "symbols", F.explode(cut).alias("_k"))
-    t = t.select("split", "doc_id", "line_no", (F.col("_k") * PIECE).alias("start_pos"), (F.col("start_p") + F.col("_k") * PIECE).alias("start_p"),
-                 F.expr(f"slice(symbols, cast(_k * {PIECE} as int) + 1, {PIECE})").alias("symbols"))
-    t = t.repartition(*key).select(*key, "start_p", F.posexplode("symbols").alias("pos", "sym"))
-    t = V.encode(t, vocab, unk_id, bounded=cfg.max_size is not None)
-    g = t.groupBy(*key, "start_p").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
-    return g.select(*key, "start_p", F.transform("_t", lambda x: x["id"]).alias("ids"))
+    """J1 + W1 over positioned lines: (split, shard, doc_id, line_no, start_pos, start_p, ids), see ``encoded_pieces``."""
+    return encoded_pieces(plines.select("split", "shard", "doc_id", "line_no", "start_p", "symbols"), vocab, unk_id)
+
+
+def encoded_pieces(lines: DataFrame, vocab: DataFrame, unk_id: int | None) -> DataFrame:
+    """J1 on lines (``symbols`` and any other columns, ``start_p`` among them or not): one array of ids for each ``PIECE`` tokens of a line, which
+    begins at ``start_pos`` in its line; ``start_p`` moves along.
+
+    A vocabulary of bounded size goes to the tasks and whole arrays are looked up, without a shuffle. A larger one is
+    joined: pieces are dealt by their key before they are taken apart, and the regrouping stays in those partitions."""
+    keep = [c for c in lines.columns if c not in ("symbols", "start_p")]
+    placed = "start_p" in lines.columns
+    cut = F.expr(f"sequence(0L, greatest(size(symbols) - 1, 0) div {PIECE})")
+    t = lines.select("*", F.explode(cut).alias("_k")).withColumn("start_pos", F.col("_k") * PIECE)
+    t = t.select(*keep, "start_pos", *([(F.col("start_p") + F.col("start_pos")).alias("start_p")] if placed else []),
+                 F.expr(f"if(size(symbols) <= {PIECE}, symbols, slice(symbols, cast(start_pos as int) + 1, {PIECE}))").alias("symbols"))
+    if V.fits_tasks(vocab):
+        return V.encode_arrays(t, vocab, unk_id)
+    key = [*keep, "start_pos"] + (["start_p"] if placed else [])
+    t = t.repartition(*keep, "start_pos").select(*key, F.posexplode("symbols").alias("pos", "sym"))
+    g = V.encode(t, vocab, unk_id, bounded=False).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
+    return g.select(*key, F.transform("_t", lambda x: x["id"]).alias("ids"))
 
 
 def tokens_of(lines: DataFrame) -> DataFrame:

@@ -62,6 +62,65 @@ def write_examples(examples: DataFrame, path: str, split: str, basename: str) ->
        .write.mode("append").partitionBy("split", "basename").parquet(path))
 
 
+def write_example_files(examples: DataFrame, path: str) -> None:
+    """A8 for many files at once: ``examples`` carry split and basename (a file's name by A9), each of which becomes a folder of Parquet
+    files. Rows of a file lie in few tasks when they come from ``windows_of_streams``; nothing is dealt anew here."""
+    df = examples
+    for f in EXAMPLE_SCHEMA.fields:
+        if f.name not in df.columns:
+            df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EXAMPLE_SCHEMA.fields]).write.mode("append").partitionBy("split", "basename").parquet(path)
+
+
+def record_info_name(split: str, B: int, T: int, C: int, fixed: bool) -> str:
+    """A10's file name; like A9 it has the core count only with fixed length."""
+    return f"record_info-{split}.bsz-{B}.tlen-{T}{f'.core-{C}' if fixed else ''}.json"
+
+
+def record_info_of_streams(streams: DataFrame, bin_sizes: list[int]) -> DataFrame:
+    """A10 from the stream table (split, basename: the files' names, W): split, filenames, bin_sizes, num_batch. Windows are counted by the grids, so no example is read."""
+    sizes = F.array(*[F.lit(int(x)).cast("bigint") for x in bin_sizes]) if bin_sizes else F.array().cast("array<bigint>")
+    return streams.groupBy("split").agg(F.array_sort(F.collect_list("basename")).alias("filenames"), F.sum("W").cast("bigint").alias("num_batch")).withColumn("bin_sizes", sizes)
+
+
+def write_record_info(info: DataFrame, path: str, B: int, T: int, C: int, fixed: bool) -> None:
+    """A10: each split's manifest under its own name, written after the examples it lists."""
+    for r in info.select("split").collect():  # at most a handful of splits
+        one = info.where(F.col("split") == r["split"]).select("filenames", "bin_sizes", "num_batch")
+        one.coalesce(1).write.mode("overwrite").json(f"{path}/{record_info_name(r['split'], B, T, C, fixed)}")
+
+
+def read_listed(spark: SparkSession, path: str, info_path: str, split: str, B: int, T: int, C: int, fixed: bool) -> DataFrame:
+    """A11 + A14: the examples of the files that a split's manifest lists and no others, pruned by partition.
+
+    Raises if there is no manifest, if a file isn't named as this B, T and C ask, if a listed file with the others doesn't hold the
+    stated batches (B examples each), if an example has other bins than the manifest, or a bin holds more than its size."""
+    info = load_record_info(spark, f"{info_path}/{record_info_name(split, B, T, C, fixed)}").collect()
+    if len(info) != 1 or info[0]["filenames"] is None or info[0]["num_batch"] is None:
+        raise ValueError(f"{record_info_name(split, B, T, C, fixed)} is not one manifest")
+    info = info[0]
+    tail = example_file_name("", B, T, C, fixed)
+    other = [f for f in info["filenames"] if not f.endswith(tail)]
+    if other:
+        raise ValueError(f"{other[0]} is not a file of {tail[1:]}")
+    df = read_examples(spark, path, T, fixed, split, basenames=list(info["filenames"]) or [""])
+    sizes = list(info["bin_sizes"] or [])
+    if not fixed:
+        sizes = []
+    limit = F.array(*[F.lit(int(x)).cast("bigint") for x in sizes]) if sizes else F.array().cast("array<bigint>")
+
+    def bad(side: str):
+        counts = F.coalesce(F.transform(side, lambda x: x["cnt"]), F.array().cast("array<bigint>"))
+        return (F.size(counts) != len(sizes)) | F.exists(F.arrays_zip(counts.alias("n"), limit.alias("most")), lambda x: x["n"] > x["most"])
+
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad("inp_bins") | bad("tgt_bins")).alias("bad")).first()
+    if seen["n"] != info["num_batch"] * B:
+        raise ValueError(f"the listed files hold {seen['n']} examples, the manifest states {info['num_batch']} batches of {B}")
+    if seen["bad"]:
+        raise ValueError(f"{seen['bad']} examples don't agree with the manifest's bins {sizes}")
+    return df
+
+
 def read_examples(spark: SparkSession, path: str, T: int, fixed: bool, split: str | None = None,
                   basenames: list[str] | None = None) -> DataFrame:
     """A14 + P12: declared schema (nothing inferred); with ``fixed`` a sample of another length
