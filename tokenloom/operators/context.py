@@ -1,13 +1,73 @@
-"""Embedding lookup (J8): id -> vector scaled by sqrt(d). The per-bin tables of the reference
-are one table here, with the bin as a column if needed."""
+"""Context of a window: the memory before it (W7), the keys its positions see (W8), and embedding lookup.
+
+A row of the batch grid is cut into segments of whole windows, each at least as long as the memory; a segment gets its own tokens and a halo, the
+``mem_len`` tokens before it. So a token moves to two segments at most, however much longer than a window the memory
+is, and a group holds ``mem_len`` tokens and a segment. Arrays are cut at segment edges before the one exchange by (row, segment).
+"""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SEGMENT = 4096  # tokens of a segment at least
+
+
+def segment_length(T: int, mem_len: int) -> int:
+    """Whole windows, at least the memory."""
+    return T * -(-max(mem_len, SEGMENT) // T)
+
+
+def context_segments(lines: DataFrame, S: int, T: int, mem_len: int, B: int) -> DataFrame:
+    """(r, seg, c, ids): arrays of encoded lines (start_p, ids) cut for the segments that need them, ``c`` the column of the first id.
+    The last column of a row is a label only and stays out."""
+    L = segment_length(T, mem_len)
+    if S < 2:
+        lines = lines.limit(0)
+    S = max(S, 2)
+    last = f"least(start_p + size(ids), {B * S}L) - 1"
+    d = lines.select("start_p", "ids").where(F.expr(f"size(ids) > 0 and start_p < {B * S}"))
+    d = d.select("*", F.explode(F.expr(f"sequence(start_p div {S}, ({last}) div {S})")).alias("r"))
+    d = d.select("*", F.expr(f"greatest(start_p - r * {S}, 0L)").alias("_lo"), F.expr(f"least(({last}) - r * {S}, {S - 2}L)").alias("_hi")).where("_hi >= _lo")
+    d = d.select("*", F.explode(F.expr(f"sequence(_lo div {L}, least((_hi + {mem_len}) div {L}, {(S - 2) // L}L))")).alias("seg"))
+    lo, hi = f"greatest(_lo, seg * {L} - {mem_len})", f"least(_hi, seg * {L} + {L - 1})"
+    return d.select("r", "seg", F.expr(lo).alias("c"), F.expr(f"slice(ids, cast(r * {S} + {lo} - start_p + 1 as int), cast({hi} - {lo} + 1 as int))").alias("ids"))
+
+
+def context_windows(lines: DataFrame, S: int, T: int, mem_len: int, B: int) -> DataFrame:
+    """(r, w, memory, inputs) of each window with inputs: ``memory`` is the ``mem_len`` tokens before it in its row (fewer at the row's start)."""
+    L = segment_length(T, mem_len)
+    d = context_segments(lines, S, T, mem_len, B).repartition("r", "seg").groupBy("r", "seg").agg(F.array_sort(F.collect_list(F.struct("c", "ids"))).alias("_t"))
+    d = d.select("r", "seg", F.flatten(F.transform("_t", lambda x: x["ids"])).alias("_ids"), F.expr(f"greatest(seg * {L} - {mem_len}, 0L)").alias("_c"))
+    last = "_c + size(_ids) - 1"
+    d = d.select("*", F.explode(F.expr(f"sequence(seg * {L // T}, ({last}) div {T})")).alias("w"))
+    lo = f"greatest(w * {T} - {mem_len}, 0L)"
+    return d.select("r", "w", F.expr(f"slice(_ids, cast({lo} - _c + 1 as int), cast(w * {T} - {lo} as int))").alias("memory"),
+                    F.expr(f"slice(_ids, cast(w * {T} - _c + 1 as int), {T})").alias("inputs"))
+
+
+def visible_context(lines: DataFrame, S: int, T: int, mem_len: int, same_length: bool, clamp_len: int, B: int) -> DataFrame:
+    """Per window (r, w): a position sees the memory and the window up to itself (anchored), or only the last ``mem_len + 1`` keys (same
+    length). ``visible`` = keys seen by all positions, ``repeats`` = positions whose id occurs among their earlier visible keys, ``dist_sum`` = sum
+    over those of the distance to the nearest such occurrence, at most ``clamp_len`` each.
+
+    The nearest earlier place of an id is one ``lag`` per (row, segment, id) over the exchange by (row, segment); no array is cut per position."""
+    L = segment_length(T, mem_len)
+    t = context_segments(lines, S, T, mem_len, B).repartition("r", "seg").select("r", "seg", "c", F.posexplode("ids").alias("_i", "id"))
+    t = t.select("r", "seg", (F.col("c") + F.col("_i")).alias("c"), "id")
+    t = t.withColumn("_prev", F.lag("c").over(Window.partitionBy("r", "seg", "id").orderBy("c"))).where(F.expr(f"c >= seg * {L}"))
+    t = t.withColumn("w", F.expr(f"c div {T}"))
+    lo = F.expr(f"greatest(c - {mem_len}, 0L)" if same_length else f"greatest(w * {T} - {mem_len}, 0L)")
+    if same_length:  # the memory reaches back from the window's start, so it bounds early positions too
+        lo = F.greatest(lo, F.expr(f"greatest(w * {T} - {mem_len}, 0L)"))
+    t = t.withColumn("_lo", lo)
+    seen = F.col("_prev") >= F.col("_lo")
+    return t.groupBy("r", "seg", "w").agg(
+        F.sum(F.col("c") - F.col("_lo") + 1).cast("bigint").alias("visible"), F.count_if(seen).cast("bigint").alias("repeats"),
+        F.sum(F.when(seen, F.least(F.col("c") - F.col("_prev"), F.lit(clamp_len))).otherwise(0)).cast("bigint").alias("dist_sum")).drop("seg")
+
 
 BROADCAST_VECTORS = 100_000  # of some hundred doubles each: tens of MB
 

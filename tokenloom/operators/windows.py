@@ -1,5 +1,4 @@
-"""Training windows (G7, W3, F3), bin features (P13, P14, W4, G8),
-dense permutations (P15), memory and visible context (W7, W8).
+"""Training windows (G7, W3, F3), bin features (P13, P14, W4, G8) and dense permutations.
 
 The stream comes as id arrays, one per line, with the position of the first id. Row r of the batch grid is
 positions [rS, rS + S); window w of the row has inputs at columns [wT, min(wT + T, S - 1)) and labels one column
@@ -128,54 +127,3 @@ def dense_perm(tup: Column, T: int, bin_size: int) -> Column:
     pairs = F.transform(F.filter(tup, lambda x, i: i % 2 == 0), lambda p, i: F.struct(p.alias("p"), F.get(tup, i * 2 + 1).alias("k")))
     slots = F.transform(F.sequence(F.lit(0), F.lit(T - 1)), lambda p: F.get(F.filter(pairs, lambda x: x["p"] == p), F.lit(0))["k"])
     return F.transform(slots, lambda s: F.transform(F.sequence(F.lit(0), F.lit(bin_size - 1)), lambda k: F.coalesce((k == s).cast("float"), F.lit(0.0).cast("float"))))
-
-
-def context_windows(grid: DataFrame, S: int, T: int, mem_len: int, fixed: bool) -> DataFrame:
-    """Per (r, w): ``memory`` = the ``mem_len`` tokens before the window in its row
-    (shorter at a row start), ``inputs`` = the window's inputs. Each token is sent to the
-    windows whose memory or inputs cover it: about (mem_len + T) / T copies, bounded by the
-    parameters; each (r, w) group holds at most mem_len + T tokens."""
-    W = num_windows(S, T, fixed)
-    c = F.col("c")
-    # windows w with wT - mem_len <= c < wT + T, and c < S - 1 (the last column is label only)
-    w_lo = F.expr(f"c div {T}")
-    w_hi = F.least(F.expr(f"(c + {mem_len}) div {T}"), F.lit(W - 1).cast("bigint"))
-    t = grid.filter(c < F.lit(S - 1)).select("r", "c", "id", F.explode(
-        F.when(w_hi >= w_lo, F.sequence(w_lo, w_hi)).otherwise(F.array().cast("array<bigint>"))).alias("w"))
-    g = t.groupBy("r", "w").agg(F.array_sort(F.collect_list(F.struct("c", "id"))).alias("_t"))
-    start = F.col("w") * F.lit(T)
-    mem = F.filter("_t", lambda x: x["c"] < start)
-    cur = F.filter("_t", lambda x: x["c"] >= start)
-    return g.select("r", "w", F.transform(mem, lambda x: x["id"]).alias("memory"),
-                    F.transform(cur, lambda x: x["id"]).alias("inputs"))
-
-
-def visible_context(ctx: DataFrame, mem_len: int, same_length: bool, clamp_len: int) -> DataFrame:
-    """Per window, for every query position i: the visible keys are the memory plus
-    positions <= i (anchored), or only the last ``mem_len + 1`` keys (same length). Output per
-    window: ``visible`` = total visible keys, ``repeats`` = positions whose id occurs among its
-    earlier visible keys, ``dist_sum`` = sum over those of the distance to the nearest earlier
-    occurrence clamped to ``clamp_len``."""
-    m = F.size("memory")
-    keys = F.concat("memory", "inputs")
-    q = F.sequence(F.lit(0), F.size("inputs") - 1)
-    d = ctx.withColumn("_keys", keys).withColumn("_m", m)
-
-    def lo(i):  # first visible key index (0-based in _keys) for query i
-        if same_length:
-            return F.greatest(F.lit(0), F.col("_m") + i - F.lit(mem_len))
-        return F.lit(0)
-
-    def prev_dist(i):
-        qi = F.col("_m") + i
-        earlier = F.slice("_keys", lo(i) + 1, qi - lo(i))
-        pos = F.array_position(F.reverse(earlier), F.get(F.col("_keys"), qi))
-        return pos  # 0 when absent, else distance to nearest earlier occurrence
-
-    per = F.transform(q, lambda i: F.struct((F.col("_m") + i - lo(i) + 1).alias("vis"), prev_dist(i).alias("dist")))
-    d = d.withColumn("_per", F.when(F.size("inputs") > 0, per))
-    vis = F.aggregate("_per", F.lit(0).cast("bigint"), lambda a, s: a + s["vis"])
-    rep = F.aggregate("_per", F.lit(0).cast("bigint"), lambda a, s: a + F.when(s["dist"] > 0, 1).otherwise(0))
-    dsum = F.aggregate("_per", F.lit(0).cast("bigint"),
-                       lambda a, s: a + F.when(s["dist"] > 0, F.least(s["dist"], F.lit(clamp_len))).otherwise(0))
-    return d.select("r", "w", vis.alias("visible"), rep.alias("repeats"), dsum.alias("dist_sum"))

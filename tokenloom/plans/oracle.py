@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tokenloom.functions.text import byte_char_table
 from tokenloom.operators.bpe import PER_ROUND, ROUNDS
-from tokenloom.plans.queries import B, C, CFG, CLAMP, ENTRY_B, ENTRY_T, MEM, SEED, SHARD_CFG, SHUFFLES, T, TAIL_CUTS
+from tokenloom.plans.queries import B, C, CFG, CLAMP, ENTRY_B, ENTRY_T, LONG_CLAMP, LONG_MEM, LONG_T, MEM, SEED, SHARD_CFG, SHUFFLES, T, TAIL_CUTS
 
 NL = "chr(10)"
 
@@ -463,15 +463,15 @@ wins AS (SELECT DISTINCT r, c // {T} AS w FROM grid WHERE c < S - 1),
 mem AS (SELECT wn.r, wn.w, string_agg(CAST(g.id AS VARCHAR), ' ' ORDER BY g.c) AS memory FROM wins wn
         JOIN grid g ON g.r = wn.r AND g.c >= wn.w * {T} - {MEM} AND g.c < wn.w * {T} GROUP BY wn.r, wn.w)
 SELECT wins.r, wins.w, COALESCE(mem.memory, '') AS memory FROM wins LEFT JOIN mem USING (r, w)"""
-    for key, same in (("context_same_length", True), ("context_anchored", False)):
-        lo = f"greatest(w * {T} - m, c - {MEM})" if same else f"w * {T} - m"
+    for key, same, tl, mem, clamp in (("context_same_length", True, T, MEM, CLAMP), ("context_anchored", False, T, MEM, CLAMP), ("context_long", True, LONG_T, LONG_MEM, LONG_CLAMP)):
+        lo = f"greatest(w * {tl} - m, c - {mem})" if same else f"w * {tl} - m"
         q[key] = f"""{grid},
-qk AS (SELECT r, c, id, c // {T} AS w, least({MEM}, (c // {T}) * {T}) AS m,
+qk AS (SELECT r, c, id, c // {tl} AS w, least({mem}, (c // {tl}) * {tl}) AS m,
               lag(c) OVER (PARTITION BY r, id ORDER BY c) AS prev FROM grid WHERE c < S - 1),
 qv AS (SELECT r, w, c, prev, {lo} AS lo FROM qk)
 SELECT r, w, CAST(sum(c - lo + 1) AS BIGINT) AS visible,
   CAST(sum(CASE WHEN prev >= lo THEN 1 ELSE 0 END) AS BIGINT) AS repeats,
-  CAST(sum(CASE WHEN prev >= lo THEN least(c - prev, {CLAMP}) ELSE 0 END) AS BIGINT) AS dist_sum
+  CAST(sum(CASE WHEN prev >= lo THEN least(c - prev, {clamp}) ELSE 0 END) AS BIGINT) AS dist_sum
 FROM qv GROUP BY r, w"""
     q["embedding_lookup"] = f"""WITH {CORE}
 SELECT p, id, round(CAST(embedding[1] AS DOUBLE) * sqrt(len(embedding)), 6) AS e0,

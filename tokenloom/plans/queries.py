@@ -763,14 +763,17 @@ def q_average_params(spark, sf):
 # --------------------------------------------------------------------------------------------
 
 MEM, CLAMP = 48, 16
+LONG_T, LONG_MEM, LONG_CLAMP = 128, 3800, 1000
 
 
-def _context(spark, sf):
-    from tokenloom.operators.positions import batch_grid
+def _grid_lines(spark, sf):
     c = corpus(spark, sf)
-    N = c.N["train"]
-    grid = batch_grid(c.split(), B, N)
-    return W_.context_windows(grid, N // B, T, MEM, fixed=False)
+    return c.lines_of(), c.N["train"] // B
+
+
+def _context(spark, sf):
+    lines, S_ = _grid_lines(spark, sf)
+    return CX.context_windows(lines, S_, T, MEM, B)
 
 
 def q_memory_context(spark, sf):
@@ -778,11 +781,19 @@ def q_memory_context(spark, sf):
 
 
 def q_context_same_length(spark, sf):
-    return W_.visible_context(_context(spark, sf), MEM, True, CLAMP)
+    lines, S_ = _grid_lines(spark, sf)
+    return CX.visible_context(lines, S_, T, MEM, True, CLAMP, B)
 
 
 def q_context_anchored(spark, sf):
-    return W_.visible_context(_context(spark, sf), MEM, False, CLAMP)
+    lines, S_ = _grid_lines(spark, sf)
+    return CX.visible_context(lines, S_, T, MEM, False, CLAMP, B)
+
+
+def q_context_long(spark, sf):
+    """W8 at the lengths used for evaluation: memory 3,800 and windows of 128."""
+    lines, S_ = _grid_lines(spark, sf)
+    return CX.visible_context(lines, S_, LONG_T, LONG_MEM, True, LONG_CLAMP, B)
 
 
 def q_embedding_lookup(spark, sf):
@@ -796,9 +807,18 @@ def q_embedding_lookup(spark, sf):
 # Streaming (file stream -> transformations -> parquet sink, availableNow)
 # --------------------------------------------------------------------------------------------
 
+FEED_FILES = 4
+
+
+def _feed(spark, df, name, by):
+    """A table dealt over several files, as a stream that takes one of them a trigger."""
+    src = work_path(spark, name)
+    df.repartitionByRange(FEED_FILES, by).write.parquet(src)
+    return ST.file_stream(spark, src, df.schema, max_files=1)
+
+
 def _doc_stream(spark, sf):
-    schema = S.read_documents(spark, sf).schema
-    return ST.file_stream(spark, sf, schema, glob="documents.parquet")
+    return _feed(spark, S.read_documents(spark, sf), "docs-src", "doc_id")
 
 
 def q_stream_encode(spark, sf):
@@ -806,29 +826,33 @@ def q_stream_encode(spark, sf):
     vocab = materialize(WC.corpus_vocab(lines, CFG))
     unk = V.unk_id_of(vocab, CFG.unk, CFG.special)
     out = ST.run_to_table(ST.stream_encode(ST.stream_lines(_doc_stream(spark, sf)), vocab, unk), "stream-encode")
-    g = out.groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_t"))
-    return g.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), ids_str(F.transform("_t", lambda x: x["id"])).alias("ids"))
+    return out.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), ids_str(F.col("ids")).alias("ids"))
 
 
 def q_stream_counts(spark, sf):
-    return ST.run_complete_to_table(ST.stream_counts(ST.stream_lines(_doc_stream(spark, sf))), "stream-counts")
+    from tokenloom.streaming.counts import CountTable, count_stream
+    table = CountTable(spark, work_path(spark, "stream-counts"))
+    count_stream(ST.stream_symbols(ST.stream_lines(_doc_stream(spark, sf))), table, work_path(spark, "stream-counts-ck"))
+    return table.read()
 
 
 def q_stream_segments(spark, sf):
+    """Tokens come in four files whose order in time is that of a hash: a watermark as long as the stream drops none."""
     from tokenloom.operators.positions import batch_grid
+    from tokenloom.streaming.segments import stream_segments
     c = corpus(spark, sf)
-    grid = batch_grid(c.split(), B, c.N["train"]).select("r", "c", "id", "p")
-    src = work_path(spark, "grid-src")
-    grid.repartitionByRange(4, "p").drop("p").write.parquet(src)
-    stream = ST.file_stream(spark, src, "r bigint, c bigint, id bigint")
-    out = ST.run_to_table(ST.stream_segments(stream, T, MEM), "stream-segments")
+    grid = batch_grid(c.split(), B, c.N["train"]).select("r", "c", "id", F.timestamp_millis(F.col("p") + 86_400_000).alias("ts"))  # a watermark begins at 1970
+    stream = _feed(spark, grid.withColumn("_part", F.expr("pmod(hash(c div 7), 4)")), "grid-src", "_part")
+    out = ST.run_to_table(stream_segments(stream, T, MEM, f"{c.N['train']} milliseconds", 60_000), "stream-segments")
     return out.select("r", "w", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"),
                       ids_str(F.col("memory")).alias("memory"))
 
 
 def q_stream_throughput(spark, sf):
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    ev = ST.file_stream(spark, sf, schema, glob="events.parquet")
+    src = work_path(spark, "events-src")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartitionByRange(FEED_FILES, "ts").write.parquet(src)
+    ev = ST.file_stream(spark, src, events.schema, max_files=None)  # all files in one trigger: none can come too late
     out = ST.run_to_table(ST.stream_throughput(ev, "1 day", "1 hour", B), "stream-throughput")
     return out.select("window_start", "n", rnd(F.col("mean_loss")).alias("mean_loss"),
                       rnd(F.col("steps_per_sec")).alias("steps_per_sec"), rnd(F.col("examples_per_sec")).alias("examples_per_sec"))
@@ -919,6 +943,7 @@ def registry() -> dict:
         "memory_context": q_memory_context,
         "context_same_length": q_context_same_length,
         "context_anchored": q_context_anchored,
+        "context_long": q_context_long,
         "embedding_lookup": q_embedding_lookup,
         "stream_encode": q_stream_encode,
         "stream_counts": q_stream_counts,

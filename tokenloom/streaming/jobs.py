@@ -8,44 +8,46 @@ shared folder, so a lost executor or a restarted driver resumes from the checkpo
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tokenloom.functions.text import tokenize
+from tokenloom.operators import vocab as V
 from tokenloom.session import work_path
 
 
-def file_stream(spark: SparkSession, path: str, schema, glob: str | None = None, max_files: int = 1) -> DataFrame:
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def file_stream(spark: SparkSession, path: str, schema, glob: str | None = None, max_files: int | None = 1) -> DataFrame:
+    """Parquet files as a stream, ``max_files`` of them a trigger at most (None: all there are)."""
+    r = spark.readStream.schema(schema)
+    if max_files is not None:
+        r = r.option("maxFilesPerTrigger", max_files)
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.parquet(path)
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a streaming DataFrame to completion over what is available; return the sink."""
-    spark = df.sparkSession
-    out, ck = work_path(spark, f"{name}-out"), work_path(spark, f"{name}-ck")
-    q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-         .outputMode(mode).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """Runs a streaming DataFrame over what is available and returns the sink. With the same checkpoint a later run goes on where this one
+    ended. State that has timers needs the RocksDB store, which is set for the start of this query only."""
+    spark, key = df.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+             .outputMode(mode).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(out)
 
 
-def run_complete_to_table(df: DataFrame, name: str) -> DataFrame:
-    """Complete-mode aggregate: each trigger rewrites the whole (vocabulary-sized) result."""
+def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """The same with a sink and checkpoint of its own in the work folder."""
     spark = df.sparkSession
-    out, ck = work_path(spark, f"{name}-out"), work_path(spark, f"{name}-ck")
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (df.writeStream.foreachBatch(write).option("checkpointLocation", ck)
-         .outputMode("complete").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    return run_available(df, work_path(spark, f"{name}-out"), work_path(spark, f"{name}-ck"), mode)
 
 
 def stream_lines(docs: DataFrame) -> DataFrame:
@@ -55,64 +57,18 @@ def stream_lines(docs: DataFrame) -> DataFrame:
 
 
 def stream_encode(lines: DataFrame, vocab: DataFrame, unk_id: int, lower: bool = False, eos: bool = True) -> DataFrame:
-    """Tokens of arriving lines -> ids by a stream-static join with a fixed vocabulary
-    (bounded by max_size, broadcast). One output row per token: (doc_id, line_no, pos, id)."""
-    t = lines.select("doc_id", "line_no", F.posexplode(tokenize(F.col("line"), lower=lower, eos=eos)).alias("pos", "sym"))
-    v = F.broadcast(vocab.select(F.col("sym").alias("_s"), "id"))
-    j = t.join(v, t["sym"] == v["_s"], "left")
-    return j.select("doc_id", "line_no", "pos", F.coalesce(F.col("id"), F.lit(unk_id).cast("bigint")).alias("id"))
-
-
-def stream_counts(lines: DataFrame, lower: bool = False) -> DataFrame:
-    """Running symbol counts (streaming aggregate; state = one row per symbol)."""
-    t = lines.select(F.explode(tokenize(F.col("line"), lower=lower)).alias("sym"))
-    return t.groupBy("sym").agg(F.count(F.lit(1)).alias("cnt"))
-
-
-SEGMENT_OUT = "r bigint, w bigint, inputs array<bigint>, labels array<bigint>, memory array<bigint>"
-SEGMENT_STATE = "cs array<bigint>, ids array<bigint>"
-
-
-def stream_segments(grid: DataFrame, T: int, mem_len: int) -> DataFrame:
-    """S3: cut each batch row's arriving tokens (r, c, id) into T-windows with their next-token
-    labels and the ``mem_len`` tokens before them.
-
-    Each token is sent to every window whose memory, inputs or label column covers it (about
-    (mem_len + T)/T copies), and the state is keyed by (row, window), so state per key holds at
-    most mem_len + T + 1 tokens and keys spread over all tasks. A window is emitted once all its
-    tokens have arrived (a window of T inputs needs T+1 tokens); the unfinished last window of a
-    row is never emitted, as in the fixed-length form.
-    """
-    c = F.col("c")
-    w_lo = F.greatest(F.ceil(c / F.lit(T)).cast("bigint") - 1, F.lit(0))
-    w_hi = F.floor((c + F.lit(mem_len)) / F.lit(T)).cast("bigint")
-    t = grid.select("r", "c", "id", F.explode(F.sequence(w_lo, w_hi)).alias("w"))
-
-    def step(key, pdfs, state):
-        r, w = int(key[0]), int(key[1])
-        if state.hasTimedOut:
-            state.remove()
-            return
-        cs, ids = [], []
-        if state.exists:
-            cs, ids = list(state.get[0]), list(state.get[1])
-        for pdf in pdfs:
-            cs.extend(int(x) for x in pdf["c"])
-            ids.extend(int(x) for x in pdf["id"])
-        start = w * T
-        need = min(mem_len, start) + T + 1
-        have = dict(zip(cs, ids))
-        if len(have) >= need:
-            state.remove()
-            order = sorted(have)
-            mem = [have[k] for k in order if k < start]
-            cur = [have[k] for k in order if start <= k <= start + T]
-            yield pd.DataFrame({"r": [r], "w": [w], "inputs": [cur[:T]], "labels": [cur[1:T + 1]], "memory": [mem]})
-        else:
-            state.update((list(have.keys()), list(have.values())))
-
-    return t.groupBy("r", "w").applyInPandasWithState(step, SEGMENT_OUT, SEGMENT_STATE, "append",
-                                                      GroupStateTimeout.NoTimeout)
+    """Arriving lines -> arrays of ids (doc_id, line_no, ids) by a fixed vocabulary. One whose measured size allows it goes to the tasks and whole
+    arrays are looked up, so the stream isn't shuffled; a larger one is joined token by token: (doc_id, line_no, pos, id)."""
+    t = lines.select("doc_id", "line_no", tokenize(F.col("line"), lower=lower, eos=eos).alias("symbols"))
+    if V.fits_tasks(vocab):
+        return V.encode_arrays(t, vocab, unk_id)
+    t = t.select("doc_id", "line_no", F.posexplode("symbols").alias("pos", "sym"))
+    return V.encode(t, vocab, unk_id, bounded=False).select("doc_id", "line_no", "pos", "id")
+
+
+def stream_symbols(lines: DataFrame, lower: bool = False) -> DataFrame:
+    """The symbols of arriving lines, one to a row (``sym``), without marks: the input of S2."""
+    return lines.select(F.explode(tokenize(F.col("line"), lower=lower)).alias("sym"))
 
 
 def ntz_to_instant(col: str) -> F.Column:
