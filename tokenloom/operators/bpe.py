@@ -118,6 +118,78 @@ def bpe_encode(toks: DataFrame, key_cols: list[str], merges: DataFrame, piece_id
                         .otherwise(F.col("id")))
 
 
+CHUNK_CHARS = 1 << 17  # of a line that are taken together, about
+CACHED_TOKENS = 1 << 18  # pre-tokens whose ids a worker remembers
+
+
+def bpe_encode_lines(lines: DataFrame, key_cols: list[str], merges: DataFrame, piece_ids: DataFrame) -> DataFrame:
+    """P6-P9 + J4 by arrays: (key, chunk, ids), one row for each ``CHUNK_CHARS`` characters of a line, ``chunk`` numbering them.
+
+    A long line is cut before it is matched, in front of a blank that follows another character: no pre-token goes over such a place, so the cut
+    changes none (a run without blanks stays whole). A batch's pre-tokens are numbered once, each distinct one is merged (or remembered by the worker) and the lines' arrays are put together
+    from the distinct ones by offsets: no row per pre-token or piece, no shuffle, and no group as long as a line. What goes to the tasks is bounded by
+    the merges file. An unknown piece raises; a line without text has one empty array."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    spark = lines.sparkSession
+    shared = spark.sparkContext.broadcast((merge_ranks(merges), {r["piece"]: int(r["id"]) for r in piece_ids.select("piece", "id").collect()}, dict(byte_char_table())))
+    cuts = F.regexp_extract_all("text", F.lit(f"(?sU).{{1,{CHUNK_CHARS}}}\\s*\\S*"), 0)
+    t = line_text(lines).select(*key_cols, F.posexplode(F.when(F.length("text") <= CHUNK_CHARS, F.array("text")).otherwise(cuts)).alias("chunk", "_text"))
+    kept = [*key_cols, "chunk"]
+    t = t.select(*kept, bpe_pretokenize(F.col("_text")).alias("_tokens"))
+    schema = ", ".join(f"`{c}` {t.schema[c].dataType.simpleString()}" for c in kept) + ", ids array<bigint>"
+
+    def run(batches):
+        ranks, numbers, chars = shared.value
+        known: dict[str, list[int]] = {}
+
+        def encode(token: str) -> list[int]:
+            found = known.get(token)
+            if found is None:
+                if len(known) >= CACHED_TOKENS:
+                    known.clear()
+                try:
+                    found = known[token] = [numbers[p] for p in merge_word("".join(map(chars.__getitem__, token.encode())), ranks)]
+                except KeyError as e:
+                    raise ValueError(f"unknown piece: {e.args[0]}") from None
+            return found
+
+        for b in batches:
+            col = b.column(len(kept))
+            words = col.flatten().dictionary_encode()
+            each = [encode(w) for w in words.dictionary.to_pylist()]
+            size = np.array([len(x) for x in each], dtype=np.int64)
+            flat, start = np.array([i for x in each for i in x], dtype=np.int64), np.cumsum(size) - size
+            of = words.indices.to_numpy().astype(np.int64)
+            n = size[of] if len(of) else np.zeros(0, np.int64)
+            ends = np.concatenate([[0], np.cumsum(n)])
+            ids = flat[np.arange(ends[-1]) - np.repeat(ends[:-1] - start[of], n)] if ends[-1] else np.zeros(0, np.int64)
+            cut = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy())])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pa.ListArray.from_arrays(pa.array(ends[cut], pa.int32()), pa.array(ids))], names=[*kept, "ids"])
+
+    return t.mapInArrow(run, schema)
+
+
+def bpe_decode_lines(encoded: DataFrame, key_cols: list[str], piece_ids: DataFrame, ids_col: str = "ids") -> DataFrame:
+    """P10 by arrays: (key, text), each array's bytes put together in place; malformed bytes are replaced, an id that the (bounded) id map lacks raises.
+    Pre-tokens are whole characters, so the chunks of a line made by ``bpe_encode_lines`` decode one by one."""
+    import pyarrow as pa
+
+    back = {ch: b for b, ch in byte_char_table()}
+    table = encoded.sparkSession.sparkContext.broadcast({int(r["id"]): bytes(map(back.__getitem__, r["piece"])) for r in piece_ids.select("piece", "id").collect()})
+    schema = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in key_cols) + ", text string"
+
+    def run(batches):
+        part = table.value
+        for b in batches:
+            texts = [b"".join(map(part.__getitem__, x or [])).decode("utf-8", "replace") for x in b.column(len(key_cols)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(key_cols)], pa.array(texts, pa.string())], names=[*key_cols, "text"])
+
+    return encoded.select(*key_cols, ids_col).mapInArrow(run, schema)
+
+
 def encoded_lines(pieces: DataFrame, key_cols: list[str]) -> DataFrame:
     """Per line: ids ARRAY<BIGINT> in (tok_no, piece_no) order."""
     g = pieces.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("tok_no", "piece_no", "id"))).alias("_t"))
@@ -155,16 +227,18 @@ def learn_merges(toks: DataFrame, rounds: int = ROUNDS, per_round: int = PER_ROU
     marked = F.concat(F.lit(OPEN), F.array_join(F.split(byte_chars(F.col("token")), ""), CLOSE + OPEN), F.lit(CLOSE))
     words = materialize(words.where("token != ''").select("cnt", marked.alias("s")), "bpe-words")
     merges: list[tuple[str, str]] = []
-    text = F.col("s")
-    for _ in range(rounds):
-        parts = F.split(F.regexp_replace(text, f"^{OPEN}|{CLOSE}$", ""), CLOSE + OPEN)
+    for k in range(rounds):
+        parts = F.split(F.regexp_replace("s", f"^{OPEN}|{CLOSE}$", ""), CLOSE + OPEN)
         pairs = words.select("cnt", parts.alias("x")).select("cnt", F.explode(F.transform(
             F.filter("x", lambda _, i: i > 0), lambda y, i: F.struct(F.get("x", i).alias("left"), y.alias("right")))).alias("p"))
         top = pairs.groupBy("p.left", "p.right").agg(F.sum("cnt").alias("n")).orderBy(F.col("n").desc(), "left", "right").limit(per_round + len(merges)).collect()
         new = [p for r in top if (p := (r["left"], r["right"])) not in merges][:per_round]
         merges += new
+        text = F.col("s")
         for left, right in new:
             text = F.replace(text, F.lit(OPEN + left + CLOSE + OPEN + right + CLOSE), F.lit(OPEN + left + right + CLOSE))
+        if k + 1 < rounds:  # written with this round's merges, so none is applied twice
+            words = materialize(words.select("cnt", text.alias("s")), "bpe-words")
     return toks.sparkSession.createDataFrame([(i, *m) for i, m in enumerate(merges)], "rank int, left string, right string")
 
 

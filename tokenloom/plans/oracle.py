@@ -89,7 +89,22 @@ ids AS (SELECT piece, row_number() OVER (ORDER BY h) - 1 AS id FROM base UNION A
         SELECT piece, 255 + row_number() OVER (ORDER BY rank) FROM made),
 pc AS (SELECT unnest({parts}) AS piece, cnt FROM fin JOIN wd USING (token))
 SELECT CAST(id AS BIGINT) AS id, CAST(sum(cnt) AS BIGINT) AS cnt FROM pc JOIN ids USING (piece) GROUP BY id"""
-    return {"load_merges": f"{learned} {merges}",
+    ids = counts[:counts.index("pc AS")]
+    examples = f""",
+tp AS (SELECT token, {parts} AS ps FROM fin),
+tq AS (SELECT token, unnest(ps) AS piece, unnest(range(0, len(ps))) AS k FROM tp),
+ti AS (SELECT token, list(CAST(id AS BIGINT) ORDER BY k) AS tids FROM tq JOIN ids USING (piece) GROUP BY token),
+sh AS (SELECT shard, row_number() OVER (ORDER BY shard) - 1 AS shard_no FROM (SELECT DISTINCT source AS shard FROM documents)),
+tk AS (SELECT b.doc_id, b.line_no, b.tok_no, printf('train-%03d', sh.shard_no) || '.bsz-{B}.tlen-{T}.core-{C}' AS basename, ti.tids
+       FROM bt b JOIN ti USING (token) JOIN documents d ON d.doc_id = b.doc_id JOIN sh ON sh.shard = d.source WHERE sh.shard_no > 1),
+flat AS (SELECT basename, doc_id, line_no, tok_no, unnest(tids) AS id, unnest(range(0, len(tids))) AS k FROM tk),
+placed AS (SELECT basename, id, row_number() OVER (PARTITION BY basename ORDER BY doc_id, line_no, tok_no, k) - 1 AS p, count(*) OVER (PARTITION BY basename) // {B} AS S FROM flat),
+g AS (SELECT basename, p // S AS r, p % S AS c, id, S FROM placed WHERE p < {B} * S),
+i AS (SELECT basename, r, c // {T} AS w, count(*) AS n, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY c) AS inputs FROM g WHERE c < S - 1 GROUP BY ALL),
+l AS (SELECT basename, r, (c - 1) // {T} AS w, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY c) AS labels FROM g WHERE c >= 1 GROUP BY ALL)
+SELECT basename, w * {B} + r AS sample_id, inputs, labels FROM i JOIN l USING (basename, r, w) WHERE n = {T}"""
+    return {"bpe_examples": learned + pieces + ids.rstrip().rstrip(",") + examples,
+            "load_merges": f"{learned} {merges}",
             "bpe_pieces": f"{learned}{pieces} SELECT array_to_string({parts}, '') AS bc, array_to_string({parts}, ' ') AS pieces FROM fin",
             "bpe_token_counts": learned + pieces + counts}
 
@@ -257,6 +272,7 @@ SELECT doc_id, line_no, CAST(len({words(True)}) AS BIGINT) AS n_words, array_to_
     q["symbol_counts"] = f"WITH {LINES}, {COUNTS} SELECT sym, cnt, first_key AS first FROM counts"
     q["vocab_ids"] = f"WITH {LINES}, {COUNTS}, {vocab_cte(None)} SELECT id, sym FROM vocab"
     q["vocab_top_k"] = f"WITH {LINES}, {COUNTS}, {vocab_cte(CFG.max_size)} SELECT id, sym, COALESCE(cnt, 0) AS cnt FROM vocab"
+    q["corpus_cache"] = q["vocab_top_k"]
     q["token_positions"] = f"WITH {CORE} SELECT p, id FROM stream"
     q["windows_ragged"] = windows_sql(B, T, fixed=False)
     q["windows_fixed"] = windows_sql(B, T, fixed=True)

@@ -312,6 +312,24 @@ def q_corpus_info(spark, sf):
     return ci.select(F.col("vocab_size").cast("bigint").alias("vocab_size"), ids_str(F.col("cutoffs")).alias("cutoffs"), "dataset")
 
 
+def q_corpus_cache(spark, sf):
+    """The vocabulary from the store. The second call, with equal settings and inputs, reads what the first has built."""
+    from dataclasses import asdict
+
+    from tokenloom.sources.store import CorpusStore, files_digest
+    store = CorpusStore(spark, work_path(spark, "store"))
+    inputs = files_digest(spark, f"{sf}/documents.parquet")
+
+    def build():
+        return WC.corpus_vocab(WC.single_split(_lines(spark, sf)), CFG).select("id", "sym", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+
+    def never():
+        raise RuntimeError("a committed table is built again")
+
+    store.get_or_build("vocab", asdict(CFG), inputs, build)
+    return store.get_or_build("vocab", asdict(CFG), inputs, never)
+
+
 def _fixed_windows(spark, sf):
     c = corpus(spark, sf)
     return c, WC.build_examples(c.lines_of(), c.N["train"], B, T, C, fixed=True)
@@ -622,17 +640,38 @@ def q_bpe_pieces(spark, sf):
 
 
 def q_bpe_token_counts(spark, sf):
-    toks = _bpe_tokens(spark, sf)
     merges, ids = _bpe_assets(spark, sf)
-    return BP.bpe_encode(toks, KEY, merges, ids).groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
+    enc = BP.bpe_encode_lines(_bpe_lines(spark, sf), KEY, merges, ids)
+    return enc.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def q_bpe_roundtrip(spark, sf):
-    toks = _bpe_tokens(spark, sf)
+    """Encoded and decoded by arrays; the pieces of a line are put together in order."""
     merges, ids = _bpe_assets(spark, sf)
-    enc = BP.encoded_lines(BP.bpe_encode(toks, KEY, merges, ids), KEY)
-    dec = BP.bpe_decode(enc, KEY, ids)
-    return dec.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.md5("text").alias("text_md5"))
+    enc = BP.bpe_encode_lines(_bpe_lines(spark, sf), KEY, merges, ids)
+    dec = BP.bpe_decode_lines(enc, [*KEY, "chunk"], ids).where("text != ''")
+    whole = dec.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("chunk", "text"))).alias("_t"))
+    return whole.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.md5(F.array_join(F.transform("_t", lambda x: x["text"]), "")).alias("text_md5"))
+
+
+def q_bpe_examples(spark, sf):
+    """Byte-pair ids of every shard as fixed-length examples, one file a train shard, written and read back through the manifest."""
+    from tokenloom.operators import sharded as SD
+    from tokenloom.operators.positions import coarser, doc_bucket, prefix_offsets
+    merges, ids = _bpe_assets(spark, sf)
+    shards = S.split_by_shard(S.read_documents(spark, sf))
+    enc = materialize(BP.bpe_encode_lines(_bpe_lines(spark, sf), ["shard", *KEY], merges, ids), "bpe-lines")
+    enc = enc.join(F.broadcast(shards), "shard")  # one row a file
+    name = EX.example_file_name_col(F.when(F.col("split") == "train", EX.shard_basename(F.col("shard_no"))).otherwise(F.col("split")), B, T, C, True)
+    enc = enc.select("split", name.alias("basename"), "doc_id", "line_no", "chunk", "ids")
+    pieces = prefix_offsets(enc, F.size("ids"), SD.STREAM, [F.col("doc_id"), F.col("line_no"), F.col("chunk")], doc_bucket(), "start_p", coarser())
+    pieces = materialize(pieces.select(*SD.STREAM, "start_p", "ids"), "bpe-pieces")
+    streams = materialize(SD.stream_table(pieces, B, T, True), "bpe-streams")
+    path, info = work_path(spark, "bpe-examples"), work_path(spark, "bpe-record-info")
+    EX.write_example_files(SD.examples_of_streams(pieces, streams, B, T, C, fixed=True), path)
+    EX.write_record_info(EX.record_info_of_streams(streams, []), info, B, T, C, True)
+    ex = EX.read_listed(spark, path, info, "train", B, T, C, fixed=True)
+    return ex.select("basename", "sample_id", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"))
 
 
 def q_bpe_decode_windows(spark, sf):
@@ -889,6 +928,7 @@ def registry() -> dict:
         "record_info": q_record_info,
         "example_files": q_example_files,
         "corpus_info": q_corpus_info,
+        "corpus_cache": q_corpus_cache,
         "replica_slots": q_replica_slots,
         "full_batches": q_full_batches,
         "host_ranges": q_host_ranges,
@@ -924,6 +964,7 @@ def registry() -> dict:
         "bpe_pieces": q_bpe_pieces,
         "bpe_token_counts": q_bpe_token_counts,
         "bpe_roundtrip": q_bpe_roundtrip,
+        "bpe_examples": q_bpe_examples,
         "bpe_decode_windows": q_bpe_decode_windows,
         "count_model_loss": q_count_model_loss,
         "loss_mean": q_loss_mean,

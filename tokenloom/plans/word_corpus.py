@@ -111,10 +111,11 @@ def encoded_pieces(lines: DataFrame, vocab: DataFrame, unk_id: int | None) -> Da
     joined: pieces are dealt by their key before they are taken apart, and the regrouping stays in those partitions."""
     keep = [c for c in lines.columns if c not in ("symbols", "start_p")]
     placed = "start_p" in lines.columns
-    cut = F.expr(f"sequence(0L, greatest(size(symbols) - 1, 0) div {PIECE})")
-    t = lines.select("*", F.explode(cut).alias("_k")).withColumn("start_pos", F.col("_k") * PIECE)
-    t = t.select(*keep, "start_pos", *([(F.col("start_p") + F.col("start_pos")).alias("start_p")] if placed else []),
-                 F.expr(f"if(size(symbols) <= {PIECE}, symbols, slice(symbols, cast(start_pos as int) + 1, {PIECE}))").alias("symbols"))
+    # cut before the rows are made, so none of them carries the whole line
+    cuts = f"if(size(symbols) <= {PIECE}, array(symbols), transform(sequence(0, (size(symbols) - 1) div {PIECE}), k -> slice(symbols, cast(k as int) * {PIECE} + 1, {PIECE})))"
+    t = lines.select(*keep, *(["start_p"] if placed else []), F.posexplode(F.expr(cuts)).alias("_k", "symbols"))
+    at = F.col("_k").cast("bigint") * PIECE
+    t = t.select(*keep, at.alias("start_pos"), *([(F.col("start_p") + at).alias("start_p")] if placed else []), "symbols")
     if V.fits_tasks(vocab):
         return V.encode_arrays(t, vocab, unk_id)
     key = [*keep, "start_pos"] + (["start_p"] if placed else [])

@@ -170,9 +170,6 @@ CORPUS_INFO_SCHEMA = "vocab_size bigint, cutoffs array<bigint>, dataset string"
 
 
 def cached(spark: SparkSession, path: str, build) -> DataFrame:
-    """Reuse a table built before at ``path`` (shared storage), else build, write, read."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """A13 for one table of fixed settings: reuse what was built under ``path``, else build it (see ``sources.store``)."""
+    from tokenloom.sources.store import CorpusStore
+    return CorpusStore(spark, path).get_or_build("table", {}, "", build)
