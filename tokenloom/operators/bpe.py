@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import bpe_pretokenize, byte_char_table, byte_chars, byte_chars_hex
+from tokenloom.operators.joins import lookup_join
 
 
 def line_text(lines: DataFrame) -> DataFrame:
@@ -105,12 +106,7 @@ def bpe_encode(toks: DataFrame, key_cols: list[str], merges: DataFrame, piece_id
     hot keys, by a shuffle. The piece id map is bounded by the merges file and broadcast."""
     from tokenloom.session import materialize
     pieces = materialize(bpe_pieces(distinct_tokens(toks), merges).select("token", "pieces"), "bpe-pieces")
-    if pieces.count() <= BROADCAST_TOKENS:
-        j = toks.join(F.broadcast(pieces), "token")
-    else:
-        hot = toks.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.col("_n").desc(), "token").limit(HOT_TOKENS).select("token")
-        common = F.broadcast(materialize(pieces.join(F.broadcast(hot), "token"), "bpe-hot"))
-        j = toks.join(common, "token").unionByName(toks.join(common.select("token"), "token", "left_anti").join(pieces, "token"))
+    j = lookup_join(toks, pieces, "token", broadcast_rows=BROADCAST_TOKENS, hot_keys=HOT_TOKENS)
     j = j.select(*key_cols, "tok_no", F.posexplode("pieces").alias("piece_no", "piece"))
     ids = F.broadcast(piece_ids.select(F.col("piece").alias("_p"), "id"))
     j = j.join(ids, j["piece"] == ids["_p"], "left").drop("_p")

@@ -37,16 +37,31 @@ def params_from_vectors(vectors: DataFrame, n: int = 5, id_col: str = "vec_id",
                           F.col(values_col).alias("values"))
 
 
-def average_params(params: DataFrame, ckpts: list, skip_prefix: str = "global_step") -> DataFrame:
-    """Element-wise mean over the given checkpoints. Names come from the first checkpoint
-    (``skip_prefix`` left out) and must exist in every checkpoint; each value is summed in a
-    (name, pos) aggregate with a map-side partial step, so no parameter is gathered whole.
-    Output (name, pos, value)."""
+CHUNK = 4096  # values of a parameter that are averaged together
+
+
+def average_chunks(params: DataFrame, ckpts: list, skip_prefix: str = "global_step") -> DataFrame:
+    """Element-wise mean over the given checkpoints as (name, chunk, values), ``CHUNK`` values to a row. Names come from the first checkpoint
+    (``skip_prefix`` left out) and must exist, equally long, in every one.
+
+    A parameter's array is cut into chunks, a chunk's arrays meet in one group (one for each checkpoint) and are added as arrays in the order of the
+    checkpoints, so there is no row per value, no parameter is gathered whole, and the sum doesn't depend on the partitioning."""
     n = len(ckpts)
-    p = params.filter(F.col("ckpt").isin(list(ckpts)))
-    names = p.filter(F.col("ckpt") == F.lit(ckpts[0])).select("name").filter(~F.col("name").startswith(skip_prefix))
-    held = p.select("name", "ckpt").distinct().groupBy("name").agg(F.count(F.lit(1)).alias("_k"))
-    names = names.join(held, "name").select("name", F.when(F.col("_k") == n, F.col("_k")).otherwise(
-        F.raise_error(F.concat(F.lit("missing in a checkpoint: "), F.col("name")))).alias("_k")).where("_k is not null").select("name")
-    e = p.join(names, "name", "left_semi").select("name", F.posexplode("values").alias("pos", "v"))
-    return e.groupBy("name", "pos").agg((F.sum(F.col("v").cast("double")) / F.lit(n)).alias("value"))
+    p = params.filter(F.col("ckpt").isin(list(ckpts))).filter(~F.col("name").startswith(skip_prefix))
+    order = F.create_map(*[x for k, c in enumerate(ckpts) for x in (F.lit(c), F.lit(k))])
+    cuts = f"transform(sequence(0, greatest(size(values) - 1, 0) div {CHUNK}), k -> slice(values, cast(k as int) * {CHUNK} + 1, {CHUNK}))"
+    e = p.select("name", order[F.col("ckpt")].alias("_c"), F.posexplode(F.expr(cuts)).alias("chunk", "part"))
+    g = e.groupBy("name", "chunk").agg(F.array_sort(F.collect_list(F.struct("_c", "part"))).alias("_t"), F.min("_c").alias("_first"), F.count(F.lit(1)).alias("_k"),
+                                       F.min(F.size("part")).alias("_lo"), F.max(F.size("part")).alias("_hi"))
+    whole = (F.col("_k") == n) & (F.col("_lo") == F.col("_hi"))
+    g = g.where("_first = 0")
+    zero = F.transform(F.get("_t", 0)["part"], lambda _: F.lit(0.0))
+    total = F.aggregate("_t", zero, lambda acc, x: F.zip_with(acc, x["part"], lambda a, v: a + v.cast("double")))
+    return g.select("name", "chunk", F.when(whole, F.transform(total, lambda v: v / F.lit(n))).otherwise(
+        F.raise_error(F.concat(F.lit("missing or of another size in a checkpoint: "), F.col("name")))).alias("values"))
+
+
+def average_params(params: DataFrame, ckpts: list, skip_prefix: str = "global_step") -> DataFrame:
+    """``average_chunks`` with one value to a row: (name, pos, value)."""
+    e = average_chunks(params, ckpts, skip_prefix).select("name", "chunk", F.posexplode("values").alias("_i", "value"))
+    return e.select("name", (F.col("chunk") * CHUNK + F.col("_i")).alias("pos"), "value")

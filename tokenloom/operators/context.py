@@ -83,3 +83,44 @@ def embedding_lookup(tokens: DataFrame, vectors: DataFrame, id_col: str = "vec_i
     if vectors.count() <= BROADCAST_VECTORS:
         v = F.broadcast(v)
     return tokens.join(v, tokens["id"] == v["_vid"], "left").drop("_vid")
+
+
+def binned_vectors(tables: list[DataFrame], projections: list | None, d_proj: int, scale: bool = True) -> DataFrame:
+    """(bin, row, vector of ``d_proj`` doubles) from one table (row, embedding) for each bin, of a width of its own.
+
+    A bin's projection (a matrix of its width by ``d_proj``, a parameter of the model) is applied once to each row of the table, before any token is
+    seen; without one the width must be ``d_proj``. Vectors are scaled by sqrt(d_proj)."""
+    import numpy as np
+    import pyarrow as pa
+
+    spark = tables[0].sparkSession
+    shared = spark.sparkContext.broadcast([None if m is None else np.array(m, dtype=float) for m in projections or [None] * len(tables)])
+    factor = math.sqrt(d_proj) if scale else 1.0
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for k, v in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                x = np.array(v, dtype=float)
+                m = shared.value[k]
+                if (x.shape != (d_proj,)) if m is None else (m.shape != (len(x), d_proj)):
+                    raise ValueError(f"a vector of {len(x)} doesn't fit the projection of bin {k}")
+                rows.append((x if m is None else x @ m) * factor)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tolist() for r in rows], pa.list_(pa.float64()))], names=["bin", "row", "vector"])
+
+    every = None
+    for k, t in enumerate(tables):
+        one = t.select(F.lit(k).alias("bin"), F.col("row").cast("bigint").alias("row"), F.col("embedding").cast("array<double>").alias("embedding"))
+        every = one if every is None else every.unionByName(one)
+    return every.mapInArrow(run, "bin int, row bigint, vector array<double>")
+
+
+def binned_lookup(tokens: DataFrame, vectors: DataFrame, cutoffs: list[int]) -> DataFrame:
+    """J8 with a table for each bin: an id of bin b = [cutoffs[b], cutoffs[b + 1]) takes row id - cutoffs[b] of the bin's table (``binned_vectors``,
+    written before); adds ``bin`` and ``vector``, null where the table lacks the row. Hot ids by broadcast, see ``joins.lookup_join``."""
+    from tokenloom.operators.joins import lookup_join
+    from tokenloom.operators.vocab import bin_of
+    b = bin_of(F.col("id"), cutoffs)
+    low = F.element_at(F.array(*[F.lit(int(c)).cast("bigint") for c in cutoffs]), b + 1)
+    t = tokens.withColumn("bin", b).withColumn("_at", F.struct(F.col("bin").alias("bin"), (F.col("id") - low).alias("row")))
+    return lookup_join(t, vectors.select(F.struct("bin", "row").alias("_at"), "vector"), "_at", "left", broadcast_rows=BROADCAST_VECTORS).drop("_at")

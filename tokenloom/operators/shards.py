@@ -32,4 +32,4 @@ def shard_streams(shuffled: DataFrame, symbols_col: str = "symbols", bucket_rows
     order; adds ``start_p`` and ``n``."""
     d = shuffled.withColumn("n", F.size(symbols_col).cast("bigint"))
     return prefix_offsets(d, F.col("n"), ["shard", "shuffle"], [F.col("rank")],
-                          F.floor(F.col("rank") / F.lit(bucket_rows)), "start_p")
+                          F.expr(f"rank div {bucket_rows}"), "start_p")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tokenloom.functions.text import byte_char_table
 from tokenloom.operators.bpe import PER_ROUND, ROUNDS
-from tokenloom.plans.queries import B, C, CFG, CLAMP, ENTRY_B, ENTRY_T, LONG_CLAMP, LONG_MEM, LONG_T, MEM, SEED, SHARD_CFG, SHUFFLES, T, TAIL_CUTS
+from tokenloom.plans.queries import B, BIN_CUTS, BIN_DIM, C, CFG, CLAMP, ENTRY_B, ENTRY_T, LONG_CLAMP, LONG_MEM, LONG_T, MEM, SEED, SHARD_CFG, SHUFFLES, T, TAIL_CUTS, bin_projection
 
 NL = "chr(10)"
 
@@ -492,6 +492,17 @@ FROM qv GROUP BY r, w"""
     q["embedding_lookup"] = f"""WITH {CORE}
 SELECT p, id, round(CAST(embedding[1] AS DOUBLE) * sqrt(len(embedding)), 6) AS e0,
   round(CAST(embedding[64] AS DOUBLE) * sqrt(len(embedding)), 6) AS e63 FROM stream LEFT JOIN embeddings ON embeddings.vec_id = stream.id"""
+    proj = [bin_projection(b) for b in range(3)]
+    dots = {}
+    for j in (0, BIN_DIM - 1):
+        parts = ["CAST(embedding[%d] AS DOUBLE)" % (j + 1)]
+        for b in (1, 2):
+            parts.append("+".join(f"CAST(embedding[{i + 1}] AS DOUBLE) * ({proj[b][i][j]})" for i in range(BIN_DIM >> b)))
+        dots[j] = f"CASE WHEN vec_id < {BIN_CUTS[1]} THEN {parts[0]} WHEN vec_id < {BIN_CUTS[2]} THEN {parts[1]} ELSE {parts[2]} END"
+    q["embedding_bins"] = f"""WITH {CORE}
+SELECT p, id, CAST(CASE WHEN id < {BIN_CUTS[1]} THEN 0 WHEN id < {BIN_CUTS[2]} THEN 1 ELSE 2 END AS BIGINT) AS bin,
+  round(({dots[0]}) * sqrt({BIN_DIM}), 6) AS e0, round(({dots[BIN_DIM - 1]}) * sqrt({BIN_DIM}), 6) AS e15 FROM stream LEFT JOIN embeddings ON embeddings.vec_id = stream.id"""
+    q["caller_metrics"] = "SELECT event_type, round(avg(value), 6) AS mean_loss, round(max(value) - min(value), 6) AS spread FROM events GROUP BY event_type"
     q["stream_encode"] = q["encode_unk"]
     q["stream_counts"] = f"WITH {LINES}, {COUNTS} SELECT sym, cnt FROM counts"
     fx = windows_sql(B, T, fixed=True)

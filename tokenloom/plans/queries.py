@@ -200,10 +200,9 @@ def q_num_batches(spark, sf):
     docs = S.read_documents(spark, sf)
     lines = S.with_split(S.read_lines(docs), S.split_by_shard(docs))
     n = WC.symbol_lines(lines, CFG, marks=True).groupBy("split").agg(F.sum(F.size("symbols")).cast("bigint").alias("n_tokens"))
-    Sx = F.floor(F.col("n_tokens") / F.lit(B)).cast("bigint")
-    ragged = F.when(Sx <= 1, F.lit(0)).otherwise(F.ceil((Sx - 1) / F.lit(T))).cast("bigint")
-    fixed = F.when(Sx <= 1, F.lit(0)).otherwise(F.floor((Sx - 1) / F.lit(T))).cast("bigint")
-    return n.select("split", "n_tokens", ragged.alias("num_batch_ragged"), fixed.alias("num_batch_fixed"))
+    S_ = f"n_tokens div {B}"
+    return n.select("split", "n_tokens", F.expr(f"if({S_} <= 1, 0L, ({S_} + {T - 2}) div {T})").alias("num_batch_ragged"),
+                    F.expr(f"if({S_} <= 1, 0L, ({S_} - 1) div {T})").alias("num_batch_fixed"))
 
 
 def _int_str(col):
@@ -301,8 +300,7 @@ def q_example_files(spark, sf):
     n = n.join(F.broadcast(shards.select("shard", "shard_no")), "shard")
     n = n.withColumn("basename", F.when(F.col("split") == "train", EX.shard_basename(F.col("shard_no"), F.lit(0))).otherwise(F.col("split")))
     per = n.groupBy("split", "basename").agg(F.sum("n").cast("bigint").alias("n_tokens"))
-    Sx = F.floor(F.col("n_tokens") / F.lit(B)).cast("bigint")
-    nb = F.when(Sx <= 1, F.lit(0)).otherwise(F.floor((Sx - 1) / F.lit(T))).cast("bigint")
+    nb = F.expr(f"if(n_tokens div {B} <= 1, 0L, (n_tokens div {B} - 1) div {T})")
     return per.select("split", "basename", EX.example_file_name_col(F.col("basename"), B, T, C, True).alias("file_name"), "n_tokens", nb.alias("num_batch"))
 
 
@@ -842,6 +840,39 @@ def q_embedding_lookup(spark, sf):
     return t.select("p", "id", rnd(F.get(F.col("vector"), 0)).alias("e0"), rnd(F.get(F.col("vector"), 63)).alias("e63"))
 
 
+BIN_DIM, BIN_CUTS = 16, [0, 100, 300]  # each bin's vectors are half as long as those of the one before
+
+
+def bin_projection(b: int) -> list[list[float]] | None:
+    """Stand-in projection of a bin: a matrix from a rule."""
+    width = BIN_DIM >> b
+    return None if b == 0 else [[((7 * i + 3 * j + b) % 5 - 2) / 4 for j in range(BIN_DIM)] for i in range(width)]
+
+
+def q_embedding_bins(spark, sf):
+    """J8 with tables of several widths: rows of ``embeddings`` by id, cut to the width of their bin, projected, looked up."""
+    c = corpus(spark, sf)
+    cuts = [*BIN_CUTS, c.V]
+    vec = spark.read.parquet(f"{sf}/embeddings.parquet")
+    tables = [vec.where((F.col("vec_id") >= lo) & (F.col("vec_id") < hi)).select((F.col("vec_id") - lo).alias("row"), F.slice("embedding", 1, BIN_DIM >> b).alias("embedding"))
+              for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:]))]
+    vectors = materialize(CX.binned_vectors(tables, [bin_projection(b) for b in range(len(tables))], BIN_DIM), "bin-vectors")
+    t = CX.binned_lookup(c.split().select("p", "id"), vectors, cuts)
+    return t.select("p", "id", F.col("bin").cast("bigint").alias("bin"), rnd(F.get("vector", 0)).alias("e0"), rnd(F.get("vector", BIN_DIM - 1)).alias("e15"))
+
+
+def q_caller_metrics(spark, sf):
+    """A caller's metrics over the event log by type: partial rows of each day, merged."""
+    log = _events(spark, sf)
+    loss = F.col("loss")
+    mine = [MT.Metric("mean_loss", {"s": ("sum", loss), "n": ("count", loss)}, lambda p: F.try_divide(p["s"], p["n"])),
+            MT.Metric("spread", {"lo": ("min", loss), "hi": ("max", loss)}, lambda p: p["hi"] - p["lo"])]
+    ms = MT.MetricSet(mine, log)
+    days = ms.partial(log.withColumn("day", F.date_trunc("day", "ts")), ["event_type", "day"])
+    out = ms.finals(ms.merge(days, ["event_type"]), ["event_type"])
+    return out.select("event_type", rnd(F.col("mean_loss")).alias("mean_loss"), rnd(F.col("spread")).alias("spread"))
+
+
 # --------------------------------------------------------------------------------------------
 # Streaming (file stream -> transformations -> parquet sink, availableNow)
 # --------------------------------------------------------------------------------------------
@@ -986,6 +1017,8 @@ def registry() -> dict:
         "context_anchored": q_context_anchored,
         "context_long": q_context_long,
         "embedding_lookup": q_embedding_lookup,
+        "embedding_bins": q_embedding_bins,
+        "caller_metrics": q_caller_metrics,
         "stream_encode": q_stream_encode,
         "stream_counts": q_stream_counts,
         "stream_segments": q_stream_segments,

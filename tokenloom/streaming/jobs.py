@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import tokenize
 from tokenloom.operators import vocab as V
+from tokenloom.operators.metrics import MetricSet
 from tokenloom.session import work_path
 
 
@@ -71,6 +72,17 @@ def stream_symbols(lines: DataFrame, lower: bool = False) -> DataFrame:
     return lines.select(F.explode(tokenize(F.col("line"), lower=lower)).alias("sym"))
 
 
+def stream_metrics(log: DataFrame, metrics: MetricSet, path: str, checkpoint: str, by: list[str] | None = None) -> DataFrame:
+    """A caller's metrics over a streaming log, over what is available: each micro-batch writes the partial rows of its epoch (a batch that is run
+    again writes the same folder again), and the result merges those of all epochs under ``path``."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        metrics.partial(batch, by).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    q = log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return metrics.finals(metrics.merge(log.sparkSession.read.parquet(path), by), by)
+
+
 def ntz_to_instant(col: str) -> F.Column:
     """TIMESTAMP_NTZ read as UTC -> TIMESTAMP, independent of the session time zone."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
