@@ -24,6 +24,7 @@ COVERAGE = 0.3
 CONSISTENT = 0.8
 BROADCAST_WINDOWS = 500_000  # item windows (24 bytes each) that are broadcast at most; more are joined by a shuffle
 FORMS = ("literal", "template")
+SIEVE_HASHES, SIEVE_BITS = 20_000, 16  # up to so many item windows, a bitmap of so many bits for each sorts out the documents' windows in place
 BROADCAST_IDS = 2_000_000  # contaminated texts (16 bytes each) that are broadcast at most, to read them again
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 BREAK = r"[^\p{L}\p{M}\p{N}]+"
@@ -57,12 +58,13 @@ def _forms(words: Column) -> dict[str, Column]:
     return {"literal": canon(False), "template": canon(True)}
 
 
-def _hashes(rows: DataFrame, least: int = WINDOW) -> DataFrame:
+def _hashes(rows: DataFrame) -> DataFrame:
     """``rows`` with the hashes of the canonical words of both forms in place of ``words``: the same as hashing the
     words of ``_forms``, but each word is lower-cased and hashed once."""
     names = [c for c in rows.columns if c != "words"]
     num, unit, name = (F.xxhash64(F.lit(x)) for x in (NUM, UNIT, NAME))
-    low = rows.where(F.size("words") >= least).select(*names, "words", F.transform("words", lambda w: F.lower(w)).alias("low"))
+    # no filter by length here: it would be pushed below and have each text split again for it
+    low = rows.select(*names, "words", F.transform("words", lambda w: F.lower(w)).alias("low"))
 
     def literal(w: Column, i: Column) -> Column:
         return F.when(_number(w), num).when(w.isin(UNITS) & F.coalesce(_number(F.get("low", i - 1)), F.lit(False)), unit).otherwise(F.xxhash64(w))
@@ -75,15 +77,30 @@ def _hashes(rows: DataFrame, least: int = WINDOW) -> DataFrame:
     return low.select(*names, "h_literal", F.transform("words", template).alias("h_template"))
 
 
-def _windows(hashed: DataFrame) -> DataFrame:
-    """(form, pos, h) for each window of each form, in place of the word hashes (columns h_<form>).
+def _bitmap(parts: DataFrame) -> Column | None:
+    """Bits of the hashes in ``parts`` as a literal array (SIEVE_BITS a hash), or None if there are many."""
+    hashes = [r.h for r in parts.select("h").distinct().limit(SIEVE_HASHES + 1).collect()]
+    if len(hashes) > SIEVE_HASHES:
+        return None
+    words = [0] * max(64, 1 << (max(1, len(hashes)) * SIEVE_BITS // 64).bit_length())
+    for h in hashes:
+        words[(h >> 6) % len(words)] |= 1 << (h & 63)
+    return F.expr("cast(split('" + ",".join(str(w - (1 << 64) if w >> 63 else w) for w in words) + "', ',') as array<bigint>)")
 
-    Word hashes are columns of their own: inside the windows' lambda they'd be worked out again for each window."""
+
+def _windows(hashed: DataFrame, sieve: Column | None = None) -> DataFrame:
+    """(form, pos, h) for each window of each form, in place of the word hashes (columns h_<form>); with ``sieve`` (``_bitmap``) only those whose bit
+    is set, so hardly any window becomes a row.
+
+    All of it stands in the generator: a projection before it would be merged with that of the word hashes, and have them worked out again for
+    each window. An outer one, as the filter that Spark puts below an inner one would do the same work once more."""
     names = [c for c in hashed.columns if not c.startswith("h_")]
-    hashed = hashed.where(F.size(f"h_{FORMS[0]}") >= WINDOW)
+    n = F.size(f"h_{FORMS[0]}")
     one = lambda i: F.array(*[F.struct(F.lit(f).alias("form"), (i - 1).cast("int").alias("pos"), F.xxhash64(F.slice(f"h_{f}", i, WINDOW)).alias("h")) for f in FORMS])
-    each = F.flatten(F.transform(F.sequence(F.lit(1), F.size(f"h_{FORMS[0]}") - (WINDOW - 1)), one))
-    return hashed.select(*names, F.explode(each).alias("x")).select(*names, "x.*")
+    each = F.flatten(F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), one))
+    if sieve is not None:
+        each = F.filter(each, lambda x: F.call_function("getbit", F.get(sieve, F.pmod(F.shiftright(x.h, 6), F.size(sieve)).cast("int")), x.h.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return hashed.select(*names, F.explode_outer(F.when(n >= WINDOW, each)).alias("x")).where("x is not null").select(*names, "x.*")
 
 
 def _placeholder(w: Column) -> Column:
@@ -143,7 +160,7 @@ def _whole(words: DataFrame, short: DataFrame) -> DataFrame:
     """The judged matches of the items in ``short``: every place of a document counts, and all its slots must agree."""
     lengths = sorted(r.n for r in short.select("n").distinct().collect())
     rows = words.withColumn("raw", F.col("words")).withColumn("said", F.transform("words", lambda w: F.lower(w)))
-    rows = _hashes(rows, lengths[0]).withColumn("h_verbatim", F.transform("said", lambda w: F.xxhash64(w)))
+    rows = _hashes(rows).withColumn("h_verbatim", F.transform("said", lambda w: F.xxhash64(w)))
     unit, name = F.xxhash64(F.lit(UNIT)), F.xxhash64(F.lit(NAME))
 
     def window(form: str, n: int):
@@ -187,7 +204,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     words = rows.select("doc_id", F.xxhash64("text").alias("th"), _words(F.col("text")).alias("words"))
-    found = _windows(_hashes(words)).withColumnRenamed("pos", "dpos").join(F.broadcast(parts) if few else parts, ["form", "h"])
+    found = _windows(_hashes(words), _bitmap(parts)).withColumnRenamed("pos", "dpos").join(F.broadcast(parts) if few else parts, ["form", "h"])
     found = found.groupBy("doc_id", "th", "item_id", "form", "ipos").agg(F.min("dpos").alias("dpos"))
     found = (found.groupBy("doc_id", "th", "item_id", "form").agg(F.count("*").alias("n_matched"), F.collect_list(F.struct("ipos", "dpos")).alias("at"))
              .join(F.broadcast(totals) if few else totals, ["item_id", "form"]).where(F.col("n_matched") >= COVERAGE * F.col("n_windows")))
