@@ -286,12 +286,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .withColumn("rn", F.row_number().over(w)).withColumn("next", F.lead("n").over(w)).where("rn > 1 or next is not null").drop("rn", "next"))
     posted = materialize(posted, "jj-posted")
     least = f"1 + cast(ceil(n * {percent} / 100) as long) div 20"  # spare() of the smallest set that n can link with
-    for _ in range(2):
-        shared = posted.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-        posted = materialize(posted.drop("df").join(shared, "token"), "jj-shared")
-        enough = posted.groupBy("fp").agg(F.count("*").alias("held"), F.first("n").alias("n")).where(f"held >= {least}").select("fp")
-        posted = posted.join(enough, "fp", "left_semi")
-    posted = materialize(posted, "jj-shared")
+
+    def enough(posted: DataFrame) -> DataFrame:
+        held = posted.groupBy("fp").agg(F.count("*").alias("held"), F.first("n").alias("n")).where(f"held >= {least}")
+        return posted.join(held.select("fp"), "fp", "left_semi")
+
+    posted = enough(posted)  # each of its shingles is shared; sets with too few of them go, and shingles that only those shared
+    posted = materialize(posted.join(posted.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token"), "jj-shared")
+    posted = materialize(enough(posted), "jj-shared")
 
     # index blocks: sets by their most shared posting; a key too heavy for one block is split by set
     home = posted.groupBy("fp").agg(F.max(F.struct("df", "token")).alias("top"), F.first("n").alias("n")).select("fp", "n", F.col("top.token").alias("key"))
