@@ -46,3 +46,24 @@ def test_stages_keep_columns_and_odd_rows(spark):
             assert data.columns == COLUMNS
         left = {r.doc_id for r in cp.STAGES[-1][1](spark, data, SF001).collect()}
         assert left in ({1, 6, None}, set())
+
+
+def test_rows_not_ids(spark):
+    """Of rows that share an id, or have none, each goes or stays by its own text; one row of each group stays."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row_key int"
+    item = next(r.text for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect())
+    clean = "a plain text about rivers and hills that nobody has copied from any list of questions so far"
+    other = "quite another story of ships at sea and of the weather that they met on the way to the north"
+    rows = [(1, clean, "en", "a", 1, 0), (1, item, "en", "b", 1, 1), (None, item, "en", "c", 1, 2), (None, other, "en", "d", 1, 3)]
+    docs = spark.createDataFrame(rows, schema)
+    assert {r.row_key for r in cp.decontamination(spark, docs, SF001).collect()} == {0, 3}
+
+    twins = [(7, clean, "en", "x", 1, 0), (5, clean, "en", "x", 1, 1), (5, clean, "en", "a", 1, 2), (5, other, "en", "a", 1, 3), (None, other, "en", "a", 1, 4), (None, "", "en", "a", 1, 5),
+             (None, "", "en", "a", 1, 6), (9, None, "en", "a", 1, 7), (None, "nothing like it anywhere else in all of this small table", "en", "a", 1, 8)]
+    left = {r.row_key for r in cp.jaccard(spark, spark.createDataFrame(twins, schema), SF001).collect()}
+    assert left == {2, 3, 5, 6, 7, 8}
+
+    plain = [(i, clean + f" number {i}", "en", "a", 1, i) for i in range(40)]
+    odd = [(1, "12 34", "en", "a", 1, 100), (None, "", None, None, None, 101), (None, clean + " again", None, None, None, 102)]
+    out = cp.language(spark, spark.createDataFrame(plain + odd, schema), SF001)
+    assert {r.row_key for r in out.collect()} == set(range(40)) | {102} and out.columns[-1] == "row_key"
