@@ -155,3 +155,11 @@ def test_both_ways_of_encoding(spark, monkeypatch):
     one = pieces()
     monkeypatch.setattr(V, "ENCODE_BYTES", 0)
     assert pieces() == one and len(one) > 60
+
+
+def test_decode_arrays(spark):
+    vocab = spark.createDataFrame([(3, "c"), (0, "<eos>"), (7, "é")], "id long, sym string")
+    df = spark.createDataFrame([(1, [3, 7, 0]), (2, []), (3, [0]), (4, None), (5, [7] * 3)], "k long, ids array<long>")
+    assert {r.k: r.text for r in V.decode_arrays(df, vocab, exclude=[0]).collect()} == {1: "c é", 2: "", 3: "", 4: "", 5: "é é é"}
+    with pytest.raises(Exception, match="id out of range: 5"):
+        V.decode_arrays(spark.createDataFrame([(1, [3, 5])], df.schema), vocab).collect()

@@ -148,6 +148,39 @@ def encode_arrays(lines: DataFrame, vocab: DataFrame, unk_id: int | None, sym: s
     return lines.select(*kept, sym).mapInArrow(run, schema)
 
 
+def decode_arrays(lines: DataFrame, vocab: DataFrame, exclude: list[int] | None = None, ids: str = "ids", out: str = "text") -> DataFrame:
+    """P11 / J3 on whole arrays: ``ids`` becomes ``out``, the symbols joined by a blank, without those of ``exclude``; all other columns stay. An id out of
+    range raises. The vocabulary (``fits_tasks``) goes to the tasks, so nothing is taken apart or grouped: a long line decodes by the pieces it
+    was encoded in."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    known = vocab.select("id", "sym").toArrow().sort_by("id")
+    table = lines.sparkSession.sparkContext.broadcast((known["id"].to_numpy().astype(np.int64), known["sym"].combine_chunks()))
+    kept = [c for c in lines.columns if c != ids]
+    schema = ", ".join([f"`{c}` {lines.schema[c].dataType.simpleString()}" for c in kept] + [f"`{out}` string"])
+    dropped = np.array(exclude or [], dtype=np.int64)
+
+    def run(batches):
+        numbers, symbols = table.value
+        for b in batches:
+            col = b.column(len(kept))
+            x = col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(col)), pc.fill_null(pc.list_value_length(col), 0).to_numpy())
+            use = ~np.isin(x, dropped)
+            x, row = x[use], row[use]
+            at = np.minimum(np.searchsorted(numbers, x), max(len(numbers) - 1, 0))
+            bad = numbers[at] != x if len(numbers) else np.ones(len(x), dtype=bool)
+            if bad.any():
+                raise ValueError(f"id out of range: {x[bad][0]}")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(col)))])
+            words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), symbols.take(pa.array(at)) if len(at) else pa.array([], symbols.type))
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pc.binary_join(words, " ").cast(pa.string())], names=[*kept, out])
+
+    return lines.select(*kept, ids).mapInArrow(run, schema)
+
+
 def oov_report(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """The rows of a count table (sym, cnt, first) whose symbol the vocabulary lacks."""
     return counts.join(vocab.select("sym"), "sym", "left_anti")

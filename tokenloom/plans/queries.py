@@ -57,8 +57,8 @@ class Corpus:
             lines = S.with_split(lines, S.split_by_shard(docs))
         else:
             lines = WC.single_split(lines)
-        # tokenise and place lines once; counting and encoding read the written table
-        tok = materialize(WC.positioned_lines(lines.drop("has_newline"), cfg).drop("line"), "positioned-lines")
+        # tokenised once, without a shuffle; counting and encoding read the written table
+        tok = materialize(WC.symbol_lines(lines.drop("has_newline"), cfg, marks=True).drop("line"), "symbol-lines")
         count_lines = tok.filter(F.col("split") == "train") if by_shard else tok
         self.lines = lines
         self.counts = materialize(WC.corpus_counts(count_lines, cfg, marked=True), "counts")
@@ -66,7 +66,9 @@ class Corpus:
         self.vocab = V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size).cache()
         self.V = self.vocab.count()
         self.unk_id = V.unk_id_of(self.vocab, cfg.unk, cfg.special)
-        self.encoded = materialize(WC.encoded_stream(tok, self.vocab, cfg, self.unk_id), "stream")
+        pieces = WC.encoded_pieces(tok.select("split", "shard", "doc_id", "line_no", "symbols"), self.vocab, self.unk_id)
+        pieces = materialize(pieces.withColumn("n", F.size("ids")), "encoded-pieces")
+        self.encoded = materialize(WC.placed_pieces(pieces, cfg.bucket_docs), "stream")
         self.N = WC.split_sizes(self.encoded)
 
     @property
@@ -457,9 +459,11 @@ def q_encode_unk(spark, sf):
 
 
 def q_decode_words(spark, sf):
+    """Decoded by the pieces of each line; a line's pieces are then put together. A line of marks only has no text."""
     c = corpus(spark, sf)
-    d = V.decode_words(c.split(), c.vocab, ["doc_id", "line_no"], exclude=[0], bounded=True)
-    return d.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text")
+    d = V.decode_arrays(c.lines_of().select("doc_id", "line_no", "start_pos", "ids"), c.vocab, exclude=[0]).where("text != ''")
+    g = d.groupBy("doc_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("start_pos", "text"))).alias("_t"))
+    return g.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.array_join(F.transform("_t", lambda x: x["text"]), " ").alias("text"))
 
 
 def q_counts_all_splits(spark, sf):
@@ -607,7 +611,7 @@ def _bpe_assets(spark, sf):
     """Merges learned by the fixture job, written as a merges file and read back (A7), plus the
     id map written as JSON and read back."""
     def build():
-        learned = BP.learn_merges(_bpe_tokens(spark, sf))
+        learned = BP.learn_merges(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY))
         merges = materialize(S.load_merges(BP.merges_file_lines(learned)), "merges")
         ids = materialize(S.load_piece_ids(BP.piece_ids_json(BP.piece_ids_from_merges(merges))), "piece-ids")
         return merges, ids

@@ -124,6 +124,14 @@ def encoded_pieces(lines: DataFrame, vocab: DataFrame, unk_id: int | None) -> Da
     return g.select(*key, F.transform("_t", lambda x: x["id"]).alias("ids"))
 
 
+def placed_pieces(pieces: DataFrame, bucket_docs: int = 1000) -> DataFrame:
+    """W1 on encoded pieces (split, doc_id, line_no, start_pos, ids, n): adds ``start_p``, the place of the first id in its split's stream. Ids are
+    shuffled, not symbols; callers write the pieces before, as they are read twice."""
+    from tokenloom.operators.positions import prefix_offsets
+    order = [F.col("doc_id"), F.col("line_no"), F.col("start_pos")]
+    return prefix_offsets(pieces, F.col("n"), ["split"], order, doc_bucket("doc_id", bucket_docs), "start_p", coarser()).drop("n")
+
+
 def tokens_of(lines: DataFrame) -> DataFrame:
     """The encoded lines as one row per token: (split, doc_id, line_no, pos, p, id)."""
     t = lines.select("split", "doc_id", "line_no", "start_pos", "start_p", F.posexplode("ids").alias("_i", "id"))

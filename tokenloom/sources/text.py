@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import PY_WS_CLASS, space_chars
-from tokenloom.operators.positions import doc_bucket, prefix_offsets
+from tokenloom.operators.positions import coarser, doc_bucket, prefix_offsets
 
 SPLIT_ORDER = {"train": 0, "valid": 1, "test": 2}
 
@@ -115,7 +115,7 @@ def split_tail_chars(docs: DataFrame, n: int, bucket_docs: int = 1000) -> DataFr
     """
     d = docs.select("doc_id", F.concat(F.col("text"), F.lit("\n")).alias("raw"))
     d = d.withColumn("_len", F.length("raw").cast("bigint"))
-    d = prefix_offsets(d, F.col("_len"), [], [F.col("doc_id")], doc_bucket("doc_id", bucket_docs), "start")
+    d = prefix_offsets(d, F.col("_len"), [], [F.col("doc_id")], doc_bucket("doc_id", bucket_docs), "start", coarser())
     total = d.agg(F.sum("_len").alias("L"))
     parts = total.select(F.explode(F.array(
         F.struct(F.lit("train").alias("split"), F.lit(0).cast("bigint").alias("lo"), F.greatest(F.col("L") - 2 * n, F.lit(0)).alias("hi")),
