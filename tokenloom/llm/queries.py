@@ -82,7 +82,7 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"))
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
