@@ -8,11 +8,11 @@ from tokenloom.llm import line_dedup as ld
 from tokenloom.llm import queries
 
 
-def brute(rows):
+def brute(rows, words=1):
     """{(id, line)} kept, by comparing each line with all earlier ones that share a shingle."""
     def tokens(s):
         w = re.findall(r"[^ \t\x0b\f\r\n]+", s.lower())
-        return frozenset(tuple(w[i:i + ld.WORDS]) for i in range(max(len(w) - ld.WORDS + 1, 1))) if w else frozenset()
+        return frozenset(tuple(w[i:i + words]) for i in range(max(len(w) - words + 1, 1))) if w else frozenset()
 
     lines = sorted((ld.LAST_ID if d is None else d, i, tokens(s)) for d, t in rows if t is not None for i, s in enumerate(t.split("\n")))
     kept, at = set(), {}
@@ -30,13 +30,15 @@ def brute(rows):
     return kept
 
 
-def got(df):
-    return {(r.id, i) for r in ld.kept_lines(df).collect() for i in r.kept}
+def got(df, words=1):
+    return {(r.id, i) for r in ld.kept_lines(df, words=words).collect() for i in r.kept}
 
 
 def test_documents_against_all_earlier_lines(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
-    assert got(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert got(docs) == brute(rows)
+    assert got(docs, 5) == brute(rows, 5)
 
 
 def test_near_copies(spark):
@@ -77,7 +79,23 @@ def test_one_changed_word(spark, tmp_path):
     assert out == {n: [0, 1] if n < 9 else [0] for n, _ in rows}
 
 
-def test_word_tokens_against_all_earlier_lines(spark, monkeypatch):
-    docs = spark.read.parquet(f"{SF001}/documents.parquet")
-    monkeypatch.setattr(ld, "WORDS", 1)
-    assert {(r.id, i) for r in ld.kept_lines(docs, words=1).collect() for i in r.kept} == brute([(r.doc_id, r.text) for r in docs.collect()])
+def test_common_words_and_large_groups(spark, monkeypatch):
+    """Keys that hundreds of sets share, groups of near copies, full counters."""
+    r = random.Random(5)
+    common = [f"c{i}" for i in range(12)]
+    rows = [(d, " ".join(r.sample(common, r.randrange(3, 11)))) for d in range(300)]
+    frame = [f"f{i}" for i in range(40)]
+    rows += [(1000 + d, " ".join(frame[:r.randrange(34, 41)] + [f"x{d}y{i}" for i in range(r.randrange(5))])) for d in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert got(df) == want
+    monkeypatch.setattr(ld, "COUNTERS", 16)
+    assert got(df.repartition(5)) == want
+
+
+def test_blanks_and_clashing_names(spark):
+    rows = [(5, "a\tb\x0bc\x0cd\re  f", 1, 2), (6, "A b c D\te F\n\u00a0g\n\t\r", 3, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, line_id int, kept int")
+    out = ld.dedup_lines(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == [rows[0], (6, "\u00a0g\n\t\r", 3, 4)]

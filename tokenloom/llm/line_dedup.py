@@ -1,17 +1,17 @@
 """Operator 10, line dedup by an exact set-similarity join, in DataFrame functions only.
 
-A line's tokens are its distinct shingles of ``words`` lower-cased words (1: the words themselves, as the registered query has it;
-``WORDS`` unless said); a shorter line is one token. A line is removed if an earlier line, by (document id, line number), has a token set with a Jaccard similarity of ``PERCENT`` or more; the earlier line may
-itself be removed.
+A line's tokens are its distinct shingles of ``words`` lower-cased words (1: the words themselves, as the registered query and the
+pipeline have it, unless said); a shorter line is one token. A line is removed if an earlier line, by (document id, line number), has
+a token set with a Jaccard similarity of ``PERCENT`` or more; the earlier line may itself be removed.
 
-1. Rarity: the words of all texts are counted in ``BUCKETS`` counters. A token's key orders by the class of its first word's
-   counter, then by hash, so a line's sorted keys start with the tokens of its rarest words.
+1. Rarity: the words of all texts are counted in ``COUNTERS`` counters. A token's key orders by the class of its first word's
+   counter (two classes to a doubling), then by hash, so a line's sorted keys start with the tokens of its rarest words. A token whose counter is 1 is in no other line.
 2. Lines with equal sets are one set, standing for its first line; the others are removed.
-3. Prefix filter: the first ``n - ceil(0.8 n) + 1`` keys of each set are posted. Sets that reach the similarity
-   share one of them. Keys posted once fall away. Along a key's postings, in line order, a streaming window pairs each
+3. Prefix filter: the first ``n - ceil(0.8 n) + 1`` keys of each set are posted, but those of counter 1. Sets that reach the similarity
+   share one of them. Along a key's postings, in line order, a streaming window pairs each
    set with the first one and with the one before it. Pairs must pass the length filter, the positional
-   filter and a parity bitmap of the symmetric difference; the rest are verified on their full sets.
-4. Sets not removed so far meet the other earlier postings of keys that four sets or more share. A large group of
+   filter and a parity bitmap of the symmetric difference. Each set's likeliest partner is verified on the full sets.
+4. Sets not removed so far meet all earlier postings of their keys, under the same filters, and the pairs are verified. A large group of
    near copies is thus removed in step 3 and never multiplied out.
 """
 
@@ -24,36 +24,56 @@ from pyspark.sql import functions as F
 from tokenloom.session import materialize
 
 PERCENT = 80
-WORDS = 5
-BUCKETS = 1 << 14
+WORDS = 1
+COUNTERS = 1 << 21  # a byte each, in a literal of the plan
+SLOTS = 1 << 10  # rows that carry the counters to the driver
 LAST_ID = (1 << 63) - 1  # stands for a null id: after all others
 BROADCAST_LINES = 2_000_000  # (id, line) rows, 12 bytes each, that are broadcast at most; more go through a shuffle
 SPACE = r" \t\x0B\f\r\n"
 HASH = (1 << 57) - 1
+ONCE = 32  # class of the counters up to 1, as a character; higher classes follow
+
+
+def _words(text: Column) -> Column:
+    """The lower-cased words. Splitting at one literal character is several times as fast as at a class of them."""
+    blank = F.lower(text)
+    for c in "\t\x0b\f\r\n":
+        blank = F.replace(blank, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(blank, " "), "")
 
 
 def _texts_to_lines(docs: DataFrame) -> DataFrame:
     """(id, line, w): the lower-cased words of each line that has some."""
-    lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line", "s"))
-    words = F.array_remove(F.split(F.lower("s"), f"[{SPACE}]+"), "")
-    return lines.select("id", "line", words.alias("w")).where("size(w) > 0")
+    lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line", "s")).where(F.col("s").rlike(f"[^{SPACE}]"))
+    return lines.select("id", "line", _words(F.col("s")).alias("w"))
 
 
-def _classes(docs: DataFrame) -> str:
-    """SQL array: the rarity class of each counter, 0 up to a 32nd of the mean and one more for each doubling, in a key's top bits."""
-    words = docs.select(F.explode(F.split(F.lower("text"), f"[{SPACE}]+")).alias("w"))
-    counts = dict(words.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} as int)").alias("b")).agg(F.count("*").alias("c")).collect())
-    mean = max(1, sum(counts.values()) // BUCKETS)
-    top = ",".join(str((counts.get(b, 0) * 32 // mean).bit_length() << 57) for b in range(BUCKETS))
-    return f"cast(split('{top}', ',') as array<bigint>)"
+def _classes(docs: DataFrame) -> Column:
+    """The counters' classes, a character each: a literal of COUNTERS bytes."""
+    words = docs.select(F.explode(_words(F.col("text"))).alias("w"))
+    counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {COUNTERS - 1} as int)").alias("b")).agg(F.count("*").alias("c")).where("c > 1")
+    rank = F.expr(f"least({ONCE} + cast(floor(2 * log2(c)) as int) - 1, 127)")
+    slots = counts.groupBy((F.col("b") % SLOTS).alias("slot")).agg(F.collect_list(F.col("b") * 128 + rank).alias("v"))
+    out = bytearray([ONCE]) * COUNTERS
+    for row in slots.select("v").toLocalIterator():
+        for v in row.v:
+            out[v >> 7] = v & 127
+    return F.lit(bytes(out))
 
 
-def _sets(lines: DataFrame, classes: str, words: int) -> DataFrame:
+def _sets(lines: DataFrame, classes: Column, words: int) -> DataFrame:
     """(id, line, n, keys): keys sorted from the rarest token."""
+    def rarity(h: Column) -> Column:
+        at = h.bitwiseAND(COUNTERS - 1).cast("int") + 1
+        return F.shiftleft((F.ascii(F.substring(classes, at, F.lit(1)).cast("string")) - ONCE).cast("long"), 57)
+
     hashed = lines.select("id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
-    key = f"get({classes}, cast(get(h, i - 1) & {BUCKETS - 1} as int)) + (xxhash64(slice(h, i, {words})) & {HASH})"
-    keys = F.expr(f"sort_array(array_distinct(transform(sequence(1, greatest(size(h) - {words - 1}, 1)), i -> {key})))")
-    return hashed.select("id", "line", keys.alias("keys")).withColumn("n", F.size("keys"))
+    if words == 1:
+        keys = F.transform(F.array_distinct("h"), lambda h: rarity(h) + F.shiftrightunsigned(h, 7))
+    else:
+        starts = F.sequence(F.lit(1), F.greatest(F.size("h") - (words - 1), F.lit(1)))
+        keys = F.array_distinct(F.transform(starts, lambda i: rarity(F.get("h", i - 1)) + F.shiftrightunsigned(F.xxhash64(F.slice("h", i, words)), 7)))
+    return hashed.select("id", "line", F.sort_array(keys).alias("keys")).withColumn("n", F.size("keys"))
 
 
 def _near(x: str, y: str) -> str:
@@ -64,7 +84,7 @@ def _near(x: str, y: str) -> str:
             f" and bit_count({x}.sig ^ {y}.sig) <= {x}.n + {y}.n - 2 * {need}")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: str, words: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, words: int) -> DataFrame:
     """(id, line) of the sets x for which a pair (id, line, yid, yline) reaches the similarity."""
     pairs = materialize(pairs.distinct(), "ld-pairs")
     places = materialize(pairs.select("id", "line").union(pairs.select("yid", "yline")).distinct(), "ld-places")
@@ -86,49 +106,46 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, kept): the numbers, from 0 and sorted, of the kept lines that have words, for ids that keep any.
 
     A null text has no lines; a null id counts as later than all others. Rows that share an id are one
-    document: equal (id, number) are not earlier than each other. Lines without words are never removed.
+    document: equal (id, number) are not earlier than each other. Lines without words are never removed. Other columns, whatever their names, aren't read.
     """
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     classes = _classes(docs)
     prefix = F.expr(f"slice(keys, 1, n - cast(ceil(n * {PERCENT} / 100) as int) + 1)")
+    shared = F.filter(prefix, lambda k: k > HASH)  # the tokens of counter 1 stand before the others
     sig = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
-    lines = _sets(_texts_to_lines(docs), classes, words).select("id", "line", "n", sig.alias("sig"), F.xxhash64("keys").alias("fp"), F.hash("keys").alias("fp2"), prefix.alias("prefix"))
-    first = lines.groupBy("fp", "fp2", "n").agg(F.min(F.struct("id", "line", "sig", "prefix")).alias("f"))
-    first = materialize(first.select("f.id", "f.line", "n", "f.sig", "f.prefix"), "ld-first")
+    lines = _sets(_texts_to_lines(docs), classes, words).select("id", "line", "n", sig.alias("sig"), F.xxhash64("keys").alias("fp"), F.hash("keys").alias("fp2"),
+                                                               F.size(prefix).alias("last"), shared.alias("prefix"))
+    first = lines.groupBy("fp", "fp2", "n").agg(F.min(F.struct("id", "line", "sig", "last", "prefix")).alias("f"))
+    first = materialize(first.select("f.id", "f.line", "n", "f.sig", "f.last", "f.prefix"), "ld-first")
+
+    def postings(sets: DataFrame, *more: str) -> DataFrame:
+        at = (F.col("pos") + 1 + F.col("last") - F.size("prefix")).alias("pos")
+        return sets.select("id", "line", "n", "sig", "last", "prefix", *more, F.posexplode("prefix").alias("pos", "key")).select("key", "id", "line", "n", at, "sig", *more)
 
     w = W.partitionBy("key").orderBy("id", "line")
     me = F.struct("id", "line", "n", "pos", "sig")
-    posted = (first.select("id", "line", "n", "sig", F.posexplode("prefix").alias("pos", "key"))
-              .select("key", "id", "line", "n", "sig", (F.col("pos") + 1).alias("pos"), F.row_number().over(w).alias("rn"), F.lead("n").over(w).alias("next"))
-              .where("rn > 1 or next is not null").drop("next")
-              .select("*", F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2"),
-                      *[F.lead("n", k).over(w).isNotNull().alias(f"more{k}") for k in (1, 2, 3)])
-              .withColumn("x", F.struct("n", "pos", "sig"))
-              .withColumn("near1", F.expr(f"rn > 1 and ({_near('x', 'y1')})")).withColumn("near2", F.expr(f"rn > 2 and ({_near('x', 'y2')})"))
-              .withColumn("many", F.expr("rn > 3 or rn = 3 and more1 or rn = 2 and more2 or rn = 1 and more3"))
-              .where("near1 or near2 or many").drop("more1", "more2", "more3", "x"))
-    posted = materialize(posted, "ld-posted")
-
-    def pairs(near: str, y: str) -> DataFrame:
-        return posted.where(near).select("id", "line", F.col(f"{y}.id").alias("yid"), F.col(f"{y}.line").alias("yline"))
-
-    # each set's likeliest partner first, the one with most shared keys; the others for sets that it doesn't remove
-    met = pairs("near1", "y1").union(pairs("near2", "y2")).where("(yid, yline) < (id, line)")
-    met = materialize(met.groupBy("id", "line", "yid", "yline").agg(F.count("*").alias("c")), "ld-met")
-    best = materialize(met.groupBy("id", "line").agg(F.max(F.struct("c", "yid", "yline")).alias("y")).select("id", "line", "y.yid", "y.yline"), "ld-best")
+    met = (postings(first).select("*", F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2")).where("y2 is not null")
+           .select("id", "line", F.struct("n", "pos", "sig").alias("x"), F.explode(F.array_distinct(F.array("y1", "y2"))).alias("y"))
+           .where(F.expr(f"({_near('x', 'y')}) and (y.id, y.line) < (id, line)")))
+    met = met.groupBy("id", "line", "y.id", "y.line").agg(F.count("*").alias("c")).toDF("id", "line", "yid", "yline", "c")
+    best = met.groupBy("id", "line").agg(F.max(F.struct("c", "yid", "yline")).alias("y")).select("id", "line", "y.yid", "y.yline")
+    best = materialize(best, "ld-best")
     gone = materialize(_verified(best, docs, classes, words), "ld-gone")
-    rest = met.drop("c").join(gone, ["id", "line"], "left_anti").join(best, ["id", "line", "yid", "yline"], "left_anti")
-    gone = materialize(gone.union(_verified(rest, docs, classes, words)), "ld-gone")
-    narrow = posted.where("many").select("key", "id", "line", "n", "pos", "sig", "rn")
-    x = narrow.where("rn > 3").join(gone, ["id", "line"], "left_anti").alias("x")
-    more = (x.join(narrow.where("rn > 1").alias("y"), F.expr(f"x.key = y.key and y.rn < x.rn - 1 and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
-            .select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline")))
+    few = gone.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
+    open_ = first.join((F.broadcast if few else lambda d: d)(gone.withColumn("out", F.lit(True))), ["id", "line"], "left").withColumn("out", F.coalesce("out", F.lit(False)))
+    # one exchange serves both sides: nothing may be filtered below it
+    dealt = postings(open_, "out")
+    x, y = dealt.alias("x"), dealt.alias("y")
+    more = x.join(y, F.expr(f"x.key = y.key and not x.out and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
+    more = more.select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline"))
+    more = materialize(more.distinct().join(best, ["id", "line", "yid", "yline"], "left_anti"), "ld-more")
     gone = gone.union(_verified(more, docs, classes, words))
     return first.select("id", "line").join(gone, ["id", "line"], "left_anti").groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("kept"))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_lines (lines with words), kept_lines (their numbers), n_removed."""
+    """One row per row of ``docs``: doc_id, n_lines (lines with words), kept_lines (their numbers), n_removed. A null, empty or wordless text has
+    no lines; ids, ties and other columns as in ``kept_lines``; an empty table gives no rows."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(F.col(text_col).cast("string"), "\n").alias("lines"))
     rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.coalesce(F.filter(F.transform("lines", lambda s, i: F.when(s.rlike(f"[^{SPACE}]"), i)), lambda i: i.isNotNull()), F.array().cast("array<int>")).alias("own"))
     rows = rows.join(kept_lines(docs, id_col, text_col, words), "id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
@@ -139,12 +156,15 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """``docs`` with the removed lines cut from its texts, and without the rows that lost all their lines with words.
 
-    A null text, an empty one and one without words stay as they are. Other columns are carried along.
+    A null text, an empty one and one without words stay as they are. Other columns are carried along, whatever their names.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    kept = kept_lines(docs, id_col, text_col, words).select(F.col("id").alias("__id"), F.col("kept").alias("__kept"))
-    out = docs.withColumn("__id", key).join(kept, "__id", "left")
-    lines = F.filter(F.split(F.col(text_col), "\n"), lambda s, i: ~s.rlike(f"[^{SPACE}]") | F.array_contains("__kept", i))
+    free = "line_id"
+    while any(c.startswith(free) for c in docs.columns):
+        free += "_"
+    held = f"{free}k"
+    kept = kept_lines(docs, id_col, text_col, words).select(F.col("id").alias(free), F.col("kept").alias(held))
+    out = docs.withColumn(free, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))).join(kept, free, "left")
+    lines = F.filter(F.split(F.col(text_col), "\n"), lambda s, i: ~s.rlike(f"[^{SPACE}]") | F.array_contains(held, i))
     wordless = ~F.coalesce(F.col(text_col).rlike(f"[^{SPACE}]"), F.lit(False))
-    out = out.where(wordless | F.col("__kept").isNotNull())
+    out = out.where(wordless | F.col(held).isNotNull())
     return out.select(*[F.when(wordless, F.col(c)).otherwise(F.array_join(lines, "\n")).alias(c) if c == text_col else F.col(c) for c in docs.columns])
