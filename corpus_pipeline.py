@@ -44,7 +44,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts lines that an earlier line matches in five-word shingles; rows left without any line with words go, and n_chars follows the text.
+    """Cuts lines whose words an earlier line matches (operator 10 as its query has it); rows left without any line with words go, and n_chars follows the text.
 
     Null, empty and wordless texts stay as they are. A null id counts as later than all others; rows that share an id are one
     document, whose lines aren't earlier than each other."""
