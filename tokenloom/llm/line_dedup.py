@@ -31,6 +31,7 @@ LAST_ID = (1 << 63) - 1  # stands for a null id: after all others
 BROADCAST_LINES = 2_000_000  # (id, line) rows, 12 bytes each, that are broadcast at most; more go through a shuffle
 SPACE = r" \t\x0B\f\r\n"
 HASH = (1 << 57) - 1
+NARROW = 80  # tokens of a set up to which its parity bitmap has 64 bits; 128 beyond
 ONCE = 32  # class of the counters up to 1, as a character; higher classes follow
 
 
@@ -77,11 +78,12 @@ def _sets(lines: DataFrame, classes: Column, words: int) -> DataFrame:
 
 
 def _near(x: str, y: str) -> str:
-    """Length, positional and bitmap filter of postings x and y (columns n, pos, sig)."""
+    """Length, positional and bitmap filter of postings x and y (columns n, pos, sig, sig2). Bitmaps of unequal widths are folded to 64 bits."""
     need = f"(({PERCENT} * ({x}.n + {y}.n) + {PERCENT + 99}) div {100 + PERCENT})"
     return (f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n)"
-            f" and least({x}.pos, {y}.pos) + least({x}.n - {x}.pos, {y}.n - {y}.pos) >= {need}"
-            f" and bit_count({x}.sig ^ {y}.sig) <= {x}.n + {y}.n - 2 * {need}")
+            f" and least(abs({x}.pos), abs({y}.pos)) + least({x}.n - abs({x}.pos), {y}.n - abs({y}.pos)) >= {need}"
+            f" and if(least({x}.n, {y}.n) > {NARROW}, bit_count({x}.sig ^ {y}.sig) + bit_count({x}.sig2 ^ {y}.sig2),"
+            f" bit_count({x}.sig ^ {y}.sig ^ {x}.sig2 ^ {y}.sig2)) <= {x}.n + {y}.n - 2 * {need}")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, words: int) -> DataFrame:
@@ -112,31 +114,38 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = _classes(docs)
     prefix = F.expr(f"slice(keys, 1, n - cast(ceil(n * {PERCENT} / 100) as int) + 1)")
     shared = F.filter(prefix, lambda k: k > HASH)  # the tokens of counter 1 stand before the others
-    sig = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
-    lines = _sets(_texts_to_lines(docs), classes, words).select("id", "line", "n", sig.alias("sig"), F.xxhash64("keys").alias("fp"), F.hash("keys").alias("fp2"),
+
+    def parity(keys: Column) -> Column:
+        return F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+
+    odd = parity(F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) > 0))
+    sig2 = F.when(F.col("n") > NARROW, odd).otherwise(F.lit(0).cast("long"))
+    lines = _sets(_texts_to_lines(docs), classes, words).select("*", parity(F.col("keys")).alias("all"), sig2.alias("sig2"))
+    lines = lines.select("id", "line", "n", F.col("all").bitwiseXOR(F.col("sig2")).alias("sig"), "sig2", F.xxhash64("keys").alias("fp"), F.hash("keys").alias("fp2"),
                                                                F.size(prefix).alias("last"), shared.alias("prefix"))
-    first = lines.groupBy("fp", "fp2", "n").agg(F.min(F.struct("id", "line", "sig", "last", "prefix")).alias("f"))
-    first = materialize(first.select("f.id", "f.line", "n", "f.sig", "f.last", "f.prefix"), "ld-first")
+    first = lines.groupBy("fp", "fp2", "n").agg(F.min(F.struct("id", "line", "sig", "sig2", "last", "prefix")).alias("f"))
+    first = materialize(first.select("f.id", "f.line", "n", "f.sig", "f.sig2", "f.last", "f.prefix"), "ld-first")
 
-    def postings(sets: DataFrame, *more: str) -> DataFrame:
-        at = (F.col("pos") + 1 + F.col("last") - F.size("prefix")).alias("pos")
-        return sets.select("id", "line", "n", "sig", "last", "prefix", *more, F.posexplode("prefix").alias("pos", "key")).select("key", "id", "line", "n", at, "sig", *more)
+    def postings(sets: DataFrame, sign: Column) -> DataFrame:
+        at = (F.col("pos") + 1 + F.col("last") - F.size("prefix")) * F.col("sign")
+        own = ["id", "line", "n", "sig", "sig2"]
+        return sets.select(*own, "last", "prefix", sign.alias("sign"), F.posexplode("prefix").alias("pos", "key")).select("key", at.alias("pos"), *own)
 
     w = W.partitionBy("key").orderBy("id", "line")
-    me = F.struct("id", "line", "n", "pos", "sig")
-    met = (postings(first).select("*", F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2")).where("y2 is not null")
-           .select("id", "line", F.struct("n", "pos", "sig").alias("x"), F.explode(F.array_distinct(F.array("y1", "y2"))).alias("y"))
-           .where(F.expr(f"({_near('x', 'y')}) and (y.id, y.line) < (id, line)")))
-    met = met.groupBy("id", "line", "y.id", "y.line").agg(F.count("*").alias("c")).toDF("id", "line", "yid", "yline", "c")
+    me = F.struct("id", "line", "n", "pos", "sig", "sig2")
+    met = (postings(first, F.lit(1)).select(me.alias("x"), F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2"))
+           .where(f"y2 is not null and ({_near('x', 'y1')} or {_near('x', 'y2')})").select("x", F.explode(F.array_distinct(F.array("y1", "y2"))).alias("y"))
+           .where(f"{_near('x', 'y')} and (y.id, y.line) < (x.id, x.line)").select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline")))
+    met = met.groupBy("id", "line", "yid", "yline").agg(F.count("*").alias("c"))
     best = met.groupBy("id", "line").agg(F.max(F.struct("c", "yid", "yline")).alias("y")).select("id", "line", "y.yid", "y.yline")
     best = materialize(best, "ld-best")
     gone = materialize(_verified(best, docs, classes, words), "ld-gone")
     few = gone.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
-    open_ = first.join((F.broadcast if few else lambda d: d)(gone.withColumn("out", F.lit(True))), ["id", "line"], "left").withColumn("out", F.coalesce("out", F.lit(False)))
-    # one exchange serves both sides: nothing may be filtered below it
-    dealt = postings(open_, "out")
-    x, y = dealt.alias("x"), dealt.alias("y")
-    more = x.join(y, F.expr(f"x.key = y.key and not x.out and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
+    marked = first.join((F.broadcast if few else lambda d: d)(gone.withColumn("out", F.lit(True))), ["id", "line"], "left")
+    # the sign of a place tells whether its set is out; a condition on both sides, so that one exchange serves them, unfiltered
+    dealt = postings(marked, F.when(F.col("out"), -1).otherwise(1))
+    still = "x.pos + abs(y.pos) > abs(y.pos)"
+    more = dealt.alias("x").join(dealt.alias("y"), F.expr(f"x.key = y.key and {still} and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
     more = more.select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline"))
     more = materialize(more.distinct().join(best, ["id", "line", "yid", "yline"], "left_anti"), "ld-more")
     gone = gone.union(_verified(more, docs, classes, words))
