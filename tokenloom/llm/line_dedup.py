@@ -8,7 +8,7 @@ a token set with a Jaccard similarity of ``PERCENT`` or more; the earlier line m
    counter (two classes to a doubling), then by hash, so a line's sorted keys start with the tokens of its rarest words. A token whose counter is 1 is in no other line.
 2. Lines with equal sets are one set, standing for its first line; the others are removed.
 3. Prefix filter: the first ``n - ceil(0.8 n) + 1`` keys of each set are posted, but those of counter 1. Sets that reach the similarity
-   share one of them. Along a key's postings, in line order, a streaming window pairs each
+   share one of them. Along the postings of each set's first ``PILOT`` keys, in line order, a streaming window pairs each
    set with the first one and with the one before it. Pairs must pass the length filter, the positional
    filter and a parity bitmap of the symmetric difference. Each set's likeliest partner is verified on the full sets.
 4. Sets not removed so far meet all earlier postings of their keys, under the same filters, and the pairs are verified. A large group of
@@ -32,15 +32,13 @@ BROADCAST_LINES = 2_000_000  # (id, line) rows, 12 bytes each, that are broadcas
 SPACE = r" \t\x0B\f\r\n"
 HASH = (1 << 57) - 1
 NARROW = 80  # tokens of a set up to which its parity bitmap has 64 bits; 128 beyond
-ONCE = 32  # class of the counters up to 1, as a character; higher classes follow
+PILOT = 4  # posted tokens of a set that look for its likeliest partner
 
 
-def _words(text: Column) -> Column:
-    """The lower-cased words. Splitting at one literal character is several times as fast as at a class of them."""
-    blank = F.lower(text)
-    for c in "\t\x0b\f\r\n":
-        blank = F.replace(blank, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(blank, " "), "")
+def _words(line: Column) -> Column:
+    """The lower-cased words of a line. Splitting at one literal character is several times as fast as at a class of them."""
+    blank = F.when(line.rlike(r"[\t\x0B\f\r]"), F.regexp_replace(line, r"[\t\x0B\f\r]", " ")).otherwise(line)
+    return F.array_remove(F.split(F.lower(blank), " "), "")
 
 
 def _texts_to_lines(docs: DataFrame) -> DataFrame:
@@ -50,23 +48,24 @@ def _texts_to_lines(docs: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame) -> Column:
-    """The counters' classes, a character each: a literal of COUNTERS bytes."""
-    words = docs.select(F.explode(_words(F.col("text"))).alias("w"))
+    """The counters' classes, a byte each: 0 up to a count of 1, then two to a doubling. The byte at p (from 1) is counter p's, that at 1 also counter 0's."""
+    words = docs.select(F.explode(F.split("text", "\n")).alias("s")).select(F.explode(_words(F.col("s"))).alias("w"))
     counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {COUNTERS - 1} as int)").alias("b")).agg(F.count("*").alias("c")).where("c > 1")
-    rank = F.expr(f"least({ONCE} + cast(floor(2 * log2(c)) as int) - 1, 127)")
-    slots = counts.groupBy((F.col("b") % SLOTS).alias("slot")).agg(F.collect_list(F.col("b") * 128 + rank).alias("v"))
-    out = bytearray([ONCE]) * COUNTERS
+    rank = F.expr("least(cast(floor(2 * log2(c)) as int) - 1, 63)")
+    slots = counts.groupBy((F.col("b") % SLOTS).alias("slot")).agg(F.collect_list(F.col("b") * 64 + rank).alias("v"))
+    out = bytearray(COUNTERS)
     for row in slots.select("v").toLocalIterator():
         for v in row.v:
-            out[v >> 7] = v & 127
+            at = max((v >> 6) - 1, 0)
+            out[at] = max(out[at], v & 63)
     return F.lit(bytes(out))
 
 
 def _sets(lines: DataFrame, classes: Column, words: int) -> DataFrame:
     """(id, line, n, keys): keys sorted from the rarest token."""
     def rarity(h: Column) -> Column:
-        at = h.bitwiseAND(COUNTERS - 1).cast("int") + 1
-        return F.shiftleft((F.ascii(F.substring(classes, at, F.lit(1)).cast("string")) - ONCE).cast("long"), 57)
+        at = h.bitwiseAND(COUNTERS - 1).cast("int")
+        return F.shiftleft(F.ascii(F.substring(classes, at, F.lit(1)).cast("string")).cast("long"), 57)
 
     hashed = lines.select("id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
     if words == 1:
@@ -126,14 +125,14 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = lines.groupBy("fp", "fp2", "n").agg(F.min(F.struct("id", "line", "sig", "sig2", "last", "prefix")).alias("f"))
     first = materialize(first.select("f.id", "f.line", "n", "f.sig", "f.sig2", "f.last", "f.prefix"), "ld-first")
 
-    def postings(sets: DataFrame, sign: Column) -> DataFrame:
+    def postings(sets: DataFrame, sign: Column, tokens: Column) -> DataFrame:
         at = (F.col("pos") + 1 + F.col("last") - F.size("prefix")) * F.col("sign")
         own = ["id", "line", "n", "sig", "sig2"]
-        return sets.select(*own, "last", "prefix", sign.alias("sign"), F.posexplode("prefix").alias("pos", "key")).select("key", at.alias("pos"), *own)
+        return sets.select(*own, "last", "prefix", sign.alias("sign"), F.posexplode(tokens).alias("pos", "key")).select("key", at.alias("pos"), *own)
 
     w = W.partitionBy("key").orderBy("id", "line")
     me = F.struct("id", "line", "n", "pos", "sig", "sig2")
-    met = (postings(first, F.lit(1)).select(me.alias("x"), F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2"))
+    met = (postings(first, F.lit(1), F.slice("prefix", 1, PILOT)).select(me.alias("x"), F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2"))
            .where(f"y2 is not null and ({_near('x', 'y1')} or {_near('x', 'y2')})").select("x", F.explode(F.array_distinct(F.array("y1", "y2"))).alias("y"))
            .where(f"{_near('x', 'y')} and (y.id, y.line) < (x.id, x.line)").select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline")))
     met = met.groupBy("id", "line", "yid", "yline").agg(F.count("*").alias("c"))
@@ -143,7 +142,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     few = gone.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     marked = first.join((F.broadcast if few else lambda d: d)(gone.withColumn("out", F.lit(True))), ["id", "line"], "left")
     # the sign of a place tells whether its set is out; a condition on both sides, so that one exchange serves them, unfiltered
-    dealt = postings(marked, F.when(F.col("out"), -1).otherwise(1))
+    dealt = postings(marked, F.when(F.col("out"), -1).otherwise(1), F.col("prefix"))
     still = "x.pos + abs(y.pos) > abs(y.pos)"
     more = dealt.alias("x").join(dealt.alias("y"), F.expr(f"x.key = y.key and {still} and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
     more = more.select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline"))
