@@ -45,7 +45,8 @@ def test_stages_keep_columns_and_odd_rows(spark):
             data = stage(spark, data, SF001)
             assert data.columns == COLUMNS
         left = {r.doc_id for r in cp.STAGES[-1][1](spark, data, SF001).collect()}
-        assert left in ({1, 6, None}, set())
+        # 6 repeats the 11 words that row 1 has beside "one": a similarity of 11/12, so its only line goes
+        assert left in ({1, None}, set())
 
 
 def test_rows_not_ids(spark):
