@@ -222,9 +222,9 @@ def q_head_labels(spark, sf):
 
 
 def _bins_long(ex):
-    a = ex.select("sample_id", F.lit("inp").alias("side"), F.explode("inp_bins").alias("b"))
-    t = ex.select("sample_id", F.lit("tgt").alias("side"), F.explode("tgt_bins").alias("b"))
-    return a.unionByName(t).select("sample_id", "side", F.col("b.bin").cast("bigint").alias("bin"),
+    side = lambda s: F.transform(f"{s}_bins", lambda b: F.struct(F.lit(s).alias("side"), b.alias("b")))
+    t = ex.select("sample_id", F.explode(F.concat(side("inp"), side("tgt"))).alias("x"))  # one reading for both sides
+    return t.select("sample_id", "x.side", "x.b").select("sample_id", "side", F.col("b.bin").cast("bigint").alias("bin"),
                                    F.col("b.cnt").alias("cnt"), F.col("b.tup").alias("tup"))
 
 
@@ -241,27 +241,32 @@ def q_bin_slots(spark, sf):
     return t.select("sample_id", "side", "bin", "pos", "slot")
 
 
-def _weigh(K):
-    def row_fn(row, p):
-        return F.transform(row, lambda v, k: v * (p * K + k))
-    return row_fn
+def _matrix_sums(bs: list[int]):
+    """The sum of each bin tuple's dense matrix, plain and weighted by place, for batches of (sample_id, side, bin, tup)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        for b in batches:
+            bins = b.column(2).to_numpy()
+            ones, weighted = np.zeros(len(bins), np.int64), np.zeros(len(bins), np.int64)
+            for k, K in enumerate(bs):
+                at = np.flatnonzero(bins == k)
+                place = np.arange(T * K, dtype=np.float64).reshape(T, K)
+                for lo in range(0, len(at), W_.DENSE_ROWS):
+                    rows = at[lo:lo + W_.DENSE_ROWS]
+                    m = W_.dense_perms(pc.take(b.column(3), pa.array(rows)), T, K)
+                    ones[rows] = m.sum(axis=(1, 2), dtype=np.float64)
+                    weighted[rows] = np.tensordot(m.astype(np.float64), place, 2)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ones), pa.array(weighted)], names=["sample_id", "side", "bin", "ones", "weighted"])
+
+    return run
 
 
 def q_dense_perm_sums(spark, sf):
     _, ex, bs = _fixed_examples(spark, sf)
-    t = _bins_long(ex)
-    size = F.element_at(F.array(*[F.lit(x) for x in bs]), F.col("bin").cast("int") + 1)
-    outs = []
-    for b, K in enumerate(bs):
-        d = t.filter(F.col("bin") == b).withColumn("m", W_.dense_perm(F.col("tup"), T, K))
-        flat = F.flatten(F.transform("m", _weigh(K)))
-        outs.append(d.select("sample_id", "side", "bin",
-                             F.aggregate(F.flatten("m"), F.lit(0.0), lambda a, v: a + v).cast("bigint").alias("ones"),
-                             F.aggregate(flat, F.lit(0.0), lambda a, v: a + v).cast("bigint").alias("weighted")))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res
+    return _bins_long(ex).select("sample_id", "side", "bin", "tup").mapInArrow(_matrix_sums(bs), "sample_id bigint, side string, bin bigint, ones bigint, weighted bigint")
 
 
 # --------------------------------------------------------------------------------------------
