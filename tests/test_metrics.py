@@ -123,3 +123,18 @@ def test_binned_vectors(spark):
         assert x.bin == b and (x.vector is None) == (want is None) and (want is None or x.vector == want)
     with pytest.raises(Exception, match="doesn't fit"):
         CX.binned_vectors([spark.createDataFrame(t, "row long, embedding array<float>") for t in tables], [None, None], d).collect()
+
+
+def test_average_of_uneven_checkpoints(spark):
+    """Checkpoints that lack a variable, repeat one or hold a shorter one, as the query's SQL has it: the sum over the number of checkpoints."""
+    rows = [(2, "a", [1.0, 2.0]), (3, "a", [4.0, 8.0]), (4, "a", [1.0, 2.0]), (2, "b", [3.0]), (3, "c", [6.0, 3.0]), (4, "c", [6.0]), (4, "c", [6.0]), (3, "d", [1.0, None]), (4, "d", [2.0])]
+    params = spark.createDataFrame(rows, "ckpt long, name string, values array<float>")
+    got = {(x.name, x.pos): x.value for x in CK.average_params(params, [2, 3, 4], missing="zero").collect()}
+    assert got == {("a", 0): 2.0, ("a", 1): 4.0, ("b", 0): 1.0, ("c", 0): 6.0, ("c", 1): 1.0, ("d", 0): 1.0, ("d", 1): None}
+
+
+def test_average_params_of_a_table_of_eight_rows(spark, tmp_path):
+    from tokenloom.plans import queries as Q
+    spark.createDataFrame([(i, [float(i), 3.0]) for i in range(8)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(x.name, x.pos): x.value for x in Q.q_average_params(spark, str(tmp_path)).collect()}
+    assert got == {("v00000", 0): 3.0, ("v00000", 1): 3.0, ("v00001", 0): round(7 / 3, 6), ("v00001", 1): 1.0}

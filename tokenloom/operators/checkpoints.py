@@ -40,9 +40,10 @@ def params_from_vectors(vectors: DataFrame, n: int = 5, id_col: str = "vec_id",
 CHUNK = 4096  # values of a parameter that are averaged together
 
 
-def average_chunks(params: DataFrame, ckpts: list, skip_prefix: str = "global_step") -> DataFrame:
+def average_chunks(params: DataFrame, ckpts: list, skip_prefix: str = "global_step", missing: str = "raise") -> DataFrame:
     """Element-wise mean over the given checkpoints as (name, chunk, values), ``CHUNK`` values to a row. Names come from the first checkpoint
-    (``skip_prefix`` left out) and must exist, equally long, in every one.
+    (``skip_prefix`` left out) and must exist, equally long, in every one. With ``missing`` "zero" names come from all of them, what a
+    checkpoint lacks adds nothing, and what it repeats adds each time: the sum is divided by the number of checkpoints all the same.
 
     A parameter's array is cut into chunks, a chunk's arrays meet in one group (one for each checkpoint) and are added as arrays in the order of the
     checkpoints, so there is no row per value, no parameter is gathered whole, and the sum doesn't depend on the partitioning."""
@@ -53,15 +54,18 @@ def average_chunks(params: DataFrame, ckpts: list, skip_prefix: str = "global_st
     e = p.select("name", order[F.col("ckpt")].alias("_c"), F.posexplode(F.expr(cuts)).alias("chunk", "part"))
     g = e.groupBy("name", "chunk").agg(F.array_sort(F.collect_list(F.struct("_c", "part"))).alias("_t"), F.min("_c").alias("_first"), F.count(F.lit(1)).alias("_k"),
                                        F.min(F.size("part")).alias("_lo"), F.max(F.size("part")).alias("_hi"))
+    zero = F.array_repeat(F.lit(0.0), F.col("_hi"))
+    # behind the end of a shorter array there is nothing to add; a null in it stays one
+    total = F.aggregate("_t", zero, lambda acc, x: F.transform(acc, lambda a, i: a + F.when(i < F.size(x["part"]), F.get(x["part"], i).cast("double")).otherwise(F.lit(0.0))))
+    mean = F.transform(total, lambda v: v / F.lit(n))
+    if missing == "zero":
+        return g.select("name", "chunk", mean.alias("values"))
     whole = (F.col("_k") == n) & (F.col("_lo") == F.col("_hi"))
-    g = g.where("_first = 0")
-    zero = F.transform(F.get("_t", 0)["part"], lambda _: F.lit(0.0))
-    total = F.aggregate("_t", zero, lambda acc, x: F.zip_with(acc, x["part"], lambda a, v: a + v.cast("double")))
-    return g.select("name", "chunk", F.when(whole, F.transform(total, lambda v: v / F.lit(n))).otherwise(
+    return g.where("_first = 0").select("name", "chunk", F.when(whole, mean).otherwise(
         F.raise_error(F.concat(F.lit("missing or of another size in a checkpoint: "), F.col("name")))).alias("values"))
 
 
-def average_params(params: DataFrame, ckpts: list, skip_prefix: str = "global_step") -> DataFrame:
+def average_params(params: DataFrame, ckpts: list, skip_prefix: str = "global_step", missing: str = "raise") -> DataFrame:
     """``average_chunks`` with one value to a row: (name, pos, value)."""
-    e = average_chunks(params, ckpts, skip_prefix).select("name", "chunk", F.posexplode("values").alias("_i", "value"))
+    e = average_chunks(params, ckpts, skip_prefix, missing).select("name", "chunk", F.posexplode("values").alias("_i", "value"))
     return e.select("name", (F.col("chunk") * CHUNK + F.col("_i")).alias("pos"), "value")
