@@ -116,6 +116,7 @@ def bpe_encode(toks: DataFrame, key_cols: list[str], merges: DataFrame, piece_id
 
 CHUNK_CHARS = 1 << 17  # of a line that are taken together, about
 CACHED_TOKENS = 1 << 18  # pre-tokens whose ids a worker remembers
+RUN_ROWS = 256  # lines whose bytes are cut at a time
 
 
 def bpe_encode_lines(lines: DataFrame, key_cols: list[str], merges: DataFrame, piece_ids: DataFrame) -> DataFrame:
@@ -186,6 +187,40 @@ def bpe_decode_lines(encoded: DataFrame, key_cols: list[str], piece_ids: DataFra
     return encoded.select(*key_cols, ids_col).mapInArrow(run, schema)
 
 
+def byte_runs(lines: DataFrame, key_cols: list[str], length: int) -> DataFrame:
+    """(key, run, ids): the byte values of each key's ``text``, the first 256 piece ids, in runs of ``length``; no row for an empty text.
+
+    Lines move once, whole; their bytes are cut in Arrow batches. Rows that share a key are one: at each place the bytes of all of them, in order."""
+    import numpy as np
+    import pyarrow as pa
+
+    schema = ", ".join(f"`{c}` {lines.schema[c].dataType.simpleString()}" for c in key_cols) + ", run bigint, ids array<bigint>"
+    held = lines.repartition(*key_cols).groupBy(*key_cols).agg(F.collect_list("text").alias("_texts"))
+
+    def places(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, place of each) of a key's texts."""
+        each = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+        if len(each) == 1:
+            return each[0], np.arange(len(each[0]))
+        values, at = np.concatenate(each), np.concatenate([np.arange(len(x)) for x in each])
+        order = np.lexsort((values, at))
+        return values[order], at[order]
+
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, RUN_ROWS):
+                part = b.slice(lo, RUN_ROWS)
+                values, at = zip(*map(places, part.column(len(key_cols)).to_pylist()))
+                row = np.repeat(np.arange(len(values)), [len(v) for v in values])
+                values, k = np.concatenate(values), np.concatenate(at) // length
+                head = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (k[1:] != k[:-1])])) if len(values) else np.zeros(0, np.int64)
+                ids = pa.ListArray.from_arrays(pa.array(np.append(head, len(values)), pa.int32()), pa.array(values.astype(np.int64)))
+                of = pa.array(row[head])
+                yield pa.RecordBatch.from_arrays([*[c.take(of) for c in part.columns[:len(key_cols)]], pa.array(k[head], pa.int64()), ids], names=[*key_cols, "run", "ids"])
+
+    return held.mapInArrow(run, schema)
+
+
 def encoded_lines(pieces: DataFrame, key_cols: list[str]) -> DataFrame:
     """Per line: ids ARRAY<BIGINT> in (tok_no, piece_no) order."""
     g = pieces.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("tok_no", "piece_no", "id"))).alias("_t"))

@@ -686,11 +686,8 @@ def q_bpe_decode_windows(spark, sf):
     of 50, each run decoded on its own with malformed bytes replaced."""
     _, ids = _bpe_assets(spark, sf)
     lines = BP.line_text(_bpe_lines(spark, sf)).where("text != ''")
-    hexes = F.regexp_extract_all(F.hex(F.encode("text", "UTF-8")), F.lit(".."), 0)
-    numbers = F.transform(hexes, lambda h: F.conv(h, 16, 10).cast("bigint"))
-    runs = F.transform(F.sequence(F.lit(0), F.expr("(size(n) - 1) div 50")), lambda k: F.struct(k.cast("bigint").alias("k"), F.slice("n", k * 50 + 1, 50).alias("ids")))
-    cut = lines.select(*KEY, numbers.alias("n")).select(*KEY, F.explode(runs).alias("r")).select(*KEY, F.col("r.k").alias("run"), "r.ids")
-    dec = BP.bpe_decode(cut, [*KEY, "run"], ids)
+    cut = BP.byte_runs(lines.select(*KEY, "text"), KEY, 50)
+    dec = BP.bpe_decode_lines(cut, [*KEY, "run"], ids)
     return dec.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "run", F.md5("text").alias("text_md5"))
 
 
