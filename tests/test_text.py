@@ -131,3 +131,24 @@ def test_bytes_that_are_no_text(spark):
     df = spark.createDataFrame(rows, "i int, t string").select("i", byte_chars_inverse(F.col("t")).alias("text"))
     assert {r["i"]: r["text"] for r in df.collect()} == {i: r.decode("utf-8", "replace") for i, r in enumerate(raws)}
 
+
+
+def test_byte_chars_of_every_ascii_character(spark):
+    from tokenloom.functions.text import byte_char_table, byte_chars
+    table = dict(byte_char_table())
+    words = [chr(b) for b in range(128)] + ["".join(map(chr, range(128))), "", " aé\x00 b", " plain"]
+    got = spark.createDataFrame(list(enumerate(words)), "i int, token string").select("i", byte_chars(F.col("token")).alias("bc")).collect()
+    assert {x.i: x.bc for x in got} == {i: "".join(table[b] for b in w.encode()) for i, w in enumerate(words)}
+
+
+def test_byte_runs(spark):
+    """Runs of a key's bytes; rows that share a key, a null one too, are one. The old plan made a row for each byte."""
+    from tokenloom.operators import bpe as BP
+    rows = [(1, 0, "héllo woréld"), (2, 0, "abcd"), (2, 0, "AB"), (None, 1, "x" * 7), (3, 0, "")]
+    lines = spark.createDataFrame(rows, "doc_id long, line_no int, text string")
+    df = BP.byte_runs(lines, ["doc_id", "line_no"], 3)
+    raw = list(rows[0][2].encode())
+    want = {(1, 0, k): raw[3 * k:3 * k + 3] for k in range(-(-len(raw) // 3))} | {(None, 1, k): [120] * n for k, n in enumerate((3, 3, 1))}
+    want |= {(2, 0, 0): [65, 97, 66, 98, 99], (2, 0, 1): [100]}
+    assert {(x.doc_id, x.line_no, x.run): x.ids for x in df.collect()} == want
+    assert df._jdf.queryExecution().executedPlan().toString().count("Generate") == 0

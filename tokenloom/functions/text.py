@@ -119,10 +119,13 @@ def _utf8_hex(c: Column) -> Column:
 
 def byte_chars(token: Column) -> Column:
     """UTF-8 bytes of a token rendered as printable characters (bijective on bytes),
-    by arithmetic on byte values (no per-byte map lookups)."""
+    by arithmetic on byte values (no per-byte map lookups). A token of ASCII characters only, whose bytes are its
+    characters, is translated in one step."""
+    ascii_ = [(chr(b), ch) for b, ch in byte_char_table() if b < 128 and chr(b) != ch]
+    plain = F.translate(token, "".join(a for a, _ in ascii_), "".join(ch for _, ch in ascii_))
     pairs = F.regexp_extract_all(F.hex(F.encode(token, "UTF-8")), F.lit(".."), 0)
     hexs = F.transform(pairs, lambda h: _utf8_hex(_byte_to_code(F.conv(h, 16, 10).cast("int"))))
-    return F.decode(F.unhex(F.array_join(hexs, "")), "UTF-8")
+    return F.when(token.rlike(r"[^\x00-\x7F]"), F.decode(F.unhex(F.array_join(hexs, "")), "UTF-8")).otherwise(plain)
 
 
 def byte_chars_hex(text: Column) -> Column:
