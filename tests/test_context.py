@@ -144,3 +144,24 @@ def test_count_stream(spark):
     assert {x.sym: x.cnt for x in table.read().collect()}["a"] == 7
     runs = table.ledger()[1]
     assert table._read(runs[-1:]).count() == 1
+
+
+def test_grid_runs(spark):
+    """Runs hold the tokens of the grid, each within a row and a run of columns; windows come out of them as out of single tokens."""
+    from tokenloom.streaming.segments import grid_runs
+    ids = [random.Random(3).randrange(50) for _ in range(103)]
+    runs = grid_runs(lines_of(spark, ids, 11), 4, len(ids), 7)
+    got = {}
+    for x in runs.collect():
+        assert x.c // 7 == (x.c + len(x.ids) - 1) // 7
+        for i, v in enumerate(x.ids):
+            assert (x.r, x.c + i) not in got and x.p + i == x.r * 25 + x.c + i
+            got[x.r, x.c + i] = v
+    assert got == {(p // 25, p % 25): ids[p] for p in range(100)}
+    assert grid_runs(lines_of(spark, ids[:3], 2), 4, 3, 7).count() == 0
+    src, out, ck = (work_path(spark, f"runs-{x}") for x in ("src", "out", "ck"))
+    t = runs.select("r", "c", "ids", F.timestamp_millis(F.col("p") + 86_400_000).alias("ts"))
+    t.repartition(3).write.parquet(src)
+    out = ST.run_available(stream_segments(ST.file_stream(spark, src, t.schema), 4, 6, "1 hour", 20_000), out, ck).collect()
+    row = lambda r: ids[r * 25:r * 25 + 25]
+    assert {(x.r, x.w): (x.inputs, x.labels, x.memory) for x in out} == {(r, w): (row(r)[4 * w:4 * w + 4], row(r)[4 * w + 1:4 * w + 5], row(r)[max(4 * w - 6, 0):4 * w]) for r in range(4) for w in range(6)}

@@ -884,14 +884,23 @@ def q_caller_metrics(spark, sf):
 # Streaming (file stream -> transformations -> parquet sink, availableNow)
 # --------------------------------------------------------------------------------------------
 
-FEED_FILES = 4
+FEED_BATCHES = 4
+FILE_BYTES = 32 << 20  # of rows in a file of a feed, about
 
 
-def _feed(spark, df, name, by):
-    """A table dealt over several files, as a stream that takes one of them a trigger."""
+def _row_bytes(df):
+    """The bytes of a row, about."""
+    text = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    return sum(text, F.lit(8 * len(df.columns))).cast("bigint")
+
+
+def _feed(spark, df, name, by, batches=FEED_BATCHES):
+    """A table dealt over files in ranges of ``by``, as a stream that takes a part of them a trigger. There are as many files as the table's size
+    asks for, so none, nor the task that writes it, grows with the table."""
     src = work_path(spark, name)
-    df.repartitionByRange(FEED_FILES, by).write.parquet(src)
-    return ST.file_stream(spark, src, df.schema, max_files=1)
+    files = max(FEED_BATCHES, (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) // FILE_BYTES + 1)
+    df.repartitionByRange(files, by).write.parquet(src)
+    return ST.file_stream(spark, src, df.schema, max_files=batches and -(-files // batches))
 
 
 def _doc_stream(spark, sf):
@@ -914,22 +923,25 @@ def q_stream_counts(spark, sf):
 
 
 def q_stream_segments(spark, sf):
-    """Tokens come in four files whose order in time is that of a hash: a watermark as long as the stream drops none."""
-    from tokenloom.operators.positions import batch_grid
-    from tokenloom.streaming.segments import stream_segments
+    """Runs of tokens come in four batches whose order in time is that of a hash: a watermark as long as the stream drops none. Each batch is
+    written from the encoded lines as they lie, so the feed shuffles nothing."""
+    from tokenloom.streaming.segments import grid_runs, stream_segments
     c = corpus(spark, sf)
-    grid = batch_grid(c.split(), B, c.N["train"]).select("r", "c", "id", F.timestamp_millis(F.col("p") + 86_400_000).alias("ts"))  # a watermark begins at 1970
-    stream = _feed(spark, grid.withColumn("_part", F.expr("pmod(hash(c div 7), 4)")), "grid-src", "_part")
+    runs = grid_runs(c.lines_of(), B, c.N["train"], 7)
+    runs = runs.select("r", "c", "ids", F.timestamp_millis(F.col("p") + 86_400_000).alias("ts"))  # a watermark begins at 1970
+    src = work_path(spark, "grid-src")
+    for k in range(FEED_BATCHES):
+        runs.where(F.expr(f"pmod(hash(c div 7), {FEED_BATCHES}) = {k}")).write.mode("append").parquet(src)
+    files = len(spark.read.schema(runs.schema).parquet(src).inputFiles())
+    stream = ST.file_stream(spark, src, runs.schema, max_files=max(1, -(-files // FEED_BATCHES)))
     out = ST.run_to_table(stream_segments(stream, T, MEM, f"{c.N['train']} milliseconds", 60_000), "stream-segments")
     return out.select("r", "w", ids_str(F.col("inputs")).alias("inputs"), ids_str(F.col("labels")).alias("labels"),
                       ids_str(F.col("memory")).alias("memory"))
 
 
 def q_stream_throughput(spark, sf):
-    src = work_path(spark, "events-src")
     events = spark.read.parquet(f"{sf}/events.parquet")
-    events.repartitionByRange(FEED_FILES, "ts").write.parquet(src)
-    ev = ST.file_stream(spark, src, events.schema, max_files=None)  # all files in one trigger: none can come too late
+    ev = _feed(spark, events, "events-src", "ts", batches=None)  # all files in one trigger: none can come too late
     out = ST.run_to_table(ST.stream_throughput(ev, "1 day", "1 hour", B), "stream-throughput")
     return out.select("window_start", "n", rnd(F.col("mean_loss")).alias("mean_loss"),
                       rnd(F.col("steps_per_sec")).alias("steps_per_sec"), rnd(F.col("examples_per_sec")).alias("examples_per_sec"))
