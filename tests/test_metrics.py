@@ -126,8 +126,8 @@ def test_binned_vectors(spark):
 
 
 def test_average_of_uneven_checkpoints(spark):
-    """Checkpoints that lack a variable, repeat one or hold a shorter one, as the query's SQL has it: the sum over the number of checkpoints."""
-    rows = [(2, "a", [1.0, 2.0]), (3, "a", [4.0, 8.0]), (4, "a", [1.0, 2.0]), (2, "b", [3.0]), (3, "c", [6.0, 3.0]), (4, "c", [6.0]), (4, "c", [6.0]), (3, "d", [1.0, None]), (4, "d", [2.0])]
+    """Checkpoints that lack a variable, repeat one or hold a shorter one, as the query's SQL has it: the sum over the number of checkpoints. Names are those of the first."""
+    rows = [(2, "a", [1.0, 2.0]), (3, "a", [4.0, 8.0]), (4, "a", [1.0, 2.0]), (2, "b", [3.0]), (2, "c", [6.0, 3.0]), (4, "c", [6.0]), (4, "c", [6.0]), (2, "d", [1.0, None]), (4, "d", [2.0]), (3, "e", [5.0])]
     params = spark.createDataFrame(rows, "ckpt long, name string, values array<float>")
     got = {(x.name, x.pos): x.value for x in CK.average_params(params, [2, 3, 4], missing="zero").collect()}
     assert got == {("a", 0): 2.0, ("a", 1): 4.0, ("b", 0): 1.0, ("c", 0): 6.0, ("c", 1): 1.0, ("d", 0): 1.0, ("d", 1): None}

@@ -159,3 +159,27 @@ def test_stream_throughput_drops_late_rows(spark):
     # watermark = 59h - 1h = 58h: days 0 and 1 are closed, day 2 is still open
     assert [r["n"] for r in out] == [24, 24]
     assert all(r["mean_loss"] == 1.0 for r in out)
+
+
+def test_dense_perms_equal_dense_perm(spark):
+    import pyarrow as pa
+    from tokenloom.operators import windows as W_
+    tups = [[], [0, 0], [1, 2, 3, 1], [0, 1, 2, 3, 3, 2]]
+    want = spark.createDataFrame([(i, t) for i, t in enumerate(tups)], "i int, tup array<bigint>").select("i", W_.dense_perm(F.col("tup"), 4, 3).alias("m")).collect()
+    got = W_.dense_perms(pa.array(tups, pa.list_(pa.int64())), 4, 3)
+    assert {x.i: x.m for x in want} == {i: m.tolist() for i, m in enumerate(got)}
+
+
+def test_feed_has_files_by_size(spark, monkeypatch):
+    """A feed of a larger table has more files, none of them larger, still in four batches."""
+    from tokenloom.plans import queries as Q
+    from tokenloom.streaming import jobs as ST
+    monkeypatch.setattr(Q, "FILE_BYTES", 1000)
+    seen = []
+    monkeypatch.setattr(ST, "file_stream", lambda spark, path, schema, max_files: seen.append((path, max_files)))
+    df = spark.createDataFrame([(i, "x" * 92) for i in range(200)], "doc_id long, text string")
+    Q._feed(spark, df, "feed-test", "doc_id")
+    path, most = seen[0]
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 12 and max(x["count"] for x in files) < 40 and 4 <= most <= 6
+    assert spark.read.parquet(path).count() == 200

@@ -42,8 +42,8 @@ CHUNK = 4096  # values of a parameter that are averaged together
 
 def average_chunks(params: DataFrame, ckpts: list, skip_prefix: str = "global_step", missing: str = "raise") -> DataFrame:
     """Element-wise mean over the given checkpoints as (name, chunk, values), ``CHUNK`` values to a row. Names come from the first checkpoint
-    (``skip_prefix`` left out) and must exist, equally long, in every one. With ``missing`` "zero" names come from all of them, what a
-    checkpoint lacks adds nothing, and what it repeats adds each time: the sum is divided by the number of checkpoints all the same.
+    (``skip_prefix`` left out) and must exist, equally long, in every one. With ``missing`` "zero" what a later
+    checkpoint lacks adds nothing, and what any repeats adds each time: the sum is divided by the number of checkpoints all the same.
 
     A parameter's array is cut into chunks, a chunk's arrays meet in one group (one for each checkpoint) and are added as arrays in the order of the
     checkpoints, so there is no row per value, no parameter is gathered whole, and the sum doesn't depend on the partitioning."""
@@ -58,10 +58,11 @@ def average_chunks(params: DataFrame, ckpts: list, skip_prefix: str = "global_st
     # behind the end of a shorter array there is nothing to add; a null in it stays one
     total = F.aggregate("_t", zero, lambda acc, x: F.transform(acc, lambda a, i: a + F.when(i < F.size(x["part"]), F.get(x["part"], i).cast("double")).otherwise(F.lit(0.0))))
     mean = F.transform(total, lambda v: v / F.lit(n))
+    g = g.where("_first = 0")
     if missing == "zero":
         return g.select("name", "chunk", mean.alias("values"))
     whole = (F.col("_k") == n) & (F.col("_lo") == F.col("_hi"))
-    return g.where("_first = 0").select("name", "chunk", F.when(whole, mean).otherwise(
+    return g.select("name", "chunk", F.when(whole, mean).otherwise(
         F.raise_error(F.concat(F.lit("missing or of another size in a checkpoint: "), F.col("name")))).alias("values"))
 
 
