@@ -35,6 +35,7 @@ CFG = WC.WordConfig(special=("<eos>", "<unk>"), lower=False, max_size=20000)
 B, T, C = 16, 32, 4
 TAIL_CUTS = [200, 2000, 8000]   # cutoffs = [0] + TAIL_CUTS + [V]
 ENTRY_B, ENTRY_T = 4, 32
+PACKED = "zstd"  # codec of the tables that grow with the corpus
 
 
 def rnd(c, n: int = 6):
@@ -58,17 +59,17 @@ class Corpus:
         else:
             lines = WC.single_split(lines)
         # tokenised once, without a shuffle; counting and encoding read the written table
-        tok = materialize(WC.symbol_lines(lines.drop("has_newline"), cfg, marks=True).drop("line"), "symbol-lines")
+        tok = materialize(WC.symbol_lines(lines.drop("has_newline"), cfg, marks=True).drop("line"), "symbol-lines", PACKED)
         count_lines = tok.filter(F.col("split") == "train") if by_shard else tok
         self.lines = lines
-        self.counts = materialize(WC.corpus_counts(count_lines, cfg, marked=True), "counts")
+        self.counts = materialize(WC.corpus_counts(count_lines, cfg, marked=True), "counts", PACKED)
         # vocabulary-sized and cheap to recompute from the written counts: cached, not written
         self.vocab = V.build_vocab(self.counts, cfg.special, cfg.min_freq, cfg.max_size).cache()
         self.V = self.vocab.count()
         self.unk_id = V.unk_id_of(self.vocab, cfg.unk, cfg.special)
         pieces = WC.encoded_pieces(tok.select("split", "shard", "doc_id", "line_no", "symbols"), self.vocab, self.unk_id)
-        pieces = materialize(pieces.withColumn("n", F.size("ids")), "encoded-pieces")
-        self.encoded = materialize(WC.placed_pieces(pieces, cfg.bucket_docs), "stream")
+        pieces = materialize(pieces.withColumn("n", F.size("ids")), "encoded-pieces", PACKED)
+        self.encoded = materialize(WC.placed_pieces(pieces, cfg.bucket_docs), "stream", PACKED)
         self.N = WC.split_sizes(self.encoded)
 
     @property
@@ -176,7 +177,7 @@ def _fixed_examples(spark, sf):
     c = corpus(spark, sf)
     N = c.N["train"]
     bs = BN.collect_bin_sizes(BN.bin_sizes(c.split(), N, B // C, T, c.cutoffs))
-    ex = materialize(WC.build_examples(c.lines_of(), N, B, T, C, c.cutoffs, bs, fixed=True))
+    ex = materialize(WC.build_examples(c.lines_of(), N, B, T, C, c.cutoffs, bs, fixed=True), "examples", PACKED)
     return c, ex, bs
 
 
@@ -546,7 +547,7 @@ def _shard_set(spark, sf):
         name = EX.example_file_name_col(EX.shard_basename(F.col("shard_no"), F.col("shuffle")), B, T, C, True)
         train = sent.select(F.lit("train").alias("split"), name.alias("basename"), "start_p", "ids")
         valid = c.lines_of("valid").select(F.lit("valid").alias("split"), F.lit(EX.example_file_name("valid", B, T, C, True)).alias("basename"), "start_p", "ids")
-        pieces = materialize(train.unionByName(valid), "shard-pieces")
+        pieces = materialize(train.unionByName(valid), "shard-pieces", PACKED)
         bins = BN.collect_bin_sizes(BN.bin_sizes(c.split("valid"), c.N["valid"], B // C, T, c.cutoffs))
         streams = materialize(SD.stream_table(pieces, B, T, True), "streams")
         path, info = work_path(spark, "shard-examples"), work_path(spark, "record-info")
@@ -667,12 +668,12 @@ def q_bpe_examples(spark, sf):
     from tokenloom.operators.positions import coarser, doc_bucket, prefix_offsets
     merges, ids = _bpe_assets(spark, sf)
     shards = S.split_by_shard(S.read_documents(spark, sf))
-    enc = materialize(BP.bpe_encode_lines(_bpe_lines(spark, sf), ["shard", *KEY], merges, ids), "bpe-lines")
+    enc = materialize(BP.bpe_encode_lines(_bpe_lines(spark, sf), ["shard", *KEY], merges, ids), "bpe-lines", PACKED)
     enc = enc.join(F.broadcast(shards), "shard")  # one row a file
     name = EX.example_file_name_col(F.when(F.col("split") == "train", EX.shard_basename(F.col("shard_no"))).otherwise(F.col("split")), B, T, C, True)
     enc = enc.select("split", name.alias("basename"), "doc_id", "line_no", "chunk", "ids")
     pieces = prefix_offsets(enc, F.size("ids"), SD.STREAM, [F.col("doc_id"), F.col("line_no"), F.col("chunk")], doc_bucket(), "start_p", coarser())
-    pieces = materialize(pieces.select(*SD.STREAM, "start_p", "ids"), "bpe-pieces")
+    pieces = materialize(pieces.select(*SD.STREAM, "start_p", "ids"), "bpe-pieces", PACKED)
     streams = materialize(SD.stream_table(pieces, B, T, True), "bpe-streams")
     path, info = work_path(spark, "bpe-examples"), work_path(spark, "bpe-record-info")
     EX.write_example_files(SD.examples_of_streams(pieces, streams, B, T, C, fixed=True), path)
