@@ -86,3 +86,19 @@ def test_segments_of_null_ids(spark, monkeypatch):
             assert [r[:2] for r in got] == [r[:2] for r in want(rows)] and sorted(r[3] for r in got) == sorted(r[3] for r in want(rows))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_pieces_go_to_the_library_once():
+    """Words of Latin characters share their pieces; others, special tokens and odd characters go whole."""
+    with open(PATH, encoding="utf-8") as f:
+        spec = f.read()
+    lib, bpe = Tokenizer.from_str(spec), tf.Bpe(spec)
+    words = ["Word,", "word.", "WORD", "don't", "'s's", "a1b22", "<|endoftext|>", "<|ENDOFTEXT|>", "x<|startoftext|>,", "Été,", "été", "İstanbul.", "ŞIŞ!", "ΣΑΣ", "日本語,", "éa", "½kg²", "a­b", "ǅ-Ⱥ", "«où»", "ªµ"]
+    encode = tf.library_encoder(spec)
+    for some in (words, words[::-1] + ["word!", "new"]):
+        ids, n = encode(some)
+        want = [lib.encode(w, add_special_tokens=False).ids for w in some]
+        assert n.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    calls = []
+    bpe.split = lambda w: calls.append(w) or [w]
+    assert bpe.pieces("Été") == ["été".encode()] and not calls

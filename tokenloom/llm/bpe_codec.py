@@ -34,6 +34,11 @@ def _byte_chars() -> list[str]:
     return [chr(b if b in own else next(others)) for b in range(256)]
 
 
+def latin(word: str) -> bool:
+    """Whether each character is below U+0250 and lower-cased to one character: such a word is its own NFC."""
+    return word.isascii() or (max(word) < "ɐ" and "İ" not in word)
+
+
 class Bpe:
     """A word-end BPE tokenizer file (normaliser NFC and lower case, split pattern, byte level) as arrays."""
 
@@ -55,10 +60,11 @@ class Bpe:
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
         self._cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._pieces = regex.compile(self.pattern)
+        self.split = self._pieces.findall  # the pieces of a normalised word
 
     def pieces(self, word: str) -> list[bytes | int]:
         """UTF-8 pieces of a word; the id of a special token found in it."""
-        if word.isascii() and word.isalpha():  # a run of letters is one piece
+        if word.isalpha() and latin(word):  # a run of letters is one piece
             return [word.lower().encode()]
         out: list[bytes | int] = []
         for part in self._cut.split(word) if self._cut and "<" in word else [word]:

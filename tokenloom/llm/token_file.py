@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm import textkernel as tk
-from tokenloom.llm.bpe_codec import Bpe
-from tokenloom.llm.wordtable import WordTable
+from tokenloom.llm.bpe_codec import Bpe, latin
+from tokenloom.llm.wordtable import WordTable, ranges
 from tokenloom.session import work_path
 
 LIMIT = 18
@@ -29,6 +30,7 @@ BLOCK = 128  # ids between checkpoints
 SEGMENT = 1 << 20  # ids in a segment, about; a longer document is a segment of its own
 END = 1
 JOINED, TEXTS = 250, 16  # words joined to one text, and texts that one call of the library gets
+PIECES = 1 << 20  # pieces kept at most with their ids; a fuller table starts anew
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -105,7 +107,10 @@ class Code:
 
 
 def library_encoder(spec: str):
-    """Words -> ids by the tokenizers library, many words to a call; the cut between words comes from their pieces."""
+    """Words -> ids by the tokenizers library, many words to a call; the cut between words comes from their pieces.
+
+    A printable word of Latin characters without "<", which special tokens have, is the ids of its lower-cased pieces, one after another: each
+    distinct piece goes to the library once. Any other word goes there whole."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
     from tokenizers import Tokenizer
     lib, bpe = Tokenizer.from_str(spec), Bpe(spec)
@@ -119,12 +124,39 @@ def library_encoder(spec: str):
     for r, made in zip(right.tolist(), bpe.made.tolist(), strict=True):
         ends[made] |= ends[r]
 
+    known: dict[str, int] = {}  # pieces, and words that go whole: their places in the arrays
+    start, size, flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def plain(w: str) -> bool:
+        return latin(w) and (w.isalpha() or "<" not in w and w.isprintable())
+
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [some(words[i:i + JOINED * TEXTS]) for i in range(0, len(words), JOINED * TEXTS)] or [some([])]
-        return np.concatenate([ids for ids, _ in parts]), np.concatenate([n for _, n in parts])
+        nonlocal start, size, flat
+        if len(known) > PIECES:
+            known.clear()
+            start, size, flat = start[:0], size[:0], flat[:0]
+        before, used, per_word = len(known), [], []
+        for w in words:
+            if plain(w):
+                w = w.lower()
+                if not w.isalpha():
+                    parts = bpe.split(w)
+                    per_word.append(len(parts))
+                    used += [known.setdefault(x, len(known)) for x in parts]
+                    continue
+            per_word.append(1)
+            used.append(known.setdefault(w, len(known)))
+        new = list(islice(known, before, None))
+        if new:
+            done = [some(new[i:i + JOINED * TEXTS]) for i in range(0, len(new), JOINED * TEXTS)]
+            ids, n = np.concatenate([x for x, _ in done]), np.concatenate([x for _, x in done])
+            start, size, flat = np.concatenate([start, len(flat) + np.cumsum(n) - n]), np.concatenate([size, n]), np.concatenate([flat, ids.astype(np.int32)])
+        at = np.array(used, dtype=np.int64)
+        ends = np.concatenate([[0], np.cumsum(size[at])])
+        return flat[ranges(start[at], size[at])], np.diff(ends[np.concatenate([[0], np.cumsum(np.array(per_word, dtype=np.int64))])])
 
     def some(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces = np.cumsum([len(bpe.pieces(w)) for w in words])
+        pieces = np.cumsum([1 if plain(w) else len(bpe.pieces(w)) for w in words])
         texts = [" ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
         ids = np.array([i for e in lib.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], dtype=np.int64)
         stop = np.concatenate([[0], np.flatnonzero(ends[ids]) + 1])
