@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SF01
 from tokenloom.llm import decontaminate as dc
 
@@ -90,3 +92,18 @@ def test_short_items_and_scripts_without_blanks(spark):
     rows = [(1, "so what is 15 times 9 then"), (2, "What is 12 times x"), (3, "12 7"), (4, "13 7"), (5, "3 day one of 6 and 6 days"), (6, "day one of 6 and 8 days"),
             (7, "问题:小明有5个苹果他又买了40个苹果一共有几个?"), (8, "สมชายมีแอปเปิ้ล 8 ผล"), (9, None), (None, "what is 12 times 7"), (10, "")]
     assert got(spark.createDataFrame(rows, "doc_id long, text string"), items) == {(1, 0), (3, 1), (5, 2), (7, 3), (8, 4), (None, 0)}
+
+
+def test_pairs_of_words_sieve_places_without_losing_windows(spark):
+    """The bitmap of first pairs drops places before they are hashed; every window of an item stays, in both forms."""
+    text = "the old Mill by river 12 miles from Town was sold again in spring"
+    docs = spark.createDataFrame([(1, f"noise words here {text} and more noise follows it at once"), (2, "nothing of it " * 5)], "doc_id long, text string")
+    hashed = dc._hashes(docs.select("doc_id", dc._words(docs.text).alias("words")))
+    items = dc._hashes(spark.createDataFrame([(7, text)], "item_id long, text string").select("item_id", dc._words(F.col("text")).alias("words")))
+    parts = dc._windows(items)
+    pairs = items.select(F.explode(F.array(*[dc._pair(F.get(f"h_{f}", F.lit(i)), F.get(f"h_{f}", F.lit(i + 1))) for f in dc.FORMS for i in range(13 - dc.WINDOW + 2)])).alias("pair"))
+    want = {r.h for r in parts.collect()}
+    every = {(r.doc_id, r.form, r.pos, r.h) for r in dc._windows(hashed).collect()}
+    some = {(r.doc_id, r.form, r.pos, r.h) for r in dc._windows(hashed, None, dc._bitmap(pairs, "pair")).collect()}
+    assert {x for x in every if x[3] in want} <= some < every and len(some) < len(every) / 2
+    assert {x[3] for x in some} >= want

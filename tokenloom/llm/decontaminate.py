@@ -77,9 +77,13 @@ def _hashes(rows: DataFrame) -> DataFrame:
     return low.select(*names, "h_literal", F.transform("words", template).alias("h_template"))
 
 
-def _bitmap(parts: DataFrame) -> Column | None:
-    """Bits of the hashes in ``parts`` as a literal array (SIEVE_BITS a hash), or None if there are many."""
-    hashes = [r.h for r in parts.select("h").distinct().limit(SIEVE_HASHES + 1).collect()]
+def _pair(first: Column, second: Column) -> Column:
+    return first.bitwiseXOR(F.shiftrightunsigned(second, 1))
+
+
+def _bitmap(parts: DataFrame, h: str = "h") -> Column | None:
+    """Bits of the hashes ``h`` in ``parts`` as a literal array (SIEVE_BITS a hash), or None if there are many."""
+    hashes = [r.h for r in parts.select(F.col(h).alias("h")).distinct().limit(SIEVE_HASHES + 1).collect()]
     if len(hashes) > SIEVE_HASHES:
         return None
     words = [0] * max(64, 1 << (max(1, len(hashes)) * SIEVE_BITS // 64).bit_length())
@@ -88,18 +92,27 @@ def _bitmap(parts: DataFrame) -> Column | None:
     return F.expr("cast(split('" + ",".join(str(w - (1 << 64) if w >> 63 else w) for w in words) + "', ',') as array<bigint>)")
 
 
-def _windows(hashed: DataFrame, sieve: Column | None = None) -> DataFrame:
+def _hit(sieve: Column, h: Column) -> Column:
+    return F.call_function("getbit", F.get(sieve, F.shiftright(h, 6).bitwiseAND(F.size(sieve) - 1).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def _windows(hashed: DataFrame, sieve: Column | None = None, pairs: Column | None = None) -> DataFrame:
     """(form, pos, h) for each window of each form, in place of the word hashes (columns h_<form>); with ``sieve`` (``_bitmap``) only those whose bit
-    is set, so hardly any window becomes a row.
+    is set, so hardly any window becomes a row, and with ``pairs``, the bitmap of the windows' first two words, only those of places where either form has
+    such a pair are hashed at all.
 
     All of it stands in the generator: a projection before it would be merged with that of the word hashes, and have them worked out again for
     each window. An outer one, as the filter that Spark puts below an inner one would do the same work once more."""
     names = [c for c in hashed.columns if not c.startswith("h_")]
     n = F.size(f"h_{FORMS[0]}")
     one = lambda i: F.array(*[F.struct(F.lit(f).alias("form"), (i - 1).cast("int").alias("pos"), F.xxhash64(F.slice(f"h_{f}", i, WINDOW)).alias("h")) for f in FORMS])
-    each = F.flatten(F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), one))
+    at = F.sequence(F.lit(1), n - (WINDOW - 1))
+    if pairs is not None:
+        literal, template = (lambda i, f=f: _hit(pairs, _pair(F.get(f"h_{f}", i - 1), F.get(f"h_{f}", i))) for f in FORMS)
+        at = F.filter(at, lambda i: literal(i) | template(i))
+    each = F.flatten(F.transform(at, one))
     if sieve is not None:
-        each = F.filter(each, lambda x: F.call_function("getbit", F.get(sieve, F.pmod(F.shiftright(x.h, 6), F.size(sieve)).cast("int")), x.h.bitwiseAND(F.lit(63)).cast("int")) == 1)
+        each = F.filter(each, lambda x: _hit(sieve, x.h))
     return hashed.select(*names, F.explode_outer(F.when(n >= WINDOW, each)).alias("x")).where("x is not null").select(*names, "x.*")
 
 
@@ -197,14 +210,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     parts = _windows(items.select("item_id", *[F.transform(f, lambda w: F.xxhash64(w)).alias(f"h_{f}") for f in FORMS])).withColumnRenamed("pos", "ipos")
     items = materialize(both[0].unionByName(both[1]), "dc-items")
     parts = parts.join(items.drop("words"), ["item_id", "form"])
-    parts = parts.where(F.size(F.filter(F.expr(f"slice(canon, ipos + 1, {WINDOW})"), lambda w: ~_placeholder(w))) >= LITERALS).drop("canon")
+    parts = parts.where(F.size(F.filter(F.expr(f"slice(canon, ipos + 1, {WINDOW})"), lambda w: ~_placeholder(w))) >= LITERALS)
+    parts = parts.withColumn("pair", _pair(F.xxhash64(F.get("canon", "ipos")), F.xxhash64(F.get("canon", F.col("ipos") + 1)))).drop("canon")
     parts = materialize(parts, "dc-windows")
     few = parts.count() <= BROADCAST_WINDOWS
     totals = parts.groupBy("item_id", "form").agg(F.count("*").alias("n_windows"))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     words = rows.select("doc_id", F.xxhash64("text").alias("th"), _words(F.col("text")).alias("words"))
-    found = _windows(_hashes(words), _bitmap(parts)).withColumnRenamed("pos", "dpos").join(F.broadcast(parts) if few else parts, ["form", "h"])
+    found = _windows(_hashes(words), _bitmap(parts), _bitmap(parts, "pair")).withColumnRenamed("pos", "dpos").join(F.broadcast(parts) if few else parts, ["form", "h"])
     found = found.groupBy("doc_id", "th", "item_id", "form", "ipos").agg(F.min("dpos").alias("dpos"))
     found = (found.groupBy("doc_id", "th", "item_id", "form").agg(F.count("*").alias("n_matched"), F.collect_list(F.struct("ipos", "dpos")).alias("at"))
              .join(F.broadcast(totals) if few else totals, ["item_id", "form"]).where(F.col("n_matched") >= COVERAGE * F.col("n_windows")))
