@@ -99,3 +99,15 @@ def test_blanks_and_clashing_names(spark):
     out = ld.dedup_lines(df)
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect())) == [rows[0], (6, "\u00a0g\n\t\r", 3, 4)]
+
+
+def test_counters_stay_out_of_the_plans(spark, monkeypatch):
+    """The counters are a table: no plan holds them as text, and a byte stands where the counter says."""
+    monkeypatch.setattr(ld, "COUNTERS", 1 << 12)
+    df = spark.createDataFrame([(1, "a b\nb c"), (2, "B\tc\nc c"), (3, None)], "id long, text string")
+    classes = ld._classes(df)
+    v = bytes(classes.first().v)
+    at = {r.w: max((r.h & 4095) - 1, 0) for r in spark.createDataFrame([(w,) for w in "abc"], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    assert len(v) == 4096 and {i: x for i, x in enumerate(v) if x} == {at["b"]: 2, at["c"]: 3}
+    plan = ld._sets(ld._texts_to_lines(df.where("text is not null")), classes, 1)._jdf.queryExecution().toString()
+    assert len(plan) < 20_000

@@ -25,8 +25,8 @@ from tokenloom.session import materialize
 
 PERCENT = 80
 WORDS = 1
-COUNTERS = 1 << 21  # a byte each, in a literal of the plan
-SLOTS = 1 << 10  # rows that carry the counters to the driver
+COUNTERS = 1 << 21  # a byte each, in one row of a table
+SLOTS = 1 << 10  # rows that the counters are put together from
 LAST_ID = (1 << 63) - 1  # stands for a null id: after all others
 BROADCAST_LINES = 2_000_000  # (id, line) rows, 12 bytes each, that are broadcast at most; more go through a shuffle
 SPACE = r" \t\x0B\f\r\n"
@@ -35,10 +35,13 @@ NARROW = 80  # tokens of a set up to which its parity bitmap has 64 bits; 128 be
 PILOT = 4  # posted tokens of a set that look for its likeliest partner
 
 
+def _blank(line: Column) -> Column:
+    return F.when(line.rlike(r"[\t\x0B\f\r]"), F.regexp_replace(line, r"[\t\x0B\f\r]", " ")).otherwise(line)
+
+
 def _words(line: Column) -> Column:
     """The lower-cased words of a line. Splitting at one literal character is several times as fast as at a class of them."""
-    blank = F.when(line.rlike(r"[\t\x0B\f\r]"), F.regexp_replace(line, r"[\t\x0B\f\r]", " ")).otherwise(line)
-    return F.array_remove(F.split(F.lower(blank), " "), "")
+    return F.array_remove(F.split(F.lower(_blank(line)), " "), "")
 
 
 def _texts_to_lines(docs: DataFrame) -> DataFrame:
@@ -47,27 +50,30 @@ def _texts_to_lines(docs: DataFrame) -> DataFrame:
     return lines.select("id", "line", _words(F.col("s")).alias("w"))
 
 
-def _classes(docs: DataFrame) -> Column:
-    """The counters' classes, a byte each: 0 up to a count of 1, then two to a doubling. The byte at p (from 1) is counter p's, that at 1 also counter 0's."""
-    words = docs.select(F.explode(F.split("text", "\n")).alias("s")).select(F.explode(_words(F.col("s"))).alias("w"))
-    counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {COUNTERS - 1} as int)").alias("b")).agg(F.count("*").alias("c")).where("c > 1")
+def _classes(docs: DataFrame) -> DataFrame:
+    """One row (v): the counters' classes, a byte each: 0 up to a count of 1, then two to a doubling. The byte at p (from 1) is counter p's; counters 0 and
+    1 are one. A written table: as a literal, its text would stand in every plan that the driver keeps."""
+    words = docs.select(F.explode(F.split(F.lower(F.replace(_blank(F.col("text")), F.lit("\n"), F.lit(" "))), " ")).alias("w")).where("w != ''")
+    counts = words.groupBy(F.expr(f"cast(greatest((xxhash64(w) & {COUNTERS - 1}) - 1, 0) as int)").alias("b")).agg(F.count("*").alias("c")).where("c > 1")
+    slots = min(SLOTS, COUNTERS)
+    width = COUNTERS // slots
     rank = F.expr("least(cast(floor(2 * log2(c)) as int) - 1, 63)")
-    slots = counts.groupBy((F.col("b") % SLOTS).alias("slot")).agg(F.collect_list(F.col("b") * 64 + rank).alias("v"))
-    out = bytearray(COUNTERS)
-    for row in slots.select("v").toLocalIterator():
-        for v in row.v:
-            at = max((v >> 6) - 1, 0)
-            out[at] = max(out[at], v & 63)
-    return F.lit(bytes(out))
+    known = counts.groupBy(F.expr(f"cast(b div {width} as long)").alias("id")).agg(F.array_sort(F.collect_list(F.struct((F.col("b") % width).alias("o"), rank.alias("r")))).alias("e"))
+    gap = lambda x, i: x.o - F.coalesce(F.get("e", i - 1).o, F.lit(-1)) - 1
+    each = F.array_join(F.transform("e", lambda x, i: F.concat(F.repeat(F.char(F.lit(0)), gap(x, i)), F.char(x.r))), "")
+    rows = docs.sparkSession.range(0, slots, 1, 1).join(known, "id", "left").select(F.struct("id", F.rpad(F.coalesce(each, F.lit("")), width, "\0").alias("s")).alias("s"))
+    rows = rows.groupBy().agg(F.array_sort(F.collect_list("s")).alias("s"))
+    return materialize(rows.select(F.array_join(F.transform("s", lambda x: x.s), "").cast("binary").alias("v")), "ld-classes")
 
 
-def _sets(lines: DataFrame, classes: Column, words: int) -> DataFrame:
+def _sets(lines: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """(id, line, n, keys): keys sorted from the rarest token."""
     def rarity(h: Column) -> Column:
         at = h.bitwiseAND(COUNTERS - 1).cast("int")
-        return F.shiftleft(F.ascii(F.substring(classes, at, F.lit(1)).cast("string")).cast("long"), 57)
+        return F.shiftleft(F.ascii(F.substring("v", at, F.lit(1)).cast("string")).cast("long"), 57)
 
     hashed = lines.select("id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
+    hashed = hashed.select("*", classes.scalar().alias("v"))  # v has one use below, so it is looked up in place and no line carries it
     if words == 1:
         keys = F.transform(F.array_distinct("h"), lambda h: rarity(h) + F.shiftrightunsigned(h, 7))
     else:
@@ -85,7 +91,7 @@ def _near(x: str, y: str) -> str:
             f" bit_count({x}.sig ^ {y}.sig ^ {x}.sig2 ^ {y}.sig2)) <= {x}.n + {y}.n - 2 * {need}")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, words: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """(id, line) of the sets x for which a pair (id, line, yid, yline) reaches the similarity."""
     pairs = materialize(pairs.distinct(), "ld-pairs")
     places = materialize(pairs.select("id", "line").union(pairs.select("yid", "yline")).distinct(), "ld-places")
