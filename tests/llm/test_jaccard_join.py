@@ -74,3 +74,20 @@ def test_divide_skip():
         need = r.randrange(1, 9)
         full = {x: sum(x in s for s in lists) for x in range(30)}
         assert jj.divide_skip(lists, need) == {x: c for x, c in full.items() if c >= need}
+
+
+def test_questions_by_shuffle_and_by_broadcast(spark, monkeypatch):
+    """Small blocks that ask each other: the same components whether places and questions are broadcast or shuffled."""
+    r = random.Random(4)
+    base = [[f"w{r.randrange(400)}" for _ in range(60)] for _ in range(8)]
+    rows = []
+    for d in range(90):
+        w = list(base[d % 8])
+        for _ in range(r.randrange(4)):
+            w[r.randrange(60)] = f"x{r.randrange(50)}"
+        rows.append((d, " ".join(w)))
+    monkeypatch.setattr(jj, "BLOCK_WEIGHT", 300)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(jj.jaccard_components(df)) == brute(rows)
+    monkeypatch.setattr(jj, "BROADCAST_ROUTES", 0)
+    assert got(jj.jaccard_components(df)) == brute(rows)

@@ -38,6 +38,7 @@ from tokenloom.session import materialize
 
 BUCKETS = 1 << 16  # counters of the rarity order: fixed, so the broadcast is 512 KB at any input size
 BROADCAST_IDS = 2_000_000  # ids of texts to read again (8 bytes each) that are broadcast at most; more are joined by a shuffle
+BROADCAST_ROUTES = 500_000  # places of sets, or questions to blocks (40 bytes each), that are broadcast at most; more are joined by a shuffle
 BLOCK_WEIGHT = 1 << 19  # shingles in an index block, about
 QUERY_WEIGHT = 1 << 20  # shingles of the queries that one task asks a block, about
 
@@ -246,8 +247,10 @@ def _round(held: DataFrame, routes: DataFrame, percent: int, own: bool) -> DataF
 
     The queries of a block are dealt to tasks of about QUERY_WEIGHT; each such task gets the block's bounded index.
     """
-    asks = routes.join(held.select("fp", "items", "n", "label"), "fp")
-    parts = routes.join(held.select("fp", "n"), "fp").groupBy("block").agg(F.expr(f"cast(sum(n) div {QUERY_WEIGHT} as int) + 1").alias("parts"))
+    few = F.broadcast if routes.count() <= BROADCAST_ROUTES else lambda d: d
+    parts = held.select("fp", "n").join(few(routes), "fp").groupBy("block").agg(F.expr(f"cast(sum(n) div {QUERY_WEIGHT} as int) + 1").alias("parts"))
+    parts = few(materialize(parts, "jj-parts"))  # one row for each block asked
+    asks = held.select("fp", "items", "n", "label").join(few(routes), "fp")
     asks = asks.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     members = held.join(parts, "block", "left" if own else "inner").withColumn("part", F.explode(F.expr("sequence(0, coalesce(parts, 1) - 1)")))
     cols = ["block", "part", "fp", "items", "label"]
@@ -279,25 +282,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = seen.where("bucket is null").select("id", "n", "fp")
     classes = rows.where("fp is not null and id is not null").groupBy("fp").agg(F.min("id").alias("least"))
 
-    # one exchange by shingle; a streaming window then drops the shingles posted by one set only
+    # one exchange by shingle counts its sets, and drops the shingles posted by one set only
     posted = texts.select("text").mapInArrow(_prefix(k, percent, order), "token long, fp binary, n long").repartition("token")
-    w = W.partitionBy("token").orderBy("fp")
-    posted = (posted.groupBy("token", "fp").agg(F.first("n").alias("n"))
-              .withColumn("rn", F.row_number().over(w)).withColumn("next", F.lead("n").over(w)).where("rn > 1 or next is not null").drop("rn", "next"))
-    posted = materialize(posted, "jj-posted")
+    posted = posted.groupBy("token", "fp").agg(F.first("n").alias("n")).withColumn("df", F.count("*").over(W.partitionBy("token"))).where("df > 1")
     least = f"1 + cast(ceil(n * {percent} / 100) as long) div 20"  # spare() of the smallest set that n can link with
 
-    def enough(posted: DataFrame) -> DataFrame:
-        held = posted.groupBy("fp").agg(F.count("*").alias("held"), F.first("n").alias("n")).where(f"held >= {least}")
-        return posted.join(held.select("fp"), "fp", "left_semi")
-
-    posted = enough(posted)  # each of its shingles is shared; sets with too few of them go, and shingles that only those shared
-    posted = materialize(posted.join(posted.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token"), "jj-shared")
-    posted = materialize(enough(posted), "jj-shared")
+    # one exchange by set counts its shared shingles, drops sets with too few of them and names the most shared one
+    mine = W.partitionBy("fp")
+    posted = (posted.withColumn("held", F.count("*").over(mine)).withColumn("top", F.max(F.struct("df", "token")).over(mine)).where(f"held >= {least}")
+              .select("token", "fp", "n", F.col("top.token").alias("key")))
+    posted = materialize(posted, "jj-shared")
 
     # index blocks: sets by their most shared posting; a key too heavy for one block is split by set
-    home = posted.groupBy("fp").agg(F.max(F.struct("df", "token")).alias("top"), F.first("n").alias("n")).select("fp", "n", F.col("top.token").alias("key"))
-    home = materialize(home, "jj-home")
+    home = materialize(posted.where("token = key").select("fp", "n", "key"), "jj-home")
     total = home.agg(F.sum("n")).first()[0] or 0
     blocks = total // BLOCK_WEIGHT + 1
     heavy = home.groupBy("key").agg(F.sum("n").alias("w")).where(F.col("w") > BLOCK_WEIGHT).select("key", F.expr(f"cast(w div {BLOCK_WEIGHT} as int) + 1").alias("pieces"))
@@ -315,12 +312,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     star = (pieces.join(pieces.groupBy("key").agg(F.min("block").alias("to")), "key").where("block != to")
             .select("fp", F.col("to").alias("block")).distinct())
 
+    star = materialize(star, "jj-star")
     found = materialize(_round(held.withColumn("label", F.col("fp")), star, percent, True), "jj-links")
     roots = components(found)
 
     labels = roots.select(F.col("node").alias("fp"), F.col("root").alias("label"))
     held = held.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    routes = materialize(_routes(posted.join(held.select("fp", "block", "label"), "fp"), least), "jj-routes")
+    homes = held.select("fp", "block", "label")
+    homes = F.broadcast(homes) if home.count() <= BROADCAST_ROUTES else homes
+    # dealt by shingle once, for both sides of the join on it
+    routes = materialize(_routes(posted.select("token", "fp", "n").join(homes, "fp").repartition("token"), least), "jj-routes")
     more = materialize(_round(held, routes, percent, False), "jj-links")
     roots = components(found.unionByName(more)) if more.limit(1).count() else roots
 
