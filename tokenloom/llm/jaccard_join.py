@@ -320,7 +320,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     held = held.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     homes = held.select("fp", "block", "label")
     homes = F.broadcast(homes) if home.count() <= BROADCAST_ROUTES else homes
-    # dealt by shingle once, for both sides of the join on it
+    # dealt by shingle before it is counted by shingle and block, so the counts need no exchange of their own
     routes = materialize(_routes(posted.select("token", "fp", "n").join(homes, "fp").repartition("token"), least), "jj-routes")
     more = materialize(_round(held, routes, percent, False), "jj-links")
     roots = components(found.unionByName(more)) if more.limit(1).count() else roots
