@@ -76,3 +76,27 @@ def test_groups_of_languages(spark, monkeypatch):
     assert len(list(li.fit(df, "doc_id", "text", "lang"))) == 3
     assert sorted(map(str, li.identify(df, F.lit(True), never).collect())) == one
     assert len({x.split("lang_pred=")[1].split(",")[0] for x in one}) == 61
+
+
+def test_memory_of_a_scoring_task():
+    """Arrays stay small next to an executor's memory, whatever the batch holds and whatever letters there are."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = np.random.default_rng(3)
+    letters = [chr(97 + i) for i in range(26)] + [chr(0xE0 + i) for i in range(23)] + [" "] * 6
+    texts = ["".join(r.choice(letters, 2000)) for _ in range(2000)]
+    sym, offs, _ = li.symbols(texts[:50])
+
+    class Fitted:
+        value = ({"xx": li.KneserNey(li.grams(sym, offs))}, {"xx": (3.0, 0.9)})
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts), pa.array([False] * 2000)], names=["doc_id", "text", "held_out"])
+    li._letters()
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in li._predict(Fitted)(iter([batch]))) == 2000
+        assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    finally:
+        tracemalloc.stop()

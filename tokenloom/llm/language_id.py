@@ -30,6 +30,8 @@ LANGUAGES = 200  # whose models a task holds at a time; more of them are worked
 BROADCAST_LANGUAGES = 2000  # up to so many, the table of languages and that of the sampled ids are broadcast
 DISCOUNT = 0.75
 BITS = 12  # of a character in an n-gram key
+CHUNK_BYTES = 512 << 10  # of text that a task scores at a time; some 100 bytes of arrays to each
+DENSE = 1 << 23  # possible keys up to which distinct ones are found in tables (5 bytes each) instead of by sorting
 # A text is rejected if its cross-entropy is above the language's mean by more than SLACK times the share that all but one in 200
 # calibration texts stay within (LEAST_ABOVE at least), plus SHORT / sqrt(characters)
 SLACK, LEAST_ABOVE, SHORT = 1.5, 0.6, 4.0
@@ -123,14 +125,16 @@ def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """np.unique with inverse; by counting where the symbols at hand make few possible keys."""
     low = np.flatnonzero(np.bincount(_cut(key, 1).astype(np.int64), minlength=1 << BITS))
     low = np.union1d(low, [0])
-    if len(low) ** ORDER > 1 << 24:
+    if len(low) ** ORDER > DENSE:
         return np.unique(key, return_inverse=True)
     dense = np.zeros(1 << BITS, dtype=np.int64)
     dense[low] = np.arange(len(low))
     code = np.zeros(len(key), dtype=np.int64)
     for k in reversed(range(ORDER)):
         code = code * len(low) + dense[(key >> np.uint64(BITS * k)) & np.uint64((1 << BITS) - 1)]
-    there = np.flatnonzero(np.bincount(code, minlength=len(low) ** ORDER))
+    seen = np.zeros(len(low) ** ORDER, dtype=bool)
+    seen[code] = True
+    there = np.flatnonzero(seen)
     place = np.zeros(len(low) ** ORDER, dtype=np.int32)
     place[there] = np.arange(len(there))
     keys, rest = np.zeros(len(there), dtype=np.uint64), there
@@ -214,7 +218,7 @@ def _narrow(fitted):
 
     def run(batches):
         models, limits = fitted.value
-        for b, _, _ in tk.chunks(batches, chunk_bytes=2 << 20):
+        for b, _, _ in tk.chunks(batches, chunk_bytes=CHUNK_BYTES):
             new = _best(cross_entropies([t or "" for t in b.column(1).to_pylist()], models)[0], models, limits)
             old = [np.array(b.column(i).to_pylist(), dtype=object if i == 3 else float) for i in range(3, 8)]
             better = new[1] < old[1]  # of equals the first by name, and groups are in the order of names
@@ -232,7 +236,7 @@ def _predict(fitted):
 
     def run(batches):
         models, limits = fitted.value if fitted is not None else ({}, {})
-        for b, _, _ in tk.chunks(batches, chunk_bytes=2 << 20):
+        for b, _, _ in tk.chunks(batches, chunk_bytes=CHUNK_BYTES):
             ce, n, letters = cross_entropies([t or "" for t in b.column(1).to_pylist()], models)
             if models:
                 lang, least, second, mean, most = _best(ce, models, limits)
