@@ -111,3 +111,22 @@ def test_counters_stay_out_of_the_plans(spark, monkeypatch):
     assert len(v) == 4096 and {i: x for i, x in enumerate(v) if x} == {at["b"]: 2, at["c"]: 3}
     plan = ld._sets(ld._texts_to_lines(df.where("text is not null")), classes, 1)._jdf.queryExecution().toString()
     assert len(plan) < 20_000
+
+
+def test_pairs_of_near_copies(spark, monkeypatch):
+    """Near copies of one line, most of them no near copies of each other: few of their pairs are verified, and none is lost."""
+    r = random.Random(11)
+    frame = [f"f{i}" for i in range(60)]
+    rows = [(d, " ".join(w if r.random() > 0.13 else f"x{r.randrange(400)}" for w in frame)) for d in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs, real = [], ld.materialize
+
+    def seen(table, name="table", compression=None):
+        out = real(table, name, compression)
+        if name == "ld-pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(ld, "materialize", seen)
+    assert got(df) == brute(rows)
+    assert sum(pairs) < 1000, pairs  # 2,564 when sets looked only at the first and the last before them, by 64 bits

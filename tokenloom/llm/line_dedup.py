@@ -9,10 +9,10 @@ a token set with a Jaccard similarity of ``PERCENT`` or more; the earlier line m
 2. Lines with equal sets are one set, standing for its first line; the others are removed.
 3. Prefix filter: the first ``n - ceil(0.8 n) + 1`` keys of each set are posted, but those of counter 1. Sets that reach the similarity
    share one of them. Along the postings of each set's first ``PILOT`` keys, in line order, a streaming window pairs each
-   set with the first one and with the one before it. Pairs must pass the length filter, the positional
-   filter and a parity bitmap of the symmetric difference. Each set's likeliest partner is verified on the full sets.
-4. Sets not removed so far meet all earlier postings of their keys, under the same filters, and the pairs are verified. A large group of
-   near copies is thus removed in step 3 and never multiplied out.
+   set with the first one and with the ``BEFORE`` before it. Pairs must pass the length filter, the positional
+   filter and a parity bitmap of the symmetric difference. Each set's nearest partner by bitmap is verified on the full sets.
+4. Sets not removed so far meet all earlier postings of their keys, under the same filters, and the pairs are verified. Sets that share a
+   run of keys meet where it starts. Most of a large group of near copies is removed in step 3; those that stay meet those that their bitmaps can't tell apart.
 """
 
 from __future__ import annotations
@@ -31,8 +31,10 @@ LAST_ID = (1 << 63) - 1  # stands for a null id: after all others
 BROADCAST_LINES = 2_000_000  # (id, line) rows, 12 bytes each, that are broadcast at most; more go through a shuffle
 SPACE = r" \t\x0B\f\r\n"
 HASH = (1 << 57) - 1
-NARROW = 80  # tokens of a set up to which its parity bitmap has 64 bits; 128 beyond
+NARROW = 32  # tokens of a set up to which its parity bitmap has 64 bits; 128 beyond
+NO_KEY = -1  # stands for the key before a set's first posted one; keys are 0 or more
 PILOT = 4  # posted tokens of a set that look for its likeliest partner
+BEFORE = 4  # sets before it that each of them looks at, besides the first
 
 
 def _blank(line: Column) -> Column:
@@ -51,26 +53,28 @@ def _texts_to_lines(docs: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """One row (v): the counters' classes, a byte each: 0 up to a count of 1, then two to a doubling. The byte at p (from 1) is counter p's; counters 0 and
-    1 are one. A written table: as a literal, its text would stand in every plan that the driver keeps."""
+    """One row (v): the counters' classes, an array of bytes: 0 up to a count of 1, then two to a doubling. The byte at p (from 0) is counter p + 1's; counters
+    0 and 1 are one. A written table: as a literal, its text would stand in every plan that the driver keeps."""
     words = docs.select(F.explode(F.split(F.lower(F.replace(_blank(F.col("text")), F.lit("\n"), F.lit(" "))), " ")).alias("w")).where("w != ''")
     counts = words.groupBy(F.expr(f"cast(greatest((xxhash64(w) & {COUNTERS - 1}) - 1, 0) as int)").alias("b")).agg(F.count("*").alias("c")).where("c > 1")
     slots = min(SLOTS, COUNTERS)
     width = COUNTERS // slots
-    rank = F.expr("least(cast(floor(2 * log2(c)) as int) - 1, 63)")
+    rank = F.expr("cast(least(cast(floor(2 * log2(c)) as int) - 1, 63) as tinyint)")
     known = counts.groupBy(F.expr(f"cast(b div {width} as long)").alias("id")).agg(F.array_sort(F.collect_list(F.struct((F.col("b") % width).alias("o"), rank.alias("r")))).alias("e"))
     gap = lambda x, i: x.o - F.coalesce(F.get("e", i - 1).o, F.lit(-1)) - 1
-    each = F.array_join(F.transform("e", lambda x, i: F.concat(F.repeat(F.char(F.lit(0)), gap(x, i)), F.char(x.r))), "")
-    rows = docs.sparkSession.range(0, slots, 1, 1).join(known, "id", "left").select(F.struct("id", F.rpad(F.coalesce(each, F.lit("")), width, "\0").alias("s")).alias("s"))
+    none = F.lit(0).cast("tinyint")
+    each = F.coalesce(F.flatten(F.transform("e", lambda x, i: F.concat(F.array_repeat(none, gap(x, i)), F.array(x.r)))), F.array().cast("array<tinyint>"))
+    rows = docs.sparkSession.range(0, slots, 1, 1).join(known, "id", "left").select("id", each.alias("s"))
+    rows = rows.select(F.struct("id", F.concat("s", F.array_repeat(none, F.lit(width) - F.size("s"))).alias("s")).alias("s"))
     rows = rows.groupBy().agg(F.array_sort(F.collect_list("s")).alias("s"))
-    return materialize(rows.select(F.array_join(F.transform("s", lambda x: x.s), "").cast("binary").alias("v")), "ld-classes")
+    return materialize(rows.select(F.flatten(F.transform("s", lambda x: x.s)).alias("v")), "ld-classes")
 
 
 def _sets(lines: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """(id, line, n, keys): keys sorted from the rarest token."""
     def rarity(h: Column) -> Column:
         at = h.bitwiseAND(COUNTERS - 1).cast("int")
-        return F.shiftleft(F.ascii(F.substring("v", at, F.lit(1)).cast("string")).cast("long"), 57)
+        return F.shiftleft(F.get("v", F.greatest(at - 1, F.lit(0))).cast("long"), 57)
 
     hashed = lines.select("id", "line", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
     hashed = hashed.select("*", classes.scalar().alias("v"))  # v has one use below, so it is looked up in place and no line carries it
@@ -82,13 +86,19 @@ def _sets(lines: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     return hashed.select("id", "line", F.sort_array(keys).alias("keys")).withColumn("n", F.size("keys"))
 
 
+def _apart(x: str, y: str) -> str:
+    """How far sets x and y are apart at least, by their bitmaps (columns n, sig, sig2). Bitmaps of unequal widths are folded to 64 bits."""
+    return (f"if(least({x}.n, {y}.n) > {NARROW}, bit_count({x}.sig ^ {y}.sig) + bit_count({x}.sig2 ^ {y}.sig2),"
+            f" bit_count({x}.sig ^ {y}.sig ^ {x}.sig2 ^ {y}.sig2))")
+
+
 def _near(x: str, y: str) -> str:
-    """Length, positional and bitmap filter of postings x and y (columns n, pos, sig, sig2). Bitmaps of unequal widths are folded to 64 bits."""
-    need = f"(({PERCENT} * ({x}.n + {y}.n) + {PERCENT + 99}) div {100 + PERCENT})"
-    return (f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n)"
-            f" and least(abs({x}.pos), abs({y}.pos)) + least({x}.n - abs({x}.pos), {y}.n - abs({y}.pos)) >= {need}"
-            f" and if(least({x}.n, {y}.n) > {NARROW}, bit_count({x}.sig ^ {y}.sig) + bit_count({x}.sig2 ^ {y}.sig2),"
-            f" bit_count({x}.sig ^ {y}.sig ^ {x}.sig2 ^ {y}.sig2)) <= {x}.n + {y}.n - 2 * {need}")
+    """Bitmap, length and positional filter of postings x and y (columns n, pos, sig, sig2): an intersection of at least PERCENT / (100 + PERCENT) of
+    both sizes' sum, and so a symmetric difference of the rest at most."""
+    both = f"({x}.n + {y}.n)"
+    return (f"{100 + PERCENT} * {_apart(x, y)} <= {100 - PERCENT} * {both}"
+            f" and 100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n)"
+            f" and {100 + PERCENT} * (least(abs({x}.pos), abs({y}.pos)) + least({x}.n - abs({x}.pos), {y}.n - abs({y}.pos))) >= {PERCENT} * {both}")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
@@ -134,15 +144,18 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def postings(sets: DataFrame, sign: Column, tokens: Column) -> DataFrame:
         at = (F.col("pos") + 1 + F.col("last") - F.size("prefix")) * F.col("sign")
         own = ["id", "line", "n", "sig", "sig2"]
-        return sets.select(*own, "last", "prefix", sign.alias("sign"), F.posexplode(tokens).alias("pos", "key")).select("key", at.alias("pos"), *own)
+        before = F.coalesce(F.get("prefix", F.col("pos") - 1), F.lit(NO_KEY))
+        return sets.select(*own, "last", "prefix", sign.alias("sign"), F.posexplode(tokens).alias("pos", "key")).select("key", before.alias("before"), at.alias("pos"), *own)
 
     w = W.partitionBy("key").orderBy("id", "line")
     me = F.struct("id", "line", "n", "pos", "sig", "sig2")
-    met = (postings(first, F.lit(1), F.slice("prefix", 1, PILOT)).select(me.alias("x"), F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y1"), F.lag(me).over(w).alias("y2"))
-           .where(f"y2 is not null and ({_near('x', 'y1')} or {_near('x', 'y2')})").select("x", F.explode(F.array_distinct(F.array("y1", "y2"))).alias("y"))
-           .where(f"{_near('x', 'y')} and (y.id, y.line) < (x.id, x.line)").select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline")))
-    met = met.groupBy("id", "line", "yid", "yline").agg(F.count("*").alias("c"))
-    best = met.groupBy("id", "line").agg(F.max(F.struct("c", "yid", "yline")).alias("y")).select("id", "line", "y.yid", "y.yline")
+    ys = [f"y{i}" for i in range(BEFORE + 1)]
+    met = (postings(first, F.lit(1), F.slice("prefix", 1, PILOT))
+           .select(me.alias("x"), F.first(me).over(w.rowsBetween(W.unboundedPreceding, 0)).alias("y0"), *[F.lag(me, i).over(w).alias(f"y{i}") for i in range(1, BEFORE + 1)])
+           .where("y1 is not null").where(" or ".join(f"({_near('x', y)})" for y in ys)).select("x", F.explode(F.array_distinct(F.array(*ys))).alias("y"))
+           .where(f"{_near('x', 'y')} and (y.id, y.line) < (x.id, x.line)")
+           .select("x.id", "x.line", F.expr(f"{100 + PERCENT} * {_apart('x', 'y')} / (x.n + y.n)").alias("d"), F.col("y.id").alias("yid"), F.col("y.line").alias("yline")))
+    best = met.groupBy("id", "line").agg(F.min(F.struct("d", "yid", "yline")).alias("y")).select("id", "line", "y.yid", "y.yline")
     best = materialize(best, "ld-best")
     gone = materialize(_verified(best, docs, classes, words), "ld-gone")
     few = gone.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
@@ -150,7 +163,10 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the sign of a place tells whether its set is out; a condition on both sides, so that one exchange serves them, unfiltered
     dealt = postings(marked, F.when(F.col("out"), -1).otherwise(1), F.col("prefix"))
     still = "x.pos + abs(y.pos) > abs(y.pos)"
-    more = dealt.alias("x").join(dealt.alias("y"), F.expr(f"x.key = y.key and {still} and (y.id, y.line) < (x.id, x.line) and {_near('x', 'y')}"))
+    earlier = "(y.id < x.id or y.id = x.id and y.line < x.line)"
+    # sets that share the keys before, too, have met there: a run of shared keys counts once, where it starts
+    fresh = f"(x.before != y.before or x.before = {NO_KEY})"
+    more = dealt.alias("x").join(dealt.alias("y"), F.expr(f"x.key = y.key and {still} and {fresh} and {earlier} and {_near('x', 'y')}"))
     more = more.select("x.id", "x.line", F.col("y.id").alias("yid"), F.col("y.line").alias("yline"))
     more = materialize(more.distinct().join(best, ["id", "line", "yid", "yline"], "left_anti"), "ld-more")
     gone = gone.union(_verified(more, docs, classes, words))
