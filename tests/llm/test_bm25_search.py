@@ -66,3 +66,16 @@ def test_registered_documents_query(spark):
     assert [q for q in queries.registry() if q.startswith("op2_")][0] == "op2_bm25_documents"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     same(queries.registry()["op2_bm25_documents"](spark, SF001).collect(), brute(rows, [r for r in rows if r[0] % 20 == 0], 10))
+
+
+def test_copies_are_one_bag(spark, monkeypatch):
+    for name, value in (("ROWS", 3), ("PAIRS", 10), ("BLOCK", 4), ("DENSE", 0.3), ("QUERY_BYTES", 200)):
+        monkeypatch.setattr(bm, name, value)
+    texts = ["the one and the two", "two THE and one the", "only here"] * 60 + [f"the w{i % 23} and w{i * i % 29} w{i}" for i in range(120)]
+    docs = [(i * 7 % 311 if i % 50 else None, t) for i, t in enumerate(texts)]
+    asked = [(i, t) for i, t in enumerate(texts) if i % 9 == 0] + [(5, "the"), (6, "w1 w1 and"), (7, "the w4 " * 60)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    index = bm.build_index(d)
+    assert [len(r.lengths) // 4 for r in index.collect()] == [122]
+    for k in (1, 10, 400):
+        same(bm.top_k(index, spark.createDataFrame(asked, "item_id long, text string"), k).collect(), brute(docs, asked, k))
