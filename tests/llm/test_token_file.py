@@ -102,3 +102,38 @@ def test_pieces_go_to_the_library_once():
     calls = []
     bpe.split = lambda w: calls.append(w) or [w]
     assert bpe.pieces("Été") == ["été".encode()] and not calls
+
+
+def test_pieces_pass_the_normaliser(monkeypatch):
+    """Texts of pieces alone aren't normalised again; ids stay those of the library, and a word's pieces are counted once."""
+    with open(PATH, encoding="utf-8") as f:
+        spec = f.read()
+    lib, counted, own = Tokenizer.from_str(spec), [], tf.Bpe.pieces
+    monkeypatch.setattr(tf.Bpe, "pieces", lambda bpe, w: counted.append(w) or own(bpe, w))
+    words = [f"{a}{b}" for a in ("Word", "ÉTÉ", "x1", "ⱥⱥ", "日本", "éa", "Ⱥb", "Å") for b in ("", ".", "'s", "<", "12", "ß")] + [f"W{i}" for i in range(600)]
+    encode = tf.library_encoder(spec)
+    for some in (words, words[::-1]):
+        ids, n = encode(some)
+        want = [lib.encode(w, add_special_tokens=False).ids for w in some]
+        assert n.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    assert len(counted) == len(set(counted)) and not any(w.isascii() and "<" not in w for w in counted)
+    monkeypatch.setattr(tf, "JOINED", 1)
+    calls = []
+
+    class Seen:
+        def __init__(self, lib):
+            self.__dict__["lib"] = lib
+
+        def __getattr__(self, name):
+            return getattr(self.lib, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.lib, name, value)
+
+        def encode_batch_fast(self, texts, **more):
+            calls.extend((t, self.lib.normalizer is None) for t in texts)
+            return self.lib.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr("tokenizers.Tokenizer.from_str", lambda s: Seen(lib), raising=False)
+    tf.library_encoder(spec)(["Plain", "日本."])
+    assert calls == [("plain", True), ("日本.", False)]

@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -110,12 +110,13 @@ def library_encoder(spec: str):
     """Words -> ids by the tokenizers library, many words to a call; the cut between words comes from their pieces.
 
     A printable word of Latin characters without "<", which special tokens have, is the ids of its lower-cased pieces, one after another: each
-    distinct piece goes to the library once. Any other word goes there whole."""
+    distinct piece goes to the library once, in lower case and so past the normaliser. Any other word goes there whole."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
     from tokenizers import Tokenizer
     lib, bpe = Tokenizer.from_str(spec), Bpe(spec)
     lib.no_truncation()
     lib.no_padding()
+    normalizer = lib.normalizer
     ends = np.zeros(len(bpe.names), dtype=bool)  # ids that end a piece
     ends[bpe.last] = True
     ends[list(bpe.special.values())] = True
@@ -125,27 +126,32 @@ def library_encoder(spec: str):
         ends[made] |= ends[r]
 
     known: dict[str, int] = {}  # pieces, and words that go whole: their places in the arrays
+    whole: dict[str, int] = {}  # of the words that go whole: their pieces
     start, size, flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def plain(w: str) -> bool:
-        return latin(w) and (w.isalpha() or "<" not in w and w.isprintable())
-
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         nonlocal start, size, flat
         if len(known) > PIECES:
             known.clear()
+            whole.clear()
             start, size, flat = start[:0], size[:0], flat[:0]
-        before, used, per_word = len(known), [], []
+        before, used, per_word, split, place = len(known), [], [], bpe.split, known.setdefault
         for w in words:
-            if plain(w):
-                w = w.lower()
-                if not w.isalpha():
-                    parts = bpe.split(w)
-                    per_word.append(len(parts))
-                    used += [known.setdefault(x, len(known)) for x in parts]
+            if w.isalpha():
+                if w.isascii() or latin(w):
+                    per_word.append(1)
+                    used.append(place(w.lower(), len(known)))
                     continue
+            elif "<" not in w and w.isprintable() and (w.isascii() or latin(w)):
+                parts = split(w.lower())
+                per_word.append(len(parts))
+                for x in parts:
+                    used.append(place(x, len(known)))
+                continue
             per_word.append(1)
-            used.append(known.setdefault(w, len(known)))
+            used.append(place(w, len(known)))
+            if w not in whole:
+                whole[w] = len(bpe.pieces(w))
         new = list(islice(known, before, None))
         if new:
             done = [some(new[i:i + JOINED * TEXTS]) for i in range(0, len(new), JOINED * TEXTS)]
@@ -156,9 +162,14 @@ def library_encoder(spec: str):
         return flat[ranges(start[at], size[at])], np.diff(ends[np.concatenate([[0], np.cumsum(np.array(per_word, dtype=np.int64))])])
 
     def some(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces = np.cumsum([1 if plain(w) else len(bpe.pieces(w)) for w in words])
-        texts = [" ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
-        ids = np.array([i for e in lib.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], dtype=np.int64)
+        pieces = np.cumsum([whole.get(w, 1) for w in words])
+        texts = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        odd = [not whole.keys().isdisjoint(x) for x in texts]
+        parts = {}
+        for o in (False, True):
+            lib.normalizer = normalizer if o else None  # pieces are normalised already
+            parts[o] = iter(lib.encode_batch_fast([" ".join(x) for x, y in zip(texts, odd, strict=True) if y == o], add_special_tokens=False))
+        ids = np.fromiter(chain.from_iterable([next(parts[o]).ids for o in odd]), dtype=np.int64)
         stop = np.concatenate([[0], np.flatnonzero(ends[ids]) + 1])
         if len(stop) - 1 != (pieces[-1] if len(words) else 0):
             raise ValueError("the tokenizer file cuts words otherwise than its pattern says")
