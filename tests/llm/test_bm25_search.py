@@ -2,6 +2,7 @@ import collections
 import math
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 from tests.conftest import SF001, SF01
@@ -79,3 +80,32 @@ def test_copies_are_one_bag(spark, monkeypatch):
     assert [len(r.lengths) // 4 for r in index.collect()] == [122]
     for k in (1, 10, 400):
         same(bm.top_k(index, spark.createDataFrame(asked, "item_id long, text string"), k).collect(), brute(docs, asked, k))
+
+
+def test_shards_are_bounded_by_rows_and_sent_one_by_one(spark, monkeypatch):
+    """Short texts fill a shard by rows, and a worker gets a few shards at a time, not a whole partition of them."""
+    monkeypatch.setattr(bm, "SHARD_ROWS", 30)
+    monkeypatch.setattr(bm, "BATCH", {k: "1" for k in bm.BATCH})
+    docs = [(i, f"w{i % 7} w{i * i % 11} x{i}") for i in range(400)]
+    monkeypatch.setattr(bm, "GROUPS", bm.GROUPS | {"parquet.block.size": 1})
+    index = bm.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).coalesce(1)
+    assert [pq.ParquetFile(f.removeprefix("file://")).num_row_groups for f in index.inputFiles()] == [14]
+    assert index.count() == 14 and index.selectExpr("max(length(docs) / 8)").first()[0] == 30
+    held = spark.sparkContext.accumulator(0)
+
+    def answers(queries, k, mean, made=bm._answers):
+        def run(frames):
+            def seen():
+                for f in frames:
+                    held.add(len(f) > 1)
+                    yield f
+
+            yield from made(queries, k, mean)(seen())
+
+        return run
+
+    monkeypatch.setattr(bm, "_answers", answers)
+    key, before = [*bm.BATCH][0], spark.conf.get([*bm.BATCH][0])
+    got = bm.top_k(index, spark.createDataFrame(docs[:9], "item_id long, text string"), 5).collect()
+    same(got, brute(docs, docs[:9], 5))
+    assert held.value == 0 and spark.conf.get(key) == before
