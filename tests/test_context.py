@@ -165,3 +165,17 @@ def test_grid_runs(spark):
     out = ST.run_available(stream_segments(ST.file_stream(spark, src, t.schema), 4, 6, "1 hour", 20_000), out, ck).collect()
     row = lambda r: ids[r * 25:r * 25 + 25]
     assert {(x.r, x.w): (x.inputs, x.labels, x.memory) for x in out} == {(r, w): (row(r)[4 * w:4 * w + 4], row(r)[4 * w + 1:4 * w + 5], row(r)[max(4 * w - 6, 0):4 * w]) for r in range(4) for w in range(6)}
+
+
+def test_segments_get_a_row_for_each_key(spark):
+    """The runs of a batch that go to one key reach the stateful step as one row, with all tokens and the latest time."""
+    import pyarrow as pa
+    from tokenloom.streaming.segments import _packed
+    rows = [(0, 1, 40, [1, 2], 5, 50), (1, 0, 3, [7], 9, 90), (0, 1, 47, [3], 4, 40), (1, 0, 9, [], 2, 20), (0, 0, 1, [4, 5, 6], 8, 80)]
+    cols = list(zip(*rows, strict=True))
+    kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.timestamp("us", "UTC"), pa.int64()]
+    b = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], names=["r", "seg", "c", "ids", "ts", "at"])
+    out = [x for p in _packed(iter([b.slice(0, 0), b])) for x in p.to_pylist()]
+    ints = lambda x: [int.from_bytes(x[i:i + 8], "little", signed=True) for i in range(0, len(x), 8)]
+    got = [(x["r"], x["seg"], ints(x["c"]), ints(x["n"]), ints(x["ids"]), x["ts"].microsecond, x["at"]) for x in out]
+    assert got == [(0, 0, [1], [3], [4, 5, 6], 8, 80), (0, 1, [40, 47], [2, 1], [1, 2, 3], 5, 50), (1, 0, [3, 9], [1, 0], [7], 9, 90)]

@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 SEGMENT_OUT = "r bigint, w bigint, inputs array<bigint>, labels array<bigint>, memory array<bigint>"
-LEAST_SEGMENT = 1024  # tokens
+LEAST_SEGMENT = 1 << 14  # tokens: a key costs some milliseconds a batch, whatever it holds
 
 
 class Segments(StatefulProcessor):
@@ -28,49 +29,49 @@ class Segments(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.parts = handle.getListState("parts", "cs array<bigint>, ids array<bigint>")
-        self.told = handle.getValueState("told", "windows array<bigint>, latest bigint")  # windows out, latest event time
+        self.parts = handle.getListState("parts", "cs binary, ids binary")  # int64 buffers: an array would be turned element by element
+        self.told = handle.getValueState("told", "windows binary, latest bigint")  # a byte for each window, 1 if it is out; latest event time
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         r, seg = int(key[0]), int(key[1])
-        new = pd.concat(list(rows))
-        out, before = self.told.get() if self.told.exists() else ([], None)
-        out = set(out or [])
+        first, n = seg * self.length // self.T, self.length // self.T
+        frames = list(rows)
+        new = frames[0] if len(frames) == 1 else pd.concat(frames)
+        told = self.told.get()
+        out, before = (np.zeros(n, bool), None) if told is None else (np.frombuffer(told[0], bool).copy(), told[1])
         latest = int(new["at"].max())
         if before is None or latest > before:
             if before is not None:
                 self.handle.deleteTimer(before + self.keep_ms)
             self.handle.registerTimer(latest + self.keep_ms)
         latest = latest if before is None else max(latest, before)
-        first, n = seg * self.length // self.T, self.length // self.T
-        found = []
-        if len(out) < n:  # else these are repeats of tokens that all went out
-            parts = list(self.parts.get()) if self.parts.exists() else []
-            size = new["ids"].map(len).to_numpy()
-            here = np.concatenate([np.asarray(x, np.int64) for x in new["ids"]])
-            places = np.repeat(new["c"].to_numpy(np.int64) - np.cumsum(size) + size, size) + np.arange(len(here))
-            cs, at = np.unique(np.concatenate([np.array(p[0], np.int64) for p in parts] + [places]), return_index=True)
-            ids = np.concatenate([np.array(p[1], np.int64) for p in parts] + [here])[at]
-            for w in range(first, first + n):
-                lo, hi = max(w * self.T - self.mem_len, 0), w * self.T + self.T
-                a, b = np.searchsorted(cs, [lo, hi + 1])
-                if w in out or b - a != hi - lo + 1:
-                    continue
-                out.add(w)
-                cut = w * self.T - lo
-                found.append((r, w, ids[a + cut:b - 1].tolist(), ids[a + cut + 1:b].tolist(), ids[a:a + cut].tolist()))
-            left = [w for w in range(first, first + n) if w not in out]
-            if not left:
+        found = None
+        if not out.all():  # else these are repeats of tokens that all went out
+            parts = [[np.frombuffer(x, np.int64) for x in p] for p in self.parts.get()]
+            c, size, here = (np.frombuffer(b"".join(new[x]), np.int64) for x in ("c", "n", "ids"))
+            places = np.repeat(c - np.cumsum(size) + size, size) + np.arange(len(here))
+            cs, at = np.unique(np.concatenate([p[0] for p in parts] + [places]), return_index=True)
+            ids = np.concatenate([p[1] for p in parts] + [here])[at]
+            hi = (first + np.arange(n)) * self.T + self.T
+            lo = np.maximum(hi - self.T - self.mem_len, 0)
+            a, b = np.searchsorted(cs, lo), np.searchsorted(cs, hi + 1)
+            whole = np.flatnonzero(~out & (b - a == hi - lo + 1))
+            out[whole] = True
+            if len(whole):
+                cut, end = b[whole] - 1 - self.T, b[whole] - 1
+                slices = lambda x, y: [ids[i:j] for i, j in zip(x.tolist(), y.tolist(), strict=True)]
+                found = pd.DataFrame({"r": r, "w": first + whole, "inputs": slices(cut, end), "labels": slices(cut + 1, end + 1), "memory": slices(a[whole], cut)})
+            if out.all():
                 self.parts.clear()
             else:
-                a = int(np.searchsorted(cs, max(left[0] * self.T - self.mem_len, 0)))  # what lies before is of no more use
+                a = int(a[np.argmin(out)])  # what lies before is of no more use
                 if parts and (a or len(parts) > 16):
-                    self.parts.put([(cs[a:].tolist(), ids[a:].tolist())])
+                    self.parts.put([(cs[a:].tobytes(), ids[a:].tobytes())])
                 else:
-                    self.parts.appendValue((places.tolist(), here.tolist()))
-        self.told.update((sorted(out), latest))
-        if found:
-            yield pd.DataFrame(found, columns=["r", "w", "inputs", "labels", "memory"])
+                    self.parts.appendValue((places.tobytes(), here.tobytes()))
+        self.told.update((out.tobytes(), latest))
+        if found is not None:
+            yield found
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.parts.clear()
@@ -97,14 +98,39 @@ def grid_runs(lines: DataFrame, B: int, N: int, length: int) -> DataFrame:
     return d
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (r, seg, c, ids, ts, at), those of a batch that go to one key as one row: ``c`` and size of each run and all ids as int64 buffers, the
+    latest ts and at. The stateful step takes some fifty microseconds a row."""
+    least = np.iinfo(np.int64).min  # for a null
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = [b.column(i).fill_null(-1).to_numpy() for i in (0, 1)]
+        order = np.lexsort((key[1], key[0]))
+        b = b.take(pa.array(order))
+        key = [x[order] for x in key]
+        head = np.flatnonzero(np.concatenate([[True], (key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])]))
+        size = b.column(3).value_lengths().to_numpy().astype(np.int64)
+        ends, tops = np.append(head, b.num_rows), np.concatenate([[0], np.cumsum(size)])
+        c, ids = b.column(2).to_numpy(), b.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+        cut = lambda x, at: pa.array([x[i:j].tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())
+        last = [np.maximum.reduceat(x.cast(pa.int64()).fill_null(least).to_numpy(), head) for x in b.columns[4:6]]
+        last = [pa.array(v, mask=v == least).cast(x.type) for v, x in zip(last, b.columns[4:6], strict=True)]
+        of = pa.array(head)
+        yield pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(1).take(of), cut(c, ends), cut(size, ends), cut(ids, tops[ends]), *last], names=["r", "seg", "c", "n", "ids", "ts", "at"])
+
+
 def stream_segments(grid: DataFrame, T: int, mem_len: int, delay: str, keep_ms: int, ts: str = "ts") -> DataFrame:
     """Streaming tokens (r, c, id, ``ts`` a timestamp), or runs of them (r, c of the first, ids, ts), as windows (r, w, inputs, labels, memory) of T inputs, labels one column later and the ``mem_len``
     tokens before. Each window is emitted once; a row's unfinished last window never is, as in the fixed-length form.
 
-    ``delay`` is the watermark's; later tokens are dropped. A key is freed when the watermark passes its latest token by ``keep_ms``;
+    ``delay`` is the watermark's; later tokens are dropped, unless they come in one piece with tokens of their key that are in time. A key is freed when the watermark passes its latest token by ``keep_ms``;
     a token of it that comes after that starts anew. Repeated tokens change nothing."""
     L = T * -(-max(mem_len + 1, LEAST_SEGMENT) // T)
     ids = F.col("ids") if "ids" in grid.columns else F.array("id")
-    t = grid.withWatermark(ts, delay).select("r", "c", ids.alias("ids"), ts, F.expr(f"unix_millis({ts})").alias("at"))
-    t = t.withColumn("seg", F.explode(F.expr(f"sequence(greatest((c - 1) div {L}, 0L), (c + size(ids) - 1 + {mem_len}) div {L})")))
+    t = grid.select("r", "c", ids.alias("ids"), F.col(ts).alias("ts"), F.expr(f"unix_millis({ts})").alias("at"))
+    seg = F.explode(F.expr(f"sequence(greatest((c - 1) div {L}, 0L), (c + size(ids) - 1 + {mem_len}) div {L})"))
+    t = t.select(F.col("r").cast("bigint"), seg.alias("seg"), F.col("c").cast("bigint"), F.col("ids").cast("array<bigint>"), "ts", "at")
+    schema = f"r bigint, seg bigint, c binary, n binary, ids binary, ts {t.schema['ts'].dataType.simpleString()}, at bigint"
+    t = t.mapInArrow(_packed, schema).withWatermark("ts", delay)
     return t.groupBy("r", "seg").transformWithStateInPandas(statefulProcessor=Segments(T, mem_len, L, keep_ms), outputStructType=SEGMENT_OUT, outputMode="Append", timeMode="EventTime")
