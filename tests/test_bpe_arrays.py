@@ -37,6 +37,30 @@ def test_same_as_rows(spark, monkeypatch):
         assert texts == {(d, n): t + "\n" * nl for d, n, t, nl in rows}
 
 
+def test_tokens_of_many_bytes(spark):
+    """Pre-tokens above LONG_TOKEN bytes, between shorter ones and alone."""
+    merges, ids = assets(spark)
+    rows = [(1, 0, "the " + "a" * 301 + " then " + "日" * 40 + "é x", True), (2, 0, "a" * 99, False), (3, 0, "the", False)]
+    lines, key = spark.createDataFrame(rows, LINES).coalesce(1), ["doc_id", "line_no"]
+    want = {x.doc_id: x.ids for x in BP.encoded_lines(BP.bpe_encode(BP.bpe_pretokens(lines, key), key, merges, ids), key).collect()}
+    assert {x.doc_id: x.ids for x in BP.bpe_encode_lines(lines, key, merges, ids).collect()} == want
+
+
+def test_merges_and_ids_read_the_written_tokens(spark, monkeypatch):
+    """The pre-tokens that bpe_examples writes serve its merges and its ids: lines are matched once, and long ones in chunks give the same merges."""
+    from tests.conftest import SF001
+    from tokenloom.plans import queries as Q
+    Q.clear_corpus_cache()
+    want = [tuple(x) for x in Q.q_load_merges(spark, SF001).orderBy("rank").collect()]
+    Q.clear_corpus_cache()
+    matched, made = [], BP.bpe_pretokenize
+    monkeypatch.setattr(BP, "bpe_pretokenize", lambda c: matched.append(c) or made(c))
+    monkeypatch.setattr(BP, "CHUNK_CHARS", 40)
+    Q.q_bpe_examples(spark, SF001)
+    assert [tuple(x) for x in Q.q_load_merges(spark, SF001).orderBy("rank").collect()] == want and len(matched) == 1
+    Q.clear_corpus_cache()
+
+
 def test_decode_malformed_and_unknown(spark):
     _, ids = assets(spark)
     df = spark.createDataFrame([(1, [0xC3, 0x28]), (2, [0xE6, 0x97]), (3, []), (4, None)], "k long, ids array<long>")
@@ -57,3 +81,25 @@ def test_long_line(spark):
     n = enc.select(F.size("ids").alias("n")).agg(F.max("n"), F.sum("n"), F.count("*")).first()
     # "the" first, then " the", " quick", " aaaa": 1 + 6 + 2 ids a repeat, and the last blank
     assert n[0] <= BP.CHUNK_CHARS and n[1] == 9 * 3_400_000 + 1 and n[2] > 300
+
+
+def test_merger_equals_merge_word():
+    """Rounds over many words give what each word's own merges give: overlaps, pairs of a rank below that of their parts, words that end early."""
+    import numpy as np
+    r, chars = random.Random(7), dict(BP.byte_char_table())
+    for k in range(60):
+        pieces, ranks = list("abc"), {}
+        for _ in range(r.choice((0, 1, 6, 25))):
+            pair = (r.choice(pieces), r.choice(pieces))
+            if pair not in ranks:
+                ranks[pair] = len(ranks)
+                pieces.append("".join(pair))
+        numbers = [*range(len(ranks))]
+        r.shuffle(numbers)  # a pair may come before those that make its parts
+        ranks = {p: 3 * n for p, n in zip(ranks, numbers, strict=True)}
+        words = ["".join(r.choice("aabbc" if k % 2 else "a") for _ in range(r.randrange(1, 30))) for _ in range(50)]
+        m = BP.Merger(ranks, chars)
+        names = [*m.symbols]
+        sym, n = m.merge(np.frombuffer("".join(words).encode(), np.uint8).astype(np.int64), np.array([len(w) for w in words]))
+        ends = [0, *np.cumsum(n).tolist()]
+        assert [[names[s] for s in sym[a:b]] for a, b in zip(ends, ends[1:])] == [BP.merge_word(w, ranks) for w in words]

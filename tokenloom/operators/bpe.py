@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +58,63 @@ def merge_word(word: str, ranks: dict) -> list[str]:
     return [p for p in parts if p is not None]
 
 
+LONG_TOKEN = 64  # bytes of a pre-token that is merged with others in rounds; a longer one has ``merge_word``
+NONE = 1 << 40  # rank of a pair that isn't merged
+
+
+class Merger:
+    """P8 on many pre-tokens at once, ``merge_word`` in rounds of arrays: each joins the lowest-ranked pair of every word wherever it occurs, left to
+    right. A symbol is a piece; those of the 256 bytes come first."""
+
+    def __init__(self, ranks: dict, chars: dict):
+        self.symbols = {chars[b]: b for b in range(256)}
+        pairs = sorted((r, self._symbol(a), self._symbol(b), self._symbol(a + b)) for (a, b), r in ranks.items())
+        rank, left, right, made = np.array(pairs, np.int64).reshape(-1, 4).T
+        order = np.lexsort((right, left))
+        self.keys, self.place = (left << 32 | right)[order], order  # a pair's place among the merges serves as its rank
+        self.made = made
+
+    def _symbol(self, piece: str) -> int:
+        return self.symbols.setdefault(piece, len(self.symbols))
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(left), NONE)
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.place[at], NONE)
+
+    def merge(self, sym: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words of ``size`` byte symbols, none empty: (symbols of the pieces, number of pieces of each word)."""
+        word, done = np.repeat(np.arange(len(size)), size), []
+        rank, inner = np.full(len(sym), NONE), np.flatnonzero(word[1:] == word[:-1])
+        rank[inner] = self.rank(sym[inner], sym[inner + 1])
+        while len(sym):
+            head = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            best = np.minimum.reduceat(rank, head)
+            best = np.repeat(best, np.diff(np.append(head, len(sym))))
+            live = best < NONE
+            if not live.all():
+                done.append((word[~live], sym[~live]))
+                word, sym, rank, best = word[live], sym[live], rank[live], best[live]
+            at = np.flatnonzero(rank == best)
+            if not len(at):
+                break
+            run = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))  # of pairs that overlap, every other one is joined
+            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
+            sym[at] = self.made[rank[at]]
+            keep = np.ones(len(sym), bool)
+            keep[at + 1] = False
+            at = (np.cumsum(keep) - 1)[at]
+            word, sym, rank = word[keep], sym[keep], rank[keep]
+            rank[at] = NONE
+            for i in (at[at > 0] - 1, at[at + 1 < len(sym)]):
+                i = i[word[i] == word[i + 1]]
+                rank[i] = self.rank(sym[i], sym[i + 1])
+        word, sym = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, np.int64),) * 2
+        return sym[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(size))
+
+
 def merge_ranks(merges: DataFrame) -> dict:
     """The merges table as a (left, right) -> rank dict. Its size is the merges file's line
     count (a fixed vocabulary asset), so it is shipped to the tasks with the function."""
@@ -119,50 +177,79 @@ CACHED_TOKENS = 1 << 18  # pre-tokens whose ids a worker remembers
 RUN_ROWS = 256  # lines whose bytes are cut at a time
 
 
-def bpe_encode_lines(lines: DataFrame, key_cols: list[str], merges: DataFrame, piece_ids: DataFrame) -> DataFrame:
-    """P6-P9 + J4 by arrays: (key, chunk, ids), one row for each ``CHUNK_CHARS`` characters of a line, ``chunk`` numbering them.
+def bpe_line_tokens(lines: DataFrame, key_cols: list[str]) -> DataFrame:
+    """P6 by arrays: (key, chunk, tokens), one row for each ``CHUNK_CHARS`` characters of a line, ``chunk`` numbering them.
 
     A long line is cut before it is matched, in front of a blank that follows another character: no pre-token goes over such a place, so the cut
-    changes none (a run without blanks stays whole). A batch's pre-tokens are numbered once, each distinct one is merged (or remembered by the worker) and the lines' arrays are put together
+    changes none (a run without blanks stays whole)."""
+    cuts = F.regexp_extract_all("text", F.lit(f"(?sU).{{1,{CHUNK_CHARS}}}\\s*\\S*"), 0)
+    t = line_text(lines).select(*key_cols, F.posexplode(F.when(F.length("text") <= CHUNK_CHARS, F.array("text")).otherwise(cuts)).alias("chunk", "_text"))
+    return t.select(*key_cols, "chunk", bpe_pretokenize(F.col("_text")).alias("tokens"))
+
+
+def bpe_encode_lines(lines: DataFrame, key_cols: list[str], merges: DataFrame, piece_ids: DataFrame) -> DataFrame:
+    """P6-P9 + J4 by arrays: (key, chunk, ids) of the chunks of ``bpe_line_tokens``."""
+    return bpe_encode_tokens(bpe_line_tokens(lines, key_cols), [*key_cols, "chunk"], merges, piece_ids)
+
+
+def bpe_encode_tokens(t: DataFrame, kept: list[str], merges: DataFrame, piece_ids: DataFrame) -> DataFrame:
+    """P7-P9 + J4 on arrays of pre-tokens: (``kept`` columns, ids).
+
+    A batch's pre-tokens are numbered once, each distinct one is merged (or remembered by the worker) and the lines' arrays are put together
     from the distinct ones by offsets: no row per pre-token or piece, no shuffle, and no group as long as a line. What goes to the tasks is bounded by
     the merges file. An unknown piece raises; a line without text has one empty array."""
-    import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    spark = lines.sparkSession
+    spark = t.sparkSession
     shared = spark.sparkContext.broadcast((merge_ranks(merges), {r["piece"]: int(r["id"]) for r in piece_ids.select("piece", "id").collect()}, dict(byte_char_table())))
-    cuts = F.regexp_extract_all("text", F.lit(f"(?sU).{{1,{CHUNK_CHARS}}}\\s*\\S*"), 0)
-    t = line_text(lines).select(*key_cols, F.posexplode(F.when(F.length("text") <= CHUNK_CHARS, F.array("text")).otherwise(cuts)).alias("chunk", "_text"))
-    kept = [*key_cols, "chunk"]
-    t = t.select(*kept, bpe_pretokenize(F.col("_text")).alias("_tokens"))
+    t = t.select(*kept, "tokens")
     schema = ", ".join(f"`{c}` {t.schema[c].dataType.simpleString()}" for c in kept) + ", ids array<bigint>"
 
     def run(batches):
         ranks, numbers, chars = shared.value
-        known: dict[str, list[int]] = {}
-
-        def encode(token: str) -> list[int]:
-            found = known.get(token)
-            if found is None:
-                if len(known) >= CACHED_TOKENS:
-                    known.clear()
-                try:
-                    found = known[token] = [numbers[p] for p in merge_word("".join(map(chars.__getitem__, token.encode())), ranks)]
-                except KeyError as e:
-                    raise ValueError(f"unknown piece: {e.args[0]}") from None
-            return found
+        merger = Merger(ranks, chars)
+        ids_of = np.array([numbers.get(p, -1) for p in merger.symbols], np.int64)
+        none = np.zeros(0, np.int64)
+        known, flat, size = {}, none, none  # token -> number; ids of all by number, and how many each has
+
+        def encode(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            """(ids of all tokens, number of ids of each)."""
+            raw = [t.encode() for t in tokens]
+            long = np.fromiter(map(len, raw), np.int64, len(raw)) > LONG_TOKEN
+            short = [x for x in raw if len(x) <= LONG_TOKEN]
+            sym, n = merger.merge(np.frombuffer(b"".join(short), np.uint8).astype(np.int64), np.fromiter(map(len, short), np.int64, len(short)))
+            ids = ids_of[sym]
+            if (ids < 0).any():
+                raise ValueError(f"unknown piece: {[*merger.symbols][sym[np.argmin(ids)]]}")
+            if not long.any():
+                return ids, n
+            try:
+                each = [[numbers[p] for p in merge_word("".join(map(chars.__getitem__, raw[i])), ranks)] for i in np.flatnonzero(long)]
+            except KeyError as e:
+                raise ValueError(f"unknown piece: {e.args[0]}") from None
+            count = np.zeros(len(raw), np.int64)
+            count[long], count[~long] = [len(x) for x in each], n
+            of_long = np.repeat(long, count)
+            out = np.zeros(len(of_long), np.int64)
+            out[of_long], out[~of_long] = np.concatenate(each), ids
+            return out, count
 
         for b in batches:
             col = b.column(len(kept))
             words = col.flatten().dictionary_encode()
-            each = [encode(w) for w in words.dictionary.to_pylist()]
-            size = np.array([len(x) for x in each], dtype=np.int64)
-            flat, start = np.array([i for x in each for i in x], dtype=np.int64), np.cumsum(size) - size
-            of = words.indices.to_numpy().astype(np.int64)
-            n = size[of] if len(of) else np.zeros(0, np.int64)
+            distinct = words.dictionary.to_pylist()
+            new = [t for t in distinct if t not in known]
+            if len(known) + len(new) > CACHED_TOKENS:
+                known, flat, size, new = {}, none, none, distinct
+            if new:
+                known.update(zip(new, range(len(known), len(known) + len(new))))
+                flat, size = (np.concatenate(x) for x in zip((flat, size), encode(new), strict=True))
+            at = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+            of = at[words.indices.to_numpy()] if len(at) else none
+            n = size[of]
             ends = np.concatenate([[0], np.cumsum(n)])
-            ids = flat[np.arange(ends[-1]) - np.repeat(ends[:-1] - start[of], n)] if ends[-1] else np.zeros(0, np.int64)
+            ids = flat[np.arange(ends[-1]) - np.repeat(ends[:-1] - (np.cumsum(size) - size)[of], n)]
             cut = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy())])
             yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pa.ListArray.from_arrays(pa.array(ends[cut], pa.int32()), pa.array(ids))], names=[*kept, "ids"])
 

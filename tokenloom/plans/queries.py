@@ -613,11 +613,17 @@ def _bpe_tokens(spark, sf):
                  lambda: materialize(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY), "pretokens"))
 
 
-def _bpe_assets(spark, sf):
-    """Merges learned by the fixture job, written as a merges file and read back (A7), plus the
+def _bpe_chunks(spark, sf):
+    """Pre-tokens of every line as arrays, written once for a query that encodes: matching them costs more than reading them."""
+    return _once((spark.sparkContext.applicationId, sf, "bpe-chunks"),
+                 lambda: materialize(BP.bpe_line_tokens(_bpe_lines(spark, sf), ["shard", *KEY]), "bpe-chunks", PACKED))
+
+
+def _bpe_assets(spark, sf, chunks=None):
+    """Merges learned by the fixture job (from written pre-tokens, if there are any), written as a merges file and read back (A7), plus the
     id map written as JSON and read back."""
     def build():
-        learned = BP.learn_merges(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY))
+        learned = BP.learn_merges(BP.bpe_pretokens(_bpe_lines(spark, sf), KEY) if chunks is None else chunks.select(F.explode("tokens").alias("token")))
         merges = materialize(S.load_merges(BP.merges_file_lines(learned)), "merges")
         ids = materialize(S.load_piece_ids(BP.piece_ids_json(BP.piece_ids_from_merges(merges))), "piece-ids")
         return merges, ids
@@ -666,9 +672,10 @@ def q_bpe_examples(spark, sf):
     """Byte-pair ids of every shard as fixed-length examples, one file a train shard, written and read back through the manifest."""
     from tokenloom.operators import sharded as SD
     from tokenloom.operators.positions import coarser, doc_bucket, prefix_offsets
-    merges, ids = _bpe_assets(spark, sf)
+    chunks = _bpe_chunks(spark, sf)
+    merges, ids = _bpe_assets(spark, sf, chunks)
     shards = S.split_by_shard(S.read_documents(spark, sf))
-    enc = materialize(BP.bpe_encode_lines(_bpe_lines(spark, sf), ["shard", *KEY], merges, ids), "bpe-lines", PACKED)
+    enc = materialize(BP.bpe_encode_tokens(chunks, ["shard", *KEY, "chunk"], merges, ids), "bpe-lines", PACKED)
     enc = enc.join(F.broadcast(shards), "shard")  # one row a file
     name = EX.example_file_name_col(F.when(F.col("split") == "train", EX.shard_basename(F.col("shard_no"))).otherwise(F.col("split")), B, T, C, True)
     enc = enc.select("split", name.alias("basename"), "doc_id", "line_no", "chunk", "ids")
